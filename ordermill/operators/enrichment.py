@@ -16,7 +16,7 @@ _TYPES_TEXT = {"list": types_text, "set": distinct_types_text}
 
 
 def event_type_counts(events: DataFrame) -> DataFrame:
-    """Per user: event_count and type_counts, array<struct<event_type,n>>.
+    """Per user: event_count and type_counts, array<struct<event_type,n>> in order of the type.
 
     Events are counted by user and type first. That combines in the map tasks, so a user with
     most of the events costs a few rows per task, and the list per user is as long as the
@@ -28,7 +28,8 @@ def event_type_counts(events: DataFrame) -> DataFrame:
     )
     entry = F.when(F.col("event_type").isNotNull(), F.struct("event_type", "n"))
     return by_type.groupBy("user_id").agg(
-        F.sum("n_ids").alias("event_count"), F.collect_list(entry).alias("type_counts")
+        F.sum("n_ids").alias("event_count"),
+        F.sort_array(F.collect_list(entry)).alias("type_counts"),
     )
 
 
@@ -64,10 +65,25 @@ def join_segments(orders: DataFrame, segments: DataFrame) -> DataFrame:
 def join_event_counts(orders: DataFrame, counts: DataFrame) -> DataFrame:
     """Left join to per-user aggregates. Users without events keep NULLs.
 
-    The right side has one row per user, so the join never multiplies orders, and AQE can
-    split the partition of a hot user on the order side.
+    The right side has one row per user, so the join never multiplies orders. AQE splits the
+    partition of a hot user only where both inputs come straight from a shuffle, and an
+    aggregate by the join key does not; taking the key through an expression gives the small
+    side a shuffle of its own.
     """
-    return orders.join(counts, "user_id", "left")
+    user = F.col("user_id")
+    return orders.join(counts.withColumn("user_id", F.when(user.isNotNull(), user)), "user_id", "left")
+
+
+def user_profile(segments: DataFrame, counts: DataFrame) -> DataFrame:
+    """Segment columns and event aggregates of every user known to either side.
+
+    Joining orders to this once equals joining them to both in turn: a user's segment rows
+    meet the one row of aggregates here instead of there. The many orders then move at most
+    once, their hot users are split by AQE, and where the profile turns out small it is
+    broadcast and the orders do not move at all.
+    """
+    known = F.col("user_id").isNotNull()
+    return segment_columns(segments).where(known).join(counts.where(known), "user_id", "full_outer")
 
 
 def _as_date(value: str | dt.date | Column) -> Column:
@@ -89,10 +105,8 @@ def enrich(
     audit columns and defaults to the time of the query. The event types travel through the
     join as counts and become text in the final projection.
     """
-    deduped = dedup_orders(orders)
-    joined = join_event_counts(
-        join_segments(deduped, segments), event_type_counts(deduped_events(events))
-    )
+    profile = user_profile(segments, event_type_counts(deduped_events(events)))
+    joined = dedup_orders(orders).join(profile, "user_id", "left")
     process_date = F.col("process_date") if run_date is None else _as_date(run_date)
     stamp = F.current_timestamp() if run_ts is None else run_ts
     return joined.select(

@@ -57,7 +57,9 @@ def _lister(root: str, recursive: bool):
                 infos = filesystem.get_file_info(selector)
                 if recursive:
                     infos = [i for i in infos if i.type == fs.FileType.File]
-                yield _entries(infos)
+                found = _entries(infos)
+                if len(found):
+                    yield found
 
     return run
 
