@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ordermill.functions.columns import is_positive
 
@@ -47,11 +46,12 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ())
         c for c, kind in fields.items()
         if c not in ranked and c not in keys and not isinstance(kind, _UNORDERED)
     ]
-    order = [F.col(c).desc_nulls_last() for c in ranked + sorted(rest)]
+    order = ", ".join(f"`{c}` DESC NULLS LAST" for c in ranked + sorted(rest))
     if not order:
         return df.dropDuplicates(list(keys))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    group = ", ".join(f"`{k}`" for k in keys)
+    ranks = f"row_number() OVER (PARTITION BY {group} ORDER BY {order}) AS _rank"
+    return df.selectExpr("*", ranks).where("_rank = 1").drop("_rank")
 
 
 def dedup_orders(orders: DataFrame, newest: Sequence[str] = ("created_at", "seq")) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ordermill import schemas
 from ordermill.functions.labels import merge_outcome
 from ordermill.operators import quality, writing
-from ordermill.session import work_folder
 from ordermill.sources.tables import read_partitions, read_table
 
 _HIT = "_hit"
@@ -43,21 +42,18 @@ def merge_rows(
     now = F.current_timestamp() if run_ts is None else run_ts
     keys = list(keys)
     columns = target.columns
-    s = source.withColumn(_HIT, F.lit(True))
+    incoming = stamped(source, now).select(*columns)
+    match = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     joined = target.alias("t").join(
-        s.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left"
+        incoming.withColumn(_HIT, F.lit(True)).alias("s"), F.expr(match), "left"
     )
-    hit = F.col(f"s.{_HIT}").isNotNull()
-
-    def merged(c: str) -> Column:
-        old = F.col(f"t.{c}")
-        if c in keys or c in keep:
-            return old
-        new = now if c == "updated_at" else F.col(f"s.{c}")
-        return F.when(hit, new).otherwise(old).alias(c)
-
-    updated = joined.select(*[merged(c) for c in columns])
-    inserted = stamped(source, now).join(target.select(*keys).distinct(), keys, "left_anti")
+    updated = joined.selectExpr(
+        *[
+            f"t.`{c}`" if c in keys or c in keep else f"if(s.{_HIT}, s.`{c}`, t.`{c}`) AS `{c}`"
+            for c in columns
+        ]
+    )
+    inserted = incoming.join(target.select(*keys).distinct(), keys, "left_anti")
     return updated.unionByName(inserted.select(*columns))
 
 
@@ -86,12 +82,11 @@ def change_classes(
 ) -> DataFrame:
     """Keys of ``source`` with ``change``: new, changed or same, by null-safe comparison."""
     keys = list(keys)
-    known = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in compare], F.lit(1).alias(_HIT))
-    same = F.lit(True)
-    for c in compare:
-        same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
-    change = F.when(F.col(_HIT).isNull(), "new").when(same, "same").otherwise("changed")
-    return source.join(known, keys, "left").select(*keys, change.alias("change"))
+    old = {c: f"_old_{n}" for n, c in enumerate(compare)}
+    known = target.selectExpr(*keys, *[f"`{c}` AS {o}" for c, o in old.items()], f"true AS {_HIT}")
+    same = " AND ".join(f"`{c}` <=> {o}" for c, o in old.items())
+    change = f"CASE WHEN {_HIT} IS NULL THEN 'new' WHEN {same} THEN 'same' ELSE 'changed' END"
+    return source.join(known, keys, "left").selectExpr(*keys, f"{change} AS change")
 
 
 def changed_rows(
@@ -141,6 +136,30 @@ def publish_day(
     writing.write_enriched(rows, target_path)
 
 
+def touched_dates(target: DataFrame, source: DataFrame, key: str = "order_id") -> DataFrame:
+    """Dates an upsert over all dates rewrites: process_date, kept, replaced, arriving rows.
+
+    Reads the key and the date of the target only.
+    """
+    hits = source.select(key, F.lit(True).alias(_HIT))
+    old = (
+        target.select(key, "process_date")
+        .join(hits, key, "left")
+        .groupBy("process_date")
+        .agg(F.expr("count_if(_hit IS NULL) AS kept"), F.expr("count(_hit) AS replaced"))
+        .withColumn("arriving", F.lit(0).cast("bigint"))
+    )
+    new = source.groupBy("process_date").agg(
+        F.expr("0L AS kept"), F.expr("0L AS replaced"), F.expr("count(1) AS arriving")
+    )
+    return (
+        old.unionByName(new)
+        .groupBy("process_date")
+        .agg(*[F.sum(c).alias(c) for c in ("kept", "replaced", "arriving")])
+        .where("replaced > 0 OR arriving > 0")
+    )
+
+
 def publish_across_days(
     spark: SparkSession,
     source: DataFrame,
@@ -150,29 +169,21 @@ def publish_across_days(
 ) -> None:
     """Upsert by key over all dates with whole-row replacement; a row may move between dates.
 
-    Only dates that lose, gain or replace rows are rewritten. The merged dates are first
-    written to the shared work folder, then published, and last the dates left without rows
-    are dropped; a run that fails on the way is repaired by running it again.
+    Only dates that lose, gain or replace rows are rewritten, in one job that changes nothing
+    unless it ends well. Dates left without rows are dropped after that. A run that fails in
+    between is repaired by running it again.
     """
     now = F.current_timestamp() if run_ts is None else run_ts
     gates = quality.premerge_gates(quality.key_audit(source, key))
-    quality.require(gates.where(F.col("gate") != "staging_nonempty"))  # nothing new is fine
+    quality.require(gates.where("gate <> 'staging_nonempty'"))  # nothing new is fine
     target = read_table(spark, target_path, schemas.ENRICHED)
     if target is None:
         writing.write_enriched(stamped(source, now), target_path)
         return
-    touched = (
-        target.join(source.select(key), key, "left_semi")
-        .select("process_date")
-        .unionAll(source.select("process_date"))
-        .distinct()
-    )
-    dates = [r[0] for r in touched.collect()]  # one value per touched partition
+    dates = touched_dates(target, source, key).collect()  # one row per touched partition
     if not dates:
         return
-    merged = replace_rows(target.where(F.col("process_date").isin(dates)), source, [key], now)
-    held = work_folder(spark, "merge")
-    writing.write_enriched(merged, held)
-    filled = set(writing.partition_values(spark, held))
-    writing.overwrite_partitions(spark.read.schema(schemas.ENRICHED).parquet(held), target_path)
-    writing.drop_partitions(target_path, "process_date", [d for d in dates if d not in filled])
+    affected = target.where(F.col("process_date").isin([r["process_date"] for r in dates]))
+    writing.write_enriched(replace_rows(affected, source, [key], now), target_path)
+    left_empty = [r["process_date"] for r in dates if r["kept"] + r["arriving"] == 0]
+    writing.drop_partitions(target_path, "process_date", left_empty)

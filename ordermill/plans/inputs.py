@@ -37,8 +37,10 @@ _GIVEN = {
     "labels": "doc_id bigint, quality int, toxic int",
 }
 
-# (application, folder, name) → path of a table written in this session
+# (application, folder, name) → path of a table written in this session, and its DataFrame,
+# kept because listing the files of a partitioned table takes a job of its own
 _written: dict[tuple[str, str, str], str] = {}
+_opened: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def as_of() -> Column:
@@ -81,61 +83,52 @@ class Inputs:
             _written[key] = path
         return _written[key]
 
+    def opened(self, name: str, path: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _opened:
+            _opened[key] = read_files(self.spark, [path], schemas.ENRICHED)
+        return _opened[key]
+
     # Sources
 
     def orders(self) -> DataFrame:
         """Orders with defects; every hundredth comes twice, the copy (seq 1) with other values."""
-        k = F.col("o_orderkey")
-        copies = F.when(k % 100 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        rows = self.given("orders").select("*", F.explode(copies).alias("seq"))
-        first = F.col("seq") == 0
-        price, user = F.col("o_totalprice"), F.col("o_custkey").cast("string")
-        day = k % 5
-        currency = (
-            F.when(day == 0, "USD").when(day == 1, "EUR").when(day == 2, "GBP").when(day == 3, "INR")
-        ).otherwise("JPY")
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "completed")
-            .when(F.col("o_orderstatus") == "O", "pending")
-            .otherwise("refunded")
-        )
-        return rows.select(
-            F.concat(F.lit("ORD-"), k.cast("string")).alias("order_id"),
-            F.when(first & (k % 200 == 7), None).otherwise(user).alias("user_id"),
-            F.when(~first, price + 1).when(k % 5000 == 42, -price).otherwise(price).alias("amount"),
-            F.when(first, currency).otherwise("USD").alias("currency"),
-            F.when(first, status).otherwise("completed").alias("status"),
-            F.col("o_orderdate").alias("created_at"),
-            F.trunc("o_orderdate", "month").alias("process_date"),
+        return self.given("orders").selectExpr(
+            "*", "explode(if(o_orderkey % 100 = 3, array(0, 1), array(0))) AS seq"
+        ).selectExpr(
+            "concat('ORD-', o_orderkey) AS order_id",
+            "if(seq = 0 AND o_orderkey % 200 = 7, NULL, cast(o_custkey AS string)) AS user_id",
+            "CASE WHEN seq = 1 THEN o_totalprice + 1 WHEN o_orderkey % 5000 = 42 THEN -o_totalprice "
+            "ELSE o_totalprice END AS amount",
+            "if(seq = 1, 'USD', elt(o_orderkey % 5 + 1, 'USD', 'EUR', 'GBP', 'INR', 'JPY')) AS currency",
+            "CASE WHEN seq = 1 OR o_orderstatus = 'F' THEN 'completed' "
+            "WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'refunded' END AS status",
+            "o_orderdate AS created_at",
+            "trunc(o_orderdate, 'month') AS process_date",
             "seq",
         )
 
     def events(self) -> DataFrame:
         """Events; every hundredth comes twice, the copy a minute later and with another user."""
-        k = F.col("event_id")
-        copies = F.when(k % 100 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        return (
-            self.given("events")
-            .select("event_id", "user_id", "event_type", "ts", F.explode(copies).alias("copy"))
-            .select(
-                F.concat(F.lit("EVT-"), k.cast("string")).alias("event_id"),
-                (F.col("user_id") + F.col("copy")).cast("string").alias("user_id"),
-                "event_type",
-                (F.col("ts") + F.make_dt_interval(mins=F.col("copy"))).alias("ts"),
-            )
+        return self.given("events").selectExpr(
+            "event_id", "user_id", "event_type", "ts",
+            "explode(if(event_id % 100 = 5, array(0, 1), array(0))) AS copy",
+        ).selectExpr(
+            "concat('EVT-', event_id) AS event_id",
+            "cast(user_id + copy AS string) AS user_id",
+            "event_type",
+            "ts + make_dt_interval(0, 0, copy) AS ts",
         )
 
     def segments(self) -> DataFrame:
         """The customers with a high balance."""
-        customers = self.given("customer").where(F.col("c_acctbal") >= 8000)
-        nation = self.given("nation")
-        return customers.join(
-            nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        ).select(
-            F.col("c_custkey").cast("string").alias("user_id"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("c_acctbal").alias("lifetime_value"),
-            F.col("n_name").alias("country"),
+        customers = self.given("customer").where("c_acctbal >= 8000")
+        nation = self.given("nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        return customers.join(nation, "c_nationkey", "left").selectExpr(
+            "cast(c_custkey AS string) AS user_id",
+            "c_mktsegment AS segment",
+            "c_acctbal AS lifetime_value",
+            "n_name AS country",
         )
 
     def enriched(self) -> DataFrame:
@@ -147,105 +140,85 @@ class Inputs:
         return self.stored("staging", lambda p: writing.write_enriched(self.enriched(), p))
 
     def staging(self) -> DataFrame:
-        return read_files(self.spark, [self.staging_path()], schemas.ENRICHED)
+        return self.opened("staging", self.staging_path())
 
     def production_path(self) -> str:
         return self.stored("production", lambda p: writing.write_enriched(self._production(), p))
 
     def _production(self) -> DataFrame:
         """Staging with one month lost, one without its pending orders and one doubled."""
-        month = F.col("process_date")
-        times = (
-            F.when(month == F.lit(LOST_MONTH).cast("date"), 0)
-            .when((month == F.lit(HALF_MONTH).cast("date")) & (F.col("status") == "pending"), 0)
-            .when(month == F.lit(DOUBLED_MONTH).cast("date"), 2)
-            .otherwise(1)
-        )
-        copies = F.array_repeat(F.lit(1), times)
-        return self.staging().select("*", F.explode(copies).alias("_copy")).drop("_copy")
+        copies = f"""CASE WHEN process_date = DATE '{LOST_MONTH}' THEN 0
+            WHEN process_date = DATE '{HALF_MONTH}' AND status = 'pending' THEN 0
+            WHEN process_date = DATE '{DOUBLED_MONTH}' THEN 2 ELSE 1 END"""
+        return self.staging().selectExpr("*", f"explode(array_repeat(1, {copies})) AS _copy").drop("_copy")
 
     def production(self) -> DataFrame:
-        return read_files(self.spark, [self.production_path()], schemas.ENRICHED)
+        return self.opened("production", self.production_path())
 
     def merge_source(self) -> DataFrame:
-        return self.staging().where(F.col("status") != "refunded")
+        return self.staging().where("status <> 'refunded'")
 
     def merge_target(self) -> DataFrame:
         """What an earlier load left: no pending orders, amounts one lower, an older stamp."""
         earlier = F.lit("2024-01-01 00:00:00").cast("timestamp")
         return (
             self.staging()
-            .where(F.col("status") != "pending")
-            .withColumn("amount", F.col("amount") - 1)
-            .withColumn("row_hash", row_hash())
-            .withColumns({"created_at": earlier, "updated_at": earlier})
+            .where("status <> 'pending'")
+            .withColumn("amount", F.expr("amount - 1"))
+            .withColumns({"row_hash": row_hash(), "created_at": earlier, "updated_at": earlier})
         )
 
     # Job history, storage, files
 
     def jobs(self) -> DataFrame:
-        u = F.col("user_id") % 3
-        table = lambda c: F.struct(c.alias("table_id"))
-        event, dim = table(F.col("event_type")), table(F.lit("dim"))
-        refs = (
-            F.when(u == 0, F.array().cast("array<struct<table_id:string>>"))
-            .when(u == 1, F.array(event))
-            .otherwise(F.array(event, dim))
-        )
-        return self.given("events").select(
-            F.col("event_id").cast("string").alias("job_id"),
-            F.concat(F.lit("SELECT "), F.col("event_type")).alias("query"),
-            F.col("ts").cast("timestamp").alias("creation_time"),
-            F.when(F.col("event_type") == "error", "LOAD").otherwise("QUERY").alias("job_type"),
-            F.when(F.col("user_id") % 10 == 9, "RUNNING").otherwise("DONE").alias("state"),
-            F.floor(F.col("value") * 1e9).cast("bigint").alias("total_bytes_billed"),
-            F.floor(F.col("value") * 1000).cast("bigint").alias("total_slot_ms"),
-            refs.alias("referenced_tables"),
+        return self.given("events").selectExpr(
+            "cast(event_id AS string) AS job_id",
+            "concat('SELECT ', event_type) AS query",
+            "cast(ts AS timestamp) AS creation_time",
+            "if(event_type = 'error', 'LOAD', 'QUERY') AS job_type",
+            "if(user_id % 10 = 9, 'RUNNING', 'DONE') AS state",
+            "cast(floor(value * 1e9D) AS bigint) AS total_bytes_billed",
+            "cast(floor(value * 1000) AS bigint) AS total_slot_ms",
+            """CASE user_id % 3 WHEN 0 THEN cast(array() AS array<struct<table_id:string>>)
+               WHEN 1 THEN array(named_struct('table_id', event_type))
+               ELSE array(named_struct('table_id', event_type), named_struct('table_id', 'dim'))
+               END AS referenced_tables""",
         )
 
     def table_storage(self) -> DataFrame:
-        return self.given("part").select(
-            F.col("p_brand").alias("table_schema"),
-            (F.col("p_size").cast("bigint") * 1_000_000_000).alias("total_logical_bytes"),
+        return self.given("part").selectExpr(
+            "p_brand AS table_schema", "p_size * 1000000000L AS total_logical_bytes"
         )
 
     def files(self) -> DataFrame:
-        """One landed file per document: name, size and the columns its head shows."""
-        k = F.col("doc_id")
-        lands_as = k % 4
-        source = (
-            F.when(lands_as == 0, "orders").when(lands_as == 1, "events")
-            .when(lands_as == 2, "user_segments").otherwise("other")
-        )
-        suffix = F.when(k % 7 == 0, ".csv").when(k % 11 == 0, ".json").otherwise(".parquet")
-        shows = k % 3
-        columns = (
-            F.when(shows == 0, F.split(F.lit("order_id,user_id,amount,currency,process_date"), ","))
-            .when(shows == 1, F.split(F.lit("user_id,segment,country,order_id"), ","))
-            .otherwise(F.split(F.lit("event_id,user_id,event_type,timestamp,process_date"), ","))
-        )
-        length = F.when(k % 50 == 0, 0).otherwise(F.col("n_chars")).cast("bigint")
-        return self.given("documents").select(
-            F.concat(
-                F.lit("source="), source, F.lit("/dt=2026-03-19/"), k.cast("string"), suffix
-            ).alias("file_name"),
-            length.alias("length"),
-            F.when(length > 0, columns).alias("columns"),
-            F.when(length > 0, F.col("n_chars")).alias("rows"),
-            F.when((length > 0) & suffix.endswith("parquet") & (k % 97 == 0), "Corrupt Parquet: no footer")
-            .alias("error"),
+        """One landed file per document: name, size and what its head shows."""
+        return self.given("documents").selectExpr(
+            "doc_id", "n_chars",
+            "elt(doc_id % 4 + 1, 'orders', 'events', 'user_segments', 'other') AS lands_as",
+            "CASE WHEN doc_id % 7 = 0 THEN '.csv' WHEN doc_id % 11 = 0 THEN '.json' "
+            "ELSE '.parquet' END AS suffix",
+            "elt(doc_id % 3 + 1, 'order_id,user_id,amount,currency,process_date', "
+            "'user_id,segment,country,order_id', "
+            "'event_id,user_id,event_type,timestamp,process_date') AS head",
+            "doc_id % 50 = 0 AS is_empty",
+        ).selectExpr(
+            "concat('source=', lands_as, '/dt=2026-03-19/', doc_id, suffix) AS file_name",
+            "if(is_empty, 0L, n_chars) AS length",
+            "if(is_empty, NULL, split(head, ',')) AS columns",
+            "if(is_empty, NULL, n_chars) AS rows",
+            "if(NOT is_empty AND suffix = '.parquet' AND doc_id % 97 = 0, "
+            "'Corrupt Parquet: no footer', NULL) AS error",
         )
 
     def ledger(self) -> DataFrame:
         """Files handled before: those of the labelled documents."""
-        labels = self.given("labels").select("doc_id", "quality")
-        named = self.files().withColumn(
-            "doc_id", F.regexp_extract("file_name", r"/(\d+)\.[a-z]+$", 1).cast("bigint")
+        named = self.files().selectExpr(
+            "file_name", r"cast(regexp_extract(file_name, '/(\\d+)\\.[a-z]+$', 1) AS bigint) AS doc_id"
         )
-        return named.join(labels, "doc_id").select(
+        return named.join(self.given("labels"), "doc_id").selectExpr(
             "file_name",
-            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("processed_at"),
-            F.when(F.col("quality") == 1, "validated").otherwise("quarantined:empty").alias("status"),
+            "TIMESTAMP '2024-01-01 00:00:00' AS processed_at",
+            "if(quality = 1, 'validated', 'quarantined:empty') AS status",
         )
 
     def landing_path(self) -> str:
