@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.columns import partition_day, source_name
 from ordermill.operators.cleaning import one_per_key
 from ordermill.schemas import LEDGER, required_columns
-from ordermill.sources.listing import inspect_files, list_files, open_filesystem
+from ordermill.sources.listing import inspect_files, list_files, open_filesystem, task_count
 from ordermill.sources.tables import read_table
 
 # File states and messages.
@@ -194,9 +194,13 @@ _MOVED = "file_name string, zone string, length bigint"
 
 
 def move_files(
-    routed: DataFrame, raw: str, zones: dict[str, str], keep_raw: bool = False
+    routed: DataFrame,
+    raw: str,
+    zones: dict[str, str],
+    keep_raw: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Moves each routed file to the root of its zone, in the tasks that hold its row.
+    """Moves each routed file to the root of its zone, spread over ``tasks`` tasks.
 
     A copy that is already complete is not made again and a source already gone is no error,
     so a task may run twice. ``keep_raw`` leaves the landed file in place.
@@ -225,6 +229,7 @@ def move_files(
     return (
         routed.where(F.col("zone").isNotNull())
         .select("file_name", "zone", "length")
+        .repartition(task_count(routed.sparkSession, tasks), "file_name")
         .mapInPandas(run, _MOVED)
     )
 

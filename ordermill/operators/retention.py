@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.settings import Retention
-from ordermill.sources.listing import open_filesystem
+from ordermill.sources.listing import open_filesystem, task_count
 
 
 def keep_days(zone: Column, rules: Retention = Retention()) -> Column:
@@ -40,4 +40,6 @@ def drop_folders(expired: DataFrame, roots: dict[str, str]) -> DataFrame:
                     filesystem.delete_dir(path)
             yield batch
 
-    return expired.select("zone", "folder").distinct().mapInPandas(run, "zone string, folder string")
+    folders = expired.select("zone", "folder").distinct()
+    spread = folders.repartition(task_count(expired.sparkSession), "folder")
+    return spread.mapInPandas(run, "zone string, folder string")

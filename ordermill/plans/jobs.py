@@ -21,7 +21,7 @@ from ordermill.operators import (
     retention,
     writing,
 )
-from ordermill.session import work_folder
+from ordermill.session import size_shuffles, work_folder
 from ordermill.settings import Locations, Settings
 from ordermill.sources import listing, synthetic, tables
 
@@ -106,11 +106,17 @@ def enrich(
     The day is written once and audited as written. A failed gate stops the run before
     anything downstream reads the day.
     """
+    landed = [tables.landed_folder(at.validated, source, day) for source in ("orders", "events")]
+    size_shuffles(spark, sum(folder_bytes(spark, folder) for folder in landed))
     rows = enrichment.enrich(*tables.read_inputs(spark, at.validated, day), day, event_types=event_types)
     writing.write_enriched(rows, at.processed, clustered)
     gate_processed(spark, at, day, settings)
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    return listing.list_files(spark, folder).agg(F.sum("length")).first()[0] or 0
+
+
 def gate_processed(
     spark: SparkSession, at: Locations, day: str, settings: Settings = Settings()
 ) -> None:

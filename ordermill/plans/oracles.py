@@ -318,6 +318,16 @@ _SQL = {
                            CASE WHEN {_bits('event repeats', 'event_id')} % 10000 >= 100
                                   OR event_id % 100000 = 0 THEN event_id END AS fresh_row
                     FROM events) f) r""",
+    "synth_segments": f"""
+        SELECT {_member('n')} AS user_id,
+               {_choice('segment', ['premium', 'standard', 'budget', 'new', 'churned'])} AS segment,
+               ({_bits('lifetime value')} % 999001 + 1000) / 100.0 AS lifetime_value,
+               CAST(DATE '2026-03-19' - CAST({_bits('signup')} % 731 AS INTEGER) AS VARCHAR) AS signup_date,
+               {_choice('country', ['US', 'DE', 'GB', 'IN', 'JP', 'FR', 'BR', 'CA', 'AU', 'ZA'])} AS country
+        FROM (SELECT c_custkey AS n, (SELECT count(*) FROM customer) AS size FROM customer) c
+        WHERE (n * (SELECT min(s) FROM (SELECT unnest(range(CAST(round(t * 0.6180339887) AS BIGINT), 2 * t)) AS s,
+                                               t FROM (SELECT count(*) AS t FROM customer) p) q
+                    WHERE gcd(s, t) = 1) + 42) % size < size // 10""",
     # Landing
     "file_inventory": "SELECT DISTINCT source, dt, format, true AS has_bytes FROM landed_days",
     "pending_transfer": """

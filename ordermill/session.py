@@ -40,6 +40,22 @@ def build_session(settings: Settings | None = None, master: str | None = None) -
     return b.getOrCreate()
 
 
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20, growth: float = 3.0
+) -> int:
+    """Raises the number of shuffle partitions to what the input needs; returns it.
+
+    AQE merges partitions that turn out small and cannot split those of a plain shuffle, so
+    the number must come from the data. ``growth`` is rows in a shuffle against rows in
+    compressed files. The number is never lowered.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = max(now, int(input_bytes * growth / partition_bytes) + 1)
+    if needed > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return needed
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, below the one the cluster names.
 

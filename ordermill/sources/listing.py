@@ -64,7 +64,9 @@ def _lister(root: str, recursive: bool):
     return run
 
 
-def _tasks(spark: SparkSession, tasks: int | None) -> int:
+def task_count(spark: SparkSession, tasks: int | None = None) -> int:
+    """Tasks to spread file work over. File rows are few and small while the work behind each
+    is not, so their number, unlike the rows' bytes, says nothing about it."""
     return tasks or spark.sparkContext.defaultParallelism
 
 
@@ -74,7 +76,7 @@ def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
     The two upper folder levels (source, day) are listed first; their children are then
     spread over ``tasks`` tasks, each of which walks its folders to the end.
     """
-    n = _tasks(spark, tasks)
+    n = task_count(spark, tasks)
     _, base = open_filesystem(root)
     level = spark.range(1, numPartitions=1).select(
         F.lit(base).alias("path"),
@@ -157,7 +159,7 @@ def inspect_files(
                     error=pd.Series([h[2] for h in heads], dtype="object"),
                 )
 
-    n = _tasks(files.sparkSession, tasks)
+    n = task_count(files.sparkSession, tasks)
     return (
         files.select("file_name", "length", "known")
         .repartition(n, "file_name")

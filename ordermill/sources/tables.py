@@ -20,11 +20,12 @@ class PartitionFilterRequired(ValueError):
 def read_landed(
     spark: SparkSession, root: str, source: str, day: str | dt.date, file_format: str = "parquet"
 ) -> DataFrame:
-    """One day of a landed source. The day is a filter, so Spark prunes the other partitions.
+    """One day of a landed source. Only that day's folder is listed and read.
 
     A day may hold the same table as Parquet and as CSV; only files of the asked format are read.
     """
     base = root.rstrip("/")
+    folder = landed_folder(root, source, day)
     reader = (
         spark.read.schema(schemas.LANDED[source])
         .option("basePath", f"{base}/source={source}")
@@ -32,8 +33,11 @@ def read_landed(
     )
     if file_format == "csv":
         reader = reader.option("header", True)
-    df = reader.format(file_format).load(f"{base}/source={source}")
-    return df.where(F.col("dt") == F.lit(str(day)).cast("date")).drop("dt")
+    return reader.format(file_format).load(folder).drop("dt")
+
+
+def landed_folder(root: str, source: str, day: str | dt.date) -> str:
+    return f"{root.rstrip('/')}/source={source}/dt={day}"
 
 
 def read_latest(spark: SparkSession, root: str, source: str = "user_segments") -> DataFrame:
