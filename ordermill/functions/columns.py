@@ -20,6 +20,14 @@ def money(amount: Column) -> Column:
     return amount.cast("decimal(18,2)")
 
 
+def mean_amount(amount: Column) -> Column:
+    """Mean over exact amounts; NaN when an amount is not a finite number."""
+    exact = amount.try_cast("decimal(18,2)")
+    odd = amount.isNotNull() & exact.isNull()
+    mean = F.try_divide(F.sum(exact).cast("double"), F.count(exact))
+    return F.when(F.max(odd), F.lit(float("nan"))).otherwise(mean)
+
+
 def text_hash(*parts: Column) -> Column:
     """SHA-256 hex over the parts joined by the separator; NULL parts are skipped."""
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *parts), 256)

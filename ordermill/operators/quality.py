@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.columns import whole_units_between
+from ordermill.functions.columns import mean_amount, whole_units_between
 from ordermill.settings import Thresholds
 
 
@@ -126,7 +126,7 @@ def production_checks(as_of: Column | None = None, limits: Thresholds = Threshol
         ),
         Check(
             "Amount Range Sanity (avg $1-$1000)",
-            F.avg(amount),
+            mean_amount(amount),
             lambda v: v.between(limits.min_mean_amount, limits.max_mean_amount),
         ),
         Check(

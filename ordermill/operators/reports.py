@@ -10,6 +10,7 @@ from ordermill.functions.columns import (
     BYTES_PER_GIB,
     BYTES_PER_TIB,
     is_positive,
+    mean_amount,
     money,
     whole_units_between,
 )
@@ -39,7 +40,7 @@ def staging_stats(staging: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("staging_rows"),
         F.count_distinct("order_id").alias("unique_staging_orders"),
         F.sum(amount).cast("decimal(28,2)").alias("total_staging_revenue"),
-        F.try_divide(F.sum(amount).cast("double"), F.count(amount)).alias("avg_staging_amount"),
+        mean_amount(F.col("amount")).alias("avg_staging_amount"),
         F.count_if(F.col("order_id").isNull()).alias("null_order_ids"),
     )
 

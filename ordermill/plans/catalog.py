@@ -284,8 +284,7 @@ def validation_summary(i: Inputs) -> DataFrame:
 
 @query
 def quarantine_rate(i: Inputs) -> DataFrame:
-    rates = landing.quarantine_rate(landing.judge(i.files()))
-    return rates.withColumn("rate", F.round("rate", 6))
+    return landing.quarantine_rate(landing.judge(i.files()))
 
 
 @query
@@ -515,12 +514,8 @@ def global_counts(i: Inputs) -> DataFrame:
 @query
 def staging_stats(i: Inputs) -> DataFrame:
     stats = reports.staging_stats(_staging_with_copies(i))
-    return stats.withColumns(
-        {
-            "total_staging_revenue": F.col("total_staging_revenue").cast("decimal(18,2)"),
-            "avg_staging_amount": F.round("avg_staging_amount", 4),
-        }
-    )
+    total = F.col("total_staging_revenue").cast("decimal(18,2)")
+    return stats.withColumn("total_staging_revenue", total)
 
 
 @query
@@ -534,12 +529,7 @@ def production_stats(i: Inputs) -> DataFrame:
 def pipeline_metrics(i: Inputs) -> DataFrame:
     metrics = reports.pipeline_metrics(_staging_with_copies(i), i.production(), as_of())
     money = ("total_staging_revenue", "total_production_revenue", "revenue_variance")
-    return metrics.withColumns(
-        {
-            **{c: F.col(c).cast("decimal(18,2)") for c in money},
-            "price_point_telemetry": F.round("price_point_telemetry", 4),
-        }
-    )
+    return metrics.withColumns({c: F.col(c).cast("decimal(18,2)") for c in money})
 
 
 @query
@@ -679,8 +669,7 @@ def gate_row_explosion(i: Inputs) -> DataFrame:
     """Every user's segment comes twice, so the join doubles those orders and the gate fails."""
     doubled = i.segments().unionAll(i.segments())
     rows = enrichment.join_segments(cleaning.dedup_orders(i.orders()), doubled)
-    gates = quality.row_explosion_gate(quality.key_audit(rows), Thresholds(max_row_growth=1.05))
-    return gates.withColumn("value", F.round("value", 6))
+    return quality.row_explosion_gate(quality.key_audit(rows), Thresholds(max_row_growth=1.05))
 
 
 @query
@@ -703,14 +692,12 @@ def gate_message(i: Inputs) -> DataFrame:
 
 
 def _checks(i: Inputs, by: tuple[str, ...] = ("process_date",)) -> DataFrame:
-    results = quality.run_checks(i.production(), quality.production_checks(as_of()), by)
-    return results.withColumn("value", F.round("value", 4))
+    return quality.run_checks(i.production(), quality.production_checks(as_of()), by)
 
 
 def _one_check(i: Inputs, position: int) -> DataFrame:
     check = quality.production_checks(as_of())[position]
-    results = quality.run_checks(i.production(), [check], ["process_date"])
-    return results.withColumn("value", F.round("value", 4))
+    return quality.run_checks(i.production(), [check], ["process_date"])
 
 
 @query
@@ -760,8 +747,7 @@ def dq_suite_total(i: Inputs) -> DataFrame:
 
 @query
 def dq_score(i: Inputs) -> DataFrame:
-    score = quality.quality_score(_checks(i), ["process_date"])
-    return score.withColumn("score", F.round("score", 6))
+    return quality.quality_score(_checks(i), ["process_date"])
 
 
 @query

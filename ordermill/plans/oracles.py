@@ -195,11 +195,11 @@ _PARTS = {
                count(*) FILTER (amount < 0) AS v3,
                1.0 - count(DISTINCT order_id) / count(*) AS v4,
                count(user_segment) / count(*) AS v5,
-               avg(amount) AS v6,
+               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount) AS v6,
                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00') AS v7
         FROM prod GROUP BY process_date""",
     "check_rows": """
-        SELECT process_date, n, "check", CAST(round(value, 4) AS DOUBLE) AS value, passed,
+        SELECT process_date, n, "check", CAST(value AS DOUBLE) AS value, passed,
                CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status
         FROM (SELECT process_date, 1 AS n, 'Row Count > 0' AS "check", CAST(v1 AS DOUBLE) AS value,
                      v1 > 0 AS passed FROM checks
@@ -369,7 +369,7 @@ _SQL = {
         FROM judged GROUP BY ALL""",
     "quarantine_rate": """
         SELECT source, count(*) AS files, count(*) FILTER (NOT is_valid) AS quarantined,
-               round(count(*) FILTER (NOT is_valid) / count(*), 6) AS rate,
+               count(*) FILTER (NOT is_valid) / count(*) AS rate,
                count(*) FILTER (NOT is_valid) / count(*) > 0.01 AS alert
         FROM judged GROUP BY source""",
     "quarantine_rows": """
@@ -459,7 +459,7 @@ _SQL = {
     "staging_stats": """
         SELECT process_date, staging_rows, unique_staging_orders,
                CAST(total_staging_revenue AS DECIMAL(18,2)) AS total_staging_revenue,
-               round(avg_staging_amount, 4) AS avg_staging_amount, null_order_ids
+               avg_staging_amount, null_order_ids
         FROM staged_days""",
     "production_stats": """
         SELECT process_date, production_rows,
@@ -470,7 +470,7 @@ _SQL = {
                CAST(total_staging_revenue AS DECIMAL(18,2)) AS total_staging_revenue,
                CAST(total_production_revenue AS DECIMAL(18,2)) AS total_production_revenue,
                CAST(total_staging_revenue - total_production_revenue AS DECIMAL(18,2)) AS revenue_variance,
-               round(avg_staging_amount, 4) AS price_point_telemetry,
+               avg_staging_amount AS price_point_telemetry,
                null_order_ids AS primary_key_violations, last_updated_at,
                date_sub('minute', last_updated_at, TIMESTAMP '2024-01-31 00:00:00')
                    AS minutes_since_last_run
@@ -553,7 +553,7 @@ _SQL = {
                CASE WHEN count(*) < 1 THEN 'QUALITY CHECK FAILED: Output is empty!' END AS message
         FROM enriched""",
     "gate_row_explosion": """
-        SELECT 'row_explosion' AS gate, round(after / before, 6) AS value, after <= before * 1.05 AS passed,
+        SELECT 'row_explosion' AS gate, after / before AS value, after <= before * 1.05 AS passed,
                CASE WHEN after > before * 1.05
                     THEN concat('QUALITY CHECK FAILED: Row explosion detected! Input=', before,
                                 ', Output=', after) END AS message
@@ -586,7 +586,7 @@ _SQL = {
     },
     "dq_suite": """SELECT process_date, "check", value, passed, status FROM check_rows""",
     "dq_suite_total": """
-        SELECT "check", round(value, 4) AS value, passed,
+        SELECT "check", value, passed,
                CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status
         FROM (SELECT 'Row Count > 0' AS "check", CAST(count(*) AS DOUBLE) AS value,
                      count(*) > 0 AS passed FROM prod
@@ -597,15 +597,17 @@ _SQL = {
                                1.0 - count(DISTINCT order_id) / count(*) < 0.01 FROM prod
               UNION ALL SELECT 'User Segment Coverage > 5%', count(user_segment) / count(*),
                                count(user_segment) / count(*) > 0.05 FROM prod
-              UNION ALL SELECT 'Amount Range Sanity (avg $1-$1000)', avg(amount),
-                               avg(amount) BETWEEN 1 AND 1000 FROM prod
+              UNION ALL SELECT 'Amount Range Sanity (avg $1-$1000)', 
+                               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount),
+                               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount)
+                                   BETWEEN 1 AND 1000 FROM prod
               UNION ALL SELECT 'Freshness < 24 Hours',
                                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00'),
                                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00') < 24
                         FROM prod) c""",
     "dq_score": """
         SELECT process_date, count(*) FILTER (passed) AS passed, count(*) AS checks,
-               round(count(*) FILTER (passed) / count(*), 6) AS score,
+               count(*) FILTER (passed) / count(*) AS score,
                count(*) FILTER (passed) / count(*) < 0.98 AS alert
         FROM check_rows GROUP BY process_date""",
     "test_unique": """
