@@ -54,14 +54,12 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ())
     return df.selectExpr("*", ranks).where("_rank = 1").drop("_rank")
 
 
-def dedup_orders(orders: DataFrame, newest: Sequence[str] = ("created_at", "seq")) -> DataFrame:
+def dedup_orders(orders: DataFrame, newest: Sequence[str] = ("created_at",)) -> DataFrame:
     """The latest valid row of each order."""
     return one_per_key(valid_orders(orders), ["order_id"], newest)
 
 
-def dedup_events(
-    events: DataFrame, newest: Sequence[str] = ("timestamp", "ts", "user_id")
-) -> DataFrame:
+def dedup_events(events: DataFrame, newest: Sequence[str] = ("timestamp", "ts")) -> DataFrame:
     """The latest row of each event."""
     return one_per_key(events, ["event_id"], newest)
 

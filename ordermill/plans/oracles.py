@@ -222,30 +222,31 @@ _PARTS = {
         SELECT 'nations', NULL, 'parquet', count(*) FROM nation""",
 }
 
-# Synthetic values: 52 uniform bits from the MD5 of (seed, column, row).
-def _bits(label: str, row: str = "n") -> str:
-    digest = f"md5(concat_ws(':', '42', '{label}', CAST({row} AS VARCHAR)))"
-    return f"CAST(concat('0x', substr({digest}, 1, 13)) AS BIGINT)"
+# Synthetic values are cut from the hex digits of the MD5 of (seed, label, row).
+def _code(label: str, start: int, length: int, row: str = "n") -> str:
+    return f"substr(md5(concat_ws(':', '42', '{label}', CAST({row} AS VARCHAR))), {start}, {length})"
 
 
-def _choice(label: str, values: list[str]) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"list_extract([{listed}], {_bits(label)} % {len(values)} + 1)"
+def _draw(label: str, size: int, start: int, length: int = 8) -> str:
+    return f"(CAST(concat('0x', {_code(label, start, length)}) AS BIGINT) % {size})"
 
 
-def _code(label: str, digits: int, row: str = "n") -> str:
-    return f"substr(md5(concat_ws(':', '42', '{label}', CAST({row} AS VARCHAR))), 1, {digits})"
+def _choice(label: str, values: list[str], start: int) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"list_extract([{listed}], {_draw(label, len(values), start, 4)} + 1)"
 
 
 def _member(number: str) -> str:
     return f"concat('user_', lpad(CAST({number} AS VARCHAR), 6, '0'))"
 
 
-def _time(label: str) -> str:
-    seconds = f"TIMESTAMP '2026-03-19 00:00:00' - to_seconds(1 + {_bits(label)} % 604800)"
+def _time(label: str, start: int) -> str:
+    seconds = f"TIMESTAMP '2026-03-19 00:00:00' - to_seconds(1 + {_draw(label, 604800, start)})"
     return f"strftime({seconds}, '%Y-%m-%dT%H:%M:%S')"
 
 
+_PAGES = ["home", "search", "category", "product", "cart", "checkout", "account", "help"]
+
 _ENRICHED = (
     "order_id, user_id, amount, currency, status, event_count, event_types, user_segment, "
     "lifetime_value, country, process_date, row_hash"
@@ -290,40 +291,38 @@ _SQL = {
              (VALUES ('raw', 90), ('quarantine', 14), ('staging', 7)) z(zone, days)
         WHERE dt < DATE '2024-02-06' - to_days(days)""",
     "synth_orders": f"""
-        SELECT concat('ORD-', upper({_code('order id', 12)})) AS order_id,
-               CASE WHEN {_bits('order no user')} % 10000 >= 50
-                    THEN {_member(_bits('order user') + ' % 10000')} END AS user_id,
-               CASE WHEN n IN (42, 9999) THEN -(({_bits('order amount')} % 9901 + 100) / 100.0)
-                    ELSE ({_bits('order amount')} % 49901 + 100) / 100.0 END AS amount,
-               {_choice('order currency', ['USD', 'EUR', 'GBP', 'INR', 'JPY'])} AS currency,
-               {_choice('order status', ['completed', 'pending', 'refunded'])} AS status,
-               {_time('order time')} AS created_at,
+        SELECT concat('ORD-', upper({_code('order', 1, 12)})) AS order_id,
+               CASE WHEN {_draw('order more', 10000, 1)} >= 50
+                    THEN {_member(_draw('order', 10000, 13))} END AS user_id,
+               CASE WHEN n IN (42, 9999) THEN -(({_draw('order', 9901, 21)} + 100) / 100.0)
+                    ELSE ({_draw('order', 49901, 21)} + 100) / 100.0 END AS amount,
+               {_choice('order more', ['USD', 'EUR', 'GBP', 'INR', 'JPY'], 17)} AS currency,
+               {_choice('order more', ['completed', 'pending', 'refunded'], 21)} AS status,
+               {_time('order more', 9)} AS created_at,
                '2026-03-19' AS process_date
         FROM (SELECT o_orderkey AS n FROM orders) r""",
     "synth_events": f"""
-        SELECT concat('EVT-', upper({_code('event id', 12, 'id_row')})) AS event_id,
-               {_member(_bits('event user') + ' % 10000')} AS user_id,
-               {_choice('event type', ['purchase', 'cart_add', 'page_view', 'wishlist', 'search'])}
+        SELECT concat('EVT-', upper({_code('event id', 1, 12, 'id_row')})) AS event_id,
+               {_member(_draw('event', 10000, 1))} AS user_id,
+               {_choice('event', ['purchase', 'cart_add', 'page_view', 'wishlist', 'search'], 9)}
                    AS event_type,
-               concat_ws('/', {_choice('event path', ['home', 'search', 'category', 'product', 'cart',
-                                                      'checkout', 'account', 'help'])},
-                         {_choice('event page', ['home', 'search', 'category', 'product', 'cart',
-                                                 'checkout', 'account', 'help'])}) AS page_url,
-               concat('SES-', {_code('event session', 8)}) AS session_id,
-               {_time('event time')} AS timestamp,
+               concat_ws('/', {_choice('event', _PAGES, 13)}, {_choice('event', _PAGES, 15)}) AS page_url,
+               concat('SES-', {_code('event id', 13, 8)}) AS session_id,
+               {_time('event', 17)} AS timestamp,
                '2026-03-19' AS process_date
         FROM (SELECT n, coalesce(last_value(fresh_row IGNORE NULLS) OVER (PARTITION BY n // 100000
                   ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n) AS id_row
-              FROM (SELECT event_id AS n,
-                           CASE WHEN {_bits('event repeats', 'event_id')} % 10000 >= 100
-                                  OR event_id % 100000 = 0 THEN event_id END AS fresh_row
-                    FROM events) f) r""",
+              FROM (SELECT n, CASE WHEN {_draw('event', 10000, 25)} >= 100 OR n % 100000 = 0
+                                   THEN n END AS fresh_row
+                    FROM (SELECT event_id AS n FROM events) e) f) r""",
     "synth_segments": f"""
         SELECT {_member('n')} AS user_id,
-               {_choice('segment', ['premium', 'standard', 'budget', 'new', 'churned'])} AS segment,
-               ({_bits('lifetime value')} % 999001 + 1000) / 100.0 AS lifetime_value,
-               CAST(DATE '2026-03-19' - CAST({_bits('signup')} % 731 AS INTEGER) AS VARCHAR) AS signup_date,
-               {_choice('country', ['US', 'DE', 'GB', 'IN', 'JP', 'FR', 'BR', 'CA', 'AU', 'ZA'])} AS country
+               {_choice('segment', ['premium', 'standard', 'budget', 'new', 'churned'], 17)} AS segment,
+               ({_draw('segment', 999001, 1)} + 1000) / 100.0 AS lifetime_value,
+               CAST(DATE '2026-03-19' - CAST({_draw('segment', 731, 9)} AS INTEGER) AS VARCHAR)
+                   AS signup_date,
+               {_choice('segment', ['US', 'DE', 'GB', 'IN', 'JP', 'FR', 'BR', 'CA', 'AU', 'ZA'], 21)}
+                   AS country
         FROM (SELECT c_custkey AS n, (SELECT count(*) FROM customer) AS size FROM customer) c
         WHERE (n * (SELECT min(s) FROM (SELECT unnest(range(CAST(round(t * 0.6180339887) AS BIGINT), 2 * t)) AS s,
                                                t FROM (SELECT count(*) AS t FROM customer) p) q

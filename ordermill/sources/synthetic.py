@@ -1,6 +1,6 @@
 """Synthetic orders, events and segments with planted defects.
 
-Every value is a function of (seed, column, row number), so rows are the same under any
+Every value is a function of (seed, row number), so rows are the same under any
 partitioning and on any engine with MD5, and no task depends on another.
 """
 
@@ -43,60 +43,57 @@ def _digest(plan: SynthPlan, label: str, row: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(plan.seed)), F.lit(label), row.cast("string")))
 
 
-def _whole(plan: SynthPlan, label: str, row: Column) -> Column:
-    """Uniform integer in [0, 2**52)."""
-    digits = F.substring(_digest(plan, label, row), 1, 13)
-    return F.conv(digits, 16, 10).cast("bigint")
+class _Draws:
+    """Random values of a row, cut from the 32 hex digits of one digest. Spark computes the
+    digest once for all columns that use it; each use names the digits it takes."""
 
+    def __init__(self, plan: SynthPlan, label: str, row: Column):
+        self._digits = _digest(plan, label, row)
 
-def _below(plan: SynthPlan, label: str, row: Column, n: int) -> Column:
-    return _whole(plan, label, row) % n
+    def code(self, start: int, length: int) -> Column:
+        return F.substring(self._digits, start, length)
 
+    def below(self, n: int, start: int, length: int = 8) -> Column:
+        """Integer in [0, n)."""
+        return F.conv(self.code(start, length), 16, 10).cast("bigint") % n
 
-def _chance(plan: SynthPlan, label: str, row: Column, rate: float) -> Column:
-    return _below(plan, label, row, 10_000) < round(rate * 10_000)
+    def chance(self, rate: float, start: int) -> Column:
+        return self.below(10_000, start) < round(rate * 10_000)
 
+    def pick(self, values: Sequence[str], start: int, length: int = 4) -> Column:
+        options = F.array(*[F.lit(v) for v in values])
+        return F.element_at(options, (self.below(len(values), start, length) + 1).cast("int"))
 
-def _pick(plan: SynthPlan, label: str, row: Column, values: Sequence[str]) -> Column:
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (_below(plan, label, row, len(values)) + 1).cast("int"))
-
-
-def _cents(plan: SynthPlan, label: str, row: Column, low: int, high: int) -> Column:
-    """Amount with two digits between ``low`` and ``high`` cents."""
-    return (_below(plan, label, row, high - low + 1) + low) / 100.0
-
-
-def _code(plan: SynthPlan, label: str, row: Column, prefix: str, digits: int, upper: bool) -> Column:
-    text = F.substring(_digest(plan, label, row), 1, digits)
-    return F.concat(F.lit(prefix), F.upper(text) if upper else text)
+    def cents(self, low: int, high: int, start: int) -> Column:
+        """Amount with two digits between ``low`` and ``high`` cents."""
+        return (self.below(high - low + 1, start) + low) / 100.0
 
 
 def _user(number: Column) -> Column:
     return F.concat(F.lit("user_"), F.lpad(number.cast("string"), 6, "0"))
 
 
-def _moment(plan: SynthPlan, label: str, row: Column) -> Column:
-    """ISO time within the seven days before the run date."""
+def _moment(plan: SynthPlan, seconds_back: Column) -> Column:
+    """ISO time that many seconds, and one, before the run date."""
     start = F.unix_seconds(F.lit(f"{plan.run_date} 00:00:00").cast("timestamp"))
-    at = F.timestamp_seconds(start - 1 - _below(plan, label, row, _WEEK_SECONDS))
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.date_format(F.timestamp_seconds(start - 1 - seconds_back), "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def synth_orders(rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row") -> DataFrame:
     """One order per row number: 0.5 % without a user, two with a negative amount."""
     n = F.col(row)
-    user = _user(_below(plan, "order user", n, plan.users))
-    amount = F.when(
-        n.isin(NEGATIVE_AMOUNT_ROWS), -_cents(plan, "order amount", n, 100, 10_000)
-    ).otherwise(_cents(plan, "order amount", n, 100, 50_000))
+    first, second = _Draws(plan, "order", n), _Draws(plan, "order more", n)
+    amount = F.when(n.isin(NEGATIVE_AMOUNT_ROWS), -first.cents(100, 10_000, 21)).otherwise(
+        first.cents(100, 50_000, 21)
+    )
+    known = ~second.chance(NULL_USER_RATE, 1)
     return rows.select(
-        _code(plan, "order id", n, "ORD-", 12, True).alias("order_id"),
-        F.when(~_chance(plan, "order no user", n, NULL_USER_RATE), user).alias("user_id"),
+        F.concat(F.lit("ORD-"), F.upper(first.code(1, 12))).alias("order_id"),
+        F.when(known, _user(first.below(plan.users, 13))).alias("user_id"),
         amount.alias("amount"),
-        _pick(plan, "order currency", n, CURRENCIES).alias("currency"),
-        _pick(plan, "order status", n, STATUSES).alias("status"),
-        _moment(plan, "order time", n).alias("created_at"),
+        second.pick(CURRENCIES, 17).alias("currency"),
+        second.pick(STATUSES, 21).alias("status"),
+        _moment(plan, second.below(_WEEK_SECONDS, 9)).alias("created_at"),
         F.lit(plan.run_date).alias("process_date"),
     )
 
@@ -109,22 +106,23 @@ def synth_events(rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row
     bounds how far a repeat looks back and lets every block be made on its own.
     """
     n = F.col(row)
-    fresh = ~_chance(plan, "event repeats", n, REPEATED_EVENT_RATE) | (n % EVENT_BLOCK == 0)
+    draws = _Draws(plan, "event", n)
+    fresh = ~draws.chance(REPEATED_EVENT_RATE, 25) | (n % EVENT_BLOCK == 0)
     block = Window.partitionBy(F.floor(n / EVENT_BLOCK)).orderBy(n)
     id_row = F.last(F.when(fresh, n), ignorenulls=True).over(
         block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     numbered = rows.select(n.alias("_n"), id_row.alias("_id"))
-    n, source = F.col("_n"), F.coalesce("_id", "_n")
+    n = F.col("_n")
+    draws = _Draws(plan, "event", n)
+    event_id = _Draws(plan, "event id", F.coalesce("_id", "_n")).code(1, 12)
     return numbered.select(
-        _code(plan, "event id", source, "EVT-", 12, True).alias("event_id"),
-        _user(_below(plan, "event user", n, plan.users)).alias("user_id"),
-        _pick(plan, "event type", n, EVENT_TYPES).alias("event_type"),
-        F.concat_ws(
-            "/", _pick(plan, "event path", n, PATHS), _pick(plan, "event page", n, PATHS)
-        ).alias("page_url"),
-        _code(plan, "event session", n, "SES-", 8, False).alias("session_id"),
-        _moment(plan, "event time", n).alias("timestamp"),
+        F.concat(F.lit("EVT-"), F.upper(event_id)).alias("event_id"),
+        _user(draws.below(plan.users, 1)).alias("user_id"),
+        draws.pick(EVENT_TYPES, 9).alias("event_type"),
+        F.concat_ws("/", draws.pick(PATHS, 13), draws.pick(PATHS, 15)).alias("page_url"),
+        F.concat(F.lit("SES-"), _Draws(plan, "event id", n).code(13, 8)).alias("session_id"),
+        _moment(plan, draws.below(_WEEK_SECONDS, 17)).alias("timestamp"),
         F.lit(plan.run_date).alias("process_date"),
     )
 
@@ -152,13 +150,14 @@ def synth_segments(
     """
     n = F.col(number)
     place = (n * _stride(population) + plan.seed) % population
-    signup = F.date_sub(F.lit(plan.run_date).cast("date"), _below(plan, "signup", n, 731).cast("int"))
+    draws = _Draws(plan, "segment", n)
+    signup = F.date_sub(F.lit(plan.run_date).cast("date"), draws.below(731, 9).cast("int"))
     return users.where(place < sample).select(
         _user(n).alias("user_id"),
-        _pick(plan, "segment", n, SEGMENT_NAMES).alias("segment"),
-        _cents(plan, "lifetime value", n, 1_000, 1_000_000).alias("lifetime_value"),
+        draws.pick(SEGMENT_NAMES, 17).alias("segment"),
+        draws.cents(1_000, 1_000_000, 1).alias("lifetime_value"),
         signup.cast("string").alias("signup_date"),
-        _pick(plan, "country", n, COUNTRIES).alias("country"),
+        draws.pick(COUNTRIES, 21).alias("country"),
     )
 
 
