@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--date", help="run date, YYYY-MM-DD")
     parser.add_argument("--to", help="last date of a report; the run date if left out")
     parser.add_argument("--origin", help="where transfer copies from")
-    parser.add_argument("--event-types", choices=["list", "set"], default="list")
+    parser.add_argument("--event-types", choices=["list", "set", "counts"], default="list")
     parser.add_argument("--clustered", action="store_true", help="range-cluster the output files")
     parser.add_argument("--keep-raw", action="store_true", help="leave validated files in raw")
     parser.add_argument("--master", help="Spark master; the cluster's own if left out")

@@ -86,6 +86,13 @@ def types_text(type_counts: Column) -> Column:
     return F.array_join(F.transform(type_counts, run), ",")
 
 
+def counted_types_text(type_counts: Column) -> Column:
+    """The list of :func:`types_text` in short: ``type*count`` per type."""
+    return F.array_join(
+        F.transform(type_counts, lambda e: F.concat_ws("*", e["event_type"], e["n"].cast("string"))), ","
+    )
+
+
 def distinct_types_text(type_counts: Column) -> Column:
     """Comma list of the distinct event types, in order."""
     return F.array_join(type_counts["event_type"], ",")

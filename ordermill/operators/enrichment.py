@@ -7,12 +7,20 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.columns import distinct_types_text, row_hash, types_text
+from ordermill.functions.columns import (
+    counted_types_text,
+    distinct_types_text,
+    row_hash,
+    types_text,
+)
 from ordermill.operators.cleaning import dedup_events, dedup_orders
 from ordermill.schemas import ENRICHED_COLUMNS
 
 _EVENT_COLUMNS = ("event_id", "user_id", "event_type", "timestamp", "ts")
-_TYPES_TEXT = {"list": types_text, "set": distinct_types_text}
+
+# Events up to which a user's types are listed one by one. A list of a hot user's events would
+# outgrow what one value can hold, and be repeated on each of that user's orders.
+LISTED_EVENTS = 1_000_000
 
 
 def event_type_counts(events: DataFrame) -> DataFrame:
@@ -33,18 +41,31 @@ def event_type_counts(events: DataFrame) -> DataFrame:
     )
 
 
+def event_types_text(event_types: str = "list", listed: int = LISTED_EVENTS) -> Column:
+    """Text of type_counts: ``list`` (one entry per event, with repeats), ``set`` (distinct) or
+    ``counts`` (``type*count``). A list of more than ``listed`` events is given as counts, which
+    say the same in bounded space."""
+    counts = F.col("type_counts")
+    if event_types == "set":
+        return distinct_types_text(counts)
+    if event_types == "counts":
+        return counted_types_text(counts)
+    if event_types != "list":
+        raise ValueError(f"event_types is list, set or counts, not {event_types!r}")
+    return F.when(F.col("event_count") > listed, counted_types_text(counts)).otherwise(
+        types_text(counts)
+    )
+
+
 def deduped_events(events: DataFrame) -> DataFrame:
     """Deduplicated events with only the columns the aggregates need."""
     return dedup_events(events.select(*[c for c in _EVENT_COLUMNS if c in events.columns]))
 
 
 def events_per_user(events: DataFrame, event_types: str = "list") -> DataFrame:
-    """user_id, event_count, event_types over deduplicated events.
-
-    ``event_types`` is ``list`` (one entry per event, with repeats) or ``set`` (distinct).
-    """
+    """user_id, event_count, event_types over deduplicated events (see :func:`event_types_text`)."""
     counts = event_type_counts(deduped_events(events))
-    text = _TYPES_TEXT[event_types](F.col("type_counts"))
+    text = event_types_text(event_types)
     return counts.select("user_id", "event_count", text.alias("event_types"))
 
 
@@ -116,7 +137,7 @@ def enrich(
         "currency",
         "status",
         "event_count",
-        _TYPES_TEXT[event_types](F.col("type_counts")).alias("event_types"),
+        event_types_text(event_types).alias("event_types"),
         F.col("segment").alias("user_segment"),
         "lifetime_value",
         "country",

@@ -111,6 +111,25 @@ def last_days(df: DataFrame, as_of: Column, days: int = 90, column: str = "proce
     return df.where(F.col(column) >= F.date_sub(as_of, days))
 
 
+def register_views(
+    spark: SparkSession, staging: str, production: str, as_of: Column | None = None
+) -> list[str]:
+    """Temporary views for SQL users over the stored tables; returns their names.
+
+    Dashboards should use the 90-day view, which carries its own date filter.
+    """
+    today = F.current_date() if as_of is None else as_of
+    produced = spark.read.schema(schemas.ENRICHED).parquet(production)
+    views = {
+        "enriched_orders_staging": spark.read.schema(schemas.ENRICHED).parquet(staging),
+        "enriched_orders": produced,
+        "enriched_orders_last_90d": last_days(produced, today),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def staging_view(staging: DataFrame) -> DataFrame:
     """Staging with explicit columns and a safe date; a text that is no date becomes NULL."""
     order = [

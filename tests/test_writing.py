@@ -108,3 +108,12 @@ def test_dropping_partitions(spark, tmp_path):
     writing.write_enriched(rows(spark, ("a", 1.0, D1), ("b", 2.0, D2)), path)
     assert len(writing.drop_partitions(path, "process_date", [D1, D3])) == 1
     assert writing.partition_values(spark, path) == [D2]
+
+
+def test_views_for_sql(spark, tmp_path):
+    staging, production = str(tmp_path / "s"), str(tmp_path / "p")
+    writing.load_staging(rows(spark, ("a", 1.0, D1)), staging)
+    writing.write_enriched(rows(spark, ("a", 1.0, D1), ("b", 2.0, dt.date(2025, 1, 1))), production)
+    names = tables.register_views(spark, staging, production, F.lit("2026-03-19").cast("date"))
+    counts = [spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names]
+    assert counts == [1, 2, 1]
