@@ -50,6 +50,12 @@ def advance_watermark(df: DataFrame, path: str, pipeline: str, column: str = "up
     )
 
 
+def latest_date(target: DataFrame, column: str = "process_date", floor: str = "2000-01-01") -> DataFrame:
+    """One row: the newest date of the target, dates before ``floor`` aside; NULL when empty."""
+    recent = target.where(F.col(column) >= F.lit(floor).cast("date"))
+    return recent.agg(F.max(column).alias("latest"))
+
+
 def since_latest_date(
     source: DataFrame, target: DataFrame, column: str = "process_date", floor: str = "2000-01-01"
 ) -> DataFrame:
@@ -57,5 +63,4 @@ def since_latest_date(
 
     An empty target has no newest date and lets no row pass; load it in full instead.
     """
-    latest = target.where(F.col(column) >= F.lit(floor).cast("date")).agg(F.max(column))
-    return source.where(F.col(column) >= latest.scalar())
+    return source.where(F.col(column) >= latest_date(target, column, floor).scalar())

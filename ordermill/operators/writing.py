@@ -53,7 +53,8 @@ def cluster_by_range(
     """Rows in disjoint ranges of (partition, cluster columns), sorted, for narrow file statistics.
 
     The tie-break columns belong to the range key, so that the rows of one hot user still
-    spread over many ranges.
+    spread over many ranges. Spark samples the rows for the ranges, which runs the last stage
+    below once more; cluster a stored table rather than a long plan.
     """
     key = [partition, *cluster, *tie_break]
     ranged = (

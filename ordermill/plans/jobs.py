@@ -139,6 +139,8 @@ def staging(spark: SparkSession, at: Locations) -> DataFrame:
 
 def publish(spark: SparkSession, at: Locations, day: str) -> DataFrame:
     """Upserts staging into one date of production; returns the verification row."""
+    published = folder_bytes(spark, f"{at.production}/process_date={day}")
+    size_shuffles(spark, folder_bytes(spark, at.staging) + published)
     rows = staging(spark, at)
     merging.publish_day(spark, rows, at.production, day)
     return merging.verify_merge(rows, tables.read_partitions(spark, at.production, day, day))
@@ -147,10 +149,14 @@ def publish(spark: SparkSession, at: Locations, day: str) -> DataFrame:
 def publish_incremental(spark: SparkSession, at: Locations) -> None:
     """Upserts staging rows on or after production's newest date by key over all dates; loads
     staging in full when there is no production table yet."""
+    # All of staging moves; of production, keys and dates do, and the touched dates as a whole.
+    size_shuffles(spark, folder_bytes(spark, at.staging) + folder_bytes(spark, at.production) // 4)
     rows = tables.staging_view(staging(spark, at))
     target = tables.read_table(spark, at.production, schemas.ENRICHED)
     if target is not None:
-        rows = incremental.since_latest_date(rows, target)
+        # The rows are used by several jobs, so the date is looked up once, as a value.
+        latest = incremental.latest_date(target).first()["latest"]
+        rows = rows.where(F.col("process_date") >= F.lit(latest).cast("date"))
     merging.publish_across_days(spark, rows, at.production)
 
 

@@ -66,8 +66,12 @@ def _lister(root: str, recursive: bool):
 
 def task_count(spark: SparkSession, tasks: int | None = None) -> int:
     """Tasks to spread file work over. File rows are few and small while the work behind each
-    is not, so their number, unlike the rows' bytes, says nothing about it."""
-    return tasks or spark.sparkContext.defaultParallelism
+    is not, so their number, unlike the rows' bytes, says nothing about it. The shuffle setting
+    counts too, since a cluster that grows on demand reports few cores at first."""
+    if tasks:
+        return tasks
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, wanted)
 
 
 def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -79,7 +80,7 @@ def main() -> None:
     only = sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
