@@ -114,7 +114,8 @@ def enrich(
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:
-    return listing.list_files(spark, folder).agg(F.sum("length")).first()[0] or 0
+    files = listing.list_files(spark, folder, tasks=spark.sparkContext.defaultParallelism)
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def gate_processed(
