@@ -51,13 +51,15 @@ def test_sample_has_exactly_the_asked_size(spark, population, sample):
 
 def session_like(folder, master):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder),
-        sparkContext=SimpleNamespace(master=master),
+        conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else None),
+        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
     )
 
 
 def test_work_folder_follows_the_session():
-    assert work_folder(session_like("hdfs:///shared/", "yarn"), "x").startswith("hdfs:///shared/x-")
+    assert work_folder(session_like("hdfs:///shared/", "yarn"), "x").startswith(
+        "hdfs:///shared/ordermill-app-1/x-"
+    )
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_folder(session_like(None, "yarn"), "x")
 
