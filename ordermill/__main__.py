@@ -10,7 +10,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ordermill.plans import jobs
-from ordermill.session import build_session
+from ordermill.session import build_session, remove_work
 from ordermill.settings import Locations, Settings
 from ordermill.sources.synthetic import SynthPlan
 
@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--origin", help="where transfer copies from")
     parser.add_argument("--event-types", choices=["list", "set", "counts"], default="list")
     parser.add_argument("--clustered", action="store_true", help="range-cluster the output files")
+    parser.add_argument("--quick", action="store_true", help="validate by footers and headers only")
     parser.add_argument("--keep-raw", action="store_true", help="leave validated files in raw")
     parser.add_argument("--master", help="Spark master; the cluster's own if left out")
     return parser
@@ -56,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "transfer":
             print(jobs.transfer(spark, args.origin, at), "files transferred")
         elif args.job == "validate":
-            jobs.validate(spark, at, args.keep_raw).show()
+            jobs.validate(spark, at, args.keep_raw, args.quick).show()
         elif args.job == "enrich":
             jobs.enrich(spark, at, args.date, settings, args.event_types, args.clustered)
         elif args.job == "load":
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "publish":
             jobs.publish(spark, at, args.date).show(truncate=False)
         elif args.job == "publish-incremental":
-            jobs.publish_incremental(spark, at)
+            jobs.publish_incremental(spark, at, settings)
         elif args.job == "publish-changes":
             print(jobs.publish_changes(spark, at, settings), "changed rows")
         elif args.job == "report":
@@ -82,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             jobs.daily(spark, at, args.date, settings)
     finally:
+        remove_work(spark)
         spark.stop()
     return 0
 

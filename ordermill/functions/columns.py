@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_SEPARATOR = "||"
+_EXACT = "decimal(28,10)"
 BYTES_PER_GIB = 1024.0**3
 BYTES_PER_TIB = 1024.0**4
 
@@ -20,12 +21,21 @@ def money(amount: Column) -> Column:
     return amount.cast("decimal(18,2)")
 
 
-def mean_amount(amount: Column) -> Column:
-    """Mean over exact amounts; NaN when an amount is not a finite number."""
-    exact = amount.try_cast("decimal(18,2)")
+def sum_amount(amount: Column) -> Column:
+    """Sum of amounts as a double. Amounts are added as decimals with ten digits after the point, so
+    the sum does not depend on the order of addition and equal inputs have equal sums; where one is
+    too large for that, infinite or NaN, it is the plain sum of doubles."""
+    exact = amount.try_cast(_EXACT)
     odd = amount.isNotNull() & exact.isNull()
-    mean = F.try_divide(F.sum(exact).cast("double"), F.count(exact))
-    return F.when(F.max(odd), F.lit(float("nan"))).otherwise(mean)
+    total = F.try_sum(exact).cast("double")
+    return F.when(F.coalesce(F.max(odd), F.lit(False)), F.sum(amount)).otherwise(
+        F.coalesce(total, F.sum(amount))
+    )
+
+
+def mean_amount(amount: Column) -> Column:
+    """Mean by :func:`sum_amount`."""
+    return F.try_divide(sum_amount(amount), F.count(amount))
 
 
 def text_hash(*parts: Column) -> Column:

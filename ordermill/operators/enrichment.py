@@ -18,10 +18,6 @@ from ordermill.schemas import ENRICHED_COLUMNS
 
 _EVENT_COLUMNS = ("event_id", "user_id", "event_type", "timestamp", "ts")
 
-# Events up to which a user's types are listed one by one. A list of a hot user's events would
-# outgrow what one value can hold, and be repeated on each of that user's orders.
-LISTED_EVENTS = 1_000_000
-
 
 def event_type_counts(events: DataFrame) -> DataFrame:
     """Per user: event_count and type_counts, array<struct<event_type,n>> in order of the type.
@@ -41,10 +37,9 @@ def event_type_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def event_types_text(event_types: str = "list", listed: int = LISTED_EVENTS) -> Column:
+def event_types_text(event_types: str = "list") -> Column:
     """Text of type_counts: ``list`` (one entry per event, with repeats), ``set`` (distinct) or
-    ``counts`` (``type*count``). A list of more than ``listed`` events is given as counts, which
-    say the same in bounded space."""
+    ``counts`` (``type*count``, the same content in bounded space)."""
     counts = F.col("type_counts")
     if event_types == "set":
         return distinct_types_text(counts)
@@ -52,9 +47,7 @@ def event_types_text(event_types: str = "list", listed: int = LISTED_EVENTS) ->
         return counted_types_text(counts)
     if event_types != "list":
         raise ValueError(f"event_types is list, set or counts, not {event_types!r}")
-    return F.when(F.col("event_count") > listed, counted_types_text(counts)).otherwise(
-        types_text(counts)
-    )
+    return types_text(counts)
 
 
 def deduped_events(events: DataFrame) -> DataFrame:

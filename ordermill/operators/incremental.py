@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.sources.listing import partition_dates
 from ordermill.sources.tables import read_table
 
 WATERMARKS = "pipeline string, watermark timestamp, recorded_at timestamp"
@@ -50,17 +51,43 @@ def advance_watermark(df: DataFrame, path: str, pipeline: str, column: str = "up
     )
 
 
-def latest_date(target: DataFrame, column: str = "process_date", floor: str = "2000-01-01") -> DataFrame:
-    """One row: the newest date of the target, dates before ``floor`` aside; NULL when empty."""
+#: Dates before this one do not count as the newest of a target (a documented setting of the jobs).
+DATE_FLOOR = "2000-01-01"
+
+
+def latest_date(target: DataFrame, column: str = "process_date", floor: str = DATE_FLOOR) -> DataFrame:
+    """One row: the newest date of the target, dates before ``floor`` aside; NULL when there is none."""
     recent = target.where(F.col(column) >= F.lit(floor).cast("date"))
     return recent.agg(F.max(column).alias("latest"))
 
 
 def since_latest_date(
-    source: DataFrame, target: DataFrame, column: str = "process_date", floor: str = "2000-01-01"
+    source: DataFrame, target: DataFrame, column: str = "process_date", floor: str = DATE_FLOOR
 ) -> DataFrame:
-    """Source rows on or after the newest date of the target (dates before ``floor`` aside).
-
-    An empty target has no newest date and lets no row pass; load it in full instead.
+    """Source rows on or after the newest date of the target (dates before ``floor`` aside); all
+    rows, those without a date included, when the target has no such date.
     """
-    return source.where(F.col(column) >= latest_date(target, column, floor).scalar())
+    newest = latest_date(target, column, floor).scalar()
+    return source.where(newest.isNull() | (F.col(column) >= newest))
+
+
+def since_date(source: DataFrame, newest: dt.date | None, column: str = "process_date") -> DataFrame:
+    """As :func:`since_latest_date`, for a newest date that is known already."""
+    return source if newest is None else source.where(F.col(column) >= F.lit(newest))
+
+
+def newest_partition(
+    spark: SparkSession, path: str, column: str = "process_date", floor: str = DATE_FLOOR,
+    before: str | None = None,
+) -> dt.date | None:
+    """Newest date of a table partitioned by it, from the names of its folders; dates before
+    ``floor``, and from ``before`` on, aside. Only the newest folders are opened, to see that they
+    hold a row."""
+    for day in partition_dates(spark, path, column):
+        if before is not None and str(day) >= before:
+            continue
+        if str(day) < floor:
+            return None
+        if not spark.read.parquet(f"{path.rstrip('/')}/{column}={day}").isEmpty():
+            return day
+    return None

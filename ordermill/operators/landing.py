@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,11 +40,6 @@ def settled(ledger: DataFrame, retry_quarantined: bool = False) -> DataFrame:
     return latest_entries(ledger).where(~F.col("status").startswith(QUARANTINED_PREFIX))
 
 
-def seen(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files the ledger has an entry for."""
-    return files.join(ledger.select("file_name"), "file_name", "left_semi")
-
-
 def latest_entries(ledger: DataFrame) -> DataFrame:
     """The ledger as a table with one row per file: the newest entry replaces older ones."""
     return one_per_key(ledger, ["file_name"], ["processed_at", "status"])
@@ -77,12 +74,15 @@ def _as_set_text(names: Column) -> Column:
     return F.concat(F.lit("{'"), F.array_join(names, "', '"), F.lit("'}"))
 
 
-def judge(files: DataFrame) -> DataFrame:
+def judge(files: DataFrame, footers_only: bool = False) -> DataFrame:
     """Adds source, missing, is_valid, message and status to files.
 
     Takes file_name, length and, from :func:`inspect_files`, columns, rows and error. The
     first rule that applies decides: empty, corrupt, unregistered source, missing columns.
+    ``footers_only`` says that pages were not decoded, which the message then names.
     """
+    # The messages.
+    parquet_good = "Footer OK" if footers_only else "Schema OK"
     name = F.col("file_name")
     is_parquet, is_csv = name.endswith(".parquet"), name.endswith(".csv")
     is_empty = F.col("length") == 0
@@ -98,7 +98,7 @@ def judge(files: DataFrame) -> DataFrame:
             (is_parquet | is_csv) & lacks,
             F.concat(F.lit("Missing required columns: "), _as_set_text(F.col("missing"))),
         )
-        .when(is_parquet, F.format_string("Schema OK (%d rows, %d columns)", "rows", n_columns))
+        .when(is_parquet, F.format_string(f"{parquet_good} (%d rows, %d columns)", "rows", n_columns))
         .when(is_csv & F.col("rows").isNull(), "Header OK")
         .when(is_csv, F.format_string("Header OK (%d rows)", "rows"))
         .otherwise(UNKNOWN_FORMAT)
@@ -156,19 +156,20 @@ def validate(
     spark: SparkSession,
     root: str,
     ledger: DataFrame,
-    read_pages: bool = False,
-    count_csv_rows: bool = False,
+    read_pages: bool = True,
+    count_csv_rows: bool = True,
     retry_quarantined: bool = False,
 ) -> DataFrame:
     """Judges and routes every file below ``root``; files of the ledger come out as skipped.
 
-    The folders are listed once and known files are carried along unread.
-    Columns: file_name, length, source, missing, is_valid, message, status, zone.
+    The folders are listed once and known files are carried along unread. New files are read whole
+    unless ``read_pages`` or ``count_csv_rows`` is turned off.
+    Columns: file_name, length, source, missing, is_valid, message, status, zone, columns, types.
     """
     done = settled(ledger, retry_quarantined).select("file_name", F.lit(True).alias("known"))
     files = list_files(spark, root).join(done.distinct(), "file_name", "left")
     files = files.withColumn("known", F.coalesce("known", F.lit(False)))
-    judged = route(judge(inspect_files(files, root, read_pages, count_csv_rows)))
+    judged = route(judge(inspect_files(files, root, read_pages, count_csv_rows), not read_pages))
     new = ~F.col("known")
     return judged.select(
         "file_name",
@@ -179,6 +180,8 @@ def validate(
         F.when(new, F.col("message")).otherwise("already processed").alias("message"),
         F.when(new, F.col("status")).otherwise(SKIPPED).alias("status"),
         F.when(new, F.col("zone")).alias("zone"),
+        "columns",
+        "types",
     )
 
 
@@ -202,8 +205,9 @@ def move_files(
 ) -> DataFrame:
     """Moves each routed file to the root of its zone, spread over ``tasks`` tasks.
 
-    A copy that is already complete is not made again and a source already gone is no error,
-    so a task may run twice. ``keep_raw`` leaves the landed file in place.
+    A file is copied under a name that listings leave out and then renamed, so a target is either
+    the old file or the new one, whole. A source already gone was moved by an earlier attempt, so
+    a task may run twice. ``keep_raw`` leaves the landed file in place.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,17 +217,20 @@ def move_files(
             for name, zone in zip(batch["file_name"], batch["zone"]):
                 target_fs, target_base = targets[zone]
                 src, dst = f"{source_base}/{name}", f"{target_base}/{name}"
-                landed = source_fs.get_file_info(src)
-                if landed.type == fs.FileType.NotFound:
+                if source_fs.get_file_info(src).type == fs.FileType.NotFound:
                     continue
-                there = target_fs.get_file_info(dst)
-                if there.type == fs.FileType.NotFound or there.size != landed.size:
-                    target_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+                target_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+                part = f"{dst}.{uuid.uuid4().hex}.inprogress"
+                try:
                     fs.copy_files(
-                        src, dst, source_filesystem=source_fs, destination_filesystem=target_fs
+                        src, part, source_filesystem=source_fs, destination_filesystem=target_fs
                     )
+                except FileNotFoundError:  # another attempt has moved it in the meantime
+                    continue
+                target_fs.move(part, dst)
                 if not keep_raw:
-                    source_fs.delete_file(src)
+                    with contextlib.suppress(FileNotFoundError):
+                        source_fs.delete_file(src)
             yield batch
 
     return (
@@ -234,12 +241,41 @@ def move_files(
     )
 
 
+def outdated_snapshots(files: DataFrame, moved: DataFrame) -> DataFrame:
+    """Files (zone, folder) of undated snapshot folders that a new snapshot has just replaced: those
+    beside the moved files that were not moved with them. ``files`` lists the validated zone."""
+    folder = F.regexp_extract("file_name", r"^(.*/latest)/[^/]*$", 1)
+    new = moved.where(F.col("zone") == "validated").select("file_name", folder.alias("snapshot"))
+    new = new.where("snapshot <> ''")
+    there = files.select("file_name", folder.alias("snapshot"))
+    return (
+        there.join(new.select("snapshot").distinct(), "snapshot", "left_semi")
+        .join(new.select("file_name"), "file_name", "left_anti")
+        .select(F.lit("validated").alias("zone"), F.col("file_name").alias("folder"))
+    )
+
+
+def file_columns(inspected: DataFrame) -> DataFrame:
+    """source, column_name, data_type found in the files, each once. CSV files tell no types, so
+    their columns come with a NULL one."""
+    kind = F.when(F.col("types").isNotNull(), F.try_element_at("types", F.col("at") + 1))
+    return (
+        with_source(inspected)
+        .select("source", "types", F.posexplode("columns").alias("at", "column_name"))
+        .select("source", "column_name", kind.alias("data_type"))
+        .distinct()
+    )
+
+
 def schema_drift(contract: DataFrame, actual: DataFrame) -> DataFrame:
     """Columns that differ from the contract: source, column_name, change, is_breaking.
 
-    Both sides hold source, column_name and data_type. A removed or retyped column breaks the
-    contract, an added one does not.
+    Both sides hold source, column_name and data_type; a NULL type matches any. A removed or retyped
+    column breaks the contract, an added one does not. A column is removed if no file of its source
+    has it; sources without a file are left aside.
     """
+    contract = contract.join(actual.select("source").distinct(), "source", "left_semi")
+    actual = actual.join(contract.select("source").distinct(), "source", "left_semi")
     c, a = contract.alias("c"), actual.alias("a")
     both = c.join(
         a,
@@ -258,6 +294,7 @@ def schema_drift(contract: DataFrame, actual: DataFrame) -> DataFrame:
             change.alias("change"),
         )
         .where(F.col("change").isNotNull())
+        .distinct()
         .withColumn("is_breaking", F.col("change") != "added")
     )
 

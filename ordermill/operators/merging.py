@@ -137,27 +137,55 @@ def publish_day(
 
 
 def touched_dates(target: DataFrame, source: DataFrame, key: str = "order_id") -> DataFrame:
-    """Dates an upsert over all dates rewrites: process_date, kept, replaced, arriving rows.
+    """Dates of the target that an upsert over all dates takes rows from: process_date, replaced.
 
-    Reads the key and the date of the target only.
+    Reads the key and the date of the target only. A semi join lets Spark filter the target's keys by
+    those of the source before they are shuffled, so untouched history stays where it is.
     """
-    hits = source.select(key, F.lit(True).alias(_HIT))
-    old = (
-        target.select(key, "process_date")
-        .join(hits, key, "left")
-        .groupBy("process_date")
-        .agg(F.expr("count_if(_hit IS NULL) AS kept"), F.expr("count(_hit) AS replaced"))
-        .withColumn("arriving", F.lit(0).cast("bigint"))
-    )
-    new = source.groupBy("process_date").agg(
-        F.expr("0L AS kept"), F.expr("0L AS replaced"), F.expr("count(1) AS arriving")
-    )
-    return (
-        old.unionByName(new)
-        .groupBy("process_date")
-        .agg(*[F.sum(c).alias(c) for c in ("kept", "replaced", "arriving")])
-        .where("replaced > 0 OR arriving > 0")
+    keys = source.select(key).where(F.col(key).isNotNull()).distinct()
+    hits = target.select(key, "process_date").join(keys, key, "left_semi")
+    return hits.groupBy("process_date").agg(F.count(F.lit(1)).alias("replaced"))
+
+
+def emptied_dates(
+    target: DataFrame, replaced: dict[dt.date, int], arriving: set[dt.date]
+) -> list[dt.date]:
+    """Dates that keep no row: all of theirs are replaced and none arrive. Counts rows of those
+    dates alone."""
+    lost = [d for d in replaced if d is not None and d not in arriving]
+    if not lost:
+        return []
+    rows = target.where(F.col("process_date").isin(lost)).groupBy("process_date").agg(
+        F.count(F.lit(1)).alias("rows")
     )
+    return [r["process_date"] for r in rows.collect() if r["rows"] == replaced[r["process_date"]]]
+
+
+def _pending_path(target_path: str) -> str:
+    return f"{target_path.rstrip('/')}_pending_drops"
+
+
+def finish_drops(spark: SparkSession, target_path: str, key: str = "order_id") -> None:
+    """Ends an upsert over all dates that failed between its write and its drops.
+
+    The dates it meant to drop are on record. Before its write each key has one date, so if the
+    rows of such a date are all found under other dates too, the write has happened and the date
+    goes; if none is, the write has not happened and the date stays.
+    """
+    pending = read_table(spark, _pending_path(target_path), PENDING)
+    target = read_table(spark, target_path, schemas.ENRICHED)
+    days = [] if pending is None else [r[0] for r in pending.distinct().collect()]
+    if not days or target is None:
+        return
+    old = target.where(F.col("process_date").isin(days)).select(key, "process_date")
+    moved = target.where(~F.col("process_date").isin(days)).select(key).distinct()
+    left = old.join(moved, key, "left_anti").select("process_date").distinct()
+    stay = {r[0] for r in left.collect()}
+    writing.drop_partitions(spark, target_path, "process_date", [d for d in days if d not in stay])
+    writing.replace_table(spark.createDataFrame([], PENDING), _pending_path(target_path))
+
+
+PENDING = "process_date date"
 
 
 def publish_across_days(
@@ -170,20 +198,27 @@ def publish_across_days(
     """Upsert by key over all dates with whole-row replacement; a row may move between dates.
 
     Only dates that lose, gain or replace rows are rewritten, in one job that changes nothing
-    unless it ends well. Dates left without rows are dropped after that. A run that fails in
-    between is repaired by running it again.
+    unless it ends well. Dates left without rows are put on record before and dropped after that;
+    the next run, whatever it publishes, first drops what a failed one has left.
     """
     now = F.current_timestamp() if run_ts is None else run_ts
     gates = quality.premerge_gates(quality.key_audit(source, key))
     quality.require(gates.where("gate <> 'staging_nonempty'"))  # nothing new is fine
+    finish_drops(spark, target_path, key)
     target = read_table(spark, target_path, schemas.ENRICHED)
     if target is None:
         writing.write_enriched(stamped(source, now), target_path)
         return
-    dates = touched_dates(target, source, key).collect()  # one row per touched partition
-    if not dates:
+    # One row per touched partition.
+    replaced = {r["process_date"]: r["replaced"] for r in touched_dates(target, source, key).collect()}
+    arriving = {r[0] for r in source.select("process_date").distinct().collect()}
+    if not replaced and not arriving:
         return
-    affected = target.where(F.col("process_date").isin([r["process_date"] for r in dates]))
+    left_empty = emptied_dates(target, replaced, arriving)
+    if left_empty:
+        record = spark.createDataFrame([(d,) for d in left_empty], PENDING)
+        writing.replace_table(record, _pending_path(target_path))
+    affected = target.where(F.col("process_date").isin([*replaced.keys() | arriving]))
     writing.write_enriched(replace_rows(affected, source, [key], now), target_path)
-    left_empty = [r["process_date"] for r in dates if r["kept"] + r["arriving"] == 0]
-    writing.drop_partitions(target_path, "process_date", left_empty)
+    if left_empty:
+        finish_drops(spark, target_path, key)

@@ -11,7 +11,7 @@ from ordermill.functions.columns import (
     BYTES_PER_TIB,
     is_positive,
     mean_amount,
-    money,
+    sum_amount,
     whole_units_between,
 )
 from ordermill.settings import Prices
@@ -35,11 +35,10 @@ def global_counts(df: DataFrame, key: str = "order_id") -> DataFrame:
 
 def staging_stats(staging: DataFrame) -> DataFrame:
     """Per date: rows, distinct orders, revenue, mean amount, NULL keys."""
-    amount = money(F.col("amount"))
     return staging.groupBy("process_date").agg(
         F.count(F.lit(1)).alias("staging_rows"),
         F.count_distinct("order_id").alias("unique_staging_orders"),
-        F.sum(amount).cast("decimal(28,2)").alias("total_staging_revenue"),
+        sum_amount(F.col("amount")).alias("total_staging_revenue"),
         mean_amount(F.col("amount")).alias("avg_staging_amount"),
         F.count_if(F.col("order_id").isNull()).alias("null_order_ids"),
     )
@@ -49,7 +48,7 @@ def production_stats(production: DataFrame) -> DataFrame:
     """Per date: rows, revenue, last update."""
     return production.groupBy("process_date").agg(
         F.count(F.lit(1)).alias("production_rows"),
-        F.sum(money(F.col("amount"))).cast("decimal(28,2)").alias("total_production_revenue"),
+        sum_amount(F.col("amount")).alias("total_production_revenue"),
         F.max("updated_at").alias("last_updated_at"),
     )
 
@@ -93,7 +92,7 @@ def pipeline_metrics(
 
 
 def revenue_difference() -> Column:
-    return (F.col("total_staging_revenue") - F.col("total_production_revenue")).cast("decimal(28,2)")
+    return F.col("total_staging_revenue") - F.col("total_production_revenue")
 
 
 def revenue_variance(staging: DataFrame, production: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,7 +28,7 @@ def expired_partitions(
 
 
 def drop_folders(expired: DataFrame, roots: dict[str, str]) -> DataFrame:
-    """Deletes the folder of each expired row (zone, folder), inside tasks. A folder that is
+    """Deletes the folder (or file) of each expired row (zone, folder), inside tasks. One that is
     already gone is no error, so a task may run twice."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,8 +37,12 @@ def drop_folders(expired: DataFrame, roots: dict[str, str]) -> DataFrame:
             for zone, folder in zip(batch["zone"], batch["folder"]):
                 filesystem, base = opened[zone]
                 path = f"{base}/{folder}"
-                if filesystem.get_file_info(path).type == fs.FileType.Directory:
-                    filesystem.delete_dir(path)
+                kind = filesystem.get_file_info(path).type
+                with contextlib.suppress(FileNotFoundError):
+                    if kind == fs.FileType.Directory:
+                        filesystem.delete_dir(path)
+                    elif kind == fs.FileType.File:
+                        filesystem.delete_file(path)
             yield batch
 
     folders = expired.select("zone", "folder").distinct()

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill import schemas
-from ordermill.sources.listing import open_filesystem
+from ordermill.operators.retention import drop_folders
 
 CLUSTER_COLUMNS = ("user_id", "user_segment")
 
@@ -110,19 +109,10 @@ def row_count(df: DataFrame, name: str = "staging_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def drop_partitions(path: str, partition: str, values: Iterable) -> list[str]:
-    """Deletes the folders of the given partition values; returns those that existed."""
-    filesystem, base = open_filesystem(path)
-    dropped = []
-    for value in values:
-        folder = f"{base}/{partition}={value}"
-        if filesystem.get_file_info(folder).type == fs.FileType.Directory:
-            filesystem.delete_dir(folder)
-            dropped.append(folder)
-    return dropped
-
-
-def partition_values(spark: SparkSession, path: str, partition: str = "process_date") -> list:
-    """Values of the partition column present in a table. One small value per partition."""
-    rows = spark.read.parquet(path).select(partition).distinct().collect()
-    return [r[0] for r in rows]
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable) -> None:
+    """Deletes the folders of the given partition values, spread over tasks; one that is gone already
+    is no error."""
+    rows = [("table", f"{partition}={value}") for value in values]
+    if rows:
+        folders = spark.createDataFrame(rows, "zone string, folder string")
+        drop_folders(folders, {"table": path}).write.format("noop").mode("overwrite").save()

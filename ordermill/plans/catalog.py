@@ -233,8 +233,10 @@ def _checked_files(i: Inputs, suffix: str) -> DataFrame:
     judged = landing.with_day(
         landing.judge(listing.inspect_files(files, i.landing_path(), count_csv_rows=True))
     )
+    header = F.when(F.col("file_name").endswith(".csv"), 1).otherwise(0)
     return judged.groupBy("source", "dt", "is_valid").agg(
-        F.max(F.array_join("missing", ",")).alias("missing"), F.sum("rows").alias("rows")
+        F.max(F.array_join("missing", ",")).alias("missing"),
+        F.sum(F.col("rows") - header).alias("rows"),
     )
 
 
@@ -301,11 +303,10 @@ def good_rows(i: Inputs) -> DataFrame:
 
 @query
 def schema_drift(i: Inputs) -> DataFrame:
-    contract = schemas.contract_frame(i.spark)
-    actual = schemas.columns_frame(i.spark, i.orders().schema, "orders").unionByName(
-        schemas.columns_frame(i.spark, i.segments().schema, "user_segments")
-    )
-    return landing.schema_drift(contract.where(F.col("source") != "events"), actual)
+    """Landed files of all sources against the contract, by what the files themselves say."""
+    root = i.landing_path()
+    files = listing.inspect_files(listing.list_files(i.spark, root), root, read_pages=False, count_csv_rows=False)
+    return landing.schema_drift(schemas.contract_frame(i.spark), landing.file_columns(files))
 
 
 @query
@@ -386,8 +387,10 @@ def watermark_state(i: Inputs) -> DataFrame:
 
 @query
 def incremental_max_date(i: Inputs) -> DataFrame:
-    loaded = i.production().where(F.col("process_date") < F.lit(I.DOUBLED_MONTH).cast("date"))
-    return incremental.since_latest_date(i.staging(), loaded, floor="1990-01-01")
+    newest = incremental.newest_partition(
+        i.spark, i.production_path(), floor="1990-01-01", before=I.DOUBLED_MONTH
+    )
+    return incremental.since_date(i.staging(), newest)
 
 
 @query
@@ -513,23 +516,17 @@ def global_counts(i: Inputs) -> DataFrame:
 
 @query
 def staging_stats(i: Inputs) -> DataFrame:
-    stats = reports.staging_stats(_staging_with_copies(i))
-    total = F.col("total_staging_revenue").cast("decimal(18,2)")
-    return stats.withColumn("total_staging_revenue", total)
+    return reports.staging_stats(_staging_with_copies(i))
 
 
 @query
 def production_stats(i: Inputs) -> DataFrame:
-    stats = reports.production_stats(i.production())
-    total = F.col("total_production_revenue").cast("decimal(18,2)")
-    return stats.withColumn("total_production_revenue", total)
+    return reports.production_stats(i.production())
 
 
 @query
 def pipeline_metrics(i: Inputs) -> DataFrame:
-    metrics = reports.pipeline_metrics(_staging_with_copies(i), i.production(), as_of())
-    money = ("total_staging_revenue", "total_production_revenue", "revenue_variance")
-    return metrics.withColumns({c: F.col(c).cast("decimal(18,2)") for c in money})
+    return reports.pipeline_metrics(_staging_with_copies(i), i.production(), as_of())
 
 
 @query
@@ -542,8 +539,7 @@ def report_by_date(i: Inputs) -> DataFrame:
 
 @query
 def revenue_variance(i: Inputs) -> DataFrame:
-    variance = reports.revenue_variance(i.staging(), i.production())
-    return variance.withColumn("revenue_variance", F.col("revenue_variance").cast("decimal(18,2)"))
+    return reports.revenue_variance(i.staging(), i.production())
 
 
 @query
@@ -629,9 +625,8 @@ def incremental_merge(i: Inputs) -> DataFrame:
     moved = F.when(
         F.col("process_date") == F.lit(I.LOST_MONTH).cast("date"), F.lit(I.HALF_MONTH).cast("date")
     ).otherwise(F.col("process_date"))
-    loaded = i.merge_target().where(F.col("process_date") <= F.lit(I.LOST_MONTH).cast("date"))
-    source = incremental.since_latest_date(i.staging(), loaded, floor="1990-01-01")
-    source = source.withColumn("process_date", moved)
+    newest = incremental.newest_partition(i.spark, path, floor="1990-01-01", before=I.HALF_MONTH)
+    source = incremental.since_date(i.staging(), newest).withColumn("process_date", moved)
     merging.publish_across_days(i.spark, source, path, run_ts())
     return _read(i, path)
 

@@ -121,11 +121,11 @@ class Inputs:
         )
 
     def segments(self) -> DataFrame:
-        """The customers with a high balance."""
-        customers = self.given("customer").where("c_acctbal >= 8000")
+        """All customers; only those with a high balance have the id of a user with orders."""
+        customers = self.given("customer")
         nation = self.given("nation").withColumnRenamed("n_nationkey", "c_nationkey")
         return customers.join(nation, "c_nationkey", "left").selectExpr(
-            "cast(c_custkey AS string) AS user_id",
+            "if(c_acctbal >= 8000, cast(c_custkey AS string), concat('store-', c_custkey)) AS user_id",
             "c_mktsegment AS segment",
             "c_acctbal AS lifetime_value",
             "n_name AS country",

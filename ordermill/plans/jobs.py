@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill import schemas
+from ordermill.functions.columns import partition_day
 from ordermill.operators import (
     enrichment,
     incremental,
@@ -60,9 +61,8 @@ def make_samples(
         dated.write.mode("append").partitionBy("dt").parquet(path)
         dated.write.mode("append").option("header", True).partitionBy("dt").csv(path)
     users = synthetic.row_numbers(spark, plan.users)
-    synthetic.synth_segments(users, plan.users, min(segments, plan.users), plan).write.mode(
-        "append"
-    ).parquet(f"{at.raw}/source=user_segments/latest")
+    sample = synthetic.synth_segments(users, plan.users, min(segments, plan.users), plan)
+    writing.replace_table(sample, f"{at.raw}/source=user_segments/latest")
 
 
 def transfer(spark: SparkSession, origin: str, at: Locations) -> int:
@@ -78,21 +78,36 @@ def transfer(spark: SparkSession, origin: str, at: Locations) -> int:
 
 
 def validate(
-    spark: SparkSession, at: Locations, keep_raw: bool = False, read_pages: bool = False
+    spark: SparkSession, at: Locations, keep_raw: bool = False, quick: bool = False
 ) -> DataFrame:
     """Judges new raw files, moves them to their zone and records them; returns the summary.
 
     Files are moved before they are recorded: a run that fails between the two judges what is
-    left in the raw zone again and loses nothing.
+    left in the raw zone again and loses nothing. A new snapshot of a dimension replaces the one
+    before as a whole. Columns that drift from the contract are logged. ``quick`` reads Parquet
+    footers and CSV headers only, so damaged pages pass.
     """
     ledger = landing.read_ledger(spark, at.ledger)
-    judged = _held(landing.validate(spark, at.raw, ledger, read_pages), "judged")
+    judged = _held(landing.validate(spark, at.raw, ledger, not quick, not quick), "judged")
+    report_drift(spark, judged)
     zones = {"validated": at.validated, "quarantine": at.quarantine}
     _run(landing.move_files(judged, at.raw, zones, keep_raw))
+    outdated = landing.outdated_snapshots(listing.list_files(spark, at.validated), judged)
+    _run(retention.drop_folders(_held(outdated, "outdated"), zones))
     landing.append_ledger(landing.ledger_entries(judged), at.ledger)
     return landing.summarize(judged)
 
 
+def report_drift(spark: SparkSession, judged: DataFrame) -> list[str]:
+    """Logs how the columns of the judged files differ from the contract."""
+    actual = landing.file_columns(judged.drop("source"))
+    drift = landing.schema_drift(schemas.contract_frame(spark), actual).collect()  # a row per column
+    found = [f"{r['source']}.{r['column_name']}: {r['change']}" for r in drift]
+    for line in found:
+        log.warning("schema drift: %s", line)
+    return found
+
+
 def enrich(
     spark: SparkSession,
     at: Locations,
@@ -103,14 +118,15 @@ def enrich(
 ) -> None:
     """Enriches one day of validated files into the processed table.
 
-    The day is written once and audited as written. A failed gate stops the run before
-    anything downstream reads the day.
+    The day is written to a folder of this run and audited there; only a day that passes replaces
+    the one in the processed table. A failed gate leaves that table as it was.
     """
     landed = [tables.landed_folder(at.validated, source, day) for source in ("orders", "events")]
     size_shuffles(spark, sum(folder_bytes(spark, folder) for folder in landed))
     rows = enrichment.enrich(*tables.read_inputs(spark, at.validated, day), day, event_types=event_types)
-    writing.write_enriched(rows, at.processed, clustered)
-    gate_processed(spark, at, day, settings)
+    stored = _held(rows, "enriched")
+    quality.require(quality.output_gates(quality.key_audit(stored), settings.thresholds))
+    writing.write_enriched(stored, at.processed, clustered)
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:
@@ -121,6 +137,7 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
 def gate_processed(
     spark: SparkSession, at: Locations, day: str, settings: Settings = Settings()
 ) -> None:
+    """The gates on a day that is in the processed table."""
     written = tables.read_partitions(spark, at.processed, day, day)
     quality.require(quality.output_gates(quality.key_audit(written), settings.thresholds))
 
@@ -147,17 +164,15 @@ def publish(spark: SparkSession, at: Locations, day: str) -> DataFrame:
     return merging.verify_merge(rows, tables.read_partitions(spark, at.production, day, day))
 
 
-def publish_incremental(spark: SparkSession, at: Locations) -> None:
+def publish_incremental(spark: SparkSession, at: Locations, settings: Settings = Settings()) -> None:
     """Upserts staging rows on or after production's newest date by key over all dates; loads
-    staging in full when there is no production table yet."""
+    staging in full when production has no date yet, or none from ``date_floor`` on."""
     # All of staging moves; of production, keys and dates do, and the touched dates as a whole.
     size_shuffles(spark, folder_bytes(spark, at.staging) + folder_bytes(spark, at.production) // 4)
     rows = tables.staging_view(staging(spark, at))
-    target = tables.read_table(spark, at.production, schemas.ENRICHED)
-    if target is not None:
-        # The rows are used by several jobs, so the date is looked up once, as a value.
-        latest = incremental.latest_date(target).first()["latest"]
-        rows = rows.where(F.col("process_date") >= F.lit(latest).cast("date"))
+    merging.finish_drops(spark, at.production)
+    newest = incremental.newest_partition(spark, at.production, floor=settings.date_floor)
+    rows = incremental.since_date(rows, newest)
     merging.publish_across_days(spark, rows, at.production)
 
 
@@ -202,17 +217,20 @@ def check(spark: SparkSession, at: Locations, day: str, settings: Settings = Set
 
 
 def expire(spark: SparkSession, at: Locations, as_of: str, settings: Settings = Settings()) -> DataFrame:
-    """Drops dated landing folders past their retention; returns those dropped."""
-    roots = {"raw": at.raw, "quarantine": at.quarantine}
-    found = None
-    for zone, root in roots.items():
-        dated = landing.with_day(listing.list_files(spark, root)).where(F.col("dt").isNotNull())
-        folders = dated.select(
-            F.lit(zone).alias("zone"),
-            F.regexp_extract("file_name", r"^(.*/dt=[^/]*)/", 1).alias("folder"),
-            "dt",
-        ).distinct()
-        found = folders if found is None else found.unionByName(folders)
+    """Drops dated landing folders, and files of staging, past their retention; returns those dropped.
+
+    Landing folders are found by their names, without listing what is in them. Staging has no dated
+    folders: a file expires by the day it was written.
+    """
+    roots = {"raw": at.raw, "quarantine": at.quarantine, "staging": at.staging}
+    written = listing.list_files(spark, at.staging)
+    found = written.select(
+        F.lit("staging").alias("zone"), F.col("file_name").alias("folder"), F.to_date("modified_at").alias("dt")
+    )
+    for zone in ("raw", "quarantine"):
+        folders = listing.list_folders(spark, roots[zone], 2)
+        dated = folders.select(F.lit(zone).alias("zone"), "folder", partition_day(F.col("folder")).alias("dt"))
+        found = found.unionByName(dated.where("dt IS NOT NULL"))
     expired = retention.expired_partitions(found, F.lit(as_of).cast("date"), settings.retention)
     expired = _held(expired, "expired")
     _run(retention.drop_folders(expired, roots))
@@ -224,7 +242,7 @@ def daily(spark: SparkSession, at: Locations, day: str, settings: Settings = Set
     validate(spark, at)
     enrich(spark, at, day, settings)
     load(spark, at, day)
-    publish_incremental(spark, at)
+    publish_incremental(spark, at, settings)
     report(spark, at, day, day)
     failed = test_columns(spark, at, day, day).where(F.col("failures") > 0).collect()
     if failed:

@@ -35,10 +35,10 @@ _PARTS = {
                ts + INTERVAL 1 MINUTE
         FROM events WHERE event_id % 100 = 5""",
     "src_segments": """
-        SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment AS segment,
-               c_acctbal AS lifetime_value, n_name AS country
-        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-        WHERE c_acctbal >= 8000""",
+        SELECT CASE WHEN c_acctbal >= 8000 THEN CAST(c_custkey AS VARCHAR)
+                    ELSE concat('store-', CAST(c_custkey AS VARCHAR)) END AS user_id,
+               c_mktsegment AS segment, c_acctbal AS lifetime_value, n_name AS country
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "valid_orders": """
         SELECT * FROM src_orders WHERE amount > 0 AND user_id IS NOT NULL""",
     "unique_orders": """
@@ -145,16 +145,17 @@ _PARTS = {
         SELECT file_name, TIMESTAMP '2024-01-01 00:00:00' AS processed_at,
                CASE WHEN quality = 1 THEN 'validated' ELSE 'quarantined:empty' END AS status
         FROM files JOIN labels USING (doc_id)""",
+    # Given amounts have two digits after the point.
     "staged_days": """
         SELECT process_date, count(*) AS staging_rows,
                count(DISTINCT order_id) AS unique_staging_orders,
-               sum(CAST(amount AS DECIMAL(18,2))) AS total_staging_revenue,
-               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount) AS avg_staging_amount,
+               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) AS total_staging_revenue,
+               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / count(amount) AS avg_staging_amount,
                count(*) FILTER (order_id IS NULL) AS null_order_ids
         FROM stg_copies GROUP BY process_date""",
     "produced_days": """
         SELECT process_date, count(*) AS production_rows,
-               sum(CAST(amount AS DECIMAL(18,2))) AS total_production_revenue,
+               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) AS total_production_revenue,
                max(updated_at) AS last_updated_at
         FROM prod GROUP BY process_date""",
     "days": """
@@ -195,7 +196,7 @@ _PARTS = {
                count(*) FILTER (amount < 0) AS v3,
                1.0 - count(DISTINCT order_id) / count(*) AS v4,
                count(user_segment) / count(*) AS v5,
-               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount) AS v6,
+               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / count(amount) AS v6,
                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00') AS v7
         FROM prod GROUP BY process_date""",
     "check_rows": """
@@ -378,11 +379,40 @@ _SQL = {
         FROM src_orders WHERE user_id IS NULL OR amount <= 0""",
     "good_rows": "SELECT * FROM valid_orders",
     "schema_drift": """
-        SELECT * FROM (VALUES ('orders', 'created_at', 'retyped', true),
-                              ('orders', 'process_date', 'retyped', true),
-                              ('orders', 'seq', 'added', false),
-                              ('user_segments', 'signup_date', 'removed', true))
-               v(source, column_name, change, is_breaking)""",
+        WITH types(duck, spark) AS (
+            VALUES ('VARCHAR', 'string'), ('DOUBLE', 'double'), ('BIGINT', 'bigint'), ('INTEGER', 'int')),
+        landed AS (  -- columns of the landed files: as text, or with the type of the table's column
+            SELECT v.source, v.column_name, coalesce(t.spark, 'string') AS data_type
+            FROM (VALUES ('orders', 'order_id', NULL), ('orders', 'user_id', NULL),
+                         ('orders', 'amount', 'o_totalprice'), ('orders', 'currency', NULL),
+                         ('orders', 'status', NULL), ('orders', 'created_at', NULL),
+                         ('orders', 'process_date', NULL), ('events', 'event_id', NULL),
+                         ('events', 'user_id', NULL), ('events', 'event_type', 'event_type'),
+                         ('events', 'timestamp', NULL), ('events', 'ts', NULL),
+                         ('events', 'process_date', NULL), ('user_segments', 'user_id', NULL),
+                         ('user_segments', 'segment', 'c_mktsegment'),
+                         ('user_segments', 'lifetime_value', 'c_acctbal'),
+                         ('user_segments', 'country', 'n_name')) v(source, column_name, derived)
+            LEFT JOIN duckdb_columns() c ON c.column_name = v.derived AND NOT c.internal
+            LEFT JOIN types t ON t.duck = c.data_type),
+        contract(source, column_name, data_type) AS (
+            VALUES ('orders', 'order_id', 'string'), ('orders', 'user_id', 'string'),
+                   ('orders', 'amount', 'double'), ('orders', 'currency', 'string'),
+                   ('orders', 'status', 'string'), ('orders', 'created_at', 'string'),
+                   ('orders', 'process_date', 'string'), ('events', 'event_id', 'string'),
+                   ('events', 'user_id', 'string'), ('events', 'event_type', 'string'),
+                   ('events', 'page_url', 'string'), ('events', 'session_id', 'string'),
+                   ('events', 'timestamp', 'string'), ('events', 'process_date', 'string'),
+                   ('user_segments', 'user_id', 'string'), ('user_segments', 'segment', 'string'),
+                   ('user_segments', 'lifetime_value', 'double'),
+                   ('user_segments', 'signup_date', 'string'), ('user_segments', 'country', 'string'))
+        SELECT DISTINCT coalesce(c.source, l.source) AS source,
+               coalesce(c.column_name, l.column_name) AS column_name,
+               CASE WHEN l.source IS NULL THEN 'removed' WHEN c.source IS NULL THEN 'added'
+                    ELSE 'retyped' END AS change, c.source IS NOT NULL AS is_breaking
+        FROM contract c FULL OUTER JOIN landed l
+          ON c.source = l.source AND c.column_name = l.column_name
+        WHERE l.source IS NULL OR c.source IS NULL OR c.data_type <> l.data_type""",
     "stream_new_files": """
         SELECT order_id, user_id, amount, currency, status,
                strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at,
@@ -457,18 +487,18 @@ _SQL = {
         SELECT count(*) AS row_count, count(*) FILTER (user_id IS NULL) AS null_keys FROM src_orders""",
     "staging_stats": """
         SELECT process_date, staging_rows, unique_staging_orders,
-               CAST(total_staging_revenue AS DECIMAL(18,2)) AS total_staging_revenue,
+               total_staging_revenue,
                avg_staging_amount, null_order_ids
         FROM staged_days""",
     "production_stats": """
         SELECT process_date, production_rows,
-               CAST(total_production_revenue AS DECIMAL(18,2)) AS total_production_revenue, last_updated_at
+               total_production_revenue, last_updated_at
         FROM produced_days""",
     "pipeline_metrics": """
         SELECT process_date, staging_rows, production_rows, completeness_status, uniqueness_status,
-               CAST(total_staging_revenue AS DECIMAL(18,2)) AS total_staging_revenue,
-               CAST(total_production_revenue AS DECIMAL(18,2)) AS total_production_revenue,
-               CAST(total_staging_revenue - total_production_revenue AS DECIMAL(18,2)) AS revenue_variance,
+               total_staging_revenue,
+               total_production_revenue,
+               total_staging_revenue - total_production_revenue AS revenue_variance,
                avg_staging_amount AS price_point_telemetry,
                null_order_ids AS primary_key_violations, last_updated_at,
                date_sub('minute', last_updated_at, TIMESTAMP '2024-01-31 00:00:00')
@@ -478,9 +508,9 @@ _SQL = {
         SELECT process_date, production_rows FROM produced_days ORDER BY process_date DESC""",
     "revenue_variance": """
         SELECT s.process_date,
-               CAST(s.revenue - p.total_production_revenue AS DECIMAL(18,2)) AS revenue_variance,
+               s.revenue - p.total_production_revenue AS revenue_variance,
                s.revenue = p.total_production_revenue AS is_balanced
-        FROM (SELECT process_date, sum(CAST(amount AS DECIMAL(18,2))) AS revenue
+        FROM (SELECT process_date, CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) AS revenue
               FROM enriched GROUP BY process_date) s
         LEFT JOIN produced_days p ON s.process_date = p.process_date""",
     "stage_row_reconcile": """
@@ -597,8 +627,8 @@ _SQL = {
               UNION ALL SELECT 'User Segment Coverage > 5%', count(user_segment) / count(*),
                                count(user_segment) / count(*) > 0.05 FROM prod
               UNION ALL SELECT 'Amount Range Sanity (avg $1-$1000)', 
-                               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount),
-                               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount)
+                               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / count(amount),
+                               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / count(amount)
                                    BETWEEN 1 AND 1000 FROM prod
               UNION ALL SELECT 'Freshness < 24 Hours',
                                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00'),

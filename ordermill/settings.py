@@ -74,6 +74,8 @@ class Settings:
     retention: Retention = field(default_factory=Retention)
     locations: Locations | None = None
     watermark_default: str = "2026-03-21 00:00:00"
+    #: Dates of the published table before this one do not count as its newest.
+    date_floor: str = "2000-01-01"
     #: Shared folder for tables between steps where the session names none in spark.checkpoint.dir.
     work_dir: str | None = None
 
@@ -89,6 +91,7 @@ class Settings:
             prices=Prices(**(tree.get("prices") or {})),
             retention=Retention(**(tree.get("retention") or {})),
             locations=Locations.under(tree["root"]) if tree.get("root") else None,
+            date_floor=tree.get("date_floor", base.date_floor),
             work_dir=spark.get("work_dir"),
             watermark_default=tree.get("watermark", base.watermark_default),
         )

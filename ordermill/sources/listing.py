@@ -6,6 +6,7 @@ folders are listed inside tasks instead and each file becomes a row.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,14 +16,34 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 _ENTRY = "path string, is_folder boolean, length bigint, modified_at timestamp"
 _HEAD = (
     "file_name string, length bigint, known boolean, "
-    "columns array<string>, rows bigint, error string"
+    "columns array<string>, rows bigint, error string, types array<string>"
 )
 _THREADS = 8
 _CHUNK = 1 << 16
+_ROWS_A_CHUNK = 10_000
+_LEVELS = 3
+
+# Names of folders and files that writers use while they work or as markers.
+IN_FLIGHT_FOLDERS = frozenset({"_temporary", "_spark_metadata", "_delta_log"})
+MARKER_FILES = frozenset({"_SUCCESS", "_FAILURE"})
+IN_FLIGHT_ENDINGS = (".inprogress", "._COPYING_", ".crc")
+IN_FLIGHT_BEGINNINGS = (".spark-staging", "_started_", "_committed_")
+
+
+def is_landed(path: str) -> bool:
+    """False for what a writer has not finished or left as a marker, by any part of the path; every
+    other name, with a leading underscore or dot or not, is a landed file."""
+    *folders, name = path.split("/")
+    return not (
+        any(f in IN_FLIGHT_FOLDERS or f.startswith(IN_FLIGHT_BEGINNINGS) for f in [*folders, name])
+        or name in MARKER_FILES
+        or name.endswith(IN_FLIGHT_ENDINGS)
+    )
 
 
 def open_filesystem(root: str) -> tuple[fs.FileSystem, str]:
@@ -33,8 +54,8 @@ def open_filesystem(root: str) -> tuple[fs.FileSystem, str]:
     return filesystem, base.rstrip("/")
 
 
-def _entries(infos) -> pd.DataFrame:
-    kept = [i for i in infos if not i.base_name.startswith(("_", "."))]
+def _entries(infos, base: str) -> pd.DataFrame:
+    kept = [i for i in infos if is_landed(i.path[len(base) + 1 :])]
     return pd.DataFrame(
         {
             "path": [i.path for i in kept],
@@ -47,19 +68,23 @@ def _entries(infos) -> pd.DataFrame:
 
 def _lister(root: str, recursive: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, _ = open_filesystem(root)
+        filesystem, base = open_filesystem(root)
         for batch in batches:
             files = batch[~batch["is_folder"]]
             if len(files):
                 yield files
-            for folder in batch.loc[batch["is_folder"], "path"]:
-                selector = fs.FileSelector(folder, recursive=recursive, allow_not_found=True)
+            waiting = list(batch.loc[batch["is_folder"], "path"])
+            while waiting:
+                # One folder at a time, its entries handed on in chunks.
+                selector = fs.FileSelector(waiting.pop(), recursive=False, allow_not_found=True)
                 infos = filesystem.get_file_info(selector)
-                if recursive:
-                    infos = [i for i in infos if i.type == fs.FileType.File]
-                found = _entries(infos)
-                if len(found):
-                    yield found
+                for at in range(0, len(infos), _ROWS_A_CHUNK):
+                    found = _entries(infos[at : at + _ROWS_A_CHUNK], base)
+                    if recursive:
+                        waiting += list(found.loc[found["is_folder"], "path"])
+                        found = found[~found["is_folder"]]
+                    if len(found):
+                        yield found
 
     return run
 
@@ -77,8 +102,9 @@ def task_count(spark: SparkSession, tasks: int | None = None) -> int:
 def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
     """Every file below ``root``: file_name (relative), length, modified_at. Zero bytes included.
 
-    The two upper folder levels (source, day) are listed first; their children are then
-    spread over ``tasks`` tasks, each of which walks its folders to the end.
+    The upper folder levels (source, day, and one more) are listed one after the other, each level's
+    folders spread over ``tasks`` tasks; what lies deeper is walked folder by folder in its task.
+    Unfinished files and markers are left out (see :func:`is_landed`).
     """
     n = task_count(spark, tasks)
     _, base = open_filesystem(root)
@@ -88,15 +114,49 @@ def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
         F.lit(None).cast("bigint").alias("length"),
         F.lit(None).cast("timestamp").alias("modified_at"),
     )
-    level = level.mapInPandas(_lister(root, False), _ENTRY).repartition(n, "path")
-    level = level.mapInPandas(_lister(root, False), _ENTRY).repartition(n, "path")
+    for _ in range(_LEVELS):
+        level = level.mapInPandas(_lister(root, False), _ENTRY).repartition(n, "path")
     files = level.mapInPandas(_lister(root, True), _ENTRY)
     return files.select(
         F.substring("path", len(base) + 2, 1 << 20).alias("file_name"), "length", "modified_at"
     )
 
 
+def list_folders(spark: SparkSession, root: str, depth: int) -> DataFrame:
+    """Folders ``depth`` levels below ``root``, relative; their files are not listed."""
+    n = task_count(spark)
+    _, base = open_filesystem(root)
+    level = spark.range(1, numPartitions=1).select(
+        F.lit(base).alias("path"), F.lit(True).alias("is_folder"),
+        F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified_at"),
+    )
+    for k in range(depth):
+        level = level.mapInPandas(_lister(root, False), _ENTRY).where("is_folder")
+        if k + 1 < depth:
+            level = level.repartition(n, "path")
+    return level.select(F.substring("path", len(base) + 2, 1 << 20).alias("folder"))
+
+
+def partition_dates(spark: SparkSession, root: str, column: str = "process_date") -> list[dt.date]:
+    """Dates in the folder names of a table partitioned by ``column``, newest first: one value per
+    partition, and no file is opened."""
+    day = F.regexp_extract("folder", f"^{column}=(.*)$", 1).try_cast("date")
+    found = list_folders(spark, root, 1).select(day.alias("day")).where("day IS NOT NULL").collect()
+    return sorted((r["day"] for r in found), reverse=True)
+
+
+def _arrow_type(kind: pa.DataType) -> str:
+    """Name Spark gives a column of this type."""
+    if pa.types.is_large_string(kind):
+        kind = pa.string()
+    try:
+        return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
+    except Exception:  # a type Spark has no name for still is a type to report
+        return str(kind)
+
+
 def _parquet_head(filesystem: fs.FileSystem, path: str, read_pages: bool) -> tuple:
+    """Names, rows, error and types of the columns."""
     # A file that cannot be opened fails the task, which Spark runs again; only a file that
     # opens and does not decode is corrupt.
     with filesystem.open_input_file(path) as handle:
@@ -105,9 +165,10 @@ def _parquet_head(filesystem: fs.FileSystem, path: str, read_pages: bool) -> tup
             if read_pages:
                 for _ in file.iter_batches():
                     pass
-            return file.schema_arrow.names, file.metadata.num_rows, None
+            schema = file.schema_arrow
+            return schema.names, file.metadata.num_rows, None, [_arrow_type(t) for t in schema.types]
         except (pa.ArrowException, OSError) as e:
-            return None, None, f"Corrupt Parquet: {e}"
+            return None, None, f"Corrupt Parquet: {e}", None
 
 
 def _csv_head(filesystem: fs.FileSystem, path: str, count_rows: bool) -> tuple:
@@ -123,21 +184,22 @@ def _csv_head(filesystem: fs.FileSystem, path: str, count_rows: bool) -> tuple:
             elif not in_head:
                 break
     names = b"".join(head).decode("utf-8", errors="replace").strip().split(",")
-    return names, max(newlines - 1, 0) if count_rows else None, None
+    return names, newlines if count_rows else None, None, None
 
 
 def inspect_files(
     files: DataFrame,
     root: str,
-    read_pages: bool = False,
-    count_csv_rows: bool = False,
+    read_pages: bool = True,
+    count_csv_rows: bool = True,
     tasks: int | None = None,
 ) -> DataFrame:
-    """Column names, row count and read error of each Parquet or CSV file.
+    """Column names and types, row count and read error of each Parquet or CSV file.
 
-    Only Parquet footers and the first CSV line are read. ``read_pages`` also decodes all
-    Parquet pages, ``count_csv_rows`` also counts CSV lines; both stream whole files.
-    Files of other formats, empty files and files with a true ``known`` column give NULLs.
+    Files are streamed whole: all Parquet pages are decoded and the line ends of CSV files counted
+    (the header's included). Without ``read_pages`` only Parquet footers, without
+    ``count_csv_rows`` only the first CSV line is read. CSV columns have no types. Files of other
+    formats, empty files and files with a true ``known`` column give NULLs.
     """
     if "known" not in files.columns:
         files = files.withColumn("known", F.lit(False))
@@ -147,12 +209,12 @@ def inspect_files(
 
         def head(name: str, length: int, known: bool) -> tuple:
             if known or not length:
-                return None, None, None
+                return None, None, None, None
             if name.endswith(".parquet"):
                 return _parquet_head(filesystem, f"{base}/{name}", read_pages)
             if name.endswith(".csv"):
                 return _csv_head(filesystem, f"{base}/{name}", count_csv_rows)
-            return None, None, None
+            return None, None, None, None
 
         with ThreadPoolExecutor(_THREADS) as pool:
             for batch in batches:
@@ -161,6 +223,7 @@ def inspect_files(
                     columns=pd.Series([h[0] for h in heads], dtype="object"),
                     rows=pd.array([h[1] for h in heads], dtype="Int64"),
                     error=pd.Series([h[2] for h in heads], dtype="object"),
+                    types=pd.Series([h[3] for h in heads], dtype="object"),
                 )
 
     n = task_count(files.sparkSession, tasks)

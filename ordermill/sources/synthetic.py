@@ -98,21 +98,35 @@ def synth_orders(rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row
     )
 
 
-def synth_events(rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row") -> DataFrame:
+def synth_events(
+    rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row", block_rows: int = EVENT_BLOCK
+) -> DataFrame:
     """One event per row number; 1 % repeat the event_id of the row before, so a repeat may
     repeat a repeat.
 
-    Rows are numbered in blocks of a fixed size and a block starts with a fresh id, which
-    bounds how far a repeat looks back and lets every block be made on its own.
+    Rows are numbered in blocks, each made on its own. The last fresh row of each block, one number
+    per block, is carried to the blocks after it.
     """
     n = F.col(row)
-    draws = _Draws(plan, "event", n)
-    fresh = ~draws.chance(REPEATED_EVENT_RATE, 25) | (n % EVENT_BLOCK == 0)
-    block = Window.partitionBy(F.floor(n / EVENT_BLOCK)).orderBy(n)
-    id_row = F.last(F.when(fresh, n), ignorenulls=True).over(
-        block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fresh = ~_Draws(plan, "event", n).chance(REPEATED_EVENT_RATE, 25) | (n == 0)
+    marked = rows.select(
+        n.alias("_n"), F.floor(n / block_rows).alias("_block"), F.when(fresh, n).alias("_fresh")
+    )
+    carried = marked.groupBy("_block").agg(F.max("_fresh").alias("_last")).select(
+        "_block",
+        F.last("_last", ignorenulls=True)
+        .over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_before"),
+    )
+    inside = Window.partitionBy("_block").orderBy("_n")
+    id_row = F.last("_fresh", ignorenulls=True).over(
+        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    numbered = (
+        marked.withColumn("_id", id_row)
+        .join(carried, "_block", "left")
+        .select("_n", F.coalesce("_id", "_before").alias("_id"))
     )
-    numbered = rows.select(n.alias("_n"), id_row.alias("_id"))
     n = F.col("_n")
     draws = _Draws(plan, "event", n)
     event_id = _Draws(plan, "event id", F.coalesce("_id", "_n")).code(1, 12)

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from ordermill import schemas
 from ordermill.functions.columns import safe_date
+from ordermill.operators.cleaning import one_per_key
+from ordermill.sources.listing import inspect_files, list_files
 
 
 class PartitionFilterRequired(ValueError):
@@ -53,14 +55,55 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def _stem(file_name: Column) -> Column:
+    """A file's name up to its first point; the part files of one write share theirs."""
+    return F.regexp_extract(file_name, r"([^/.]*)[^/]*$", 1)
+
+
+def csv_without_twin(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
+    """CSV files of a folder whose rows no Parquet file holds, by their header. A Parquet file of the
+    same stem (``orders.csv`` and ``orders.parquet``, or part files of one write) is the twin."""
+    files = list_files(spark, folder).where("length > 0")
+    name = F.col("file_name")
+    stem = F.regexp_replace(_stem(name), "^part-.*$", "part")
+    marked = files.withColumn("stem", stem)
+    twins = marked.where(name.endswith(".parquet")).select("stem").distinct()
+    alone = marked.where(name.endswith(".csv")).join(twins, "stem", "left_anti")
+    heads = inspect_files(alone, folder, read_pages=False, count_csv_rows=False)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in heads.select("file_name", "columns").collect():  # paths Spark's reader needs anyway
+        out.setdefault(tuple(r["columns"]), []).append(f"{folder}/{r['file_name']}")
+    return out
+
+
+def read_day(spark: SparkSession, root: str, source: str, day: str | dt.date) -> DataFrame:
+    """One day of a landed source in whichever formats it came: its Parquet files, and the CSV files
+    that have no Parquet twin. CSV columns are taken by the names in each file's header."""
+    folder = landed_folder(root, source, day)
+    schema = schemas.LANDED[source]
+    rows = None
+    for header, paths in sorted(csv_without_twin(spark, folder).items()):
+        text = spark.read.schema(", ".join(f"`{c}` string" for c in header)).option("header", True).csv(paths)
+        part = text.select(*[
+            (F.col(f"`{f.name}`") if f.name in header else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ])
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        return read_landed(spark, root, source, day)
+    return read_landed(spark, root, source, day).unionByName(rows)
+
+
 def read_inputs(
     spark: SparkSession, root: str, day: str | dt.date
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Orders and events of one day, and the latest segments."""
+    """Orders and events of one day, and the latest segments, one row per user."""
+    segments = read_latest(spark, root)
+    rest = [c for c in segments.columns if c != "user_id"]
     return (
-        read_landed(spark, root, "orders", day),
-        read_landed(spark, root, "events", day),
-        read_latest(spark, root),
+        read_day(spark, root, "orders", day),
+        read_day(spark, root, "events", day),
+        one_per_key(segments, ["user_id"], rest),
     )
 
 

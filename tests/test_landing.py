@@ -69,7 +69,7 @@ def test_judgement_of_each_kind_of_file(spark, raw, ledger):
     said = {k: r["message"] for k, r in judged.items()}
     assert said["good.parquet"] == "Schema OK (2 rows, 5 columns)"
     assert said["extra.parquet"] == "Schema OK (2 rows, 6 columns)"
-    assert said["good.csv"] == "Header OK (2 rows)"
+    assert said["good.csv"] == "Header OK (3 rows)"
     assert said["lacking.parquet"] == said["lacking.csv"] == (
         "Missing required columns: {'amount', 'currency'}"
     )
@@ -100,8 +100,9 @@ def test_damaged_pages_show_only_when_pages_are_read(spark, tmp_path):
         f.seek(4)
         f.write(b"\xff" * 400)
     empty = spark.createDataFrame([], schemas.LEDGER)
-    assert landing.validate(spark, root, empty).first()["is_valid"]
-    deep = landing.validate(spark, root, empty, read_pages=True).first()
+    quick = landing.validate(spark, root, empty, read_pages=False).first()
+    assert quick["is_valid"] and quick["message"].startswith("Footer OK")
+    deep = landing.validate(spark, root, empty).first()
     assert deep["status"].startswith("quarantined:Corrupt Parquet")
 
 
@@ -147,7 +148,62 @@ def test_ledger_keeps_the_newest_entry(spark, tmp_path, ledger):
     assert landing.pending(files, ledger).count() == 0
     assert landing.pending(files, ledger, retry_quarantined=True).count() == 1
     assert landing.pending(files, landing.read_ledger(spark, path), retry_quarantined=True).count() == 0
-    assert landing.seen(files, ledger).count() == 1
+
+
+def test_a_target_of_the_same_size_is_replaced(spark, tmp_path):
+    raw, zone = tmp_path / "raw", tmp_path / "v"
+    for folder, text in ((raw, "NEW,2"), (zone, "OLD,1")):
+        folder.mkdir()
+        (folder / "a.csv").write_text(text)
+    routed = spark.createDataFrame([("a.csv", "v", 5)], "file_name string, zone string, length bigint")
+    landing.move_files(routed, str(raw), {"v": str(zone)}).collect()
+    assert (zone / "a.csv").read_text() == "NEW,2"
+    assert not list(raw.iterdir()) and [p.name for p in zone.iterdir()] == ["a.csv"]
+
+
+def test_only_unfinished_files_and_markers_are_left_out(spark, tmp_path):
+    kept = ["_orders.csv", ".hidden.csv", "a/_b/c.txt", "a/b/c/d/e/f.txt"]
+    out = ["_SUCCESS", "dt=1/_temporary/0/part-0.parquet", "x.csv.abc.inprogress", ".x.csv.crc", "_started_1"]
+    for name in kept + out:
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x")
+    assert sorted(r["file_name"] for r in listing.list_files(spark, str(tmp_path)).collect()) == sorted(kept)
+
+
+def test_days_landed_as_csv_are_read_and_twins_are_not_read_twice(spark, tmp_path):
+    root = str(tmp_path / "v")
+    put(root, "source=orders/dt=2026-03-18/orders.csv", ORDER, "csv")
+    put(root, f"source=orders/{DAY}/orders.parquet", ORDER)
+    put(root, f"source=orders/{DAY}/orders.csv", ORDER, "csv")
+    put(root, f"source=orders/{DAY}/late.csv", {**ORDER, "extra": ["1", "2"]}, "csv")
+    put(root, f"source=orders/{DAY}/empty.csv", b"")
+    assert tables.read_day(spark, root, "orders", "2026-03-18").count() == 2
+    both = tables.read_day(spark, root, "orders", "2026-03-19")
+    assert both.schema == tables.read_landed(spark, root, "orders", "2026-03-19").schema
+    assert sorted(r["amount"] for r in both.collect()) == sorted(2 * ORDER["amount"])
+
+
+def test_a_new_snapshot_replaces_the_old_one(spark, tmp_path):
+    files = spark.createDataFrame(
+        [("source=user_segments/latest/old.parquet",), ("source=user_segments/latest/new.parquet",),
+         ("source=other/latest/x.parquet",), ("source=orders/dt=2026-03-19/o.parquet",)], "file_name string")
+    moved = spark.createDataFrame([("source=user_segments/latest/new.parquet", "validated")], "file_name string, zone string")
+    found = landing.outdated_snapshots(files, moved).collect()
+    assert [tuple(r) for r in found] == [("validated", "source=user_segments/latest/old.parquet")]
+
+
+def test_drift_of_files(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    put(root, f"source=orders/{DAY}/o.parquet", {**ORDER, "amount": ["1", "2"], "tax": [0.1, 0.2]})
+    put(root, f"source=events/{DAY}/e.csv", {"event_id": ["1"], "kind": ["x"]}, "csv")
+    files = listing.inspect_files(listing.list_files(spark, root), root)
+    drift = landing.schema_drift(schemas.contract_frame(spark), landing.file_columns(files))
+    found = {(r["source"], r["column_name"]): r["change"] for r in drift.collect()}
+    assert found[("orders", "amount")] == "retyped" and found[("orders", "tax")] == "added"
+    assert found[("events", "kind")] == "added" and found[("events", "user_id")] == "removed"
+    assert ("events", "event_id") not in found
+    assert not any(source == "user_segments" for source, _ in found)
 
 
 @pytest.mark.parametrize(

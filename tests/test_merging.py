@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ordermill import schemas
 from ordermill.operators import merging, quality, writing
+from ordermill.sources.listing import partition_dates
 from ordermill.sources.tables import read_files, read_partitions, read_table
 
 D1, D2, D3 = dt.date(2026, 3, 18), dt.date(2026, 3, 19), dt.date(2026, 3, 20)
@@ -144,7 +145,41 @@ def test_rows_move_between_dates_and_empty_dates_vanish(spark, target_path):
     assert brief(table(spark, target_path)) == expected
     merging.publish_across_days(spark, source, target_path, now())
     assert brief(table(spark, target_path)) == expected
-    assert sorted(writing.partition_values(spark, target_path)) == [D2, D3]
+    assert partition_dates(spark, target_path) == [D3, D2]
+
+
+def test_a_run_that_failed_before_its_drops_is_repaired(spark, target_path, monkeypatch):
+    source = rows(spark, ("a", 10.0, D2))
+    with monkeypatch.context() as m:
+        calls = []
+        real = merging.finish_drops
+
+        def once(*args):
+            calls.append(args)
+            if len(calls) > 1:
+                raise OSError("lost between write and drop")
+            return real(*args)
+
+        m.setattr(merging, "finish_drops", once)
+        with pytest.raises(OSError):
+            merging.publish_across_days(spark, source, target_path, now())
+    assert [r[0] for r in brief(table(spark, target_path))].count("a") == 2
+    merging.publish_across_days(spark, rows(spark), target_path, now())
+    assert [r[0] for r in brief(table(spark, target_path))] == ["a", "b", "c"]
+    assert partition_dates(spark, target_path) == [D2]
+
+
+def test_a_run_that_failed_before_its_write_keeps_the_date(spark, target_path):
+    record = spark.createDataFrame([(D1,)], merging.PENDING)
+    record.write.parquet(f"{target_path}_pending_drops")
+    before = brief(table(spark, target_path))
+    merging.finish_drops(spark, target_path)
+    assert brief(table(spark, target_path)) == before
+
+
+def test_touched_dates_filter_the_target_by_a_semi_join(spark, target_path, plan):
+    text = plan(merging.touched_dates(table(spark, target_path), rows(spark, ("a", 1.0, D2))))
+    assert "LeftSemi" in text and "LeftOuter" not in text and "ReadSchema: struct<order_id:string>" in text
 
 
 def test_nothing_new_changes_nothing(spark, target_path):

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -6,11 +10,12 @@ from pyspark.sql import functions as F
 from ordermill.__main__ import _parser
 from ordermill.operators import quality
 from ordermill.plans import jobs
-from ordermill.session import work_folder
+from ordermill.session import remove_work, work_folder
 from ordermill.settings import Locations, Settings, Thresholds
 from ordermill.sources import listing, synthetic, tables
 
 DAY = "2026-03-19"
+ROOT = Path(__file__).resolve().parents[1]
 
 
 def test_orders_do_not_depend_on_partitioning(spark):
@@ -93,14 +98,71 @@ def test_a_whole_day_twice(spark, at):
     assert jobs.publish_changes(spark, at, Settings()) == 0
     assert jobs.test_columns(spark, at, DAY, DAY).where("failures > 0").isEmpty()
 
+    # Of the raw days only the emptied folders are left.
+    assert {r["zone"] for r in jobs.expire(spark, at, "2026-07-01").collect()} == {"raw"}
     assert jobs.expire(spark, at, "2026-07-01").count() == 0
 
 
-def test_failed_gate_stops_before_staging(spark, at):
+def test_failed_gate_stops_before_the_day_is_published(spark, at):
     jobs.validate(spark, at)
     with pytest.raises(quality.GateFailed, match="empty"):
         jobs.enrich(spark, at, DAY, Settings(thresholds=Thresholds(min_row_count=10**6)))
-    assert tables.read_table(spark, at.staging, "order_id string") is None
+    for path in (at.staging, at.processed):
+        assert tables.read_table(spark, path, "order_id string") is None
+
+
+def test_a_day_of_invalid_orders_leaves_the_published_day_alone(spark, at):
+    jobs.validate(spark, at)
+    jobs.enrich(spark, at, DAY)
+    before = tables.read_partitions(spark, at.processed, DAY, DAY).count()
+    folder = f"{at.validated}/source=orders/dt={DAY}"
+    bad = tables.read_landed(spark, at.validated, "orders", DAY).withColumn("amount", F.lit(-1.0))
+    kept = work_folder(spark, "bad")
+    bad.write.parquet(kept)
+    spark.read.parquet(kept).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    with pytest.raises(quality.GateFailed, match="empty"):
+        jobs.enrich(spark, at, DAY)
+    assert tables.read_partitions(spark, at.processed, DAY, DAY).count() == before > 0
+
+
+def test_two_snapshots_leave_one(spark, at):
+    jobs.validate(spark, at)
+    users = tables.read_latest(spark, at.validated).count()
+    jobs.make_samples(spark, at, orders=10, events=10, segments=1_000)
+    jobs.validate(spark, at)
+    latest = tables.read_latest(spark, at.validated)
+    assert latest.count() == users == latest.select("user_id").distinct().count()
+
+
+def test_repeats_reach_across_blocks(spark):
+    rows = synthetic.row_numbers(spark, 400)
+    whole = synthetic.synth_events(rows, block_rows=10**6).orderBy("session_id", "timestamp")
+    cut = synthetic.synth_events(rows, block_rows=7).orderBy("session_id", "timestamp")
+    assert whole.collect() == cut.collect()
+    assert whole.select("event_id").distinct().count() < 400
+
+
+def test_work_folders_are_removed(spark):
+    folder = work_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    remove_work(spark, folder)
+    assert not os.path.exists(folder)
+    with pytest.raises(ValueError):
+        remove_work(spark, "/elsewhere")
+
+
+def test_entry_and_tasks_work_from_another_folder(tmp_path):
+    """The package reaches the Python of the tasks although only the driver can import it."""
+    code = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('rows', e.queries()['file_inventory'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]
 
 
 def test_transfer_takes_new_files_only(spark, at, tmp_path):
