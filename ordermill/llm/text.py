@@ -21,7 +21,8 @@ NEWLINE[10] = True
 #: 1 for every byte that begins a code point.
 LEAD = (np.arange(256) & 0xC0) != 0x80
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+HASH_BYTES = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -124,7 +125,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _power(size: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(0)
     if have is None or len(have[0]) < size:
-        n = max(size, SLICE_BYTES + (1 << 16))
+        n = max(size, HASH_BYTES + (1 << 16))
         up, down = np.full(n, _U(_BASE)), np.full(n, _U(_INVERSE))
         up[0] = down[0] = _U(1)
         have = _powers[0] = (np.cumprod(up), np.cumprod(down))
@@ -132,7 +133,19 @@ def _power(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range, the same wherever the range stands."""
+    """A 64-bit hash of each byte range, the same wherever the range stands. Ranges are in order and
+    apart; they are taken in stretches of about ``HASH_BYTES``, which bounds the memory."""
+    out = np.empty(len(starts), _U)
+    at = 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(ends, starts[at] + HASH_BYTES, "right")))
+        low = int(starts[at])
+        out[at:end] = _hash_spans(data[low : ends[end - 1]], starts[at:end] - low, ends[at:end] - low)
+        at = end
+    return out
+
+
+def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _power(len(data) + 1)
     total = np.zeros(len(data) + 1, _U)
     np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], out=total[1:])

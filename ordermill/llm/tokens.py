@@ -18,7 +18,7 @@ import pyarrow as pa
 from ordermill.llm.text import hash_spans, ranges, slices, texts_of, words
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=>?@\[-`{-~]*)")
-KEPT_CHUNKS = 2_500_000
+KEPT_CHUNKS = 2_000_000
 
 
 def default_file() -> str:
@@ -46,8 +46,8 @@ def splits_at_space(path: str) -> bool:
 class Encoder:
     """Ids of texts. Holds at most about ``KEPT_CHUNKS`` distinct chunks, then starts afresh.
 
-    Known chunks are found by a 64-bit hash of their bytes; a chunk is two parts, a part a range
-    of ids (part 0 is empty).
+    Chunks, and the parts they fall into, are found by 64-bit hashes; a chunk is two parts, a part a
+    range of ids (part 0 is empty).
     """
 
     def __init__(self, path: str):
@@ -63,72 +63,69 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.parts: dict[str, int] = {"": 0}
-        self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.part_hash, self.part_at = np.array([hash("")]), np.zeros(1, np.int32)
+        self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int32)
+        self.flat = np.zeros(0, np.uint16 if self.size <= 1 << 16 else np.uint32)
         self.known = np.zeros(0, np.uint64)
         self.pair = np.zeros((0, 2), np.int32)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _add(self, names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.parts.update(zip(names, range(len(self.begin), len(self.begin) + len(names)), strict=True))
-        at = len(self.flat) + np.cumsum(lengths) - lengths
-        self.begin = np.concatenate([self.begin, at])
-        self.length = np.concatenate([self.length, lengths])
-        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        """Each part is one word to the tokenizer, so its ids end with the first that ends a word."""
+    def _ids(self, parts: list[str], odd: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The parts in a new order, their ids and how many each has. A part of ``parts`` is one word
+        to the tokenizer, so its ids end with the first that ends a word."""
         step = 500
         joined = [" ".join(parts[i : i + step]) for i in range(0, len(parts), step)]
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        good, odd, flat, lengths = [], [], [], []
+        names, flat, lengths = [], [], []
+        odd = list(odd)
         for i, ids in enumerate(encoded):
             group = parts[i * step : (i + 1) * step]
             array = np.array(ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[array]) + 1
             if len(ends) == len(group):
-                good += group
+                names += group
                 flat.append(array)
                 lengths.append(np.diff(ends, prepend=0))
             else:
                 odd += group
-        if good:
-            self._add(good, np.concatenate(flat), np.concatenate(lengths))
-        self._add_whole(odd)
-
-    def _add_whole(self, parts: list[str]) -> None:
-        each = [self._whole(p) for p in parts]
-        flat = np.array([i for ids in each for i in ids], np.uint32)
-        self._add(parts, flat, np.array([len(ids) for ids in each], np.int64))
+        each = [self._whole(p) for p in odd]
+        flat.append(np.array([i for ids in each for i in ids], np.uint32))
+        lengths.append(np.array([len(ids) for ids in each], np.int64))
+        return names + odd, np.concatenate(flat), np.concatenate(lengths)
 
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
-        have, split, fresh, odd = self.parts, [], {}, {}
+        """Adds chunks, given with their hashes in ascending order."""
+        split, whole = [], set()
         for chunk in chunks:
             m = _SIMPLE.fullmatch(chunk)
             if m:
                 a, b = m.groups()
-                a = a.lower()
-                if a not in have:
-                    fresh[a] = None
-                if b not in have:
-                    fresh[b] = None
+                split.append(a.lower())
+                split.append(b)
             else:
-                a, b = chunk, ""
-                if a not in have:
-                    odd[a] = None
-            split.append(a)
-            split.append(b)
-        for name in odd:
-            fresh.pop(name, None)
-        self._encode_parts(list(fresh))
-        self._add_whole(list(odd))
-        pair = np.fromiter(map(have.__getitem__, split), np.int32, len(split)).reshape(-1, 2)
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known, self.pair = known[order], np.concatenate([self.pair, pair])[order]
+                whole.add(len(split))
+                split.append(chunk)
+                split.append("")
+        h = np.fromiter(map(hash, split), np.int64, len(split))
+        distinct, place = np.unique(h, return_index=True)
+        fresh = place[~_found(self.part_hash, distinct)].tolist()
+        if fresh:
+            names, ids, lengths = self._ids(
+                [split[i] for i in fresh if i not in whole], [split[i] for i in fresh if i in whole]
+            )
+            mine = np.fromiter(map(hash, names), np.int64, len(names))
+            order = np.argsort(mine)
+            at = np.searchsorted(self.part_hash, mine[order])
+            self.part_at = np.insert(self.part_at, at, (len(self.begin) + order).astype(np.int32))
+            self.part_hash = np.insert(self.part_hash, at, mine[order])
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
+            self.length = np.concatenate([self.length, lengths.astype(np.int32)])
+            self.flat = np.concatenate([self.flat, ids.astype(self.flat.dtype)])
+        pair = self.part_at[np.searchsorted(self.part_hash, h)].reshape(-1, 2)
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.pair = np.insert(self.known, at, hashes), np.insert(self.pair, at, pair, axis=0)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids begin (one entry more than texts)."""
@@ -142,23 +139,25 @@ class Encoder:
         chunks = words(texts)
         hashes = hash_spans(texts.data, chunks.starts, chunks.ends)
         distinct, place, codes = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.known)
-        new[inside] = self.known[at[inside]] != distinct[inside]
+        new = ~_found(self.known, distinct)
         if new.any():
             raw = texts.data.tobytes()
             here = place[new]
             spans = zip(chunks.starts[here].tolist(), chunks.ends[here].tolist(), strict=True)
             self._learn(distinct[new], [raw[a:b].decode() for a, b in spans])
-            at = np.searchsorted(self.known, distinct)
-        parts = self.pair[at][codes].reshape(-1)
-        counts = self.length[parts]
-        ids = self.flat[ranges(self.begin[parts], counts)]
+        parts = self.pair[np.searchsorted(self.known, distinct)][codes].reshape(-1)
+        counts = self.length[parts].astype(np.int64)
+        ids = self.flat[ranges(self.begin[parts], counts)].astype(np.uint32)
         total = np.concatenate([[0], np.cumsum(counts)])
         return ids, total[2 * chunks.first]
 
 
+def _found(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values are in the sorted ``known``."""
+    at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+    return known[at] == values if len(known) else np.zeros(len(values), bool)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -185,6 +184,6 @@ def encoded_slices(
 ) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """For slices of (doc_id, text): the document ids, all token ids, and where each one's begin."""
     coder = encoder(path)
-    for batch in slices(batches, "text", 8 << 20):
+    for batch in slices(batches, "text", 4 << 20):
         ids, first = coder.encode(batch.column("text"))
         yield batch.column("doc_id"), *with_end(ids, first, end_id)
