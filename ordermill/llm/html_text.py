@@ -68,7 +68,7 @@ IN_HEAD = frozenset("base link meta title style script noscript template head ht
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|"
-    r"<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"<([A-Za-z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -362,6 +362,8 @@ def _table(table: Element, out: _Lines, depth: int) -> None:
                 out._begin()
                 out.now.append(line)
                 out.end_line()
+            elif n:
+                out.lines.append("")
     out.block(True)
 
 

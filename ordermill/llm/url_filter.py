@@ -28,7 +28,7 @@ from ordermill.llm import text as X
 from ordermill.llm.store import held
 
 ORDER = 5
-SLOTS = 1 << 17
+SLOTS = 1 << 18
 BINS = 4001
 WIDTH = 8.0
 _U = np.uint64
