@@ -110,6 +110,7 @@ def production_checks(as_of: Column | None = None, limits: Thresholds = Threshol
     """The standard checks. ``as_of`` is the clock of the freshness check."""
     now = F.current_timestamp() if as_of is None else as_of
     order_id, amount, rows = F.col("order_id"), F.col("amount"), F.count(F.lit(1))
+    # The names of the checks.
     return [
         Check("Row Count > 0", rows, lambda v: v > 0),
         Check("No Null Primary Keys", F.count_if(order_id.isNull()), lambda v: v == 0),

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+# Report labels, check names, file states and messages, prices.
+
 _PARTS = {
     "src_orders": """
         SELECT concat('ORD-', CAST(o_orderkey AS VARCHAR)) AS order_id,
