@@ -193,9 +193,9 @@ def synth_segments(i: Inputs) -> DataFrame:
 def file_inventory(i: Inputs) -> DataFrame:
     files = landing.with_day(landing.with_source(listing.list_files(i.spark, i.landing_path())))
     kind = F.regexp_extract("file_name", r"\.([a-z]+)$", 1)
-    return files.groupBy("source", "dt", kind.alias("format")).agg(
-        F.bool_or(F.col("length") > 0).alias("has_bytes")
-    )
+    return files.select(
+        "source", "dt", kind.alias("format"), (F.col("length") > 0).alias("has_bytes")
+    ).distinct()
 
 
 @query

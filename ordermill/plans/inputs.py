@@ -17,10 +17,12 @@ from ordermill.functions.columns import row_hash
 from ordermill.operators import writing
 from ordermill.operators.enrichment import enrich
 from ordermill.session import work_folder
+from ordermill.sources.listing import open_filesystem
 from ordermill.sources.tables import read_files
 
 AS_OF = "2024-01-31 00:00:00"
 RUN_TS = "2024-01-30 12:00:00"
+LACKING_DAY, BAD_DAY = "2025-01-01", "2025-01-02"
 LOST_MONTH, HALF_MONTH, DOUBLED_MONTH = "1995-01-01", "1995-02-01", "1995-03-01"
 
 _GIVEN = {
@@ -225,8 +227,8 @@ class Inputs:
         return self.stored("landing", self._write_landing)
 
     def _write_landing(self, root: str) -> None:
-        """Landed files: orders, events (Parquet, and CSV without its time column), segments and
-        a source the registry does not know."""
+        """Landed files: orders, events (Parquet, and CSV without its time column), segments, a
+        source the registry does not know, and bad files of events on days of their own."""
         iso = "yyyy-MM-dd'T'HH:mm:ss"
         orders = self.orders().select(
             "order_id", "user_id", "amount", "currency", "status",
@@ -251,3 +253,12 @@ class Inputs:
         )
         self.segments().write.mode("append").parquet(f"{root}/source=user_segments/latest")
         self.given("nation").write.mode("append").parquet(f"{root}/source=nations/latest")
+        events.where("dt = DATE '2024-01-01'").drop("timestamp", "dt").write.mode("append").parquet(
+            f"{root}/source=events/dt={LACKING_DAY}"
+        )
+        filesystem, base = open_filesystem(root)
+        for name, content in (("corrupt", b"PAR1 no footer here PAR1"), ("empty", b"")):
+            folder = f"{base}/source=events/dt={BAD_DAY}"
+            filesystem.create_dir(folder, recursive=True)
+            with filesystem.open_output_stream(f"{folder}/{name}.parquet") as out:
+                out.write(content)

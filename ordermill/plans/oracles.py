@@ -331,7 +331,11 @@ _SQL = {
                                                t FROM (SELECT count(*) AS t FROM customer) p) q
                     WHERE gcd(s, t) = 1) + 42) % size < size // 10""",
     # Landing
-    "file_inventory": "SELECT DISTINCT source, dt, format, true AS has_bytes FROM landed_days",
+    "file_inventory": """
+        SELECT DISTINCT source, dt, format, true AS has_bytes FROM landed_days
+        UNION ALL VALUES ('events', DATE '2025-01-01', 'parquet', true),
+                         ('events', DATE '2025-01-02', 'parquet', true),
+                         ('events', DATE '2025-01-02', 'parquet', false)""",
     "pending_transfer": """
         SELECT file_name, length FROM files
         WHERE file_name NOT IN (SELECT file_name FROM ledger)""",
@@ -347,7 +351,12 @@ _SQL = {
     "schema_check_parquet": """
         SELECT source, dt, true AS is_valid,
                CASE WHEN source <> 'nations' THEN '' END AS missing, n AS rows
-        FROM landed_days WHERE format = 'parquet'""",
+        FROM landed_days WHERE format = 'parquet'
+        UNION ALL
+        SELECT 'events', DATE '2025-01-01', false, 'timestamp', count(*)
+        FROM src_events WHERE CAST(ts AS DATE) = DATE '2024-01-01'
+        UNION ALL
+        SELECT 'events', DATE '2025-01-02', false, NULL, NULL""",
     "schema_check_csv": """
         SELECT source, dt, false AS is_valid, 'timestamp' AS missing, n AS rows
         FROM landed_days WHERE format = 'csv'""",
