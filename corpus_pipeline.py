@@ -16,9 +16,7 @@ from ordermill.llm.store import held
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    crf = line_quality.fit(docs, read(spark, sf_dir, "labels"))
-    kept = line_quality.judge(docs, crf).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return line_quality.keep(docs, line_quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

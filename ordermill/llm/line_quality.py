@@ -244,20 +244,37 @@ def judge(documents: DataFrame, crf: Crf | None, share: float = 0.5) -> DataFram
 
     def run(batches):
         for batch in X.slices(batches, "text"):
-            texts = X.texts_of(batch.column("text"))
-            d = describe(texts)
-            label = np.ones(len(d.line_words), np.int8) if crf is None else crf.decode(d.features, d.lines.first)
-            content = np.bincount(d.lines.owner(), weights=label * d.line_words, minlength=len(texts))
-            part = content / np.maximum(d.n_words, 1)
-            failed = (d.n_words < 20) | (100 * d.n_repeat_words > 30 * d.n_words)
+            d, label, part, failed = _verdicts(batch, crf)
             text = np.where(label == 1, ord("c"), ord("b")).astype(np.uint8).tobytes().decode()
             labels = [text[a:b] for a, b in zip(d.lines.first[:-1], d.lines.first[1:], strict=True)]
             columns = [d.n_words, d.word_chars, d.n_symbols, d.n_dup_lines, d.n_repeat_words, failed,
-                       ~failed & (part >= share), part, labels]
+                       ~failed & (part >= share), part]
             names = [f.split()[0] for f in JUDGED.split(", ")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")] + [pa.array(c) for c in columns[:-1]] + [pa.array(labels, pa.string())],
+                [batch.column("doc_id")] + [pa.array(c) for c in columns] + [pa.array(labels, pa.string())],
                 names=names,
             )
 
     return documents.select("doc_id", "text").mapInArrow(run, JUDGED)
+
+
+def _verdicts(batch: pa.RecordBatch, crf: Crf | None) -> tuple[Described, np.ndarray, np.ndarray, np.ndarray]:
+    """What is known of the texts, the labels of their lines, the share of content words, and which
+    of them fail the plain rules."""
+    texts = X.texts_of(batch.column("text"))
+    d = describe(texts)
+    label = np.ones(len(d.line_words), np.int8) if crf is None else crf.decode(d.features, d.lines.first)
+    content = np.bincount(d.lines.owner(), weights=label * d.line_words, minlength=len(texts))
+    failed = (d.n_words < 20) | (100 * d.n_repeat_words > 30 * d.n_words)
+    return d, label, content / np.maximum(d.n_words, 1), failed
+
+
+def keep(documents: DataFrame, crf: Crf | None, share: float = 0.5) -> DataFrame:
+    """The rows whose text is kept, with all their columns. Rows are filtered where they are read."""
+
+    def run(batches):
+        for batch in X.slices(batches, "text"):
+            _, _, part, failed = _verdicts(batch, crf)
+            yield batch.filter(pa.array(~failed & (part >= share)))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -227,6 +227,9 @@ def test_bad_lines_are_learnt(spark, docs):
     assert got[900]["kept"] and got[900]["labels"] == "cccccb" and not got[901]["kept"] and not got[902]["kept"]
     assert line_quality.fit(docs(rows), labels.where("quality = 1")) is None
     assert line_quality.judge(docs([]), crf).count() == 0
+    kept = line_quality.keep(docs([(*x, "y") for x in rows + mixed], "doc_id long, text string, quality string"), crf)
+    assert kept.columns == ["doc_id", "text", "quality"]
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
 # URLs
