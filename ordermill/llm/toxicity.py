@@ -44,7 +44,7 @@ class Model:
         for owner, place in features(texts):
             w = self.weights[place]
             hit = np.flatnonzero(w)
-            pairs = np.unique((owner[hit].astype(np.int64) << HASH_BITS) | place[hit])
+            pairs = X.distinct((owner[hit].astype(np.int64) << HASH_BITS) | place[hit])
             total += np.bincount(
                 pairs >> HASH_BITS, weights=self.weights[pairs & ((1 << HASH_BITS) - 1)], minlength=len(texts)
             )
@@ -76,7 +76,7 @@ def features(texts: list[str | None], orders: tuple[int, ...] = ORDERS) -> Itera
 def present(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, place) pairs."""
     keys = [(owner.astype(np.int64) << HASH_BITS) | place for owner, place in features(texts)]
-    pairs = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    pairs = X.distinct(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
     return pairs >> HASH_BITS, pairs & ((1 << HASH_BITS) - 1)
 
 
