@@ -39,7 +39,8 @@ from ordermill.llm.store import held
 TOKENS = 128
 THRESHOLD = 0.8
 SPLIT = 0.64
-SMALL = 64
+SMALL = 512
+CLOSE = 0.6
 LEADERS = 16
 RECALL = 0.999
 BLOCK_SETS = 1_000
@@ -211,16 +212,17 @@ def lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-LEVEL = "kind int, u long, v long"
+LEVEL = "u long, v long, nodes array<long>"
 
 
 def compare_leaders(entries: DataFrame, agree: int, close: int, split: float) -> DataFrame:
-    """For large buckets: edges (kind 0) to leaders, and the next level's entries (kind 1: id, bucket)
-    of the rows that no leader is close to. Written to the shared folder."""
+    """For large buckets: edges (u, v) to leaders, and for the rows that no leader is close to the
+    buckets of the next level (u, nodes). Written to the shared folder."""
     w = Window.partitionBy("node").orderBy(F.xxhash64("id"), "id")
     leaders = (
         entries.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= LEADERS)
-        .groupBy("node").agg(F.collect_list(F.struct("id", "sketch")).alias("leaders"))
+        # The same order in every bucket, so that a text hangs on the same leader wherever both meet.
+        .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "sketch"))).alias("leaders"))
     )
     wide = max(0, agree - (TOKENS - close))
 
@@ -253,11 +255,16 @@ def compare_leaders(entries: DataFrame, agree: int, close: int, split: float) ->
             edge = np.unique(np.stack([u, v])[:, u != v], axis=1)
             left = np.flatnonzero(stays)
             row, child = picks(X.mix(node[left].view(_U)), sketch[left].astype(_U), split)
+            edges, stay = edge.shape[1], len(left)
+            picked = np.cumsum(np.bincount(row, minlength=stay))
+            # The edges first, without buckets; then the rows that stay, without a partner.
+            blank = np.repeat([False, True], [edges, stay])
+            offsets = np.concatenate([np.zeros(edges + 1, np.int64), picked]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array([0, 1], np.int32), [edge.shape[1], len(row)])),
-                 pa.array(np.concatenate([edge[0], ids[left][row]])),
-                 pa.array(np.concatenate([edge[1], X.signed(child)]))],
-                names=["kind", "u", "v"],
+                [pa.array(np.concatenate([edge[0], ids[left]])),
+                 pa.array(np.concatenate([edge[1], ids[left]]), mask=blank),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(X.signed(child)))],
+                names=["u", "v", "nodes"],
             )
 
     joined = entries.join(leaders, "node").select("node", "id", "sketch", "leaders")
@@ -268,22 +275,22 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPL
     """Edges (u, v) that put similar sets into one group. ``sets``: id, sketch, nodes."""
     spread = math.sqrt(TOKENS * threshold * (1 - threshold))
     agree = math.floor(TOKENS * threshold - 4.5 * spread)
-    close = round(TOKENS * threshold)
+    close = round(TOKENS * CLOSE)
     sketch_of = sets.select("id", "sketch")
     level = sets.select("id", F.explode("nodes").alias("node"))
     edges = None
     while True:
         counts = level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         shared = held(level.join(counts, "node").join(sketch_of, "id").select("node", "n", "id", "sketch"), "buckets")
-        few = shared.where(F.col("n") <= small).repartition("node").sortWithinPartitions("node")
+        few = shared.where(F.col("n") <= small).repartition("node").sortWithinPartitions("node", F.xxhash64("id"))
         found = compare_small(few.select("node", "id", "sketch"), agree)
         edges = found if edges is None else edges.unionByName(found)
         many = shared.where(F.col("n") > small).select("node", "id", "sketch")
         if many.isEmpty():
             return edges.distinct()
         parted = compare_leaders(many, agree, close, split)
-        edges = edges.unionByName(parted.where("kind = 0").select("u", "v"))
-        level = parted.where("kind = 1").select(F.col("u").alias("id"), F.col("v").alias("node"))
+        edges = edges.unionByName(parted.where("v IS NOT NULL").select("u", "v"))
+        level = parted.where("v IS NULL").select(F.col("u").alias("id"), F.explode("nodes").alias("node"))
 
 
 CHECKED = "comp long, one_block boolean, id long, root long, links long"
@@ -375,7 +382,8 @@ def join(
     dealt = held(placed, "members")
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
-    texts = documents.select("doc_id", "text").join(dealt, documents["doc_id"].eqNullSafe(dealt["low"]))
+    texts = _marked(documents.select("doc_id", "text"), dealt)
+    texts = texts.join(dealt, texts["doc_id"].eqNullSafe(dealt["low"]))
     spread = texts.select("comp", "blocks", "block", "id", "copies", "text", pair.alias("pair")).select(
         "comp", "blocks", "block", "id", "copies", "text", "pair.i", "pair.j"
     )
@@ -406,6 +414,20 @@ def join(
     )
 
 
+def _marked(documents: DataFrame, members: DataFrame) -> DataFrame:
+    """The documents whose id may be one of the members' ``low``, so that only texts to be compared
+    are shuffled. One bit per hash of an id, 16 MB in all at most; what passes it wrongly is sorted
+    out by the join."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 27)) + 1
+    bits = members.select(place("low").alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits")
+    )
+    at = F.bitmap_bit_position(place("doc_id")).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = documents.withColumn("_bucket", F.bitmap_bucket_number(place("doc_id"))).join(F.broadcast(bits), "_bucket")
+    return found.where(F.call_function("shiftright", byte, F.pmod(at, F.lit(8))).bitwiseAND(1) == 1).select(*documents.columns)
+
+
 def keep_one(documents: DataFrame, **options) -> DataFrame:
     """The documents with one of each class, the one with the smallest id. Rows that repeat an id are
     the same document and stay or go together."""
