@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from ordermill.llm import text as X
 from ordermill.llm.store import held
 
 END = np.uint64(0x1F83D9ABFB41BD6B)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 MAX_BITS = 1 << 30
 _U = np.uint64
 
@@ -77,6 +78,14 @@ class Model:
         return middle(level)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one; memory freed after a block goes back to the system."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+            X.release()
+
+
 def middle(level: np.ndarray) -> np.ndarray:
     """The count a level stands for: the middle of 2**(q-1) .. 2**q - 1."""
     low = 2.0 ** (level - 1)
@@ -96,29 +105,30 @@ def short_key(keys: np.ndarray) -> np.ndarray:
 
 
 def probe(keys: np.ndarray, level: int, i: int, size: np.ndarray) -> np.ndarray:
-    h = X.mix(keys + _U(level) * _U(0x9E3779B97F4A7C15))
+    h = X.mix(keys + _U(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     step = (h >> _U(32)) | _U(1)
     return ((h + _U(i) * step) % size.astype(_U)).astype(np.int64)
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
-    """Values of ``width`` bytes as planes of equal bytes, which compress far better."""
-    return np.ascontiguousarray(values.astype(f"<u{8 if width > 4 else 4}").view(np.uint8).reshape(len(values), -1)[:, :width].T).tobytes()
+    """Values of ``width`` bytes as planes of their low, middle and high bytes, compressed."""
+    table = values.astype(f"<u{8 if width > 4 else 4}").view(np.uint8).reshape(len(values), -1)[:, :width]
+    return zstandard.compress(np.ascontiguousarray(table.T).tobytes(), 1)
 
 
 def from_planes(raw: bytes, width: int) -> np.ndarray:
-    table = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    table = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(width, -1)
     full = 8 if width > 4 else 4
     out = np.zeros((table.shape[1], full), np.uint8)
     out[:, :width] = table.T
     return out.reshape(-1).view(f"<u{full}")
 
 
-BLOCKS = "block long, doc_ids array<long>, held array<boolean>, first binary, codes binary, words binary"
+BLOCKS = "block long, doc_ids array<long>, held array<boolean>, tokens long, first binary, codes binary, words binary"
 
 
 def blocks_of(documents: DataFrame, held_out: Column) -> DataFrame:
-    """Stored rows of about 8 MB of text: the documents, their words as numbers into the block's
+    """Stored rows of about 4 MB of text: the documents, their words as numbers into the block's
     distinct word hashes (0 is the end token), the most frequent words first."""
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -143,8 +153,9 @@ def blocks_of(documents: DataFrame, held_out: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                  pa.array([batch.column("held").to_pylist()], pa.list_(pa.bool_())),
-                 pa.array([first.astype("<i8").tobytes()]), pa.array([planes(codes, 4)]), pa.array([words.tobytes()])],
-                names=["block", "doc_ids", "held", "first", "codes", "words"],
+                 pa.array([len(codes)]), pa.array([first.astype("<i8").tobytes()]), pa.array([planes(codes, 4)]),
+                 pa.array([words.tobytes()])],
+                names=["block", "doc_ids", "held", "tokens", "first", "codes", "words"],
             )
             block += 1
 
@@ -165,6 +176,23 @@ class Block:
     def train_counts(self) -> np.ndarray:
         return np.bincount(self.codes[~self.held[self.owner]], minlength=len(self.words))
 
+    def counted(self, order: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
+        """Training n-grams as (segment, short key) in one number, in order, and their counts."""
+        if order == 1:
+            count = self.train_counts()
+            some = np.flatnonzero(count)
+            keys, count = X.mix(X.chain(self.words[some], 1) + _U(1)), count[some]
+        else:
+            last, keys = self.ngrams(order)
+            keys, count = keys[~self.held[self.owner[last]]], None
+        placed = (segment_of(keys, segments).astype(_U) << _U(32)) | short_key(keys)
+        if count is not None:
+            order_ = np.argsort(placed)
+            return placed[order_], count[order_]
+        placed.sort()
+        new = np.flatnonzero(np.diff(placed, prepend=placed[:1] - _U(1)))
+        return placed[new], np.diff(np.append(new, len(placed)))
+
     def ngrams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
         """Last positions and keys of all n-grams inside a text."""
         h = self.words[self.codes]
@@ -179,20 +207,19 @@ def word_totals(blocks: DataFrame, segments: int) -> DataFrame:
     in the order they have in the block. The row with block -1 has the segment's V and N."""
 
     def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row)
-                count, seg = b.train_counts(), (b.words % _U(segments)).astype(np.int64)
-                order = np.argsort(seg, kind="stable")
-                cuts = np.searchsorted(seg[order], np.arange(segments + 1))
-                some = np.flatnonzero(np.diff(cuts))
-                parts = [order[cuts[s] : cuts[s + 1]] for s in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array([row["block"]] * len(some)),
-                     pa.array([b.words[p].astype("<u8").tobytes() for p in parts]),
-                     pa.array([planes(count[p], 4) for p in parts])],
-                    names=["segment", "block", "words", "counts"],
-                )
+        for row in _rows(batches):
+            b = Block(row)
+            count, seg = b.train_counts(), (b.words % _U(segments)).astype(np.int64)
+            order = np.argsort(seg, kind="stable")
+            cuts = np.searchsorted(seg[order], np.arange(segments + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            parts = [order[cuts[s] : cuts[s + 1]] for s in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array([row["block"]] * len(some)),
+                 pa.array([b.words[p].astype("<u8").tobytes() for p in parts]),
+                 pa.array([planes(count[p], 4) for p in parts])],
+                names=["segment", "block", "words", "counts"],
+            )
 
     def answer(table: pa.Table) -> pa.Table:
         words = [np.frombuffer(w, "<u8") for w in table["words"].to_pylist()]
@@ -221,25 +248,21 @@ def build(
     """Counts all n-grams of the training texts up to ``order`` and fills the filter."""
 
     def gather(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row)
-                for k in range(1, order + 1):
-                    last, keys = b.ngrams(k)
-                    keys, count = np.unique(keys[~b.held[b.owner[last]]], return_counts=True)
-                    seg = segment_of(keys, segments)
-                    by = np.lexsort((short_key(keys), seg))
-                    cuts = np.searchsorted(seg[by], np.arange(segments + 1))
-                    some = np.flatnonzero(np.diff(cuts))
-                    blobs = []
-                    for a, z in zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True):
-                        mine = short_key(keys[by[a:z]])
-                        blobs.append((planes(np.diff(mine, prepend=_U(0)), 4), planes(count[by[a:z]], 4)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some), pa.array([k for k, _ in blobs], pa.binary()),
-                         pa.array([c for _, c in blobs], pa.binary())],
-                        names=["segment", "keys", "counts"],
-                    )
+        for row in _rows(batches):
+            b = Block(row)
+            for k in range(1, order + 1):
+                placed, count = b.counted(k, segments)
+                cuts = np.searchsorted(placed, np.arange(segments + 1).astype(_U) << _U(32))
+                some = np.flatnonzero(np.diff(cuts))
+                blobs = []
+                for a, z in zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True):
+                    gaps = np.diff(short_key(placed[a:z]), prepend=_U(0))
+                    blobs.append((planes(gaps, 4), planes(count[a:z], 4)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), pa.array([k for k, _ in blobs], pa.binary()),
+                     pa.array([c for _, c in blobs], pa.binary())],
+                    names=["segment", "keys", "counts"],
+                )
 
     def fill(table: pa.Table) -> pa.Table:
         keys = np.concatenate([np.cumsum(from_planes(k, 4).astype(_U)) for k in table["keys"].to_pylist()])
@@ -264,22 +287,24 @@ def build(
         fill, "segment long, size long, probes long, bits binary"
     )
     sizes, probes = np.zeros(segments, np.int64), np.zeros(segments, np.int64)
-    raw: dict[int, bytes] = {}
-    for r in held(parts, "lm-filter").toLocalIterator():  # at most max_bits in all
-        sizes[r["segment"]], probes[r["segment"]], raw[r["segment"]] = r["size"], r["probes"], bytes(r["bits"])
-    lengths = np.array([len(raw.get(s, b"")) for s in range(segments)])
-    bits = np.frombuffer(b"".join(raw.pop(s, b"") for s in range(segments)), np.uint8)
-    return Model(order, mass, segments, np.cumsum(lengths) - lengths, sizes, probes, bits, tokens, words)
+    made = held(parts, "lm-filter")
+    for r in made.select("segment", "size", "probes").toLocalIterator():
+        sizes[r[0]], probes[r[0]] = r[1], r[2]
+    offsets = np.cumsum(sizes // 8) - sizes // 8
+    bits = np.zeros(int(sizes.sum() // 8), np.uint8)
+    for r in made.select("segment", "bits").toLocalIterator():  # at most max_bits in all
+        bits[offsets[r[0]] : offsets[r[0]] + len(r[1])] = np.frombuffer(r[1], np.uint8)
+    return Model(order, mass, segments, offsets, sizes, probes, bits, tokens, words)
 
 
 def log_probabilities(block: Block, model: Model) -> np.ndarray:
     """log10 of the smoothed probability of each token of a block."""
     count: dict[int, np.ndarray] = {}
-    for k in range(1, model.order + 1):
+    count[1] = model.counts(X.mix(X.chain(block.words, 1) + _U(1)))[block.codes]
+    for k in range(2, model.order + 1):
         last, keys = block.ngrams(k)
-        distinct, code = np.unique(keys, return_inverse=True)
         count[k] = np.zeros(len(block.codes))
-        count[k][last] = model.counts(distinct)[code]
+        count[k][last] = model.counts(keys)
     p = (count[1] + 0.5) / (model.tokens + 0.5 * (model.words + 1))
     for k in range(2, model.order + 1):
         context = np.concatenate([[0.0], count[k - 1][:-1]])
@@ -296,7 +321,7 @@ def score(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = documents.sparkSession
     blocks = blocks_of(documents, held_out)
-    size = blocks.agg(F.sum(F.length("codes") / 4)).first()[0] or 0
+    size = blocks.agg(F.sum("tokens")).first()[0] or 0
     # Segments follow the data, so that what meets in one task stays the same at any size.
     segments = max(8, int(size * order // tokens_a_segment))
     answers = word_totals(blocks, segments)
@@ -309,23 +334,22 @@ def score(
 
     def run(batches):
         model = shared.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row)
-                seg = (b.words % _U(segments)).astype(np.int64)
-                order_ = np.argsort(seg, kind="stable")
-                got = sorted(row["answers"], key=lambda a: a["segment"])
-                c = np.empty(len(b.words), np.int64)
-                c[order_] = np.concatenate([from_planes(a["totals"], 8).astype(np.int64) for a in got])
-                base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
-                n = np.diff(b.first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.doc_ids, pa.int64()), pa.array(b.held), pa.array(n),
-                     pa.array(X.segment_sums((c > 0)[b.codes], b.first)),
-                     pa.array(np.full(len(n), model.tokens, np.int64)),
-                     pa.array(_sums(base[b.codes], b.first)), pa.array(_sums(log_probabilities(b, model), b.first))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for row in _rows(batches):
+            b = Block(row)
+            seg = (b.words % _U(segments)).astype(np.int64)
+            order_ = np.argsort(seg, kind="stable")
+            got = sorted(row["answers"], key=lambda a: a["segment"])
+            c = np.empty(len(b.words), np.int64)
+            c[order_] = np.concatenate([from_planes(a["totals"], 8).astype(np.int64) for a in got])
+            base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
+            n = np.diff(b.first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b.doc_ids, pa.int64()), pa.array(b.held), pa.array(n),
+                 pa.array(X.segment_sums((c > 0)[b.codes], b.first)),
+                 pa.array(np.full(len(n), model.tokens, np.int64)),
+                 pa.array(_sums(base[b.codes], b.first)), pa.array(_sums(log_probabilities(b, model), b.first))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     got = answers.where("block >= 0").groupBy("block").agg(
         F.collect_list(F.struct("segment", "totals")).alias("answers")
