@@ -8,6 +8,7 @@ longer sequence.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ HASH_BYTES = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_libc = ctypes.CDLL(None)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -71,6 +73,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     """Parts of the batches with about ``limit`` bytes of text each, so that memory stays bounded
     whatever the rows of a batch; one row is never split."""
     for batch in batches:
+        release()
         texts = texts_of(batch.column(column)) if batch.num_rows else None
         at = 0
         while at < batch.num_rows:
@@ -78,6 +81,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system. Workers are used again and again, by stages of all kinds;
+    what each keeps for later adds up beside the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
 
 
 def spans(texts: Texts, separator: np.ndarray) -> Spans:

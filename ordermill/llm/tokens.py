@@ -18,7 +18,7 @@ import pyarrow as pa
 from ordermill.llm.text import hash_spans, ranges, slices, texts_of, words
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=>?@\[-`{-~]*)")
-KEPT_CHUNKS = 2_000_000
+KEPT_CHUNKS = 1_000_000
 
 
 def default_file() -> str:
