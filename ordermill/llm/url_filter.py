@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +87,17 @@ class Model:
     kinds: np.ndarray
     threshold: float
 
+    def __getstate__(self) -> tuple:
+        """Compressed, as most slots of a small corpus are empty: what is broadcast follows what is known."""
+        tables = np.stack([self.pairs, self.contexts, self.kinds])
+        return tables.shape, zstandard.compress(tables.tobytes(), 1), self.threshold
+
+    def __setstate__(self, state: tuple) -> None:
+        shape, raw, threshold = state
+        tables = np.frombuffer(zstandard.decompress(raw)).reshape(shape)
+        for name, value in zip(("pairs", "contexts", "kinds", "threshold"), (*tables, threshold), strict=True):
+            object.__setattr__(self, name, value)
+
     def log_probability(self, texts: X.Texts, kind: int) -> np.ndarray:
         """Natural log of the probability of each text and its end."""
         at = trace(texts)
