@@ -8,13 +8,15 @@ high with the filter's error rate for each further level.
     P(w | h) = (min(c(hw), c(h)) + mass * P(w | shorter h)) / (c(h) + mass)
     P(w)     = (c(w) + 0.5) / (N + 0.5 * (V + 1))
 
-Steps: texts become blocks of word hashes, stored once; n-gram keys of all training texts move to
-the segment of their hash, where their counts add up and the segment's part of the filter is made;
-the parts are broadcast. The filter gets ``bits_an_entry`` bits per entry up to ``max_bits`` in all,
-which bounds the broadcast; past that nothing is left out, but the error rate rises.
+Steps: texts become blocks of word hashes, stored once; the distinct n-gram keys of each block move to
+the segment of their hash, where the training counts add up, the segment's part of the filter is made
+and probed for the keys of each block; the levels found go back to their blocks. The filter gets
+``bits_an_entry`` bits per entry whatever the size of the corpus. Only one segment of it is in a task at
+a time, and segments are of about ``tokens_a_segment`` n-grams, so its error rate and the memory of a
+task stay the same at any size.
 
-The exact word counts behind ``base_score`` have no such bound, so they are not broadcast: a block
-asks the segments of its distinct words and gets their counts back.
+The exact word counts behind ``base_score`` move in the same way: a block asks the segments of its
+distinct words and gets their counts back.
 
 Words are told apart by a 64-bit hash, n-grams by 32 bits within their segment. Null and empty
 texts consist of the end token; repeated rows count each; with no training text N = V = 0. A null
@@ -37,13 +39,12 @@ from ordermill.llm.store import held
 
 END = np.uint64(0x1F83D9ABFB41BD6B)
 BLOCK_BYTES = 4 << 20
-MAX_BITS = 1 << 30
 _U = np.uint64
 
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs: the filter's segments and the training totals."""
+    """Segments of the filter and the training totals. Scoring holds one segment at a time."""
 
     order: int
     mass: float
@@ -60,7 +61,10 @@ class Model:
         return max(1, int(self.tokens).bit_length() + 1)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of n-grams by probing level after level."""
+        return middle(self.level(keys))
+
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of n-grams by probing level after level; 0 if missing."""
         segment = segment_of(keys, self.segments)
         level = np.zeros(len(keys), np.int64)
         at = np.flatnonzero(self.sizes[segment] > 0)
@@ -75,7 +79,7 @@ class Model:
                 ok[live] = (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             at = at[ok]
             level[at] = j
-        return middle(level)
+        return level
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -176,23 +180,6 @@ class Block:
     def train_counts(self) -> np.ndarray:
         return np.bincount(self.codes[~self.held[self.owner]], minlength=len(self.words))
 
-    def counted(self, order: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
-        """Training n-grams as (segment, short key) in one number, in order, and their counts."""
-        if order == 1:
-            count = self.train_counts()
-            some = np.flatnonzero(count)
-            keys, count = X.mix(X.chain(self.words[some], 1) + _U(1)), count[some]
-        else:
-            last, keys = self.ngrams(order)
-            keys, count = keys[~self.held[self.owner[last]]], None
-        placed = (segment_of(keys, segments).astype(_U) << _U(32)) | short_key(keys)
-        if count is not None:
-            order_ = np.argsort(placed)
-            return placed[order_], count[order_]
-        placed.sort()
-        new = np.flatnonzero(np.diff(placed, prepend=placed[:1] - _U(1)))
-        return placed[new], np.diff(np.append(new, len(placed)))
-
     def ngrams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
         """Last positions and keys of all n-grams inside a text."""
         h = self.words[self.codes]
@@ -201,6 +188,21 @@ class Block:
         inside = self.place[last] >= order - 1
         return last[inside], keys[inside]
 
+    def asked(self, order: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Distinct n-grams up to ``order`` as (segment, short key) in one number, in order; the place
+        among them of each word and then of each n-gram in the text, their training counts, and
+        the last positions of the n-grams of each order from 2 on."""
+        keys, weights, lasts = [X.mix(X.chain(self.words, 1) + _U(1))], [self.train_counts()], []
+        for k in range(2, order + 1):
+            last, found = self.ngrams(k)
+            keys.append(found)
+            weights.append(~self.held[self.owner[last]])
+            lasts.append(last)
+        flat = np.concatenate(keys)
+        placed = (segment_of(flat, segments).astype(_U) << _U(32)) | short_key(flat)
+        distinct, code = np.unique(placed, return_inverse=True)
+        return distinct, code, np.concatenate(weights), lasts
+
 
 def word_totals(blocks: DataFrame, segments: int) -> DataFrame:
     """Stored answers: for each block and segment the training counts of the block's words there,
@@ -241,85 +243,121 @@ def word_totals(blocks: DataFrame, segments: int) -> DataFrame:
     return held(answers, "lm-words")
 
 
+def _gathered(blocks: DataFrame, segments: int, order: int) -> DataFrame:
+    """For each block and segment the block's distinct n-grams there, with their training counts (0
+    if only held-out texts have them)."""
+
+    def ask(batches):
+        for row in _rows(batches):
+            distinct, code, weight, _ = Block(row).asked(order, segments)
+            count = np.bincount(code, weights=weight, minlength=len(distinct)).astype(np.int64)
+            cuts = np.searchsorted(distinct, np.arange(segments + 1).astype(_U) << _U(32))
+            some = np.flatnonzero(np.diff(cuts))
+            blobs = []
+            for a, z in zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True):
+                gaps = np.diff(short_key(distinct[a:z]), prepend=_U(0))
+                blobs.append((planes(gaps, 4), planes(count[a:z], 4)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array([row["block"]] * len(some)), pa.array([k for k, _ in blobs], pa.binary()),
+                 pa.array([c for _, c in blobs], pa.binary())],
+                names=["segment", "block", "keys", "counts"],
+            )
+
+    return blocks.mapInArrow(ask, "segment long, block long, keys binary, counts binary")
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A segment's distinct keys, their training counts, the place among them of each key of each
+    block, and where each block's keys begin."""
+    each = [np.cumsum(from_planes(k, 4).astype(_U)) for k in table["keys"].to_pylist()]
+    counts = np.concatenate([from_planes(c, 4) for c in table["counts"].to_pylist()])
+    distinct, code = np.unique(np.concatenate(each), return_inverse=True)
+    total = np.bincount(code, weights=counts, minlength=len(distinct)).astype(np.int64)
+    return distinct, total, code, np.cumsum([0] + [len(k) for k in each])
+
+
+def _filled(keys: np.ndarray, counts: np.ndarray, bits_an_entry: float, most: int | None = None) -> tuple[int, int, np.ndarray]:
+    """Size in bits, number of probes and bytes of a segment with these n-grams; ``most`` bounds its bits."""
+    level = levels(counts)
+    entries = int(level.sum())
+    size = int(max(64, bits_an_entry * entries))
+    size = (size if most is None else min(size, most)) // 64 * 64
+    probes = max(1, min(16, round(size / max(entries, 1) * 0.69)))
+    bits = np.zeros(size, bool)
+    for j in range(1, int(level.max(initial=0)) + 1):
+        mine = keys[level >= j]
+        for i in range(probes):
+            bits[probe(mine, j, i, np.full(len(mine), size))] = True
+    return size, probes, np.packbits(bits, bitorder="little")
+
+
+def ngram_levels(
+    blocks: DataFrame, segments: int, tokens: int, words: int, order: int, mass: float, bits_an_entry: float = 10.0
+) -> DataFrame:
+    """Stored answers: for each block and segment the levels of the block's distinct n-grams there, in
+    the order of their keys. A segment's part of the filter lives in the task that answers for it."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        distinct, total, code, at = _added(table)
+        size, probes, bits = _filled(distinct, total, bits_an_entry)
+        part = Model(order, mass, 1, np.array([0]), np.array([size]), np.array([probes]), bits, tokens, words)
+        level = part.level(distinct).astype(np.uint8)[code]
+        return pa.table({
+            "block": table["block"], "segment": table["segment"],
+            "levels": pa.array([zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+        })
+
+    answers = _gathered(blocks, segments, order).groupBy("segment").applyInArrow(answer, "block long, segment long, levels binary")
+    return held(answers, "lm-levels")
+
+
 def build(
     blocks: DataFrame, segments: int, tokens: int, words: int, order: int, mass: float,
-    bits_an_entry: float = 10.0, max_bits: int = MAX_BITS,
+    bits_an_entry: float = 10.0, max_bits: int | None = None,
 ) -> Model:
-    """Counts all n-grams of the training texts up to ``order`` and fills the filter."""
-
-    def gather(batches):
-        for row in _rows(batches):
-            b = Block(row)
-            for k in range(1, order + 1):
-                placed, count = b.counted(k, segments)
-                cuts = np.searchsorted(placed, np.arange(segments + 1).astype(_U) << _U(32))
-                some = np.flatnonzero(np.diff(cuts))
-                blobs = []
-                for a, z in zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True):
-                    gaps = np.diff(short_key(placed[a:z]), prepend=_U(0))
-                    blobs.append((planes(gaps, 4), planes(count[a:z], 4)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array([k for k, _ in blobs], pa.binary()),
-                     pa.array([c for _, c in blobs], pa.binary())],
-                    names=["segment", "keys", "counts"],
-                )
+    """The whole filter in the driver, to look into that of a small corpus; scoring does not use it."""
 
     def fill(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.cumsum(from_planes(k, 4).astype(_U)) for k in table["keys"].to_pylist()])
-        counts = np.concatenate([from_planes(c, 4) for c in table["counts"].to_pylist()])
-        distinct, code = np.unique(keys, return_inverse=True)
-        level = levels(np.bincount(code, weights=counts, minlength=len(distinct)))
-        entries = int(level.sum())
-        size = int(min(max(64, bits_an_entry * entries), max_bits // segments)) // 64 * 64
-        probes = max(1, min(16, round(size / max(entries, 1) * 0.69)))
-        bits = np.zeros(size, bool)
-        for j in range(1, int(level.max(initial=0)) + 1):
-            mine = distinct[level >= j]
-            for i in range(probes):
-                bits[probe(mine, j, i, np.full(len(mine), size))] = True
+        distinct, total, _, _ = _added(table)
+        size, probes, bits = _filled(distinct, total, bits_an_entry, None if max_bits is None else max_bits // segments)
         return pa.table({
             "segment": pa.array([table["segment"][0].as_py()], pa.int64()), "size": pa.array([size], pa.int64()),
-            "probes": pa.array([probes], pa.int64()),
-            "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
+            "probes": pa.array([probes], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary()),
         })
 
-    parts = blocks.mapInArrow(gather, "segment long, keys binary, counts binary").groupBy("segment").applyInArrow(
-        fill, "segment long, size long, probes long, bits binary"
-    )
-    sizes, probes = np.zeros(segments, np.int64), np.zeros(segments, np.int64)
-    made = held(parts, "lm-filter")
-    for r in made.select("segment", "size", "probes").toLocalIterator():
-        sizes[r[0]], probes[r[0]] = r[1], r[2]
-    offsets = np.cumsum(sizes // 8) - sizes // 8
-    bits = np.zeros(int(sizes.sum() // 8), np.uint8)
-    for r in made.select("segment", "bits").toLocalIterator():  # at most max_bits in all
-        bits[offsets[r[0]] : offsets[r[0]] + len(r[1])] = np.frombuffer(r[1], np.uint8)
-    return Model(order, mass, segments, offsets, sizes, probes, bits, tokens, words)
-
-
-def log_probabilities(block: Block, model: Model) -> np.ndarray:
-    """log10 of the smoothed probability of each token of a block."""
-    count: dict[int, np.ndarray] = {}
-    count[1] = model.counts(X.mix(X.chain(block.words, 1) + _U(1)))[block.codes]
-    for k in range(2, model.order + 1):
-        last, keys = block.ngrams(k)
+    parts = _gathered(blocks, segments, order).groupBy("segment").applyInArrow(fill, "segment long, size long, probes long, bits binary")
+    made = {r["segment"]: r for r in parts.toLocalIterator()}
+    of = lambda name: np.array([made[k][name] if k in made else 0 for k in range(segments)], np.int64)
+    sizes = of("size")
+    bits = np.frombuffer(b"".join(made[k]["bits"] for k in sorted(made)), np.uint8)
+    return Model(order, mass, segments, np.cumsum(sizes // 8) - sizes // 8, sizes, of("probes"), bits, tokens, words)
+
+
+def log_probabilities(
+    block: Block, level: np.ndarray, code: np.ndarray, lasts: list[np.ndarray], mass: float, tokens: int, words: int
+) -> np.ndarray:
+    """log10 of the smoothed probability of each token of a block, from the levels of its distinct
+    n-grams; ``code`` and ``lasts`` are those of ``Block.asked``."""
+    found, at = middle(level)[code], len(block.words)
+    count = {1: found[:at][block.codes]}
+    for k, last in enumerate(lasts, 2):
         count[k] = np.zeros(len(block.codes))
-        count[k][last] = model.counts(keys)
-    p = (count[1] + 0.5) / (model.tokens + 0.5 * (model.words + 1))
-    for k in range(2, model.order + 1):
+        count[k][last] = found[at : at + len(last)]
+        at += len(last)
+    p = (count[1] + 0.5) / (tokens + 0.5 * (words + 1))
+    for k in range(2, len(lasts) + 2):
         context = np.concatenate([[0.0], count[k - 1][:-1]])
         has = block.place >= k - 1
-        mixed = (np.minimum(count[k], context) + model.mass * p) / (context + model.mass)
+        mixed = (np.minimum(count[k], context) + mass * p) / (context + mass)
         p = np.where(has, mixed, p)
     return np.log10(p)
 
 
 def score(
     documents: DataFrame, held_out: Column, order: int = 3, mass: float = 4.0,
-    bits_an_entry: float = 10.0, max_bits: int = MAX_BITS, tokens_a_segment: int = 1 << 21,
+    bits_an_entry: float = 10.0, tokens_a_segment: int = 1 << 21,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
-    spark = documents.sparkSession
     blocks = blocks_of(documents, held_out)
     size = blocks.agg(F.sum("tokens")).first()[0] or 0
     # Segments follow the data, so that what meets in one task stays the same at any size.
@@ -329,31 +367,32 @@ def score(
     for r in answers.where("block = -1").select("totals").toLocalIterator():
         v, n = np.frombuffer(r[0], "<i8")
         seen, total = seen + int(v), total + int(n)
-    model = build(blocks, segments, total, seen, order, mass, bits_an_entry, max_bits)
-    shared = spark.sparkContext.broadcast(model)
+    found = ngram_levels(blocks, segments, total, seen, order, mass, bits_an_entry)
 
     def run(batches):
-        model = shared.value
         for row in _rows(batches):
             b = Block(row)
             seg = (b.words % _U(segments)).astype(np.int64)
             order_ = np.argsort(seg, kind="stable")
-            got = sorted(row["answers"], key=lambda a: a["segment"])
+            got = sorted((a for a in row["answers"] if a["totals"] is not None), key=lambda a: a["segment"])
             c = np.empty(len(b.words), np.int64)
             c[order_] = np.concatenate([from_planes(a["totals"], 8).astype(np.int64) for a in got])
-            base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
+            base = np.log10((c + 0.5) / (total + 0.5 * (seen + 1)))
+            got = sorted((a for a in row["answers"] if a["levels"] is not None), key=lambda a: a["segment"])
+            level = np.frombuffer(b"".join(zstandard.decompress(a["levels"]) for a in got), np.uint8).astype(np.int64)
+            _, code, _, lasts = b.asked(order, segments)
+            log_p = log_probabilities(b, level, code, lasts, mass, total, seen)
             n = np.diff(b.first)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b.doc_ids, pa.int64()), pa.array(b.held), pa.array(n),
                  pa.array(X.segment_sums((c > 0)[b.codes], b.first)),
-                 pa.array(np.full(len(n), model.tokens, np.int64)),
-                 pa.array(_sums(base[b.codes], b.first)), pa.array(_sums(log_probabilities(b, model), b.first))],
+                 pa.array(np.full(len(n), total, np.int64)),
+                 pa.array(_sums(base[b.codes], b.first)), pa.array(_sums(log_p, b.first))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    got = answers.where("block >= 0").groupBy("block").agg(
-        F.collect_list(F.struct("segment", "totals")).alias("answers")
-    )
+    both = answers.where("block >= 0").unionByName(found, allowMissingColumns=True)
+    got = both.groupBy("block").agg(F.collect_list(F.struct("segment", "totals", "levels")).alias("answers"))
     return blocks.join(got, "block").mapInArrow(
         run,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 import re
@@ -91,6 +92,17 @@ def test_a_smaller_filter_errs_upwards_only(spark, docs):
     assert (tight.counts(inside) >= loose.counts(inside)).all() and (loose.counts(inside) > 0).all()
 
 
+def test_scoring_neither_caps_nor_broadcasts_the_filter(spark, docs, monkeypatch):
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value))
+    assert bloom_lm.score(docs(lm_rows()), F.lit(False), tokens_a_segment=100).count() == len(lm_rows())
+    assert not sent
+    assert inspect.signature(bloom_lm.build).parameters["max_bits"].default is None
+    for n in (10, 5_000):
+        size, probes, _ = bloom_lm._filled(np.arange(n, dtype=np.uint64), np.full(n, 2), 10.0)
+        assert size > 20 * n - 64 and probes in (6, 7)
+
+
 def test_lm_without_training_texts_and_without_rows(docs):
     got = bloom_lm.score(docs([(1, "a b"), (2, None)]), F.lit(True)).collect()
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {
