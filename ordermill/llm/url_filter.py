@@ -8,8 +8,10 @@ if log P(url | accepted) - log P(url | rejected), divided by its length, reaches
 threshold is calibrated on a fifth of the ruled URLs (by hash), which the models don't learn from,
 to give both kinds of error the same weight.
 
-Counts live in hashed tables of fixed size (``SLOTS`` per order), so that what is broadcast does
-not grow with the corpus; all URLs are counted.
+Counts are exact: a context and the byte after it are one number of 51 bits. URLs become blocks, stored
+once; the distinct numbers of each block move to the segment of their context, where the counts add
+up, and the counts go back to the blocks that asked. Nothing of the model is broadcast, and segments
+follow the data, so that a task holds as much at any size.
 
 A null URL, or one without ``://``, has empty host and path, fits no rule and is scored as it is (null
 as empty text). Repeated URLs count each. Without ruled URLs of both kinds the verdict is allow.
@@ -21,15 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import text as X
+from ordermill.llm.bloom_lm import from_planes, planes
 from ordermill.llm.store import held
 
 ORDER = 5
-SLOTS = 1 << 18
+BLOCK_BYTES = 1 << 18
+KEYS_A_SEGMENT = 1 << 21
 BINS = 4001
 WIDTH = 8.0
 _U = np.uint64
@@ -78,42 +81,58 @@ def matched(rules: tuple[Rule, ...]) -> Column:
 
 
 @dataclass(frozen=True)
-class Model:
-    """Tables by class, order and slot: counts of (context, byte), of contexts, and how many
-    different bytes followed a context; the calibrated threshold."""
+class Table:
+    """Numbers by class for keys in order; 0 for other keys."""
 
-    pairs: np.ndarray
-    contexts: np.ndarray
-    kinds: np.ndarray
-    threshold: float
+    keys: np.ndarray
+    values: np.ndarray
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' columns in ``values``, of which the last is for keys that are missing."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return np.where(self.keys[at] == keys, at, len(self.keys)) if len(self.keys) else at
 
-    def __getstate__(self) -> tuple:
-        """Compressed, as most slots of a small corpus are empty: what is broadcast follows what is known."""
-        tables = np.stack([self.pairs, self.contexts, self.kinds])
-        return tables.shape, zstandard.compress(tables.tobytes(), 1), self.threshold
+    def __getitem__(self, which: tuple) -> np.ndarray:
+        kind, _, keys = which
+        return self.values[kind, self.find(keys)]
 
-    def __setstate__(self, state: tuple) -> None:
-        shape, raw, threshold = state
-        tables = np.frombuffer(zstandard.decompress(raw)).reshape(shape)
-        for name, value in zip(("pairs", "contexts", "kinds", "threshold"), (*tables, threshold), strict=True):
-            object.__setattr__(self, name, value)
 
-    def log_probability(self, texts: X.Texts, kind: int) -> np.ndarray:
-        """Natural log of the probability of each text and its end."""
+@dataclass(frozen=True)
+class Model:
+    """Counts of (context, byte), of contexts, and how many different bytes followed a context, by
+    class, order and key; the calibrated threshold."""
+
+    pairs: Table
+    contexts: Table
+    kinds: Table
+    threshold: float
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray, threshold: float = 0.0) -> Model:
+        """From distinct pairs in order and, for each, the counts of the pair in either class, those
+        of its context, and the kinds of bytes after that."""
+        full = np.concatenate([counts.astype(np.float64), np.zeros((6, 1))], axis=1)
+        context, first = np.unique(keys >> _U(8), return_index=True)
+        first = np.append(first, len(keys))
+        return cls(Table(keys, full[:2]), Table(context, full[2:4, first]), Table(context, full[4:, first]), threshold)
+
+    def log_probabilities(self, texts: X.Texts) -> np.ndarray:
+        """Natural log of the probability of each text and its end, in either class."""
         at = trace(texts)
-        p = np.full(len(at.owner), 1 / 256)
+        p = np.full((2, len(at.owner)), 1 / 256)
         for k in range(ORDER + 1):
             slot, pair = at.slots(k)
-            n, t = self.contexts[kind, k, slot], self.kinds[kind, k, slot]
+            place, found = self.contexts.find(slot), self.pairs.find(pair)
+            n, t = self.contexts.values[:, place], self.kinds.values[:, place]
             seen = n > 0
-            mixed = (self.pairs[kind, k, pair] + t * p) / np.where(seen, n + t, 1)
+            mixed = (self.pairs.values[:, found] + t * p) / np.where(seen, n + t, 1)
             p = np.where(seen, mixed, p)
-        return np.bincount(at.owner, weights=np.log(p), minlength=len(texts))
+        return np.stack([np.bincount(at.owner, weights=np.log(x), minlength=len(texts)) for x in p])
 
     def ratio(self, texts: X.Texts) -> np.ndarray:
         """Difference of the log-likelihoods per byte (the end counts as one)."""
-        size = np.diff(texts.offsets) + 1
-        return (self.log_probability(texts, 1) - self.log_probability(texts, 0)) / size
+        rejected, accepted = self.log_probabilities(texts)
+        return (accepted - rejected) / (np.diff(texts.offsets) + 1)
 
 
 @dataclass(frozen=True)
@@ -125,11 +144,11 @@ class Trace:
     owner: np.ndarray
 
     def slots(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        h = np.full(len(self.at), _U(order + 1))
-        for j in range(1, order + 1):
-            h = h * _U(0x100000001B3) + self.points[self.at - j] + _U(1)
-        h = X.mix(h)
-        return (h % _U(SLOTS)).astype(np.int64), (X.mix(h + self.points[self.at] + _U(1)) % _U(SLOTS)).astype(np.int64)
+        """The order and the ``order`` bytes before each byte as one number, and that with the byte."""
+        h = np.full(len(self.at), _U(order))
+        for j in range(ORDER, 0, -1):
+            h = (h << _U(8)) | (self.points[self.at - j] if j <= order else _U(0))
+        return h, (h << _U(8)) | self.points[self.at]
 
 
 def trace(texts: X.Texts) -> Trace:
@@ -140,87 +159,177 @@ def trace(texts: X.Texts) -> Trace:
     return Trace(points, X.ranges(begin, sizes + 1), np.repeat(np.arange(n), sizes + 1))
 
 
-def fit(ruled: DataFrame) -> Model | None:
-    """Learns from (url, allow). None without URLs of both kinds."""
-    spark = ruled.sparkSession
-    rows = ruled.select("url", F.col("allow").cast("int").alias("allow"), (F.pmod(F.crc32("url"), F.lit(5)) == 0).alias("calibrates"))
-
-    def count(batches):
-        for batch in X.slices(batches, "url", 1 << 20):
-            texts, allow = X.texts_of(batch.column("url")), np.asarray(batch.column("allow"))
-            at = trace(texts)
-            for k in range(ORDER + 1):
-                slot, pair = at.slots(k)
-                keys, n = np.unique(np.stack([allow[at.owner], slot, pair]), axis=1, return_counts=True) if len(slot) else (np.zeros((3, 0), np.int64), np.zeros(0, np.int64))
+BLOCKS = (
+    "block long, page_ids array<long>, urls array<string>, rules array<string>, allow array<boolean>, "
+    "learns array<boolean>, calibrates array<boolean>, points long, accepted long, rejected long"
+)
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """Stored rows of about ``BLOCK_BYTES`` of URLs, of (page_id, url, rule, allow); without a rule, allow is null."""
+    ruled = F.col("allow").isNotNull() & F.col("url").isNotNull()
+    fifth = F.pmod(F.crc32("url"), F.lit(5)) == 0
+    rows = rows.withColumns({"learns": F.coalesce(ruled & ~fifth, F.lit(False)), "calibrates": F.coalesce(ruled & fifth, F.lit(False))})
+
+    def run(batches):
+        import pyspark
+
+        block = pyspark.TaskContext.get().partitionId() << 24
+        for batch in X.slices(batches, "url", BLOCK_BYTES):
+            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "rule", "allow", "learns", "calibrates")]
+            learnt = [a for a, learns in zip(columns[3], columns[4], strict=True) if learns]
+            points = int(X.texts_of(batch.column("url")).offsets[-1]) + batch.num_rows
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block]), *(pa.array([c], pa.list_(kind)) for c, kind in zip(columns, kinds, strict=True)),
+                 pa.array([points]), pa.array([sum(learnt)], pa.int64()), pa.array([len(learnt) - sum(learnt)], pa.int64())],
+                names=["block", "page_ids", "urls", "rules", "allow", "learns", "calibrates", "points", "accepted", "rejected"],
+            )
+            block += 1
+
+    return held(rows.select("page_id", "url", "rule", "allow", "learns", "calibrates").mapInArrow(run, BLOCKS), "url-blocks")
+
+
+def _asked(at: Trace, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of all orders in order, their order by segment, and where segments begin there."""
+    keys = np.concatenate([X.distinct(at.slots(k)[1]) for k in range(ORDER + 1)])
+    segment = (X.mix(keys >> _U(8)) % _U(segments)).astype(np.int64)
+    order = np.argsort(segment, kind="stable")
+    return keys, order, np.searchsorted(segment[order], np.arange(segments + 1))
+
+
+def counted(blocks: DataFrame, segments: int) -> DataFrame:
+    """Stored answers: for each block and segment the six counts (see ``Model.of``) of the block's
+    distinct pairs there, in their order."""
+
+    def ask(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                at = trace(X.texts_of(pa.array(row["urls"], pa.string())))
+                keys, order, cuts = _asked(at, segments)
+                kind = np.array([2 if not learns else int(a) for a, learns in zip(row["allow"], row["learns"], strict=True)])[at.owner]
+                counts = np.zeros((2, len(keys)), np.int64)
+                for k in range(ORDER + 1):
+                    pair = at.slots(k)[1]
+                    for c in (0, 1):
+                        seen, n = np.unique(pair[kind == c], return_counts=True)
+                        counts[c, np.searchsorted(keys, seen)] += n
+                some = np.flatnonzero(np.diff(cuts))
+                parts = [order[cuts[s] : cuts[s + 1]] for s in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[0].astype(np.int32)), pa.array(np.full(len(n), k, np.int32)), pa.array(keys[1]), pa.array(keys[2]), pa.array(n)],
-                    names=["allow", "k", "slot", "pair", "n"],
+                    [pa.array(some), pa.array([row["block"]] * len(some)),
+                     pa.array([planes(np.diff(keys[p], prepend=_U(0)), 8) for p in parts], pa.binary()),
+                     pa.array([planes(counts[:, p].ravel(), 4) for p in parts], pa.binary())],
+                    names=["segment", "block", "keys", "counts"],
                 )
 
-    counted = held(
-        rows.where(~F.col("calibrates")).mapInArrow(count, "allow int, k int, slot long, pair long, n long")
-        .groupBy("allow", "k", "slot", "pair").agg(F.sum("n").alias("n")),
-        "url-counts",
-    )
-    tables = np.zeros((3, 2, ORDER + 1, SLOTS))
-    # At most SLOTS rows for each class and order.
-    for which, column in ((0, "pair"), (1, "slot")):
-        t = counted.groupBy("allow", "k", column).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toArrow()
-        index = tuple(np.asarray(t[c]) for c in ("allow", "k", column))
-        tables[which][index] = np.asarray(t["n"])
-        if which:
-            tables[2][index] = np.asarray(t["kinds"])
-    if not tables[1, 0].any() or not tables[1, 1].any():
-        return None
-    model = Model(*tables, 0.0)
-    shared = spark.sparkContext.broadcast(model)
-
-    def bins(batches):
-        total = np.zeros((2, BINS), np.int64)
-        for batch in X.slices(batches, "url", 1 << 20):
-            allow = np.asarray(batch.column("allow"))
-            b = np.clip(np.rint((shared.value.ratio(X.texts_of(batch.column("url"))) / WIDTH + 0.5) * (BINS - 1)), 0, BINS - 1).astype(int)
-            np.add.at(total, (allow, b), 1)
-        kind, b = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(b), pa.array(total[kind, b])], names=["allow", "bin", "n"])
+    def answer(table: pa.Table) -> pa.Table:
+        each = [np.cumsum(from_planes(k, 8)) for k in table["keys"].to_pylist()]
+        sums = np.concatenate([from_planes(c, 4).reshape(2, -1) for c in table["counts"].to_pylist()], axis=1)
+        keys, code = np.unique(np.concatenate(each), return_inverse=True)
+        pairs = np.stack([np.bincount(code, weights=x, minlength=len(keys)) for x in sums]).astype(np.int64)
+        first = np.flatnonzero(np.diff(keys >> _U(8), prepend=_U(0xFFFFFFFFFFFFFFFF)))
+        size = np.diff(np.append(first, len(keys)))
+        contexts = [np.repeat(np.add.reduceat(x, first, axis=1), size, axis=1) for x in (pairs, (pairs > 0).astype(np.int64))]
+        full = np.concatenate([pairs, *contexts])[:, code]
+        at = np.cumsum([0] + [len(k) for k in each])
+        return pa.table({
+            "block": table["block"], "segment": table["segment"],
+            "counts": pa.array([planes(full[:, a:z].ravel(), 8) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+        })
+
+    asked = blocks.mapInArrow(ask, "segment long, block long, keys binary, counts binary")
+    answers = asked.groupBy("segment").applyInArrow(answer, "block long, segment long, counts binary")
+    return held(answers, "url-counts")
+
+
+def _with_answers(blocks: DataFrame, segments: int) -> DataFrame:
+    got = counted(blocks, segments).groupBy("block").agg(F.collect_list(F.struct("segment", "counts")).alias("answers"))
+    return blocks.join(got, "block")
+
 
+def _part(row: dict, segments: int) -> tuple[X.Texts, np.ndarray, np.ndarray]:
+    """The URLs of a block with its answers, their distinct pairs and the counts of these."""
+    texts = X.texts_of(pa.array(row["urls"], pa.string()))
+    keys, order, _ = _asked(trace(texts), segments)
+    counts = np.empty((6, len(keys)), np.int64)
+    got = sorted(row["answers"], key=lambda a: a["segment"])
+    counts[:, order] = np.concatenate([from_planes(a["counts"], 8).reshape(6, -1) for a in got], axis=1)
+    return texts, keys, counts
+
+
+def _size(blocks: DataFrame) -> tuple[int, bool]:
+    """Segments to use, and whether URLs of both kinds are there to learn from."""
+    points, accepted, rejected = (x or 0 for x in blocks.agg(F.sum("points"), F.sum("accepted"), F.sum("rejected")).first())
+    return max(8, points * (ORDER + 1) // KEYS_A_SEGMENT), accepted > 0 and rejected > 0
+
+
+SCORED = "page_id long, url string, rule string, allow boolean, calibrates boolean, ratio double"
+
+
+def scored(blocks: DataFrame, segments: int, learnt: bool) -> DataFrame:
+    """The rows of the blocks with their ratio, stored."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                if learnt:
+                    texts, keys, counts = _part(row, segments)
+                    ratio = Model.of(keys, counts).ratio(texts)
+                else:
+                    ratio = np.zeros(len(row["urls"]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["page_ids"], pa.int64()), pa.array(row["urls"], pa.string()), pa.array(row["rules"], pa.string()),
+                     pa.array(row["allow"], pa.bool_()), pa.array(row["calibrates"], pa.bool_()), pa.array(ratio)],
+                    names=["page_id", "url", "rule", "allow", "calibrates", "ratio"],
+                )
+
+    return held((_with_answers(blocks, segments) if learnt else blocks).mapInArrow(run, SCORED), "url-scored")
+
+
+def calibrated(rows: DataFrame) -> float:
+    """The threshold that gives both kinds of error the same weight."""
+    place = F.rint((F.col("ratio") / WIDTH + 0.5) * (BINS - 1)).cast("int")
+    bin_ = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place))
     found = np.zeros((2, BINS))
-    for r in rows.where("calibrates").mapInArrow(bins, "allow long, bin long, n long").groupBy("allow", "bin").agg(F.sum("n").alias("n")).collect():
-        found[r["allow"], r["bin"]] = r["n"]
+    for r in rows.where("calibrates").groupBy("allow", bin_.alias("bin")).agg(F.count("*").alias("n")).collect():
+        found[int(r["allow"]), r["bin"]] = r["n"]
     share = np.cumsum(found, axis=1) / np.maximum(found.sum(axis=1, keepdims=True), 1)
     # Below bin b: accepted URLs lost, and rejected ones caught.
     below = np.concatenate([[[0.0], [0.0]], share], axis=1)
     errors = below[1] + 1 - below[0]
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
     middle = best[len(best) // 2]
-    return Model(*tables, float(((middle - 0.5) / (BINS - 1) - 0.5) * WIDTH))
+    return float(((middle - 0.5) / (BINS - 1) - 0.5) * WIDTH)
+
+
+def fit(ruled: DataFrame) -> Model | None:
+    """Learns from (url, allow). None without URLs of both kinds. Puts the whole model together in the
+    driver, to look into that of a small table; ``judge`` does not."""
+    rows = ruled.select(F.lit(None).cast("long").alias("page_id"), "url", F.lit(None).cast("string").alias("rule"), "allow")
+    blocks = blocks_of(rows)
+    segments, learnt = _size(blocks)
+    if not learnt:
+        return None
+    parts = [_part(r.asDict(True), segments)[1:] for r in _with_answers(blocks, segments).toLocalIterator()]
+    keys, first = np.unique(np.concatenate([k for k, _ in parts]), return_index=True)
+    counts = np.concatenate([c for _, c in parts], axis=1)[:, first]
+    return Model.of(keys, counts, calibrated(scored(blocks, segments, True)))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and the ratio of every page."""
-    spark = pages.sparkSession
     known = with_parts(pages.select("page_id", "url")).withColumn("rule", matched(rules))
     allows = F.lit(False)
     for r in rules:
         if r.allow:
             allows = allows | (F.col("rule") == r.text)
-    ruled = known.where("rule IS NOT NULL").select("url", allows.alias("allow"))
-    shared = spark.sparkContext.broadcast(fit(ruled))
-
-    def run(batches):
-        model = shared.value
-        for batch in X.slices(batches, "url", 1 << 20):
-            ratio = np.zeros(batch.num_rows) if model is None else model.ratio(X.texts_of(batch.column("url")))
-            fits = pa.array(ratio >= (0.0 if model is None else model.threshold))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("page_id", "host", "path", "rule")), fits, pa.array(ratio)],
-                names=["page_id", "host", "path", "rule", "fits", "ratio"],
-            )
-
-    scored = known.mapInArrow(run, "page_id long, host string, path string, rule string, fits boolean, ratio double")
-    verdict = F.when(F.coalesce(allows, F.col("fits")), "allow").otherwise("block")
-    return scored.select(
+    blocks = blocks_of(known.select("page_id", "url", "rule", F.when(F.col("rule").isNotNull(), allows).alias("allow")))
+    segments, learnt = _size(blocks)
+    rows = scored(blocks, segments, learnt)
+    fits = F.col("ratio") >= (calibrated(rows) if learnt else 0.0)
+    return with_parts(rows).select(
         "page_id", "host", "path", "rule",
-        F.when(F.col("rule").isNull(), F.when(F.col("fits"), "allow").otherwise("block")).otherwise(verdict).alias("verdict"),
+        F.when(F.coalesce("allow", fits), "allow").otherwise("block").alias("verdict"),
         "ratio",
     )

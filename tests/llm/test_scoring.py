@@ -292,6 +292,34 @@ def test_the_model_is_a_smoothed_distribution_and_tells_kinds_apart(spark):
         assert 0.3 < p < 1.01  # two contexts may share a slot
 
 
+def test_url_counts_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(url_filter, "KEYS_A_SEGMENT", 20_000)
+    r = random.Random(2)
+    rows = [("http://%s/%d" % (r.choice(["a.com", "b.net"]), r.randint(0, 10**12)), bool(i % 2)) for i in range(20_000)]
+    want = Counter()
+    for url, allow in rows:
+        if zlib.crc32(url.encode()) % 5:
+            text = b"\0" * url_filter.ORDER + url.encode() + b"\0"
+            want.update((allow, text[j - 5 : j], text[j]) for j in range(5, len(text)))
+    model = url_filter.fit(spark.createDataFrame(rows, "url string, allow boolean").repartition(3))
+    sums, kinds = Counter(), Counter()
+    for (allow, context, _), n in want.items():
+        sums[allow, context] += n
+        kinds[allow, context] += 1
+    probe = [u for u, _ in rows[:200]]
+    at = url_filter.trace(X.texts_of(pa.array(probe)))
+    slot, pair = at.slots(5)
+    texts = [b"\0" * 5 + u.encode() + b"\0" for u in probe]
+    places = [(t[j - 5 : j], t[j]) for t in texts for j in range(5, len(t))]
+    for c in (0, 1):
+        assert model.pairs[c, 5, pair].tolist() == [want[bool(c), x, y] for x, y in places]
+        assert model.contexts[c, 5, slot].tolist() == [sums[bool(c), x] for x, _ in places]
+        assert model.kinds[c, 5, slot].tolist() == [kinds[bool(c), x] for x, _ in places]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(probe)] + [(999, None)], "page_id long, url string")
+    assert url_filter.judge(pages).count() == 201
+
+
 def _next(model, before, texts):
     """Log-probability of the byte after ``before``, for each text."""
     out = []
