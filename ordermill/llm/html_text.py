@@ -10,8 +10,12 @@ lists, quotes and tables apart by an empty line; ``br`` breaks a line; list item
 their number and are indented by their depth; table cells are padded to the width of their column;
 ``pre`` keeps its white space, elsewhere runs of it become one space.
 
-Null and empty pages give an empty text. Repeated rows are rendered alike. Nesting deeper than
-``MAX_DEPTH`` is kept as text at that depth. Very long pages are rendered whole.
+Of an ``svg`` the text elements are shown, of dialogs the open ones.
+
+Null and empty pages give an empty text. Repeated rows are rendered alike. Elements are the same at any
+depth, and very long pages are rendered whole. Of the layout alone two things stop at a width, as they
+would grow with the square of the depth: indentation at ``MAX_INDENT`` columns, and padded columns in
+tables within ``MAX_TABLES`` others, whose cells stand on lines of their own.
 """
 
 from __future__ import annotations
@@ -25,14 +29,15 @@ from pyspark.sql import DataFrame
 
 from ordermill.llm import text as X
 
-MAX_DEPTH = 200
+MAX_INDENT = 400
+MAX_TABLES = 100
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 #: Never shown.
 HIDDEN = frozenset(
-    "head script style template noscript title meta link iframe noembed noframes object audio video canvas svg "
-    "math datalist select textarea dialog area map base param source track".split()
+    "head script style template noscript title meta link iframe noembed noframes object audio video canvas "
+    "math datalist select textarea area map base param source track".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer "
@@ -63,6 +68,13 @@ IMPLIED = {
 }
 #: End tags don't reach beyond these.
 SCOPE = frozenset("table td th caption html template".split())
+#: Not shown inside an svg.
+SVG_UNSHOWN = frozenset("defs desc metadata symbol clippath mask marker pattern".split())
+#: Start tags that end an svg left open.
+LEAVES_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 IN_HEAD = frozenset("base link meta title style script noscript template head html".split())
 
 _TOKEN = re.compile(
@@ -93,60 +105,91 @@ def attributes(source: str) -> dict[str, str]:
 
 
 class _Builder:
+    """``open`` has the places in the stack of the open elements of each tag, and of all blocks
+    and scopes, so that finding one takes as long at any depth."""
+
     def __init__(self):
         self.root = Element("#root")
         self.stack = [self.root]
+        self.open: dict[str, list[int]] = {"#block": [], "#scope": []}
+
+    def _push(self, element: Element) -> None:
+        for name in self._names(element.tag):
+            self.open.setdefault(name, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def _cut(self, place: int) -> None:
+        """Closes the element at a place and all inside it."""
+        while len(self.stack) > place:
+            for name in self._names(self.stack.pop().tag):
+                self.open[name].pop()
+
+    @staticmethod
+    def _names(tag: str):
+        yield tag
+        if tag in BLOCK:
+            yield "#block"
+        if tag in SCOPE:
+            yield "#scope"
+
+    def _innermost(self, names) -> int:
+        """Place of the innermost open element of these, else 0."""
+        best = 0
+        for name in names:
+            places = self.open.get(name)
+            if places and places[-1] > best:
+                best = places[-1]
+        return best
 
     def text(self, source: str) -> None:
         if source:
             if self.stack[-1].tag == "head" and not source.isspace():
-                self.stack.pop()
+                self._cut(len(self.stack) - 1)
             self.stack[-1].children.append(source)
 
     def start(self, tag: str, source: str) -> None:
+        svg = self._innermost(("svg",))
+        if svg < self._innermost(("foreignobject",)):
+            svg = 0
+        if svg and tag in LEAVES_SVG:
+            self._cut(svg)
+            svg = 0
         if self.stack[-1].tag == "head" and tag not in IN_HEAD:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         if tag in CLOSES_P:
             self._close(frozenset(["p"]), frozenset(["table", "td", "th", "li", "dd", "dt"]))
         if tag in HEADINGS and self.stack[-1].tag in HEADINGS:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         element = Element(tag, attributes(source) if source and not source.isspace() else {})
         self.stack[-1].children.append(element)
-        if tag not in VOID and len(self.stack) < MAX_DEPTH:
-            self.stack.append(element)
+        if tag not in VOID and not ((svg or tag == "svg") and source.endswith("/")):
+            self._push(element)
 
     def _close(self, tags: frozenset, until: frozenset) -> None:
         """Closes the outermost open element of ``tags`` below the innermost of ``until``."""
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in until:
+        while (last := self._innermost(tags)) > self._innermost(until):
+            while last > 1 and self.stack[last - 1].tag in tags:
+                last -= 1
+            self._cut(last)
+            if len(tags) == 1:
                 return
-            if self.stack[k].tag in tags:
-                last = k
-                while last > 1 and self.stack[last - 1].tag in tags:
-                    last -= 1
-                del self.stack[last:]
-                if len(tags) == 1:
-                    return
-                return self._close(tags, until)
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", "")
             return
-        if tag == "p" and not any(e.tag == "p" for e in self.stack):
+        if tag == "p" and not self.open.get("p"):
             self.stack[-1].children.append(Element("p"))
             return
-        inline = tag in FORMATTING
-        for k in range(len(self.stack) - 1, 0, -1):
-            open_ = self.stack[k].tag
-            if open_ == tag or (tag in HEADINGS and open_ in HEADINGS):
-                del self.stack[k:]
-                return
-            # Inline end tags stay within their block; others within their cell or table.
-            if (inline and open_ in BLOCK) or (open_ in SCOPE and tag not in ("table", "html", "body", "tr", "tbody", "thead", "tfoot")):
-                return
+        # Inline end tags stay within their block; others within their cell or table.
+        bounds = ["#block"] if tag in FORMATTING else []
+        if tag not in ("table", "html", "body", "tr", "tbody", "thead", "tfoot"):
+            bounds.append("#scope")
+        place = self._innermost(HEADINGS if tag in HEADINGS else (tag,))
+        if place and place >= self._innermost(bounds):
+            self._cut(place)
 
 
 def parse(html: str) -> Element:
@@ -165,7 +208,7 @@ def parse(html: str) -> Element:
         elif m[2]:
             tag = m[2].lower()
             builder.start(tag, m[3])
-            if tag in RAW and len(builder.stack) > 1 and builder.stack[-1].tag == tag:
+            if tag in RAW and builder.stack[-1].tag == tag:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 inside = html[at : close.start() if close else size]
                 builder.text(unescape(inside) if tag in ("title", "textarea") else inside)
@@ -180,6 +223,8 @@ def hidden(e: Element) -> bool:
     if e.tag in HIDDEN:
         return True
     a = e.attributes
+    if e.tag == "dialog" and "open" not in a:
+        return True
     if not a:
         return False
     return (
@@ -256,12 +301,26 @@ class _Lines:
 
 
 def render(e: Element) -> str:
+    """Walks are generators that yield the walks inside them, so that depth needs no recursion."""
+    open_, value = [_rendered(e, 0)], None
+    while open_:
+        try:
+            open_.append(open_[-1].send(value))
+            value = None
+        except StopIteration as end:
+            open_.pop()
+            value = end.value
+    return value
+
+
+def _rendered(e: Element, tables: int):
     out = _Lines()
-    _walk(e, out, 0, False)
+    yield _walk(e, out, 0, False, tables)
     return out.whole()
 
 
-def _walk(e: Element, out: _Lines, depth: int, pre: bool) -> None:
+def _walk(e: Element, out: _Lines, depth: int, pre: bool, tables: int):
+    """``depth`` counts lists and ``tables`` tables around."""
     number = 0
     for child in e.children:
         if isinstance(child, str):
@@ -286,11 +345,15 @@ def _walk(e: Element, out: _Lines, depth: int, pre: bool) -> None:
             if child.attributes.get("alt", "").strip():
                 out.text(child.attributes["alt"])
             continue
-        if tag == "table":
-            _table(child, out, depth)
+        if tag == "svg":
+            yield _svg(child, out, depth, False, tables)
+            continue
+        if tag == "table" and tables < MAX_TABLES:
+            yield _table(child, out, depth, tables + 1)
             continue
         if tag not in BLOCK:
-            _walk(child, out, depth, pre)
+            if child.children:
+                yield _walk(child, out, depth, pre, tables)
             continue
         apart = tag in APART and not (tag in ("ul", "ol") and depth)
         if tag == "li":
@@ -301,20 +364,38 @@ def _walk(e: Element, out: _Lines, depth: int, pre: bool) -> None:
             else:
                 mark = "- "
             indent = out.indent
-            out.indent, out.mark = indent + " " * len(mark), mark
-            _walk(child, out, depth + 1, pre)
+            out.indent, out.mark = (indent + " " * len(mark))[:MAX_INDENT], mark
+            yield _walk(child, out, depth + 1, pre, tables)
             out.block()
             out.indent, out.mark = indent, ""
             continue
         indent = out.indent
         out.block(apart)
         if tag in ("blockquote", "dd"):
-            out.indent = indent + "  "
-        _walk(child, out, depth, pre or tag == "pre")
+            out.indent = (indent + "  ")[:MAX_INDENT]
+        yield _walk(child, out, depth, pre or tag == "pre", tables)
         out.block(apart)
         out.indent = indent
 
 
+def _svg(e: Element, out: _Lines, depth: int, shown: bool, tables: int):
+    """The text elements of an svg, apart from each other."""
+    for child in e.children:
+        if isinstance(child, str):
+            if shown:
+                out.text(child)
+        elif hidden(child) or child.tag in SVG_UNSHOWN:
+            continue
+        elif child.tag == "foreignobject":
+            yield _walk(child, out, depth, False, tables)
+        elif child.tag == "text":
+            out.space = True
+            yield _svg(child, out, depth, True, tables)
+            out.space = True
+        else:
+            yield _svg(child, out, depth, shown, tables)
+
+
 def _number(item: Element, last: int, parent: Element) -> int:
     for source in (item.attributes.get("value"), None if last else parent.attributes.get("start")):
         if source is not None and re.fullmatch(r"\s*-?\d{1,9}\s*", source):
@@ -331,18 +412,18 @@ def _rows(e: Element):
                 yield from _rows(child)
 
 
-def _table(table: Element, out: _Lines, depth: int) -> None:
+def _table(table: Element, out: _Lines, depth: int, tables: int):
     """Rows on lines, cells padded to the widest of their column; what stands in a table outside its
     cells comes before it. A cell of several lines takes as many lines of the row."""
     out.block(True)
-    _stray(table, out, depth)
+    yield _stray(table, out, depth, tables)
     grid = []
     for row in _rows(table):
         cells = []
         for c in row.children:
             if isinstance(c, Element) and c.tag in ("td", "th") and not hidden(c):
                 span = c.attributes.get("colspan", "1").strip()
-                cells.append(render(c).split("\n"))
+                cells.append((yield _rendered(c, tables)).split("\n"))
                 cells += [[""]] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() and int(span) > 1 else 0)
         if any(any(c) for c in cells):
             grid.append(cells)
@@ -367,16 +448,16 @@ def _table(table: Element, out: _Lines, depth: int) -> None:
     out.block(True)
 
 
-def _stray(e: Element, out: _Lines, depth: int) -> None:
+def _stray(e: Element, out: _Lines, depth: int, tables: int):
     for child in e.children:
         if isinstance(child, str):
             out.text(child)
         elif hidden(child) or child.tag in ("td", "th"):
             continue
         elif child.tag in ("tr", "tbody", "thead", "tfoot"):
-            _stray(child, out, depth)
+            yield _stray(child, out, depth, tables)
         else:
-            _walk(Element("#part", {}, [child]), out, depth, False)
+            yield _walk(Element("#part", {}, [child]), out, depth, False, tables)
             if child.tag == "caption":
                 out.block()
     out.end_line()

@@ -60,6 +60,27 @@ def test_deep_and_long_pages():
     assert to_text("<" * 20_000 + "p>z").endswith("z")
 
 
+def test_elements_are_the_same_at_any_depth():
+    for n in (0, 150, 1000, 30_000):
+        deep = "<div>" * n
+        assert to_text(deep + "<script>no()</script><style>p{}</style><p hidden>no<b>no</b></p>x<ul><li>a<li>b</ul>") == "x\n\n- a\n- b"
+        assert to_text(deep + "<table><tr><td>a<td>bbb<tr><td>cccc<td>d</table>") == "a     bbb\ncccc  d"
+        assert to_text("<div hidden>" + deep + "no" + "</div>" * n + "no</div>yes") == "yes"
+    lists = to_text("<ul><li>x" * 20_000).split("\n")
+    assert len(lists) == 20_000 and all(x.endswith("- x") for x in lists) and len(lists[-1]) < 500
+    tables = to_text("<table><tr><td>y<td>z" * 5_000)
+    assert tables.count("y") == tables.count("z") == 5_000
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("a<svg><title>no</title><defs><text>no</text></defs>no<path d='M0'/><text>b <tspan>c</tspan></text><text>d</text></svg>e", "a b c d e"),
+    ("<svg/>a<svg><g/><p>b", "a\n\nb"),
+])
+def test_open_dialogs_and_text_of_drawings_are_shown(html, text):
+    assert to_text(html) == text
+
+
 def test_pages_of_a_table(spark):
     df = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (2, None, "t"), (3, "", "t")], "page_id long, html string, text string")
     assert sorted(map(tuple, html_text.extract(df).collect())) == [(1, "a"), (1, "a"), (2, ""), (3, "")]
