@@ -10,7 +10,9 @@ passage whose sentences were moved about is found as well.
 The benchmark is read in blocks of at most ``words_a_block`` words; each is broadcast, so that documents
 stay where they are. Every block is held against all documents.
 
-Items shorter than ``min_match`` words have their whole text as the seed; null and empty items match
+Items shorter than ``min_match`` words have their whole text as the seed, so every document with that
+text is reported. ``clean`` removes a document for such an item only if it has no other words; else an
+answer like "yes" would remove all documents with the word. Null and empty items match
 nothing, null and empty documents have no match. Equal items, and repeated documents, get a row each.
 """
 
@@ -216,7 +218,11 @@ def _blocks(rows, words_a_block: int):
         yield ids, texts
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without those that hold a benchmark item."""
-    found = matches(documents, benchmark, **options).select("doc_id").distinct()
-    return documents.join(found, documents["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+def clean(documents: DataFrame, benchmark: DataFrame, min_words: int = MIN_MATCH, **options) -> DataFrame:
+    """The documents without those that hold a benchmark item in at least ``min_words`` words, or are an item."""
+    found = matches(documents, benchmark, **options).groupBy("doc_id").agg(
+        F.max("covered").alias("_covered"), F.collect_set(F.when(F.col("covered") < min_words, F.col("covered"))).alias("_short")
+    )
+    words = F.size(F.filter(F.split(documents["text"], r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+    removed = (F.col("_covered") >= min_words) | F.array_contains("_short", words.cast("long"))
+    return documents.join(found, documents["doc_id"].eqNullSafe(found["doc_id"]) & removed, "left_anti")

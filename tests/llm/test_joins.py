@@ -204,6 +204,15 @@ def test_short_items_need_their_whole_text(docs, spark):
     assert [(r["doc_id"], r["coverage"]) for r in got] == [(1, 1.0)]
 
 
+def test_short_items_are_reported_but_remove_only_their_equals(docs, spark):
+    bench = spark.createDataFrame([(1, ITEM), (2, "yes"), (3, "not at all")], "item_id long, text string")
+    texts = {1: "we said yes and went on", 2: " Yes\n", 3: "not at all", 4: "this is not at all yes", 5: "yes " + ITEM, 6: None, 7: ""}
+    df = docs(list(texts.items()))
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(df, bench).collect()}
+    assert found == {(1, 2), (2, 2), (3, 3), (4, 2), (4, 3), (5, 1), (5, 2)}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(df, bench).collect()) == [1, 4, 6, 7]
+
+
 def test_no_benchmark_and_no_documents(docs, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.matches(docs([(1, "a")]), none).count() == 0
