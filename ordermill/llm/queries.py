@@ -17,6 +17,7 @@ from ordermill.llm import (
     jaccard_join,
     line_quality,
     packing,
+    periodic_runs,
     site_lines,
     token_files,
     toxicity,
@@ -82,6 +83,43 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, path).drop("ids")
 
 
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by crc32 of its id, goes on periodically from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = documents.withColumn("_hash", F.floor(h / 10)).withColumn(
+        "_words", F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    )
+    n = F.size("_words").cast("long")
+    placed = chosen.withColumn("_from", F.when(n > 0, F.col("_hash") % n)).withColumn(
+        "_period", F.when(n > 0, 1 + F.floor((n - F.col("_from")) / (3 + F.col("_hash") % 8)))
+    )
+    planted = F.expr(
+        "array_join(transform(sequence(0L, size(_words) - 1L), i -> _words[int("
+        "if(i < _from, i, _from + (i - _from) % _period))]), ' ')"
+    )
+    return placed.select("doc_id", F.when(F.col("_period").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find(with_planted_runs(read(spark, folder, "documents").select("doc_id", "text")))
+    longest = F.expr(
+        "array_max(transform(runs, r -> named_struct('length', r.length, 'start', -r.start, 'period', -r.period)))"
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = found.withColumn("_best", longest)
+    length, period = F.col("_best.length"), -F.col("_best.period")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_quality_rules, op5_best_fit_packing,
             op6_line_dedup, op7_benchmark_decontamination, op8_url_filters, op9_lm_scoring, op10_token_files,
-            pipeline,
+            op11_periodic_runs, pipeline,
         )
     }
 
