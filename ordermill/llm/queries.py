@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
+    bbit_minhash,
     bloom_lm,
     decontaminate,
     html_text,
@@ -20,6 +21,7 @@ from ordermill.llm import (
     periodic_runs,
     site_lines,
     token_files,
+    tokenizer_alignment,
     toxicity,
     url_filter,
 )
@@ -120,6 +122,16 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(read(spark, folder, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = tokenizer_alignment.align(read(spark, folder, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -132,7 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_quality_rules, op5_best_fit_packing,
             op6_line_dedup, op7_benchmark_decontamination, op8_url_filters, op9_lm_scoring, op10_token_files,
-            op11_periodic_runs, pipeline,
+            op11_periodic_runs, op12_minhash_near_dedup, op13_tokenizer_alignment, pipeline,
         )
     }
 
