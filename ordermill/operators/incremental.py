@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.sources import partition_index
 from ordermill.sources.listing import partition_dates
 from ordermill.sources.tables import read_table
 
@@ -80,9 +81,17 @@ def newest_partition(
     spark: SparkSession, path: str, column: str = "process_date", floor: str = DATE_FLOOR,
     before: str | None = None,
 ) -> dt.date | None:
-    """Newest date of a table partitioned by it, from the names of its folders; dates before
-    ``floor``, and from ``before`` on, aside. Only the newest folders are opened, to see that they
-    hold a row."""
+    """Newest date of a table partitioned by it that holds a row; dates before ``floor``, and from
+    ``before`` on, aside.
+
+    The table's index answers without a job and without opening a file of the table. Where there is none
+    to trust, the names of the folders do, and the newest are opened to see that they hold a row.
+    """
+    index = partition_index.read(path)
+    if index is not None:
+        days = [v for v, (rows, _) in index.items() if rows and floor <= v and (before is None or v < before)]
+        days = [day for day in map(_date, days) if day is not None]
+        return max(days, default=None)
     for day in partition_dates(spark, path, column):
         if before is not None and str(day) >= before:
             continue
@@ -91,3 +100,10 @@ def newest_partition(
         if not spark.read.parquet(f"{path.rstrip('/')}/{column}={day}").isEmpty():
             return day
     return None
+
+
+def _date(value: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(value)
+    except ValueError:
+        return None

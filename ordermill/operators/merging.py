@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ordermill import schemas
 from ordermill.functions.labels import merge_outcome
 from ordermill.operators import quality, writing
+from ordermill.sources import partition_index
 from ordermill.sources.tables import read_partitions, read_table
 
 _HIT = "_hit"
@@ -148,44 +149,83 @@ def touched_dates(target: DataFrame, source: DataFrame, key: str = "order_id") -
 
 
 def emptied_dates(
-    target: DataFrame, replaced: dict[dt.date, int], arriving: set[dt.date]
+    target: DataFrame, replaced: dict[dt.date, int], arriving: set[dt.date],
+    index: partition_index.Partitions | None = None,
 ) -> list[dt.date]:
-    """Dates that keep no row: all of theirs are replaced and none arrive. Counts rows of those
-    dates alone."""
+    """Dates that keep no row: all of theirs are replaced and none arrive. The rows of a date come from
+    the table's index, else those dates alone are counted."""
     lost = [d for d in replaced if d is not None and d not in arriving]
     if not lost:
         return []
-    rows = target.where(F.col("process_date").isin(lost)).groupBy("process_date").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    return [r["process_date"] for r in rows.collect() if r["rows"] == replaced[r["process_date"]]]
+    if index is not None:
+        rows = {d: index.get(str(d), (None, 0))[0] for d in lost}
+    else:
+        counts = target.where(F.col("process_date").isin(lost)).groupBy("process_date").agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+        rows = dict(map(tuple, counts.collect()))
+    return [d for d in lost if rows.get(d) == replaced[d]]
+
+
+PENDING = "process_date date"
+#: A row that leaves a date for another: its key, both dates and the stamp it gets there.
+MOVES = "moved_key string, left_date date, went_to date, stamp timestamp"
 
 
 def _pending_path(target_path: str) -> str:
     return f"{target_path.rstrip('/')}_pending_drops"
 
 
+def _moves_path(target_path: str) -> str:
+    return f"{target_path.rstrip('/')}_pending_moves"
+
+
+def planned_moves(target: DataFrame, source: DataFrame, days: list[dt.date], now: Column, key: str) -> DataFrame:
+    """Where the rows of ``days`` go in an upsert from ``source``. Reads those dates of the target alone."""
+    leaving = target.where(F.col("process_date").isin(days)).select(
+        F.col(key).alias("moved_key"), F.col("process_date").alias("left_date")
+    )
+    coming = source.select(F.col(key).alias("moved_key"), F.col("process_date").alias("went_to"))
+    return leaving.distinct().join(coming, "moved_key").select(
+        F.col("moved_key").cast("string"), "left_date", "went_to", now.cast("timestamp").alias("stamp")
+    )
+
+
+def not_moved(target: DataFrame, moves: DataFrame, key: str) -> DataFrame:
+    """Dates with a planned move that is not in the target. Reads the dates that rows went to alone."""
+    days = [r[0] for r in moves.select("went_to").distinct().collect()]
+    there = target.where(F.col("process_date").isin(days)).select(
+        F.col(key).cast("string").alias("moved_key"), F.col("process_date").alias("went_to"),
+        F.col("updated_at").alias("stamp"),
+    )
+    return moves.join(there, ["moved_key", "went_to", "stamp"], "left_anti").select("left_date").distinct()
+
+
 def finish_drops(spark: SparkSession, target_path: str, key: str = "order_id") -> None:
     """Ends an upsert over all dates that failed between its write and its drops.
 
-    The dates it meant to drop are on record. Before its write each key has one date, so if the
-    rows of such a date are all found under other dates too, the write has happened and the date
-    goes; if none is, the write has not happened and the date stays.
+    The dates it meant to drop are on record, and for each of their rows the date it goes to and its
+    stamp. If all rows of such a date are found where they went, the write has happened and the date
+    goes; otherwise, or without that record, the date stays. Only dates on record are read.
     """
     pending = read_table(spark, _pending_path(target_path), PENDING)
-    target = read_table(spark, target_path, schemas.ENRICHED)
     days = [] if pending is None else [r[0] for r in pending.distinct().collect()]
-    if not days or target is None:
-        return
-    old = target.where(F.col("process_date").isin(days)).select(key, "process_date")
-    moved = target.where(~F.col("process_date").isin(days)).select(key).distinct()
-    left = old.join(moved, key, "left_anti").select("process_date").distinct()
-    stay = {r[0] for r in left.collect()}
-    writing.drop_partitions(spark, target_path, "process_date", [d for d in days if d not in stay])
-    writing.replace_table(spark.createDataFrame([], PENDING), _pending_path(target_path))
+    if days:
+        target = read_table(spark, target_path, schemas.ENRICHED)
+        moves = read_table(spark, _moves_path(target_path), MOVES)
+        if target is not None and moves is not None:
+            stay = {r[0] for r in not_moved(target, moves, key).collect()}
+            known = {r[0] for r in moves.select("left_date").distinct().collect()}
+            writing.drop_partitions(spark, target_path, "process_date", [d for d in days if d in known - stay])
+    if pending is not None:
+        writing.remove_table(_pending_path(target_path))
+        writing.remove_table(_moves_path(target_path))
 
 
-PENDING = "process_date date"
+def _fixed(spark: SparkSession, now: Column) -> Column:
+    """The same time for all jobs of a run."""
+    micros = spark.range(1).select(F.unix_micros(now.cast("timestamp"))).first()[0]
+    return F.timestamp_micros(F.lit(micros))
 
 
 def publish_across_days(
@@ -198,24 +238,28 @@ def publish_across_days(
     """Upsert by key over all dates with whole-row replacement; a row may move between dates.
 
     Only dates that lose, gain or replace rows are rewritten, in one job that changes nothing
-    unless it ends well. Dates left without rows are put on record before and dropped after that;
-    the next run, whatever it publishes, first drops what a failed one has left.
+    unless it ends well. Dates left without rows are put on record before, with where each of their rows
+    goes, and dropped after that; the next run, whatever it publishes, first drops what a failed one has
+    left.
     """
-    now = F.current_timestamp() if run_ts is None else run_ts
-    gates = quality.premerge_gates(quality.key_audit(source, key))
+    audit = quality.key_audit(source, key, F.collect_set("process_date").alias("arriving"))
+    audited = audit.collect()  # one row: counts, and one value per date
+    arriving = set(audited[0]["arriving"])
+    gates = quality.premerge_gates(spark.createDataFrame(audited, audit.schema))
     quality.require(gates.where("gate <> 'staging_nonempty'"))  # nothing new is fine
     finish_drops(spark, target_path, key)
+    now = _fixed(spark, F.current_timestamp() if run_ts is None else run_ts)
     target = read_table(spark, target_path, schemas.ENRICHED)
     if target is None:
         writing.write_enriched(stamped(source, now), target_path)
         return
     # One row per touched partition.
     replaced = {r["process_date"]: r["replaced"] for r in touched_dates(target, source, key).collect()}
-    arriving = {r[0] for r in source.select("process_date").distinct().collect()}
-    if not replaced and not arriving:
+    if not audited[0]["rows"]:
         return
-    left_empty = emptied_dates(target, replaced, arriving)
+    left_empty = emptied_dates(target, replaced, arriving, partition_index.read(target_path))
     if left_empty:
+        writing.replace_table(planned_moves(target, source, left_empty, now, key), _moves_path(target_path))
         record = spark.createDataFrame([(d,) for d in left_empty], PENDING)
         writing.replace_table(record, _pending_path(target_path))
     affected = target.where(F.col("process_date").isin([*replaced.keys() | arriving]))

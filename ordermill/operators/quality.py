@@ -24,13 +24,15 @@ NULL_KEYS = "ABORT: Found %d null order_ids in staging"
 AMBIGUOUS_KEYS = "ABORT: Found %d rows beyond the first of their order_id in staging"
 
 
-def key_audit(df: DataFrame, key: str = "order_id") -> DataFrame:
-    """One row: rows, null_keys, distinct_keys. Reads the key column only, once."""
+def key_audit(df: DataFrame, key: str = "order_id", *more: Column) -> DataFrame:
+    """One row: rows, null_keys, distinct_keys, and what ``more`` aggregates. Reads the key column (and
+    those of ``more``) only, once."""
     k = F.col(key)
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(k.isNull()).alias("null_keys"),
         F.count_distinct(k).alias("distinct_keys"),
+        *more,
     )
 
 

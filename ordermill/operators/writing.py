@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import contextlib
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill import schemas
 from ordermill.operators.retention import drop_folders
+from ordermill.sources import partition_index
+from ordermill.sources.listing import open_filesystem
 
 CLUSTER_COLUMNS = ("user_id", "user_segment")
 
@@ -64,24 +68,37 @@ def cluster_by_range(
     return ranged.sortWithinPartitions(*key)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str = "process_date") -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partition: str = "process_date",
+    layout: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Replaces the partitions ``df`` has rows for and leaves the others alone.
 
-    The new files become visible when the job commits, so ``df`` may read the same path.
+    The new files become visible when the job commits, so ``df`` may read the same path. The partitions
+    written are seen while the rows pass, before ``layout`` sorts them, and entered in the table's index.
     """
+    spark = df.sparkSession
+    before = partition_index.begin(path)
+    seen = Observation()
+    rows = df.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("values"))
     (
-        df.write.mode("overwrite")
+        (layout(rows) if layout else rows)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    try:
+        values = seen.get["values"]
+    except Py4JJavaError:  # Spark drops the observation from a plan it finds empty: count all afresh
+        before, values = None, []
+    partition_index.commit(spark, path, partition, before, values)
 
 
 def write_enriched(df: DataFrame, path: str, clustered: bool = False) -> None:
     """Checked, laid out by date and cluster columns, replacing the dates in ``df`` only."""
-    checked = enforce_not_null(df)
-    laid_out = cluster_by_range(checked) if clustered else spread_by_partition(checked)
-    overwrite_partitions(laid_out, path)
+    layout = cluster_by_range if clustered else spread_by_partition
+    overwrite_partitions(enforce_not_null(df), path, layout=layout)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -89,6 +106,13 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+def remove_table(path: str) -> None:
+    """Removes a small table; none there is no error."""
+    filesystem, base = open_filesystem(path)
+    with contextlib.suppress(FileNotFoundError):
+        filesystem.delete_dir(base)
+
+
 def load_staging(processed: DataFrame, path: str) -> None:
     """Truncate-and-load of staging. Staging is unpartitioned and checked for required columns."""
     replace_table(enforce_not_null(processed), path)
@@ -112,7 +136,9 @@ def row_count(df: DataFrame, name: str = "staging_rows") -> DataFrame:
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable) -> None:
     """Deletes the folders of the given partition values, spread over tasks; one that is gone already
     is no error."""
-    rows = [("table", f"{partition}={value}") for value in values]
-    if rows:
-        folders = spark.createDataFrame(rows, "zone string, folder string")
+    values = [str(v) for v in values]
+    if values:
+        before = partition_index.begin(path)
+        folders = spark.createDataFrame([("table", f"{partition}={v}") for v in values], "zone string, folder string")
         drop_folders(folders, {"table": path}).write.format("noop").mode("overwrite").save()
+        partition_index.commit(spark, path, partition, before, values)
