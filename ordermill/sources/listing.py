@@ -6,7 +6,9 @@ folders are listed inside tasks instead and each file becomes a row.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import os
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -27,6 +29,8 @@ _THREADS = 8
 _CHUNK = 1 << 16
 _ROWS_A_CHUNK = 10_000
 _LEVELS = 3
+#: Bytes of a file that are one task's work when files are read whole.
+PART_BYTES = 64 << 20
 
 # Names of folders and files that writers use while they work or as markers.
 IN_FLIGHT_FOLDERS = frozenset({"_temporary", "_spark_metadata", "_delta_log"})
@@ -54,19 +58,33 @@ def open_filesystem(root: str) -> tuple[fs.FileSystem, str]:
     return filesystem, base.rstrip("/")
 
 
-def _entries(infos, base: str) -> pd.DataFrame:
-    kept = [i for i in infos if is_landed(i.path[len(base) + 1 :])]
+def _names(filesystem: fs.FileSystem, folder: str) -> Iterator[tuple[str, bool]]:
+    """Path and kind of a folder's entries, in the order they come. A local or mounted folder is read entry
+    by entry, so that no task holds all of it; other file systems answer whole."""
+    if isinstance(filesystem, fs.LocalFileSystem):
+        with contextlib.suppress(FileNotFoundError, NotADirectoryError), os.scandir(folder) as entries:
+            for entry in entries:
+                yield f"{folder}/{entry.name}", entry.is_dir()
+        return
+    for info in filesystem.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        yield info.path, info.type == fs.FileType.Directory
+
+
+def _entries(paths: list[str], are_folders: list[bool]) -> pd.DataFrame:
+    n = len(paths)
     return pd.DataFrame(
         {
-            "path": [i.path for i in kept],
-            "is_folder": [i.type == fs.FileType.Directory for i in kept],
-            "length": [None if i.type == fs.FileType.Directory else i.size for i in kept],
-            "modified_at": pd.to_datetime([i.mtime_ns // 1000 for i in kept], unit="us", utc=True),
+            "path": paths,
+            "is_folder": are_folders,
+            "length": pd.array([None] * n, dtype="Int64"),
+            "modified_at": pd.to_datetime([None] * n, utc=True),
         }
-    ).astype({"length": "Int64"})
+    )
 
 
 def _lister(root: str, recursive: bool):
+    """Names of what the given folders hold, without sizes, in chunks."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, base = open_filesystem(root)
         for batch in batches:
@@ -75,16 +93,39 @@ def _lister(root: str, recursive: bool):
                 yield files
             waiting = list(batch.loc[batch["is_folder"], "path"])
             while waiting:
-                # One folder at a time, its entries handed on in chunks.
-                selector = fs.FileSelector(waiting.pop(), recursive=False, allow_not_found=True)
-                infos = filesystem.get_file_info(selector)
-                for at in range(0, len(infos), _ROWS_A_CHUNK):
-                    found = _entries(infos[at : at + _ROWS_A_CHUNK], base)
-                    if recursive:
-                        waiting += list(found.loc[found["is_folder"], "path"])
-                        found = found[~found["is_folder"]]
-                    if len(found):
-                        yield found
+                paths, are_folders = [], []
+                for path, is_folder in _names(filesystem, waiting.pop()):
+                    if not is_landed(path[len(base) + 1 :]):
+                        continue
+                    if recursive and is_folder:
+                        waiting.append(path)
+                        continue
+                    paths.append(path)
+                    are_folders.append(is_folder)
+                    if len(paths) >= _ROWS_A_CHUNK:
+                        yield _entries(paths, are_folders)
+                        paths, are_folders = [], []
+                if paths:
+                    yield _entries(paths, are_folders)
+
+    return run
+
+
+def _sizer(root: str):
+    """Sizes and times of the given files; one that has gone in the meantime is left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, _ = open_filesystem(root)
+        for batch in batches:
+            infos = [i for i in filesystem.get_file_info(list(batch["path"])) if i.type == fs.FileType.File]
+            yield pd.DataFrame(
+                {
+                    "path": [i.path for i in infos],
+                    "is_folder": [False] * len(infos),
+                    "length": pd.array([i.size for i in infos], dtype="Int64"),
+                    "modified_at": pd.to_datetime([i.mtime_ns // 1000 for i in infos], unit="us", utc=True),
+                }
+            )
 
     return run
 
@@ -104,6 +145,8 @@ def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
 
     The upper folder levels (source, day, and one more) are listed one after the other, each level's
     folders spread over ``tasks`` tasks; what lies deeper is walked folder by folder in its task.
+    Listing gives names only, streamed in chunks. The names, also those of one flat folder, are then dealt
+    over the tasks, which ask for sizes and times.
     Unfinished files and markers are left out (see :func:`is_landed`).
     """
     n = task_count(spark, tasks)
@@ -116,7 +159,8 @@ def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
     )
     for _ in range(_LEVELS):
         level = level.mapInPandas(_lister(root, False), _ENTRY).repartition(n, "path")
-    files = level.mapInPandas(_lister(root, True), _ENTRY)
+    names = level.mapInPandas(_lister(root, True), _ENTRY)
+    files = names.repartition(n, "path").mapInPandas(_sizer(root), _ENTRY)
     return files.select(
         F.substring("path", len(base) + 2, 1 << 20).alias("file_name"), "length", "modified_at"
     )
@@ -155,36 +199,64 @@ def _arrow_type(kind: pa.DataType) -> str:
         return str(kind)
 
 
-def _parquet_head(filesystem: fs.FileSystem, path: str, read_pages: bool) -> tuple:
-    """Names, rows, error and types of the columns."""
+def _parquet_head(filesystem: fs.FileSystem, path: str) -> tuple:
+    """Names, rows, error, types and the row groups' compressed sizes."""
     # A file that cannot be opened fails the task, which Spark runs again; only a file that
     # opens and does not decode is corrupt.
     with filesystem.open_input_file(path) as handle:
         try:
             file = pq.ParquetFile(handle)
-            if read_pages:
-                for _ in file.iter_batches():
-                    pass
-            schema = file.schema_arrow
-            return schema.names, file.metadata.num_rows, None, [_arrow_type(t) for t in schema.types]
+            schema, meta = file.schema_arrow, file.metadata
+            sizes = [
+                sum(meta.row_group(g).column(c).total_compressed_size for c in range(meta.num_columns))
+                for g in range(meta.num_row_groups)
+            ]
+            return schema.names, meta.num_rows, None, [_arrow_type(t) for t in schema.types], sizes
         except (pa.ArrowException, OSError) as e:
-            return None, None, f"Corrupt Parquet: {e}", None
+            return None, None, f"Corrupt Parquet: {e}", None, []
 
 
-def _csv_head(filesystem: fs.FileSystem, path: str, count_rows: bool) -> tuple:
-    head, newlines, in_head = [], 0, True
+def _csv_head(filesystem: fs.FileSystem, path: str) -> list[str]:
+    head = []
     with filesystem.open_input_stream(path) as handle:
         while chunk := handle.read(_CHUNK):
-            if in_head:
-                line, cut, _ = chunk.partition(b"\n")
-                head.append(line)
-                in_head = not cut
-            if count_rows:
-                newlines += chunk.count(b"\n")
-            elif not in_head:
+            line, cut, _ = chunk.partition(b"\n")
+            head.append(line)
+            if cut:
                 break
-    names = b"".join(head).decode("utf-8", errors="replace").strip().split(",")
-    return names, newlines if count_rows else None, None, None
+    return b"".join(head).decode("utf-8", errors="replace").strip().split(",")
+
+
+def _decode(filesystem: fs.FileSystem, path: str, groups: range) -> str | None:
+    """The error that decoding the pages of these row groups meets."""
+    with filesystem.open_input_file(path) as handle:
+        try:
+            for _ in pq.ParquetFile(handle).iter_batches(row_groups=list(groups)):
+                pass
+        except (pa.ArrowException, OSError) as e:
+            return f"Corrupt Parquet: {e}"
+    return None
+
+
+def _line_ends(filesystem: fs.FileSystem, path: str, begin: int, end: int) -> int:
+    n = 0
+    with filesystem.open_input_file(path) as handle:
+        handle.seek(begin)
+        while begin < end and (chunk := handle.read(min(_CHUNK, end - begin))):
+            n += chunk.count(b"\n")
+            begin += len(chunk)
+    return n
+
+
+def _shares(sizes: list[int], limit: int) -> list[tuple[int, int]]:
+    """Stretches of neighbouring row groups of about ``limit`` bytes, one group at least."""
+    out, begin, total = [], 0, 0
+    for k, size in enumerate(sizes):
+        if total and total + size > limit:
+            out.append((begin, k))
+            begin, total = k, 0
+        total += size
+    return [*out, (begin, len(sizes))] if sizes else []
 
 
 def inspect_files(
@@ -193,42 +265,85 @@ def inspect_files(
     read_pages: bool = True,
     count_csv_rows: bool = True,
     tasks: int | None = None,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Column names and types, row count and read error of each Parquet or CSV file.
 
-    Files are streamed whole: all Parquet pages are decoded and the line ends of CSV files counted
-    (the header's included). Without ``read_pages`` only Parquet footers, without
-    ``count_csv_rows`` only the first CSV line is read. CSV columns have no types. Files of other
-    formats, empty files and files with a true ``known`` column give NULLs.
+    Files are read whole: all Parquet pages are decoded and the line ends of CSV files counted
+    (the header's included). Footers and headers come first; they cut each file into parts of about
+    ``part_bytes`` bytes (row groups, byte ranges of a CSV file), which are dealt over the tasks and
+    joined per file: the first error of a file, the sum of its line ends. So a large file is not one
+    task's work. Without ``read_pages`` only Parquet footers, without ``count_csv_rows`` only the first CSV
+    line is read. CSV columns have no types. Files of other formats, empty files and files with a true
+    ``known`` column give NULLs.
     """
     if "known" not in files.columns:
         files = files.withColumn("known", F.lit(False))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, base = open_filesystem(root)
 
         def head(name: str, length: int, known: bool) -> tuple:
+            """Columns, rows, error, types and the parts left to read."""
             if known or not length:
-                return None, None, None, None
+                return None, None, None, None, []
             if name.endswith(".parquet"):
-                return _parquet_head(filesystem, f"{base}/{name}", read_pages)
+                names, rows, error, types, sizes = _parquet_head(filesystem, f"{base}/{name}")
+                return names, rows, error, types, _shares(sizes, part_bytes) if read_pages else []
+            if name.endswith(".csv"):
+                cuts = range(0, length, part_bytes) if count_csv_rows else []
+                return _csv_head(filesystem, f"{base}/{name}"), None, None, None, [(a, min(a + part_bytes, length)) for a in cuts]
+            return None, None, None, None, []
+
+        with ThreadPoolExecutor(_THREADS) as pool:
+            for batch in batches:
+                found = list(pool.map(head, batch["file_name"], batch["length"], batch["known"]))
+                yield batch.reset_index(drop=True).assign(
+                    columns=pd.Series([h[0] for h in found], dtype="object"),
+                    rows=pd.array([h[1] for h in found], dtype="Int64"),
+                    error=pd.Series([h[2] for h in found], dtype="object"),
+                    types=pd.Series([h[3] for h in found], dtype="object"),
+                    parts=pd.Series([[{"begin": a, "end": z} for a, z in h[4]] for h in found], dtype="object"),
+                )
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, base = open_filesystem(root)
+
+        def read(name: str, begin, end) -> tuple:
+            if pd.isna(begin):
+                return None, None
             if name.endswith(".csv"):
-                return _csv_head(filesystem, f"{base}/{name}", count_csv_rows)
-            return None, None, None, None
+                return _line_ends(filesystem, f"{base}/{name}", int(begin), int(end)), None
+            return None, _decode(filesystem, f"{base}/{name}", range(int(begin), int(end)))
 
         with ThreadPoolExecutor(_THREADS) as pool:
             for batch in batches:
-                heads = list(pool.map(head, batch["file_name"], batch["length"], batch["known"]))
+                found = list(pool.map(read, batch["file_name"], batch["begin"], batch["end"]))
                 yield batch.reset_index(drop=True).assign(
-                    columns=pd.Series([h[0] for h in heads], dtype="object"),
-                    rows=pd.array([h[1] for h in heads], dtype="Int64"),
-                    error=pd.Series([h[2] for h in heads], dtype="object"),
-                    types=pd.Series([h[3] for h in heads], dtype="object"),
+                    line_ends=pd.array([f[0] for f in found], dtype="Int64"),
+                    damage=pd.Series([f[1] for f in found], dtype="object"),
                 )
 
     n = task_count(files.sparkSession, tasks)
-    return (
-        files.select("file_name", "length", "known")
-        .repartition(n, "file_name")
-        .mapInPandas(run, _HEAD)
+    found = files.select("file_name", "length", "known").repartition(n, "file_name").mapInPandas(
+        heads, f"{_HEAD}, parts array<struct<begin bigint, end bigint>>"
+    )
+    if not read_pages and not count_csv_rows:
+        return found.drop("parts")
+    dealt = found.select("*", F.inline_outer("parts")).drop("parts").repartition(n, "file_name", "begin")
+    read = dealt.mapInPandas(parts, f"{_HEAD}, begin bigint, end bigint, line_ends bigint, damage string")
+    damage = F.min(F.when(F.col("damage").isNotNull(), F.struct("begin", "damage")))["damage"]
+    return read.groupBy("file_name").agg(
+        F.first("length").alias("length"),
+        F.first("known").alias("known"),
+        F.first("columns").alias("columns"),
+        F.coalesce(F.first("rows", ignorenulls=True), F.sum("line_ends")).alias("_rows"),
+        F.coalesce(F.first("error", ignorenulls=True), damage).alias("error"),
+        F.first("types").alias("types"),
+    ).select(
+        "file_name", "length", "known",
+        F.when(F.col("error").isNull(), F.col("columns")).alias("columns"),
+        F.when(F.col("error").isNull(), F.col("_rows")).alias("rows"),
+        "error",
+        F.when(F.col("error").isNull(), F.col("types")).alias("types"),
     )
