@@ -127,9 +127,10 @@ def op12_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    found = tokenizer_alignment.align(read(spark, folder, "documents"))
-    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    return found.withColumn("groups_sha256", digest).drop("groups")
+    found = tokenizer_alignment.align(
+        read(spark, folder, "documents"), groups=lambda g: F.when(g == "", "").otherwise(F.sha2(g, 256))
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:

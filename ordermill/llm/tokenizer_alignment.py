@@ -15,7 +15,8 @@ nor has a null or empty one. No special token is added, and its string inside a
    a block of texts first and then over all blocks, so that what is shuffled are the distinct pairs of each
    block, whatever a pair's share of all links. Every block then gets the counts of its own pairs back.
 
-Blocks hold about ``BLOCK_BYTES`` of text, or one longer text.
+Steps 1 and 2 are done once a task for each distinct chunk of text (see :class:`Pair`); of a text only the
+numbers of its chunks go on. Blocks hold about ``BLOCK_BYTES`` of text, or one longer text.
 """
 
 from __future__ import annotations
@@ -23,14 +24,14 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import text as X
@@ -38,12 +39,9 @@ from ordermill.llm.store import held
 
 LANE = 32
 BLOCK_BYTES = 4 << 20
-PIECE_BYTES = 1 << 20
-PART_CHARS = 1 << 16
+KEPT_CHUNKS = 400_000
+KEPT_BYTES = 64 << 20
 SPACE_MARK = "▁"
-_CUT = re.compile(r"[A-Za-z] (?=[A-Za-z])")
-
-
 def default_files() -> tuple[str, str]:
     import public_tokenizers
 
@@ -74,8 +72,14 @@ class Vocabulary:
 
 
 class Pair:
-    """Both tokenizers. A long text is encoded in parts where that cannot change its tokens: at a single
-    space between two letters, where A's words end and which no piece of B runs across."""
+    """Both tokenizers, with the alignment of each distinct chunk of text made once.
+
+    Texts fall into chunks where that cannot change a token: at a single space, and before a single line end,
+    between characters that are no white space. A ends a token there by its pattern, B because no piece of it
+    goes on from another character to a space and none but that of the byte has a line end. So groups
+    end there too. If a tokenizer is not of that kind, a text is one chunk. Chunks are told apart by 64 bits;
+    about ``KEPT_CHUNKS`` of them are held, then it starts afresh.
+    """
 
     def __init__(self, file_a: str, file_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -90,6 +94,8 @@ class Pair:
         self.bytes_a = Vocabulary([_spelt(names.get(i, ""), letters) for i in range(max(names) + 1)])
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = Vocabulary([self._piece(i, piece) for i, piece in enumerate(pieces)])
+        digits = max(len(self.bytes_a.length), len(self.bytes_b.length))
+        self.digits = Vocabulary([b"%d," % i for i in range(digits)])
         with open(file_a, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
@@ -98,8 +104,10 @@ class Pair:
             and split.get("type") == "ByteLevel"
             and not split.get("add_prefix_space")
             and split.get("use_regex", True)
-            and not any(re.search(f"[A-Za-z]{SPACE_MARK}", piece) for piece in pieces)
+            and not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}|\n", piece) for piece in pieces)
+            and all(self._same(t) for t in _PROBES)
         )
+        self._clear()
 
     def _piece(self, i: int, piece: str) -> bytes:
         if self.b.is_byte(i):
@@ -108,50 +116,117 @@ class Pair:
             return b""
         return piece.replace(SPACE_MARK, " ").encode()
 
-    def parts(self, text: str) -> list[str]:
-        out, at = [], 0
-        while self.cuts and len(text) - at > PART_CHARS:
-            cut = _CUT.search(text, at + PART_CHARS)
-            if not cut:
-                break
-            out.append(text[at : cut.start() + 1])
-            at = cut.end()
-        return [*out, text[at:]]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of A and of B, each with where those of every text begin."""
+    def _same(self, text: str) -> bool:
+        """Whether the chunks of a text have the tokens of the whole."""
+        texts = X.texts_of(pa.array([text]))
+        starts, ends, after_line, _ = chunks(texts)
+        raw = texts.data.tobytes()
+        parts = [raw[i:j].decode() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+        a, _, b, _ = self._encode(parts, after_line)
+        whole = self._encode([text], np.zeros(1, bool))
+        return np.array_equal(a, whole[0]) and np.array_equal(b, whole[2])
+
+    def _encode(self, parts: list[str], after_line: np.ndarray):
+        """Ids of A and of B, each with where those of every part begin."""
         flat_a, flat_b, counts_a, counts_b = [], [], [], []
-        cut = [self.parts(t) for t in texts]
-        pieces = [p for parts in cut for p in parts]
-        for some in _bunches(pieces, PART_CHARS):
-            encoded = [e.ids for e in self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)]
+        for at in range(0, len(parts), 1_000):
+            some, bare = parts[at : at + 1_000], after_line[at : at + 1_000].tolist()
+            given = [p if own else " " + p for p, own in zip(some, bare, strict=True)]
+            encoded = [e.ids for e in self.a.encode_batch_fast(given, add_special_tokens=False)]
             counts_a += map(len, encoded)
-            flat_a.append(np.fromiter(chain.from_iterable(encoded), np.int32))
-            encoded = self.b.encode(some, num_threads=1)
+            flat_a.append(np.fromiter(chain.from_iterable(encoded), np.int64))
+            # After a line end there is no space; the one B puts before the line end is a token of its own.
+            encoded = [ids[1:] if own else ids for ids, own in zip(self.b.encode(some, num_threads=1), bare, strict=True)]
             counts_b += map(len, encoded)
-            flat_b.append(np.fromiter(chain.from_iterable(encoded), np.int32))
-        text_first = np.concatenate([[0], np.cumsum([len(parts) for parts in cut])]).astype(np.int64)
-        firsts = [np.concatenate([[0], np.cumsum(c)]).astype(np.int64)[text_first] for c in (counts_a, counts_b)]
-        none = np.zeros(0, np.int32)
+            flat_b.append(np.fromiter(chain.from_iterable(encoded), np.int64))
+        none = np.zeros(0, np.int64)
+        firsts = [np.concatenate([[0], np.cumsum(c)]).astype(np.int64) for c in (counts_a, counts_b)]
         return np.concatenate([none, *flat_a]), firsts[0], np.concatenate([none, *flat_b]), firsts[1]
 
+    def _clear(self) -> None:
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        #: Per chunk: tokens of A and B, whether both give it back, where its links and its text begin.
+        self.n_a, self.n_b, self.good = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.link_first, self.text_first = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.links, self.text = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def _learn(self, hashes: np.ndarray, parts: list[str], after_line: np.ndarray) -> None:
+        """Adds chunks, given with their hashes in ascending order."""
+        a, a_first, b, b_first = self._encode(parts, after_line)
+        wanted = X.texts_of(pa.array([p if own else " " + p for p, own in zip(parts, after_line.tolist(), strict=True)]))
+        good = _gives_back(self.bytes_a, a, a_first, wanted) & _gives_back(self.bytes_b, b, b_first, wanted)
+        n_a, n_b = np.where(good, np.diff(a_first), 0), np.where(good, np.diff(b_first), 0)
+        a = a[np.repeat(good, np.diff(a_first))]
+        b = b[np.repeat(good, np.diff(b_first))]
+        a_first, b_first = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
+        # Either side spells the same bytes, so offsets from the first chunk on agree too.
+        at_a, at_b = common_ends(self.bytes_a.ends(a), a_first, self.bytes_b.ends(b), b_first)
+        link_first = np.searchsorted(at_a, a_first)
+        in_a, in_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        text, text_first = group_texts(self.digits, a, b, in_a, in_b, link_first)
+        at = np.searchsorted(self.known, hashes)
+        self.slot = np.insert(self.slot, at, len(self.n_a) + np.arange(len(parts)))
+        self.known = np.insert(self.known, at, hashes)
+        self.n_a, self.n_b = np.concatenate([self.n_a, n_a]), np.concatenate([self.n_b, n_b])
+        self.good = np.concatenate([self.good, good])
+        self.link_first = np.concatenate([self.link_first, len(self.links) + link_first[1:]])
+        self.text_first = np.concatenate([self.text_first, len(self.text) + text_first[1:]])
+        self.links = np.concatenate([self.links, a[at_a] << 32 | b[at_b]])
+        self.text = np.concatenate([self.text, text])
+
+    def chunk_slots(self, texts: X.Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The known chunk each chunk of the texts is, and where the chunks of every text begin."""
+        if len(self.known) > KEPT_CHUNKS or len(self.text) > KEPT_BYTES:
+            self._clear()
+        starts, ends, after_line, first = chunks(texts, self.cuts)
+        hashes = X.mix(X.hash_spans(texts.data, starts, ends) + after_line.astype(np.uint64))
+        distinct, place, code = np.unique(hashes, return_index=True, return_inverse=True)
+        new = np.ones(len(distinct), bool)
+        at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
+        if len(self.known):
+            new = self.known[at] != distinct
+        if new.any():
+            raw, here = texts.data, place[new]
+            parts = [raw[i:j].tobytes().decode() for i, j in zip(starts[here].tolist(), ends[here].tolist(), strict=True)]
+            self._learn(distinct[new], parts, after_line[here])
+        return self.slot[np.searchsorted(self.known, distinct)][code], first
+
+
+_PROBES = ("ab cd, e's 12 3.4\nnew line\n\ntwo  spaces é ü ﬁ½ 日本 x", "a\nb c\n d e\tf g ", " lead 's ' s\n's\n12 ▁x y▁ z")
+
+
+def chunks(texts: X.Texts, cuts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each chunk, whether it begins with a line end, and where the chunks of every text
+    begin. A space that separates two chunks belongs to neither. Empty texts have none."""
+    data, offsets = texts.data, texts.offsets
+    n = len(data)
+    at = np.flatnonzero((data == 32) | (data == 10)) if cuts else np.zeros(0, np.int64)
+    bounds = np.zeros(n + 1, bool)
+    bounds[offsets] = True
+    at = at[(at > 0) & (at < n - 1)]
+    at = at[~bounds[at] & ~bounds[at + 1]]
+    before, after = data[at - 1], data[at + 1]
+    # Characters that may be white space: controls, and those of two or three bytes that could be.
+    ok = (before > 32) & (before != 127) & (after > 32) & (after != 127) & ~np.isin(after, [0xC2, 0xE1, 0xE2, 0xE3])
+    two, three = data[np.maximum(at - 2, 0)], data[np.maximum(at - 3, 0)]
+    ok &= ~((before >= 0x80) & ((two == 0xC2) | np.isin(three, [0xE1, 0xE2, 0xE3])))
+    at = at[ok]
+    line = data[at] == 10
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    starts = np.concatenate([heads, np.where(line, at, at + 1)])
+    cut_at = np.concatenate([heads, at])
+    order = np.argsort(starts, kind="stable")
+    starts, cut_at = starts[order], cut_at[order]
+    after_line = np.concatenate([np.zeros(len(heads), bool), line])[order]
+    ends = np.append(cut_at[1:], n)[: len(starts)]
+    # The last chunk of a text ends with it.
+    return starts, ends, after_line, np.searchsorted(starts, offsets)
+
 
 def _spelt(entry: str, letters: dict[str, int]) -> bytes:
     return bytes(letters[c] for c in entry) if letters.keys() >= set(entry) else b""
 
 
-def _bunches(pieces: list[str], limit: int) -> Iterator[list[str]]:
-    some, size = [], 0
-    for p in pieces:
-        some.append(p)
-        size += len(p)
-        if size >= limit:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 _pairs: dict[tuple[str, str], Pair] = {}
 
 
@@ -227,157 +302,144 @@ def common_ends(ends_a, first_a, ends_b, first_b) -> tuple[np.ndarray, np.ndarra
     return a[order], b[order]
 
 
-def _gives_back(words: Vocabulary, ids: np.ndarray, first: np.ndarray, texts: X.Texts) -> np.ndarray:
-    """Which texts, with a space before them, the tokens spell."""
-    sizes = np.diff(texts.offsets) + 1
+def _gives_back(words: Vocabulary, ids: np.ndarray, first: np.ndarray, wanted: X.Texts) -> np.ndarray:
+    """Which of the texts the tokens spell."""
+    sizes = np.diff(wanted.offsets)
     same = X.segment_sums(words.length[ids], first) == sizes
-    counts = np.diff(first)[same]
-    spelt = words.spell(ids[X.ranges(first[:-1][same], counts)])
-    wanted = np.append(texts.data, np.uint8(32))[X.ranges(texts.offsets[:-1][same] - 1, sizes[same])]
-    bounds = np.concatenate([[0], np.cumsum(sizes[same])])
-    wanted[bounds[:-1]] = 32
-    same[same] = X.segment_sums(spelt != wanted, bounds) == 0
+    spelt = words.spell(ids[X.ranges(first[:-1][same], np.diff(first)[same])])
+    given = wanted.data[X.ranges(wanted.offsets[:-1][same], sizes[same])]
+    same[same] = X.segment_sums(spelt != given, np.concatenate([[0], np.cumsum(sizes[same])])) == 0
     return same
 
 
-ALIGNED = (
-    "block long, doc_id long, a array<int>, b array<int>, in_a array<int>, in_b array<int>, "
-    "pairs array<struct<pair: long, n: long>>"
-)
-_PAIRS = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
-_COUNTED = (
-    "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
-)
-
-
-def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.astype(np.int32)))
-
-
-def _distinct(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, code = np.unique(pairs, return_inverse=True)
-    return values, np.bincount(code, weights=counts, minlength=len(values)).astype(np.int64)
-
-
-def _aligned_slice(pair: Pair, batch: pa.RecordBatch):
-    """doc_ids, ids and group sizes of one slice, and the linked pairs of ids."""
-    texts = X.texts_of(batch.column("text"))
-    some = np.flatnonzero(np.diff(texts.offsets) > 0)
-    a, a_first, b, b_first = pair.encode(batch.column("text").take(pa.array(some)).to_pylist())
-    mine = X.Texts(texts.data, np.append(texts.offsets[:-1][some], texts.offsets[-1]))
-    good = _gives_back(pair.bytes_a, a, a_first, mine) & _gives_back(pair.bytes_b, b, b_first, mine)
-    counts = []
-    for first in (a_first, b_first):
-        n = np.zeros(batch.num_rows, np.int64)
-        n[some[good]] = np.diff(first)[good]
-        counts.append(n)
-    a, b = (ids[X.ranges(f[:-1][good], np.diff(f)[good])] for ids, f in ((a, a_first), (b, b_first)))
-    a_first, b_first = (np.concatenate([[0], np.cumsum(n)]) for n in counts)
-    # Either side spells the same bytes, so offsets from the first text on agree too.
-    at_a, at_b = common_ends(pair.bytes_a.ends(a), a_first, pair.bytes_b.ends(b), b_first)
-    group_first = np.searchsorted(at_a, a_first)
-    in_a, in_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
-    links = a[at_a].astype(np.int64) << 32 | b[at_b]
-    return (_lists(a, a_first), _lists(b, b_first), _lists(in_a, group_first), _lists(in_b, group_first)), links
-
-
-def aligned(documents: DataFrame, file_a: str, file_b: str) -> DataFrame:
-    """Per text the ids of both tokenizers and the tokens of each group on either side, with the block it
-    was taken in; and per block one row without ids that has its linked pairs and their numbers. Written to
-    the shared folder, which settles the numbers of the blocks."""
-
-    def run(batches):
-        pair = pair_of(file_a, file_b)
-        block, size = TaskContext.get().partitionId() << 32, 0
-        known = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def counted():
-            rows = pa.StructArray.from_arrays([pa.array(known[0]), pa.array(known[1])], names=["pair", "n"])
-            ids = [pa.nulls(1, pa.list_(pa.int32()))] * 4
-            pairs = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
-            return pa.RecordBatch.from_arrays([pa.array([block]), pa.nulls(1, pa.int64()), *ids, pairs], names=names)
-
-        names = ["block", "doc_id", "a", "b", "in_a", "in_b", "pairs"]
-        for batch in X.slices(batches, "text", PIECE_BYTES):
-            columns, links = _aligned_slice(pair, batch)
-            n = batch.num_rows
-            known = _distinct(np.concatenate([known[0], links]), np.concatenate([known[1], np.ones(len(links), np.int64)]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), batch.column("doc_id").cast(pa.int64()), *columns, pa.nulls(n, _PAIRS)], names=names
-            )
-            size += batch.column("text").nbytes
-            if size >= BLOCK_BYTES:
-                yield counted()
-                block, size = block + 1, 0
-                known = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if size:
-            yield counted()
-
-    return held(documents.select("doc_id", "text").mapInArrow(run, ALIGNED), "aligned")
-
-
-_decimals: list[Vocabulary] = []
-
-
-def _digits(size: int) -> Vocabulary:
-    if not _decimals or len(_decimals[0].length) < size:
-        _decimals[:] = [Vocabulary([b"%d," % i for i in range(size)])]
-    return _decimals[0]
-
-
-def group_texts(a, b, in_a, in_b, group_first) -> pa.Array:
-    """``a1,a2|b1;a3|b2,b3`` for each text."""
+def group_texts(digits: Vocabulary, a, b, in_a, in_b, group_first) -> tuple[np.ndarray, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3;`` for each chunk, as bytes, and where each begins."""
     both = in_a + in_b
     start = np.cumsum(both) - both
     ids = np.empty(len(a) + len(b), np.int64)
     ids[X.ranges(start, in_a)] = a
     ids[X.ranges(start + in_a, in_b)] = b
-    digits = _digits(int(ids.max(initial=0)) + 1)
     out = digits.spell(ids).copy()
     after = np.cumsum(digits.length[ids])
     out[after[start + in_a - 1] - 1] = ord("|")
     out[after[start + both - 1] - 1] = ord(";")
-    # The last group of a text has nothing behind it.
-    bounds = np.append(0, after)[np.append(start, len(ids))[group_first]]
-    some = np.diff(group_first) > 0
-    keep = np.ones(len(out), bool)
-    keep[bounds[1:][some] - 1] = False
-    offsets = bounds - np.concatenate([[0], np.cumsum(some)])
-    return pa.LargeStringArray.from_buffers(
-        len(group_first) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out[keep])
-    ).cast(pa.string())
-
-
-def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    lists = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
-    return np.asarray(lists.flatten()).astype(np.int64), np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))]).astype(np.int64)
-
-
-def _counted_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    (a, a_first), (b, b_first), (in_a, group_first), (in_b, _) = (_flat(texts[c]) for c in ("a", "b", "in_a", "in_b"))
-    links = a[np.cumsum(in_a) - 1] << 32 | b[np.cumsum(in_b) - 1]
-    pairs = np.asarray(answers["pair"])
-    order = np.argsort(pairs)
-    place = order[np.searchsorted(pairs[order], links)] if len(links) else np.zeros(0, np.int64)
-    n_groups = np.diff(group_first)
-    columns = {
-        "doc_id": texts["doc_id"],
-        "n_a": np.diff(a_first),
-        "n_b": np.diff(b_first),
-        "n_groups": n_groups,
-        "n_links": n_groups,
-        "n_best": X.segment_sums(np.asarray(answers["best"])[place], group_first),
-        "count_sum": X.segment_sums(np.asarray(answers["links"])[place], group_first),
-        "groups": group_texts(a, b, in_a, in_b, group_first),
-    }
-    return pa.table(columns)
-
-
-def align(documents: DataFrame, file_a: str | None = None, file_b: str | None = None) -> DataFrame:
+    return out, np.append(0, after)[np.append(start, len(ids))[group_first]]
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte ranges one after the other, copied in bounded stretches."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.empty(int(total[-1]), np.uint8)
+    at = 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + X.HASH_BYTES, "right")) - 1)
+        out[total[at] : total[end]] = data[X.ranges(starts[at:end], sizes[at:end])]
+        at = end
+    return out
+
+
+ALIGNED = (
+    "block long, doc_id long, n_a long, n_b long, n_groups long, groups string, chunks binary, "
+    "pairs array<struct<pair: long, n: long>>, chunk_links array<int>, chunk_first array<int>"
+)
+_PAIRS = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
+_INTS = pa.list_(pa.int32())
+_COUNTED = (
+    "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
+)
+_NAMES = ["block", "doc_id", "n_a", "n_b", "n_groups", "groups", "chunks", "pairs", "chunk_links", "chunk_first"]
+
+
+def _block_rows(pair: Pair, block: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A row for each text of a block, with the chunks it has by their numbers in the block, and one for the
+    block: its linked pairs with their numbers, and which of them each of its chunks has."""
+    slots, first = pair.chunk_slots(X.texts_of(batch.column("text")))
+    good = (X.segment_sums(~pair.good[slots], first) == 0) & (np.diff(first) > 0)
+    n = batch.num_rows
+    slots = slots[np.repeat(good, np.diff(first))]
+    first = np.concatenate([[0], np.cumsum(np.where(good, np.diff(first), 0))])
+    sizes = np.diff(pair.text_first)[slots]
+    text = _gathered(pair.text, pair.text_first[slots], sizes)
+    # No group separator behind the last group of a text.
+    bounds = np.concatenate([[0], np.cumsum(sizes)])[first]
+    keep = np.ones(len(text), bool)
+    keep[bounds[1:][good] - 1] = False
+    offsets = bounds - np.concatenate([[0], np.cumsum(good)])
+    groups = pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text[keep]))
+    distinct, number, seen = np.unique(slots, return_inverse=True, return_counts=True)
+    # Frequent chunks get small numbers, which pack well.
+    order = np.argsort(-seen, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    distinct, seen, number = distinct[order], seen[order], rank[number]
+    kind = np.uint16 if len(distinct) <= 1 << 16 else np.uint32
+    raw, width = number.astype(kind).tobytes(), np.dtype(kind).itemsize
+    cells = [raw[i * width : j * width] for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    n_links = np.diff(pair.link_first)[distinct]
+    links = pair.links[X.ranges(pair.link_first[distinct], n_links)]
+    pairs, link_number = np.unique(links, return_inverse=True)
+    counts = np.bincount(link_number, weights=np.repeat(seen, n_links), minlength=len(pairs)).astype(np.int64)
+    sums = [X.segment_sums(v[slots], first) for v in (pair.n_a, pair.n_b, np.diff(pair.link_first))]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, block)), batch.column("doc_id").cast(pa.int64()), *map(pa.array, sums), groups.cast(pa.string()),
+         pa.array(cells, pa.binary()), pa.nulls(n, _PAIRS), pa.nulls(n, _INTS), pa.nulls(n, _INTS)], names=_NAMES
+    )
+    rows = pa.StructArray.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    chunk_first = np.concatenate([[0], np.cumsum(n_links)]).astype(np.int32)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([block]), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()),
+         one(rows), one(pa.array(link_number.astype(np.int32))), one(pa.array(chunk_first))], names=_NAMES
+    )
+
+
+def aligned(documents: DataFrame, file_a: str, file_b: str, groups: Callable[[Column], Column]) -> DataFrame:
+    """The rows of all blocks (see :func:`_block_rows`), with ``groups`` applied to the groups' text. Written
+    to the shared folder, which settles the numbers of the blocks."""
+
+    def run(batches):
+        pair = pair_of(file_a, file_b)
+        block = TaskContext.get().partitionId() << 32
+        for batch in X.slices(batches, "text", BLOCK_BYTES):
+            yield from _block_rows(pair, block, batch)
+            block += 1
+
+    rows = documents.select("doc_id", "text").mapInArrow(run, ALIGNED)
+    return held(rows.withColumn("groups", F.when(F.col("pairs").isNull(), groups(F.col("groups")))), "aligned")
+
+
+def _counted_block(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    blocks = rows.filter(pc.is_valid(rows["pairs"]))
+    texts = rows.filter(pc.is_null(rows["pairs"]))
+    pairs = np.asarray(blocks["pairs"].combine_chunks().flatten().field("pair"))
+    chunk_links = np.asarray(blocks["chunk_links"].combine_chunks().flatten()).astype(np.int64)
+    chunk_first = np.asarray(blocks["chunk_first"].combine_chunks().flatten()).astype(np.int64)
+    asked = np.asarray(answers["pair"])
+    order = np.argsort(asked)
+    place = order[np.searchsorted(asked[order], pairs)][chunk_links] if len(pairs) else np.zeros(0, np.int64)
+    kind = np.uint16 if len(chunk_first) - 1 <= 1 << 16 else np.uint32
+    cells = texts["chunks"].to_pylist()
+    numbers = np.frombuffer(b"".join(cells), kind)
+    first = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int64) // np.dtype(kind).itemsize
+    best = X.segment_sums(np.asarray(answers["best"])[place], chunk_first)
+    links = X.segment_sums(np.asarray(answers["links"])[place], chunk_first)
+    X.release()
+    return pa.table({
+        "doc_id": texts["doc_id"], "n_a": texts["n_a"], "n_b": texts["n_b"], "n_groups": texts["n_groups"],
+        "n_links": texts["n_groups"], "n_best": X.segment_sums(best[numbers], first),
+        "count_sum": X.segment_sums(links[numbers], first), "groups": texts["groups"],
+    })
+
+
+def align(
+    documents: DataFrame, file_a: str | None = None, file_b: str | None = None,
+    groups: Callable[[Column], Column] = lambda text: text,
+) -> DataFrame:
     """doc_id, n_a and n_b (tokens), n_groups, n_links (pairs of tokens that end together, one a group),
     n_best (links whose pair of ids no pair with the same id of B exceeds in links over all texts), count_sum
     (sum over the links of their pair's links over all texts) and the groups as text, ``a1,a2|b1;a3|b2,b3``.
 
+    ``groups`` is applied to that text before it is stored and shuffled, for who needs less than all of it.
     One row per row given, repeated rows included (they count as often), whatever other columns there are.
     Texts without tokens (null, empty, not given back by both tokenizers) have zeros and empty groups; a null
     doc_id stays null. Texts are taken whole at any length.
@@ -385,12 +447,11 @@ def align(documents: DataFrame, file_a: str | None = None, file_b: str | None =
     if file_a is None or file_b is None:
         default_a, default_b = default_files()
         file_a, file_b = file_a or default_a, file_b or default_b
-    blocks = aligned(documents, file_a, file_b)
+    blocks = aligned(documents, file_a, file_b, groups)
     pairs = blocks.where("pairs IS NOT NULL").select(F.col("block").alias("asker"), F.inline("pairs"))
     counts = pairs.groupBy("pair").agg(F.sum("n").alias("links"))
     counts = held(counts.withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))), "pair-links")
     most = counts.groupBy("b").agg(F.max("links").alias("most"))
     known = counts.join(most, "b").select("pair", "links", (F.col("links") == F.col("most")).alias("best"))
     answers = pairs.select("asker", "pair").join(known, "pair").select("asker", "pair", "links", "best")
-    texts = blocks.where("pairs IS NULL").drop("pairs")
-    return texts.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(_counted_block, _COUNTED)
+    return blocks.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(_counted_block, _COUNTED)

@@ -92,18 +92,31 @@ def test_equals_plain_python_on_odd_texts(docs, both):
     assert sum(w[0] == 0 for w in want) >= 3 and max(w[2] for w in want) > 20
 
 
-def test_blocks_and_parts_change_nothing(docs, both, monkeypatch):
-    """Small blocks and lanes in this process; texts far longer than a part."""
+def test_chunks_change_nothing(docs, both):
+    """Texts of many chunks, one of them far longer than a block."""
     r = random.Random(2)
-    long = " ".join(r.choice(ODD[0].split() + ["plain", "words", "übung"]) for _ in range(30_000))
+    long = " ".join(r.choice(ODD[0].split() + ["plain", "words", "übung", "line\nend", "it's", "two\n\nlines"]) for _ in range(30_000))
     pair = tokenizer_alignment.pair_of(*tokenizer_alignment.default_files())
-    assert pair.cuts and len(pair.parts(long)) > 1 and " ".join(pair.parts(long)) == long
-    a, first_a, b, first_b = pair.encode([long, ODD[0]])
-    assert a[: first_a[1]].tolist() == both[0].encode(" " + long, add_special_tokens=False).ids
-    assert b[: first_b[1]].tolist() == both[1].encode(long)
-    df = docs([(1, long), (2, long), (3, ODD[0])])
+    assert pair.cuts
+    for text in [long, *ODD, *("".join(r.choice("ab .'\n\t1é\u00a0\u3000▁日\x1c") for _ in range(60)) for _ in range(600))]:
+        assert pair._same(text), text[:80]
+    df = docs([(1, long), (2, long), (3, ODD[0]), (4, "x" * 50_000)])
     got = {x["doc_id"]: tuple(x[c] for c in COLUMNS) for x in tokenizer_alignment.align(df).collect()}
-    assert [got[i] for i in (1, 2, 3)] == plain(both, [long, long, ODD[0]])
+    want = plain(both, [long, long, ODD[0], "x" * 50_000])
+    assert all(got[i + 1] == w for i, w in enumerate(want))
+
+
+def test_what_is_known_is_bounded(both, monkeypatch):
+    monkeypatch.setattr(tokenizer_alignment, "KEPT_CHUNKS", 5)
+    pair = tokenizer_alignment.Pair(*tokenizer_alignment.default_files())
+    import pyarrow as pa
+
+    from ordermill.llm import text as X
+
+    for text in ("a b c d e f g", "a b", "h i j"):
+        slots, first = pair.chunk_slots(X.texts_of(pa.array([text])))
+        assert len(slots) == len(text.split()) and pair.n_a[slots].sum() == len(both[0].encode(" " + text).ids)
+    assert len(pair.known) == 5
 
 
 def test_galloping_finds_all_common_values():
