@@ -8,14 +8,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.columns import partition_day, source_name
-from ordermill.operators.cleaning import one_per_key
+from ordermill.operators import ledger as ledgers
+from ordermill.operators.ledger import latest_entries
 from ordermill.schemas import LEDGER, required_columns
 from ordermill.sources.listing import inspect_files, list_files, open_filesystem, task_count
-from ordermill.sources.tables import read_table
 
 # File states and messages.
 VALIDATED = "validated"
@@ -40,23 +40,17 @@ def settled(ledger: DataFrame, retry_quarantined: bool = False) -> DataFrame:
     return latest_entries(ledger).where(~F.col("status").startswith(QUARANTINED_PREFIX))
 
 
-def latest_entries(ledger: DataFrame) -> DataFrame:
-    """The ledger as a table with one row per file: the newest entry replaces older ones."""
-    return one_per_key(ledger, ["file_name"], ["processed_at", "status"])
-
-
 def upsert_ledger(ledger: DataFrame, entries: DataFrame) -> DataFrame:
     return latest_entries(ledger.unionByName(entries.select(*ledger.columns)))
 
 
 def append_ledger(entries: DataFrame, path: str) -> None:
-    """Adds entries to the ledger files. Entries repeated by a re-run do no harm, since readers
-    take the newest one per file."""
-    entries.select(*LEDGER.fieldNames()).write.mode("append").parquet(path)
+    """Adds entries to the stored ledger (see :mod:`ordermill.operators.ledger`)."""
+    ledgers.append(entries, path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    ledger = read_table(spark, path, LEDGER)
+    ledger = ledgers.read(spark, path)
     return spark.createDataFrame([], LEDGER) if ledger is None else ledger
 
 
@@ -241,6 +235,14 @@ def move_files(
     )
 
 
+def new_snapshots(judged: DataFrame) -> dict[str, list[str]]:
+    """Validated files of undated snapshots, by source: what a dimension consists of from now on."""
+    folder = F.regexp_extract("file_name", r"^source=([^/]*)/latest/[^/]*$", 1)
+    new = judged.where(F.col("zone") == "validated").select(folder.alias("source"), "file_name")
+    rows = new.where("source <> ''").groupBy("source").agg(F.sort_array(F.collect_set("file_name")))
+    return {r[0]: r[1] for r in rows.collect()}  # a row per dimension; paths its reader needs
+
+
 def outdated_snapshots(files: DataFrame, moved: DataFrame) -> DataFrame:
     """Files (zone, folder) of undated snapshot folders that a new snapshot has just replaced: those
     beside the moved files that were not moved with them. ``files`` lists the validated zone."""
@@ -299,6 +301,52 @@ def schema_drift(contract: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def file_signatures(inspected: DataFrame) -> DataFrame:
+    """source, dt, columns, types and files: how many files of a source and day show the same columns and
+    types. Files that could not be read have none; undated ones have no ``dt``."""
+    return (
+        with_day(with_source(inspected))
+        .where("columns IS NOT NULL")
+        .groupBy("source", "dt", "columns", "types")
+        .agg(F.count(F.lit(1)).alias("files"))
+    )
+
+
+def drift_by_day(contract: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Differences from the contract per source and day: source, dt, column_name, change, is_breaking,
+    files (that differ so) and of_files (files of the source that day).
+
+    Each signature is compared with the contract on its own, so a column that is gone from some files only
+    is reported with their number. Files of unregistered sources are left aside. CSV files tell no types,
+    so their columns are never retyped.
+    """
+    wanted = contract.groupBy("source").agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", "data_type"))).alias("wanted")
+    )
+    found = signatures.join(F.broadcast(wanted), "source").withColumn(
+        "of_files", F.sum("files").over(Window.partitionBy("source", "dt"))
+    )
+    types = F.coalesce(F.col("types"), F.transform("columns", lambda c: F.lit(None).cast("string")))
+    there = F.map_from_entries(F.arrays_zip(F.col("columns").alias("name"), types.alias("kind")))
+
+    def change(name: Column, label: str) -> Column:
+        return F.struct(name.alias("column_name"), F.lit(label).alias("change"))
+
+    removed = F.transform(F.array_except(F.map_keys("wanted"), "columns"), lambda c: change(c, "removed"))
+    added = F.transform(F.array_except("columns", F.map_keys("wanted")), lambda c: change(c, "added"))
+    retyped = F.transform(
+        F.filter(F.array_intersect("columns", F.map_keys("wanted")), lambda c: F.col("there")[c] != F.col("wanted")[c]),
+        lambda c: change(c, "retyped"),
+    )
+    return (
+        found.withColumn("there", there)
+        .select("source", "dt", "files", "of_files", F.inline(F.concat(removed, added, retyped)))
+        .groupBy("source", "dt", "column_name", "change")
+        .agg(F.sum("files").alias("files"), F.first("of_files").alias("of_files"))
+        .withColumn("is_breaking", F.col("change") != "added")
+    )
+
+
 def with_day(files: DataFrame) -> DataFrame:
     """Adds the day named in the path, NULL for undated files."""
     return files.withColumn("dt", partition_day(F.col("file_name")))

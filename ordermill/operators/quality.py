@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.columns import mean_amount, whole_units_between
 from ordermill.settings import Thresholds
 
+log = logging.getLogger("ordermill")
+
 
 class GateFailed(ValueError):
     """A gate stopped the run."""
@@ -143,10 +147,14 @@ def production_checks(as_of: Column | None = None, limits: Thresholds = Threshol
 def run_checks(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
     """One row per check (and per ``by`` group): check, value, passed, status.
 
-    All checks share one aggregation. A check without a value, as on an empty table, is an
-    ERROR and has not passed.
+    All checks share one aggregation. A check without a value, as on an empty table, and one that names
+    a column the table has not got are an ERROR and have not passed; the others run. A check that raises
+    while it runs ends the job: see :func:`run_checks_apart`.
     """
-    aggregates = [c.value.cast("double").alias(f"_v{i}") for i, c in enumerate(checks)]
+    values = [c.value if _resolves(df, c) else F.lit(None) for c in checks]
+    aggregates = [v.cast("double").alias(f"_v{i}") for i, v in enumerate(values)]
+    # An aggregate of no column still gives a row (per group).
+    aggregates.append(F.count(F.lit(1)).alias("_rows"))
     one = df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)
     entries = []
     for i, c in enumerate(checks):
@@ -164,6 +172,45 @@ def run_checks(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -
     return one.select(*by, F.inline(F.array(*entries)))
 
 
+def _resolves(df: DataFrame, check: Check) -> bool:
+    try:
+        df.agg(check.value)
+    except AnalysisException as e:
+        log.error("check %s: %s", check.name, _brief(e))
+        return False
+    return True
+
+
+def _brief(error: Exception) -> str:
+    return str(error).partition("\n")[0]
+
+
+def _raised(check: Check) -> Check:
+    """The check without a value: an ERROR in every group."""
+    return Check(check.name, F.max(F.lit(None).cast("double")), check.passed)
+
+
+def run_checks_apart(
+    df: DataFrame, checks: Sequence[Check], keep: Callable[[DataFrame], DataFrame], by: Sequence[str] = ()
+) -> DataFrame:
+    """As :func:`run_checks`, run at once, where no check can end another: if the shared aggregation
+    raises, each check runs alone, and one that raises then is an ERROR (of every group). ``keep`` runs a
+    plan and returns its rows as a table."""
+    try:
+        return keep(run_checks(df, checks, by))
+    except PySparkException as e:
+        log.error("the checks raised together and run one by one: %s", _brief(e))
+    rows = None
+    for check in checks:
+        try:
+            part = keep(run_checks(df, [check], by))
+        except PySparkException as e:
+            log.error("check %s: %s", check.name, _brief(e))
+            part = keep(run_checks(df, [_raised(check)], by))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 def quality_score(
     results: DataFrame, by: Sequence[str] = (), limits: Thresholds = Thresholds()
 ) -> DataFrame:

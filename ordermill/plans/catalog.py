@@ -14,6 +14,7 @@ from ordermill.operators import (
     enrichment,
     incremental,
     landing,
+    ledger,
     merging,
     quality,
     reports,
@@ -66,6 +67,32 @@ def scan_latest_dim(i: Inputs) -> DataFrame:
     return tables.read_latest(i.spark, i.landing_path()).drop("signup_date")
 
 
+@query
+def scan_latest_csv(i: Inputs) -> DataFrame:
+    """A snapshot landed as CSV; files of the one before are still there and not read."""
+    root = i.fresh("snapshots")
+    folder = f"{root}/source=user_segments/latest"
+    old = i.segments().withColumn("segment", F.lit("old"))
+    old.write.parquet(folder)
+    i.segments().write.mode("append").option("header", True).csv(folder)
+    new = listing.list_files(i.spark, root).where("file_name LIKE '%.csv'").select("file_name").collect()
+    tables.set_snapshot(root, "user_segments", [r["file_name"] for r in new])
+    return tables.read_latest(i.spark, root).drop("signup_date")
+
+
+@query
+def scan_day_both_formats(i: Inputs) -> DataFrame:
+    """A day whose settled orders came as Parquet and as CSV, its pending ones as CSV only."""
+    root = i.fresh("landed")
+    folder = tables.landed_folder(root, "orders", _ONE_DAY)
+    orders = tables.read_landed(i.spark, i.landing_path(), "orders", _ONE_DAY)
+    settled, pending = orders.where("status <> 'pending'"), orders.where("status = 'pending'")
+    settled.write.parquet(folder)
+    settled.write.mode("append").option("header", True).csv(folder)
+    pending.write.mode("append").option("header", True).csv(folder)
+    return tables.read_day(i.spark, root, "orders", _ONE_DAY)
+
+
 @query
 def scan_csv(i: Inputs) -> DataFrame:
     path = i.fresh("csv")
@@ -144,6 +171,16 @@ def guarded_partition_read(i: Inputs) -> DataFrame:
     return tables.read_partitions(i.spark, i.production_path(), "1995-01-01", "1996-12-31")
 
 
+@query
+def guarded_view(i: Inputs) -> DataFrame:
+    """The SQL view of production, which takes a query that bounds the date and no other."""
+    tables.register_views(i.spark, i.staging_path(), i.production_path(), as_of())
+    return i.spark.sql(
+        "SELECT order_id, user_id, amount, process_date FROM enriched_orders "
+        "WHERE process_date >= DATE '1995-01-01' AND process_date < DATE '1996-01-01'"
+    )
+
+
 @query
 def view_last_90d(i: Inputs) -> DataFrame:
     newest = i.staging().agg(F.max("process_date")).scalar()
@@ -214,6 +251,18 @@ def ledger_upsert(i: Inputs) -> DataFrame:
     return landing.upsert_ledger(i.ledger(), entries)
 
 
+@query
+def ledger_compacted(i: Inputs) -> DataFrame:
+    """The stored ledger after several runs and a compaction: the newest entry of each file."""
+    path = i.fresh("ledger")
+    known = i.ledger().withColumn("run", F.pmod(F.crc32("file_name"), F.lit(3)))
+    for run in range(3):
+        landing.append_ledger(known.where(F.col("run") == run), path)
+    landing.append_ledger(landing.ledger_entries(landing.judge(i.files()), run_ts()), path)
+    ledger.compact(i.spark, path, max_runs=1)
+    return landing.latest_entries(landing.read_ledger(i.spark, path))
+
+
 @query
 def detect_source(i: Inputs) -> DataFrame:
     paths = i.files().select("file_name").unionAll(
@@ -309,6 +358,15 @@ def schema_drift(i: Inputs) -> DataFrame:
     return landing.schema_drift(schemas.contract_frame(i.spark), landing.file_columns(files))
 
 
+@query
+def schema_drift_by_day(i: Inputs) -> DataFrame:
+    """Landed files of dated sources against the contract, with how many files of a day differ."""
+    root = i.landing_path()
+    files = listing.inspect_files(listing.list_files(i.spark, root), root, read_pages=False, count_csv_rows=False)
+    drift = landing.drift_by_day(schemas.contract_frame(i.spark), landing.file_signatures(files))
+    return drift.where("dt IS NOT NULL")
+
+
 @query
 def stream_new_files(i: Inputs) -> DataFrame:
     """Two runs of the stream over landed orders; the second finds nothing new."""
@@ -740,6 +798,23 @@ def dq_suite_total(i: Inputs) -> DataFrame:
     return _checks(i, ())
 
 
+@query
+def dq_suite_apart(i: Inputs) -> DataFrame:
+    """The checks with one that names a lost column and one that raises: the others still run."""
+    broken = [
+        quality.Check("Discounts Known", F.count("discount"), lambda v: v > 0),
+        quality.Check("Currency Is A Number", F.sum(F.col("currency").cast("int")), lambda v: v > 0),
+    ]
+    checks = [*broken, *quality.production_checks(as_of())]
+
+    def keep(rows: DataFrame) -> DataFrame:
+        path = i.fresh("checks")
+        rows.write.parquet(path)
+        return i.spark.read.schema(rows.schema).parquet(path)
+
+    return quality.run_checks_apart(i.production(), checks, keep)
+
+
 @query
 def dq_score(i: Inputs) -> DataFrame:
     return quality.quality_score(_checks(i), ["process_date"])

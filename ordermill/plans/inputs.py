@@ -253,7 +253,8 @@ class Inputs:
         )
         self.segments().write.mode("append").parquet(f"{root}/source=user_segments/latest")
         self.given("nation").write.mode("append").parquet(f"{root}/source=nations/latest")
-        events.where("dt = DATE '2024-01-01'").drop("timestamp", "dt").write.mode("append").parquet(
+        lacking = events.where("dt = DATE '2024-01-01'").drop("timestamp", "dt").hint("rebalance")
+        lacking.write.mode("append").parquet(
             f"{root}/source=events/dt={LACKING_DAY}"
         )
         filesystem, base = open_filesystem(root)

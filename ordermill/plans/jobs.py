@@ -92,6 +92,8 @@ def validate(
     report_drift(spark, judged)
     zones = {"validated": at.validated, "quarantine": at.quarantine}
     _run(landing.move_files(judged, at.raw, zones, keep_raw))
+    for source, files in landing.new_snapshots(judged).items():
+        tables.set_snapshot(at.validated, source, files)
     outdated = landing.outdated_snapshots(listing.list_files(spark, at.validated), judged)
     _run(retention.drop_folders(_held(outdated, "outdated"), zones))
     landing.append_ledger(landing.ledger_entries(judged), at.ledger)
@@ -99,10 +101,13 @@ def validate(
 
 
 def report_drift(spark: SparkSession, judged: DataFrame) -> list[str]:
-    """Logs how the columns of the judged files differ from the contract."""
-    actual = landing.file_columns(judged.drop("source"))
-    drift = landing.schema_drift(schemas.contract_frame(spark), actual).collect()  # a row per column
-    found = [f"{r['source']}.{r['column_name']}: {r['change']}" for r in drift]
+    """Logs how the columns of the judged files differ from the contract, by source and day."""
+    signatures = landing.file_signatures(judged.drop("source"))
+    drift = landing.drift_by_day(schemas.contract_frame(spark), signatures)  # a row per column and day
+    found = [
+        f"{r['source']}.{r['column_name']}: {r['change']} ({r['dt'] or 'undated'}: {r['files']} of {r['of_files']} files)"
+        for r in drift.sort("source", "column_name", "dt", "change").collect()
+    ]
     for line in found:
         log.warning("schema drift: %s", line)
     return found
@@ -213,7 +218,8 @@ def test_columns(spark: SparkSession, at: Locations, date_from: str, date_to: st
 def check(spark: SparkSession, at: Locations, day: str, settings: Settings = Settings()) -> DataFrame:
     """The quality checks on one production date."""
     produced = tables.read_partitions(spark, at.production, day, day)
-    return quality.run_checks(produced, quality.production_checks(limits=settings.thresholds))
+    checks = quality.production_checks(limits=settings.thresholds)
+    return quality.run_checks_apart(produced, checks, lambda df: _held(df, "checks"))
 
 
 def expire(spark: SparkSession, at: Locations, as_of: str, settings: Settings = Settings()) -> DataFrame:

@@ -223,6 +223,9 @@ _PARTS = {
         SELECT 'user_segments', NULL, 'parquet', count(*) FROM src_segments
         UNION ALL
         SELECT 'nations', NULL, 'parquet', count(*) FROM nation""",
+    "landed_files": """  -- one file for each dated source, day and format
+        SELECT source, dt, format FROM landed_days WHERE dt IS NOT NULL
+        UNION ALL SELECT 'events', DATE '2025-01-01', 'lacking'""",
 }
 
 # Synthetic values are cut from the hex digits of the MD5 of (seed, label, row).
@@ -264,6 +267,12 @@ _SQL = {
                CAST(process_date AS VARCHAR) AS process_date
         FROM src_orders WHERE process_date = DATE '1995-04-01'""",
     "scan_latest_dim": "SELECT * FROM src_segments",
+    "scan_latest_csv": "SELECT * FROM src_segments",
+    "scan_day_both_formats": """
+        SELECT order_id, user_id, amount, currency, status,
+               strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at,
+               CAST(process_date AS VARCHAR) AS process_date
+        FROM src_orders WHERE process_date = DATE '1995-04-01'""",
     "scan_csv": "SELECT order_id, user_id, amount, currency, status FROM enriched",
     "sink_partition_overwrite": """
         SELECT * REPLACE (CASE WHEN process_date = DATE '1995-04-01' THEN amount + 1 ELSE amount END
@@ -281,6 +290,9 @@ _SQL = {
     "clustered_layout": "SELECT * FROM enriched",
     "guarded_partition_read": """
         SELECT * FROM prod WHERE process_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'""",
+    "guarded_view": """
+        SELECT order_id, user_id, amount, process_date FROM prod
+        WHERE process_date >= DATE '1995-01-01' AND process_date < DATE '1996-01-01'""",
     "view_last_90d": """
         SELECT * FROM enriched
         WHERE process_date >= (SELECT max(process_date) FROM enriched) - INTERVAL 90 DAY""",
@@ -343,6 +355,7 @@ _SQL = {
         SELECT file_name, length FROM files
         WHERE file_name NOT IN (SELECT file_name FROM ledger WHERE status = 'validated')""",
     "ledger_upsert": "SELECT file_name, TIMESTAMP '2024-01-30 12:00:00' AS processed_at, status FROM judged",
+    "ledger_compacted": "SELECT file_name, TIMESTAMP '2024-01-30 12:00:00' AS processed_at, status FROM judged",
     "detect_source": """
         SELECT file_name, source FROM files
         UNION ALL SELECT concat(source, '/x.parquet'), NULL FROM documents""",
@@ -389,6 +402,18 @@ _SQL = {
                          CASE WHEN amount <= 0 THEN 'amount is not positive' END) AS reasons
         FROM src_orders WHERE user_id IS NULL OR amount <= 0""",
     "good_rows": "SELECT * FROM valid_orders",
+    "schema_drift_by_day": """
+        SELECT s.source, s.dt, d.column_name, d.change, count(*) AS files, max(a.n) AS of_files,
+               d.change <> 'added' AS is_breaking
+        FROM landed_files s
+        JOIN (VALUES ('events', 'parquet', 'page_url', 'removed'), ('events', 'parquet', 'session_id', 'removed'),
+                     ('events', 'csv', 'page_url', 'removed'), ('events', 'csv', 'session_id', 'removed'),
+                     ('events', 'csv', 'timestamp', 'removed'), ('events', 'csv', 'ts', 'added'),
+                     ('events', 'lacking', 'page_url', 'removed'), ('events', 'lacking', 'session_id', 'removed'),
+                     ('events', 'lacking', 'timestamp', 'removed')) d(source, format, column_name, change)
+          ON d.source = s.source AND d.format = s.format
+        JOIN (SELECT source, dt, count(*) AS n FROM landed_files GROUP BY ALL) a ON a.source = s.source AND a.dt = s.dt
+        GROUP BY s.source, s.dt, d.column_name, d.change""",
     "schema_drift": """
         WITH types(duck, spark) AS (
             VALUES ('VARCHAR', 'string'), ('DOUBLE', 'double'), ('BIGINT', 'bigint'), ('INTEGER', 'int')),
@@ -645,6 +670,28 @@ _SQL = {
                                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00'),
                                date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00') < 24
                         FROM prod) c""",
+    "dq_suite_apart": """
+        SELECT "check", value, passed,
+               CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM (SELECT 'Row Count > 0' AS "check", CAST(count(*) AS DOUBLE) AS value,
+                     count(*) > 0 AS passed FROM prod
+              UNION ALL SELECT 'No Null Primary Keys', count(*), count(*) = 0
+                        FROM prod WHERE order_id IS NULL
+              UNION ALL SELECT 'No Negative Amounts', count(*), count(*) = 0 FROM prod WHERE amount < 0
+              UNION ALL SELECT 'Duplicate Rate < 1%', 1.0 - count(DISTINCT order_id) / count(*),
+                               1.0 - count(DISTINCT order_id) / count(*) < 0.01 FROM prod
+              UNION ALL SELECT 'User Segment Coverage > 5%', count(user_segment) / count(*),
+                               count(user_segment) / count(*) > 0.05 FROM prod
+              UNION ALL SELECT 'Amount Range Sanity (avg $1-$1000)', 
+                               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / count(amount),
+                               CAST(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / count(amount)
+                                   BETWEEN 1 AND 1000 FROM prod
+              UNION ALL SELECT 'Freshness < 24 Hours',
+                               date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00'),
+                               date_sub('hour', max(updated_at), TIMESTAMP '2024-01-31 00:00:00') < 24
+                        FROM prod) c
+        UNION ALL SELECT 'Discounts Known', NULL, false, 'ERROR'
+        UNION ALL SELECT 'Currency Is A Number', NULL, false, 'ERROR'""",
     "dq_score": """
         SELECT process_date, count(*) FILTER (passed) AS passed, count(*) AS checks,
                count(*) FILTER (passed) / count(*) AS score,

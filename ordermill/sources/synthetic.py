@@ -27,6 +27,8 @@ COUNTRIES = ["US", "DE", "GB", "IN", "JP", "FR", "BR", "CA", "AU", "ZA"]
 PATHS = ["home", "search", "category", "product", "cart", "checkout", "account", "help"]
 
 EVENT_BLOCK = 100_000
+#: Blocks in one stretch of the prefix scan, and its levels.
+SCAN_WIDTH, SCAN_LEVELS = 1_000, 3
 _WEEK_SECONDS = 7 * 86_400
 
 
@@ -98,6 +100,22 @@ def synth_orders(rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row
     )
 
 
+def _largest_before(blocks: DataFrame, width: int = SCAN_WIDTH, levels: int = SCAN_LEVELS) -> DataFrame:
+    """(_block, _before) for blocks (_block, _last): the largest value of all blocks before.
+
+    A prefix scan in levels: within stretches of ``width`` blocks, then over the stretches in the same
+    way. No task holds more than one stretch of a level, for up to ``width ** levels`` blocks.
+    """
+    stretch = F.floor(F.col("_block") / width)
+    inside = Window.partitionBy("_stretch").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    near = blocks.withColumn("_stretch", stretch).withColumn("_near", F.max("_last").over(inside))
+    if levels == 1:
+        return near.select("_block", F.col("_near").alias("_before"))
+    above = near.groupBy("_stretch").agg(F.max("_last").alias("_last")).withColumnRenamed("_stretch", "_block")
+    far = _largest_before(above, width, levels - 1).select(F.col("_block").alias("_stretch"), F.col("_before").alias("_far"))
+    return near.join(far, "_stretch", "left").select("_block", F.greatest("_near", "_far").alias("_before"))
+
+
 def synth_events(
     rows: DataFrame, plan: SynthPlan = SynthPlan(), row: str = "row", block_rows: int = EVENT_BLOCK
 ) -> DataFrame:
@@ -105,19 +123,14 @@ def synth_events(
     repeat a repeat.
 
     Rows are numbered in blocks, each made on its own. The last fresh row of each block, one number
-    per block, is carried to the blocks after it.
+    per block, is carried to the blocks after it by a prefix scan in levels.
     """
     n = F.col(row)
     fresh = ~_Draws(plan, "event", n).chance(REPEATED_EVENT_RATE, 25) | (n == 0)
     marked = rows.select(
         n.alias("_n"), F.floor(n / block_rows).alias("_block"), F.when(fresh, n).alias("_fresh")
     )
-    carried = marked.groupBy("_block").agg(F.max("_fresh").alias("_last")).select(
-        "_block",
-        F.last("_last", ignorenulls=True)
-        .over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_before"),
-    )
+    carried = _largest_before(marked.groupBy("_block").agg(F.max("_fresh").alias("_last")))
     inside = Window.partitionBy("_block").orderBy("_n")
     id_row = F.last("_fresh", ignorenulls=True).over(
         inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
