@@ -151,40 +151,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 OP6 = r"""
-WITH pages AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
-totals AS (SELECT source, count(*) AS total FROM pages GROUP BY source),
-lines AS (
-    SELECT source, text, unnest(list_distinct(list_transform(string_split(text, chr(10)),
-        lambda x: trim(x, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))))) AS line
-    FROM pages
-),
-boilerplate AS (
-    SELECT l.source, l.line FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
-    WHERE l.line <> '' GROUP BY l.source, l.line, t.total
-    HAVING count(*) >= 5 AND count(*)::DOUBLE / t.total > 0.01
-),
+WITH pages AS (SELECT row_number() OVER () AS page, doc_id, source, text FROM documents),
+totals AS (SELECT source, count(*) AS total FROM pages WHERE text IS NOT NULL GROUP BY source HAVING count(*) >= 20),
 numbered AS (
-    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+    SELECT page, source, unnest(string_split(text, chr(10))) AS line,
            unnest(range(len(string_split(text, chr(10))))) AS nth
-    FROM documents WHERE text IS NOT NULL
+    FROM pages WHERE text IS NOT NULL
 ),
-marked AS (
-    SELECT n.*, b.line IS NOT NULL AS is_dropped,
-           length(trim(n.line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))) AS size
-    FROM numbered n LEFT JOIN boilerplate b
-      ON n.source IS NOT DISTINCT FROM b.source
-     AND trim(n.line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) = b.line
+trimmed AS (
+    SELECT *, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM numbered
+),
+boilerplate AS (
+    SELECT l.source, l.bare FROM trimmed l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
+    WHERE l.bare <> '' GROUP BY l.source, l.bare, t.total
+    HAVING count(DISTINCT l.page)::DOUBLE / t.total > 0.1
 ),
 judged AS (
-    SELECT doc_id, count(*) FILTER (WHERE is_dropped) AS n,
-           coalesce(sum(size) FILTER (WHERE is_dropped), 0) <= 0.5 * sum(size) AS fits,
-           string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE NOT is_dropped) AS left_text
-    FROM marked GROUP BY doc_id
+    SELECT n.page, count(*) FILTER (WHERE b.bare IS NOT NULL) AS n,
+           string_agg(n.line, chr(10) ORDER BY n.nth) FILTER (WHERE b.bare IS NULL) AS left_text
+    FROM trimmed n LEFT JOIN boilerplate b ON n.source IS NOT DISTINCT FROM b.source AND n.bare = b.bare
+    GROUP BY n.page
 )
 SELECT d.doc_id, d.source,
-       CASE WHEN j.fits AND j.n > 0 THEN coalesce(j.left_text, '') ELSE d.text END AS text,
-       CASE WHEN j.fits AND j.n > 0 THEN j.n ELSE 0 END::INTEGER AS n_dropped
-FROM documents d LEFT JOIN judged j USING (doc_id)
+       CASE WHEN j.n > 0 THEN coalesce(j.left_text, '') ELSE d.text END AS text,
+       coalesce(j.n, 0)::INTEGER AS n_dropped
+FROM pages d LEFT JOIN judged j USING (page)
 """
 
 

@@ -1,17 +1,21 @@
 """Lines that a site repeats on many of its pages are dropped from its pages.
 
-For each host the number of pages that contain a line is divided by the number of the host's
-pages; lines above ``ratio`` and on at least ``min_pages`` pages are boilerplate. Pages with the same
-text count once in both, so that copies of a page do not make its lines look like boilerplate. A
-page that would lose more than ``most`` of its characters in lines is a copy or variant of others
-and no page with boilerplate on it; it stays whole.
-
-Lines are compared without the white space around them; lines of white space alone are never
-dropped. Null texts stay null, empty ones empty; a null host is a host of its own. Repeated rows
-are treated alike. The result has the columns of the input; only the text changes.
-
-Only hashes move: one row per host, line and page text, combined before the shuffle. A host has at
-most (its lines a page / ratio) such lines, whatever its size, so they travel as one list per host.
+For each host the number of pages that contain a line is divided by the number of the host's pages; every
+line above ``ratio`` is boilerplate and goes from every page of the host. A page is a row: copies of a page
+are pages, and a page that is nothing but such lines becomes empty. The ratio alone decides, for hosts of
+at least ``least_pages`` pages; on fewer pages it says nothing about a line (three of 20 pages is the least
+that exceeds 0.1, and a line that is on one page in a hundred anywhere reaches it by chance on one host in
+a thousand).
+
+Lines are compared without the white space around them, by 64 bits; lines of white space alone are never
+dropped. Null texts stay null and are no pages, empty ones are pages without a line; a null host is a host
+of its own. Repeated rows are pages like others and treated alike. The result has the columns of the input,
+whatever their names; only the text changes.
+
+To count, one row per host and line moves, combined before the shuffle. A host has at most (its lines a
+page / ratio) such lines, whatever its size. They are written as one list per host; if there are at most
+``BROADCAST_LINES`` in all, they are broadcast and texts stay where they are, otherwise texts are joined to
+them by host, each host's pages dealt over ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -19,51 +23,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm.store import fresh, held
 
-def _key(c: Column) -> Column:
-    """128 bits of a text."""
-    return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit("+"), c).alias("b"))
+RATIO = 0.1
+LEAST_PAGES = 20
+#: Lines (16 bytes each) up to which the lists of all hosts are broadcast.
+BROADCAST_LINES = 1_000_000
+SALTS = 32
 
 
 def _trim(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\r\x0b\x0c"))
 
 
-def boilerplate(pages: DataFrame, ratio: float = 0.01, min_pages: int = 5, host: str = "source", text: str = "text") -> DataFrame:
+def _keys(text: Column) -> Column:
+    """A key for each line of a text, null for lines of white space alone."""
+    return F.transform(F.split(text, "\n"), lambda x: F.when(_trim(x) != "", F.xxhash64(_trim(x))))
+
+
+def boilerplate(
+    pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES, host: str = "source", text: str = "text"
+) -> DataFrame:
     """host, line (its key), pages and the ratio of each line that counts as boilerplate."""
-    known = pages.where(F.col(text).isNotNull()).select(
-        F.col(host).alias("host"), _key(F.col(text)).alias("page"), F.col(text).alias("text")
-    )
-    totals = known.groupBy("host", "page").count().groupBy("host").agg(F.count("*").alias("total"))
-    keys = F.array_distinct(
-        F.transform(F.filter(F.split("text", "\n"), lambda x: _trim(x) != ""), lambda x: _key(_trim(x)))
-    )
-    lines = known.select("host", "page", F.explode(keys).alias("line"))
-    found = lines.groupBy("host", "line", "page").count().groupBy("host", "line").agg(F.count("*").alias("pages"))
+    known = pages.where(F.col(text).isNotNull()).select(F.col(host).alias("host"), F.col(text).alias("text"))
+    totals = known.groupBy("host").agg(F.count("*").alias("total")).where(F.col("total") >= least_pages)
+    lines = known.select("host", F.explode(F.array_distinct(_keys(F.col("text")))).alias("line"))
+    found = lines.where("line IS NOT NULL").groupBy("host", "line").agg(F.count("*").alias("pages"))
+    # What no host of the least size would drop need not meet its total.
+    found = found.where(F.col("pages") > ratio * least_pages)
     return (
-        found.where(F.col("pages") >= min_pages)
-        .join(totals, found["host"].eqNullSafe(totals["host"]))
+        found.join(totals, found["host"].eqNullSafe(totals["host"]))
         .select(found["host"], "line", "pages", (F.col("pages") / F.col("total")).alias("ratio"))
         .where(F.col("ratio") > ratio)
     )
 
 
 def drop_boilerplate(
-    pages: DataFrame, ratio: float = 0.01, min_pages: int = 5, most: float = 0.5,
+    pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES,
     host: str = "source", text: str = "text", dropped: str | None = None,
 ) -> DataFrame:
-    """The pages without their site's boilerplate lines; ``dropped`` names a column for how many."""
-    lists = boilerplate(pages, ratio, min_pages, host, text).groupBy("host").agg(
-        F.collect_list("line").alias("_lines")
-    ).withColumnRenamed("host", "_host")
-    joined = pages.join(lists, pages[host].eqNullSafe(lists["_host"]), "left")
-    is_dropped = lambda x: F.array_contains(F.col("_lines"), _key(_trim(x)))
-    all_lines = F.split(pages[text], "\n")
-    left = F.filter(all_lines, lambda x: ~is_dropped(x))
-    count = F.size(all_lines) - F.size(left)
-    size = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(_trim(x)))
-    changes = F.coalesce((size(all_lines) - size(left)) <= most * size(all_lines), F.lit(False)) & F.coalesce(count > 0, F.lit(False))
-    out = [F.when(changes, F.array_join(left, "\n")).otherwise(pages[c]).alias(c) if c == text else pages[c] for c in pages.columns]
+    """The pages without their site's boilerplate lines; ``dropped`` names a column for how many, which
+    replaces one of that name."""
+    lists = boilerplate(pages, ratio, least_pages, host, text).groupBy("host").agg(F.collect_set("line").alias("lines"))
+    lists = held(lists, "site-lines")
+    total = lists.agg(F.sum(F.size("lines"))).first()[0] or 0
+    joined, listed = _with_lists(pages, lists, host, total)
+    keys = _keys(F.col(text))
+    hits = F.array_intersect(keys, listed)
+    marked = joined.withColumn(fresh("hits", joined), F.filter(hits, lambda k: k.isNotNull()))
+    hits = F.col(marked.columns[-1])
+    changes = F.coalesce(F.size(hits) > 0, F.lit(False))
+    kept = F.filter(
+        F.arrays_zip(F.split(text, "\n").alias("line"), keys.alias("key")),
+        lambda x: ~F.coalesce(F.array_contains(hits, x["key"]), F.lit(False)),
+    )["line"]
+    out = {c: F.col(f"`{c}`") for c in pages.columns}
+    out[text] = F.when(changes, F.array_join(kept, "\n")).otherwise(F.col(text))
     if dropped:
-        out.append(F.when(changes, count).otherwise(0).alias(dropped))
-    return joined.select(*out)
+        out[dropped] = F.when(changes, F.size(F.split(text, "\n")) - F.size(kept)).otherwise(0)
+    return marked.select(*[c.alias(name) for name, c in out.items()])
+
+
+def _with_lists(pages: DataFrame, lists: DataFrame, host: str, total: int) -> tuple[DataFrame, Column]:
+    """The pages with their host's list of lines, and that column."""
+    at, column, salt = (fresh(name, pages) for name in ("host", "lines", "salt"))
+    lists = lists.select(F.col("host").alias(at), F.col("lines").alias(column))
+    same = F.col(f"`{host}`").eqNullSafe(F.col(at))
+    if total <= BROADCAST_LINES:
+        return pages.join(F.broadcast(lists), same, "left").drop(at), F.col(column)
+    spread = pages.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in pages.columns]), F.lit(SALTS)))
+    other = fresh("other", pages)
+    lists = lists.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    joined = spread.join(lists, same & (F.col(salt) == F.col(other)), "left")
+    return joined.drop(at, salt, other), F.col(column)

@@ -14,6 +14,10 @@ def held(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def parts_for(df: DataFrame, rows: int, rows_a_part: int) -> int:
-    """Partitions so that each gets about ``rows_a_part`` rows, at least what the session asks for."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_a_part))
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` has not got, in any case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name

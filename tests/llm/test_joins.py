@@ -228,15 +228,51 @@ def test_lines_on_many_pages_of_a_host_go(docs):
     rows += [(100 + i, f"words of page {i}\nmenu", "b") for i in range(30)]
     rows += [(200, "menu", "a"), (201, None, "a"), (202, "", "a"), (203, "x\nmenu y", None)]
     rows += [(300 + i, "same\ntext", "c") for i in range(40)]
+    rows += [(400 + i, f"menu\nown words {i}", "small") for i in range(19)]
     df = docs([(*r, 1) for r in rows], "doc_id long, text string, source string, line int").repartition(4)
     out = site_lines.drop_boilerplate(df, ratio=0.5, dropped="n")
     got = {r["doc_id"]: (r["text"], r["n"]) for r in out.collect()}
     assert out.columns == ["doc_id", "text", "source", "line", "n"] and len(got) == len(rows)
     assert got[3] == ("line 3 here stands\nalso 3 is text of the page\n\n", 1)
     assert got[105] == ("words of page 5", 1)
-    # The page is that line alone; copies are one page; nulls and empty texts stay.
-    assert got[200] == ("menu", 0) and got[300] == ("same\ntext", 0)
+    # A page that is that line alone is left empty; copies are pages like others; nulls and empty texts stay.
+    assert got[200] == ("", 1) and got[300] == ("", 2)
     assert got[201] == (None, 0) and got[202] == ("", 0) and got[203] == ("x\nmenu y", 0)
+    # A host of fewer than 20 pages is not judged.
+    assert got[405] == ("menu\nown words 5", 0)
+
+
+def test_short_pages_lose_their_boilerplate(docs):
+    rows = [(i, f"Home | News | Contact | Imprint\nown {i}\n(c) all rights reserved by the site", "a") for i in range(100)]
+    got = {r["doc_id"]: (r["text"], r["n"]) for r in site_lines.drop_boilerplate(docs(rows, "doc_id long, text string, source string"), dropped="n").collect()}
+    assert got == {i: (f"own {i}", 2) for i in range(100)}
+
+
+def test_copies_are_pages(docs):
+    """A line on 1,000 of 1,400 pages is boilerplate although the 1,000 are equal."""
+    rows = [(i, "a line\nthat repeats", "a") for i in range(1000)] + [(2000 + i, f"page {i}\nits own {i}", "a") for i in range(399)]
+    rows.append((3000, "a line\nof this page", "a"))
+    got = {r["doc_id"]: r["text"] for r in site_lines.drop_boilerplate(docs(rows, "doc_id long, text string, source string")).collect()}
+    assert got[3000] == "of this page" and got[5] == "" and got[2001] == "page 1\nits own 1"
+
+
+def test_lists_too_large_to_broadcast_give_the_same(docs, monkeypatch, plan):
+    rows = [(i, f"menu\nown {i}\n\n menu ", "a" if i % 3 else None) for i in range(200)]
+    df = docs(rows, "doc_id long, text string, source string").repartition(4)
+    small = site_lines.drop_boilerplate(df, dropped="n")
+    monkeypatch.setattr(site_lines, "BROADCAST_LINES", 0)
+    large = site_lines.drop_boilerplate(df, dropped="n")
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
+    assert {r["n"] for r in large.collect()} == {2}
+    assert "Exchange hashpartitioning" not in plan(small) and "BroadcastHashJoin" in plan(small)
+
+
+def test_columns_of_any_name(docs):
+    rows = [(i, "menu\nown", "a", "x", i, "h", "k") for i in range(30)]
+    df = docs(rows, "doc_id long, text string, source string, _lines string, n_dropped int, _host string, `a.b` string")
+    out = site_lines.drop_boilerplate(df, dropped="n_dropped")
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.where("doc_id = 7").collect()] == [(7, "", "a", "x", 2, "h", "k")]
 
 
 def test_site_lines_of_nothing(docs):
