@@ -3,18 +3,22 @@
 A tokenizer splits a page into tags and text; a tree builder makes elements of it, closing what a
 start tag implies to be closed (a paragraph by a block, a list item by the next, cells and rows by
 their followers, options by theirs) and forgiving end tags without a start. Rendering walks the
-tree: elements that are never shown (head, script, style, template, form fields' insides, …), that
+tree: elements that are never shown (head, script, style, template, …), that
 are hidden by the attribute ``hidden``, by ``aria-hidden="true"`` or by inline style, and comments are
-left out; all other text is emitted. Block elements stand on lines of their own, paragraphs, headings,
+left out; all other text is emitted. What ``visibility`` hides is left out but for what it shows again
+further in. Of closed details the summary is shown, of form fields what they show: the chosen option of a
+list (all options of one that is open), the text of text fields, the label of buttons. Block elements stand on lines of their own, paragraphs, headings,
 lists, quotes and tables apart by an empty line; ``br`` breaks a line; list items have a bullet or
 their number and are indented by their depth; table cells are padded to the width of their column;
 ``pre`` keeps its white space, elsewhere runs of it become one space.
 
 Of an ``svg`` the text elements are shown, of dialogs the open ones.
 
-Null and empty pages give an empty text. Repeated rows are rendered alike. Elements are the same at any
-depth, and very long pages are rendered whole. Of the layout alone two things stop at a width, as they
-would grow with the square of the depth: indentation at ``MAX_INDENT`` columns, and padded columns in
+Null and empty pages give an empty text; other columns, whatever their names, are not looked at. Repeated
+rows are rendered alike. Elements are the same at any depth, and very long pages are rendered whole. Numbers
+may have any length: a character reference beyond the last character is U+FFFD, a cell spans at most 1,000
+columns, and columns in which no cell begins take no width. Of the layout alone two things stop at a width,
+as they would grow with the square of the depth: indentation at ``MAX_INDENT`` columns, and padded columns in
 tables within ``MAX_TABLES`` others, whose cells stand on lines of their own.
 """
 
@@ -37,8 +41,11 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes plainte
 #: Never shown.
 HIDDEN = frozenset(
     "head script style template noscript title meta link iframe noembed noframes object audio video canvas "
-    "math datalist select textarea area map base param source track".split()
+    "datalist area map base param source track rp annotation annotation-xml".split()
 )
+#: Inputs that show no text.
+TEXTLESS = frozenset("hidden checkbox radio file image password range color".split())
+MAX_SPAN = 1_000
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td "
@@ -84,7 +91,10 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|content-visibility\s*:\s*hidden", re.I)
+_HIDDEN_STYLE = re.compile(r"(?<![\w-])(?:display\s*:\s*none|content-visibility\s*:\s*hidden)", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(visible|hidden|collapse)", re.I)
+#: Character references by more digits than any character needs.
+_LONG_REFERENCE = re.compile(r"&#(?:([0-9]{8,})|[xX]([0-9a-fA-F]{7,}));?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -93,6 +103,21 @@ class Element:
     tag: str
     attributes: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)
+    #: Whether ``visibility`` shows the text in it.
+    seen: bool = True
+
+
+def _short_reference(m: re.Match) -> str:
+    digits, base = (m[1], 10) if m[1] else (m[2], 16)
+    digits = digits.lstrip("0") or "0"
+    return f"&#{int(digits, base)};" if len(digits) <= 7 else "&#65533;"
+
+
+def plain(source: str) -> str:
+    """Text with its character references resolved."""
+    if "&" not in source:
+        return source
+    return unescape(_LONG_REFERENCE.sub(_short_reference, source))
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -100,7 +125,7 @@ def attributes(source: str) -> dict[str, str]:
     for name, value in _ATTRIBUTE.findall(source):
         if value[:1] in ("'", '"'):
             value = value[1:-1]
-        out.setdefault(name.lower(), unescape(value) if "&" in value else value)
+        out.setdefault(name.lower(), plain(value))
     return out
 
 
@@ -201,7 +226,7 @@ def parse(html: str) -> Element:
             break
         begin = m.start()
         if begin > at:
-            builder.text(unescape(html[at:begin]))
+            builder.text(plain(html[at:begin]))
         at = m.end()
         if m[1]:
             builder.end(m[1].lower())
@@ -211,11 +236,11 @@ def parse(html: str) -> Element:
             if tag in RAW and builder.stack[-1].tag == tag:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 inside = html[at : close.start() if close else size]
-                builder.text(unescape(inside) if tag in ("title", "textarea") else inside)
+                builder.text(plain(inside) if tag in ("title", "textarea") else inside)
                 builder.end(tag)
                 at = close.end() if close else size
     if at < size:
-        builder.text(unescape(html[at:]))
+        builder.text(plain(html[at:]))
     return builder.root
 
 
@@ -300,8 +325,20 @@ class _Lines:
         return "\n".join(self.lines).strip("\n")
 
 
+def _mark_seen(root: Element) -> None:
+    waiting = [root]
+    while waiting:
+        e = waiting.pop()
+        for child in e.children:
+            if isinstance(child, Element):
+                set_ = _VISIBILITY.findall(child.attributes.get("style", ""))
+                child.seen = set_[-1].lower() == "visible" if set_ else e.seen
+                waiting.append(child)
+
+
 def render(e: Element) -> str:
     """Walks are generators that yield the walks inside them, so that depth needs no recursion."""
+    _mark_seen(e)
     open_, value = [_rendered(e, 0)], None
     while open_:
         try:
@@ -322,8 +359,13 @@ def _rendered(e: Element, tables: int):
 def _walk(e: Element, out: _Lines, depth: int, pre: bool, tables: int):
     """``depth`` counts lists and ``tables`` tables around."""
     number = 0
-    for child in e.children:
+    children = e.children
+    if e.tag == "details" and "open" not in e.attributes:
+        children = [c for c in children if isinstance(c, Element) and c.tag == "summary"][:1]
+    for child in children:
         if isinstance(child, str):
+            if not e.seen:
+                continue
             if pre:
                 out.raw(child)
             else:
@@ -332,6 +374,10 @@ def _walk(e: Element, out: _Lines, depth: int, pre: bool, tables: int):
         tag = child.tag
         if hidden(child):
             continue
+        if tag in ("input", "select", "textarea"):
+            if child.seen:
+                _field(child, out)
+            continue
         if tag == "br":
             if out.now:
                 out.end_line()
@@ -342,7 +388,7 @@ def _walk(e: Element, out: _Lines, depth: int, pre: bool, tables: int):
             out.block(True)
             continue
         if tag == "img":
-            if child.attributes.get("alt", "").strip():
+            if child.seen and child.attributes.get("alt", "").strip():
                 out.text(child.attributes["alt"])
             continue
         if tag == "svg":
@@ -382,7 +428,7 @@ def _svg(e: Element, out: _Lines, depth: int, shown: bool, tables: int):
     """The text elements of an svg, apart from each other."""
     for child in e.children:
         if isinstance(child, str):
-            if shown:
+            if shown and e.seen:
                 out.text(child)
         elif hidden(child) or child.tag in SVG_UNSHOWN:
             continue
@@ -396,6 +442,58 @@ def _svg(e: Element, out: _Lines, depth: int, shown: bool, tables: int):
             yield _svg(child, out, depth, shown, tables)
 
 
+def _field(e: Element, out: _Lines) -> None:
+    """What a form field shows, apart from the text around it."""
+    a = e.attributes
+    if e.tag == "input":
+        lines = [] if a.get("type", "").strip().lower() in TEXTLESS else [a.get("value") or a.get("placeholder", "")]
+    elif e.tag == "textarea":
+        lines = ("".join(c for c in e.children if isinstance(c, str)) or a.get("placeholder", "")).split("\n")
+    else:
+        lines = _options(e)
+    out.space = True
+    for n, line in enumerate(lines):
+        if n:
+            out.end_line()
+        out.text(line)
+    out.space = True
+
+
+def _options(select: Element) -> list[str]:
+    """The chosen option, or all options and group labels of a list that shows several."""
+    a = select.attributes
+    size = a.get("size", "").strip().lstrip("0")
+    is_open = "multiple" in a or (size.isascii() and size.isdigit() and size != "1")
+    found, waiting = [], [(c, False) for c in reversed(select.children)]
+    while waiting:
+        e, is_off = waiting.pop()
+        if not isinstance(e, Element) or hidden(e):
+            continue
+        if e.tag == "option":
+            text = e.attributes.get("label") or _text_of(e)
+            found.append((text, "selected" in e.attributes, is_off or "disabled" in e.attributes))
+        else:
+            if e.tag == "optgroup" and is_open and e.attributes.get("label"):
+                found.append((e.attributes["label"], False, True))
+            is_off = is_off or "disabled" in e.attributes
+            waiting += [(c, is_off) for c in reversed(e.children)]
+    if is_open:
+        return [text for text, _, _ in found]
+    chosen = [text for text, is_chosen, _ in found if is_chosen][-1:]
+    return chosen or [text for text, _, is_off in found if not is_off][:1]
+
+
+def _text_of(e: Element) -> str:
+    out, waiting = [], list(reversed(e.children))
+    while waiting:
+        child = waiting.pop()
+        if isinstance(child, str):
+            out.append(child)
+        elif not hidden(child):
+            waiting += reversed(child.children)
+    return "".join(out)
+
+
 def _number(item: Element, last: int, parent: Element) -> int:
     for source in (item.attributes.get("value"), None if last else parent.attributes.get("start")):
         if source is not None and re.fullmatch(r"\s*-?\d{1,9}\s*", source):
@@ -417,28 +515,32 @@ def _table(table: Element, out: _Lines, depth: int, tables: int):
     cells comes before it. A cell of several lines takes as many lines of the row."""
     out.block(True)
     yield _stray(table, out, depth, tables)
-    grid = []
+    grid: list[list[tuple[int, list[str]]]] = []
     for row in _rows(table):
-        cells = []
+        cells, column = [], 0
         for c in row.children:
             if isinstance(c, Element) and c.tag in ("td", "th") and not hidden(c):
-                span = c.attributes.get("colspan", "1").strip()
-                cells.append((yield _rendered(c, tables)).split("\n"))
-                cells += [[""]] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() and int(span) > 1 else 0)
-        if any(any(c) for c in cells):
+                cells.append((column, (yield _rendered(c, tables)).split("\n")))
+                column += _span(c)
+        if any(any(lines) for _, lines in cells):
             grid.append(cells)
-    width: list[int] = []
+    width: dict[int, int] = {}
     for cells in grid:
-        for k, c in enumerate(cells):
-            w = max(map(len, c))
-            if k == len(width):
-                width.append(w)
-            elif w > width[k]:
-                width[k] = w
+        for k, lines in cells:
+            width[k] = max(width.get(k, 0), max(map(len, lines)))
+    # Where each column in which a cell begins stands.
+    at, place = {}, 0
+    for k in sorted(width):
+        at[k] = place
+        place += width[k] + 2
     for cells in grid:
-        for n in range(max(map(len, cells))):
-            parts = [(c[n] if n < len(c) else "").ljust(width[k]) for k, c in enumerate(cells)]
-            line = "  ".join(parts).rstrip()
+        for n in range(max(len(lines) for _, lines in cells)):
+            parts, end = [], 0
+            for k, lines in cells:
+                if n < len(lines) and lines[n]:
+                    parts += [" " * (at[k] - end), lines[n]]
+                    end = at[k] + len(lines[n])
+            line = "".join(parts).rstrip()
             if line:
                 out._begin()
                 out.now.append(line)
@@ -448,10 +550,18 @@ def _table(table: Element, out: _Lines, depth: int, tables: int):
     out.block(True)
 
 
+def _span(cell: Element) -> int:
+    span = cell.attributes.get("colspan", "").strip().lstrip("0")
+    if not (span.isascii() and span.isdigit()):
+        return 1
+    return int(span) if len(span) < 5 and int(span) < MAX_SPAN else MAX_SPAN
+
+
 def _stray(e: Element, out: _Lines, depth: int, tables: int):
     for child in e.children:
         if isinstance(child, str):
-            out.text(child)
+            if e.seen:
+                out.text(child)
         elif hidden(child) or child.tag in ("td", "th"):
             continue
         elif child.tag in ("tr", "tbody", "thead", "tfoot"):

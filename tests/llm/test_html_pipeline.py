@@ -35,7 +35,7 @@ CASES = [
     ("<table><tr><td>x<table><tr><td>y<td>z</table></table>", "x\n\ny  z"),
     ("<h1>H</h1>text<h2>I</h2>", "H\n\ntext\n\nI"),
     ("<a href='x'>l</a>, <img alt='pic'> <img>.", "l, pic ."),
-    ("<select><option>a<option>b</select>x<textarea>y</textarea>", "x"),
+    ("<select><option>a<option>b</select>x<textarea>y</textarea>", "a x y"),
     ("</p>a</div></b>", "a"),
     ("a < b and c > d", "a < b and c > d"),
     ("<p title='a > b'>x", "x"),
@@ -72,6 +72,44 @@ def test_elements_are_the_same_at_any_depth():
     assert tables.count("y") == tables.count("z") == 5_000
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<table><tr><td colspan=" + "9" * 5_000 + ">a<td>b<tr><td>cc<td>d</table>", "a      b\ncc  d"),
+    ("<table><tr><td colspan=" + "0" * 5_000 + "2>a<td>b<tr><td>1<td>2<td>3</table>", "a     b\n1  2  3"),
+    ("<table><tr>" + "<td colspan=1000>x" * 3_000 + "</table>", "  ".join("x" * 3_000)),
+    ("a&#" + "9" * 5_000 + ";b&#x" + "F" * 5_000 + ";c", "a\ufffdb\ufffdc"),
+    ("&#" + "0" * 5_000 + "65;&#x" + "0" * 5_000 + "42&#" + "0" * 5_000 + "38;lt;", "AB&lt;"),
+    ("<p title='&#" + "7" * 5_000 + ";'>x", "x"),
+    ("<ol><li value=" + "3" * 5_000 + ">a</ol>", "1. a"),
+    ("<select size=" + "8" * 5_000 + "><option>a<option>b</select>", "a\nb"),
+])
+def test_numbers_of_any_length_end_no_query(html, text):
+    assert to_text(html) == text
+
+
+@pytest.mark.parametrize("html, text", [
+    # Form fields show what they hold.
+    ("<select><option disabled>pick<option>a<option selected>b<option>c</select>", "b"),
+    ("<select><optgroup label=g disabled><option>a</optgroup><optgroup label=h><option label=L>b</select>", "L"),
+    ("<select multiple><optgroup label=g><option>a</optgroup><option>b</select>", "g\na\nb"),
+    ("x<textarea>one &amp;\ntwo</textarea>y", "x one &\ntwo y"),
+    ("<input value=v> <input type=hidden value=no><input type=password value=no><input placeholder=p><input type=submit value=Go>", "v p Go"),
+    ("<select hidden><option>no</select><button>yes</button>", "yes"),
+    # Mathematics, without its annotations.
+    ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2 tex</annotation></semantics></math>!", "x=2!"),
+    # Visibility can be given back, display cannot.
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes<i style='visibility:collapse'>no</i></b>no</div>", "yes"),
+    ("<div style='display:none'><b style='visibility:visible;display:block'>no</b></div>yes", "yes"),
+    ("<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>", "- yes"),
+    ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table><img style='visibility:hidden' alt=no>", "  yes"),
+    ("<p style='backface-visibility:hidden'>yes", "yes"),
+    # Closed details show their summary only.
+    ("<details>no<summary>s</summary><p>no</details><details open>a<summary>t</summary></details>", "s\na\nt"),
+    ("<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>", "漢kan"),
+])
+def test_what_a_browser_shows_is_shown(html, text):
+    assert to_text(html) == text
+
+
 @pytest.mark.parametrize("html, text", [
     ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
     ("a<svg><title>no</title><defs><text>no</text></defs>no<path d='M0'/><text>b <tspan>c</tspan></text><text>d</text></svg>e", "a b c d e"),
