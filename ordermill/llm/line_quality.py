@@ -5,12 +5,18 @@ conditional random field has one weight vector per label and one weight per pair
 labels; Viterbi decoding finds the best labelling of a text as a whole. A document is kept if at
 least ``share`` of its words lie in content lines and it passes two plain rules on its words.
 
-Training: lines of documents labelled as good count as content, those of bad ones as boilerplate.
-At most ``max_rows`` labelled documents of at most ``max_lines`` lines are used (the lowest hashes
-of the id); decoding covers every line of every text.
-
-Null and empty texts have no word, so they are not kept. Repeated rows are judged alike. Labels
-that are null are not learnt from; without both kinds of label every line is content.
+Training: labels are given for documents only, so those of lines are latent. The weights start from the
+documents' labels, line by line. Then expectation and maximisation take turns, a gradient step each: the lines
+of a text get the probabilities the model gives them under a constraint on the text, that lines of a good
+document hold at least ``LEAST`` of its words as content and those of a bad one at most ``MOST``, with lines
+that repeat in their document leaning to boilerplate; the weights, pairs included, then follow these
+probabilities. So a clean line of a bad document is learnt as content and a bad line of a good one as
+boilerplate. At most ``max_rows`` labelled documents are used (the lowest hashes of the id), of each at most
+``WINDOWS`` stretches of ``WINDOW`` lines, spread evenly over it; decoding covers every line of every text.
+
+Null and empty texts have no word, so they are not kept. Repeated rows are judged alike, and other columns,
+whatever their names, are kept as they are. Labels that are null are not learnt from; without both kinds of
+label every line is content.
 """
 
 from __future__ import annotations
@@ -25,7 +31,8 @@ from pyspark.sql import functions as F
 from ordermill.llm import text as X
 
 MAX_ROWS = 4_000
-MAX_LINES = 200
+WINDOW, WINDOWS = 64, 4
+LEAST, MOST = 0.9, 0.3
 FEATURES = 16
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -151,9 +158,14 @@ def _later(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(
-    documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_lines: int = MAX_LINES
-) -> Crf | None:
+def stretches(n: int, window: int = WINDOW, windows: int = WINDOWS) -> list[tuple[int, int]]:
+    """The stretches of ``n`` lines that are learnt from: all lines where they fit, else spread evenly."""
+    if n <= window * windows:
+        return [(a, min(a + window, n)) for a in range(0, n, window)]
+    return [(a, a + window) for a in np.linspace(0, n - window, windows).astype(int).tolist()]
+
+
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Crf | None:
     """Learns the weights from labelled documents; None without both kinds of label."""
     chosen = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -168,11 +180,14 @@ def fit(
     def run(batches):
         for batch in X.slices(batches, "text"):
             d = describe(X.texts_of(batch.column("text")))
-            counts = d.lines.counts
-            ok = np.flatnonzero((counts > 0) & (counts <= max_lines))
-            blobs = [d.features[d.lines.first[i] : d.lines.first[i + 1]].astype("<f4").tobytes() for i in ok]
+            at, blobs = [], []
+            for i, n in enumerate(d.lines.counts.tolist()):
+                for a, z in stretches(n):
+                    at.append(i)
+                    blobs.append(d.features[d.lines.first[i] + a : d.lines.first[i] + z].astype("<f4").tobytes())
+            at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(ok)), batch.column("quality").take(pa.array(ok)).cast(pa.int32()),
+                [batch.column("doc_id").take(at).cast(pa.int64()), batch.column("quality").take(at).cast(pa.int32()),
                  pa.array(blobs, pa.binary())],
                 names=["doc_id", "quality", "features"],
             )
@@ -184,44 +199,65 @@ def fit(
     return train([np.frombuffer(r["features"], "<f4").reshape(-1, FEATURES) for r in found], good)
 
 
-def train(features: list[np.ndarray], good: np.ndarray, rounds: int = 120, penalty: float = 1e-3) -> Crf:
-    """Maximum likelihood by Adam steps; all lines of a text have its label."""
-    counts = np.array([len(f) for f in features])
-    order = np.argsort(-counts, kind="stable")
-    features, y, counts = [features[i] for i in order], good[order].astype(float), counts[order]
-    steps, n = int(counts.max()), len(features)
-    flat = np.concatenate(features).astype(float)
-    first = np.concatenate([[0], np.cumsum(counts)])
-    alive = np.searchsorted(-counts, -np.arange(1, steps + 1), "right")
-    label = np.repeat(y, counts)
-    theta = np.zeros(FEATURES + 4)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    lines = len(flat)
-    same = np.zeros(4)
-    same[0], same[3] = ((1 - y) * (counts - 1)).sum(), (y * (counts - 1)).sum()
-    for t in range(1, rounds + 1):
-        pairs = theta[FEATURES:].reshape(2, 2)
-        unary = flat @ theta[:FEATURES]
-        forward = np.zeros((lines, 2))
-        backward = np.zeros((lines, 2))
-        for k in range(steps):
-            at = first[:-1][: alive[k]] + k
+class Chains:
+    """Texts of given numbers of lines, longest first, that advance together line by line."""
+
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts
+        self.first = np.concatenate([[0], np.cumsum(counts)])
+        self.alive = np.searchsorted(-counts, -np.arange(1, int(counts.max()) + 1), "right")
+
+    def marginals(self, unary: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The probability of label 1 for each line, and how often each pair of labels is expected."""
+        forward, backward = np.zeros((len(unary), 2)), np.zeros((len(unary), 2))
+        for k, n in enumerate(self.alive):
+            at = self.first[:-1][:n] + k
             if k:
                 forward[at] = _soft(forward[at - 1][:, :, None] + pairs[None], 1)
             forward[at, 1] += unary[at]
-        ends = first[1:] - 1
-        z = _soft(forward[ends], 1)
+        z = _soft(forward[self.first[1:] - 1], 1)
         both = np.zeros(4)
-        for k in range(steps - 2, -1, -1):
-            rows = alive[k + 1]
-            at = first[:-1][:rows] + k
+        for k in range(len(self.alive) - 2, -1, -1):
+            n = self.alive[k + 1]
+            at = self.first[:-1][:n] + k
             ahead = backward[at + 1].copy()
             ahead[:, 1] += unary[at + 1]
             path = pairs[None] + ahead[:, None, :]
             backward[at] = _soft(path, 2)
-            both += np.exp(forward[at][:, :, None] + path - z[:rows, None, None]).sum(axis=0).reshape(-1)
-        p = np.exp(forward[:, 1] + backward[:, 1] - np.repeat(z, counts))
-        grad = np.concatenate([flat.T @ (p - label), both - same]) / lines + penalty * theta
+            both += np.exp(forward[at][:, :, None] + path - z[:n, None, None]).sum(axis=0).reshape(-1)
+        return np.exp(forward[:, 1] + backward[:, 1] - np.repeat(z, self.counts)), both
+
+
+def train(
+    features: list[np.ndarray], good: np.ndarray, rounds: int = 100, warm: int = 30, penalty: float = 1e-3,
+    least: float = LEAST, most: float = MOST,
+) -> Crf:
+    """Weights by Adam steps. For ``warm`` rounds every line has its text's label and neighbours do not
+    count; then lines have the probabilities of the constrained model."""
+    counts = np.array([len(f) for f in features])
+    order = np.argsort(-counts, kind="stable")
+    features, good, counts = [features[i] for i in order], good[order], counts[order]
+    flat = np.concatenate(features).astype(float)
+    chains = Chains(counts)
+    words = np.expm1(flat[:, 1])
+    seeds = np.where(flat[:, 13] > 0, -2.0, 0.0)
+    total = X.segment_sums(words, chains.first)
+    given = np.repeat(good.astype(float), counts)
+    # How much each text leans to one label so as to meet its constraint.
+    lean = np.zeros(len(counts))
+    theta = np.zeros(FEATURES + 4)
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for t in range(1, rounds + 1):
+        unary, pairs = flat @ theta[:FEATURES], theta[FEATURES:].reshape(2, 2)
+        p, both = chains.marginals(unary, pairs)
+        if t <= warm:
+            wanted, wanted_both = given, both
+        else:
+            wanted, wanted_both = chains.marginals(unary + seeds + np.repeat(lean, counts), pairs)
+            share = X.segment_sums(wanted * words, chains.first) / total
+            lean = np.clip(lean + 2 * (np.where(good, least, most) - share), -5, 5)
+            lean = np.where(good, np.maximum(lean, 0), np.minimum(lean, 0))
+        grad = np.concatenate([flat.T @ (p - wanted), both - wanted_both]) / len(flat) + penalty * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-10)
     return Crf(theta[:FEATURES], theta[FEATURES:].reshape(2, 2))

@@ -1,4 +1,5 @@
 import inspect
+import itertools
 import math
 import random
 import re
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.llm import bloom_lm, line_quality, toxicity, url_filter
+from ordermill.llm import bloom_lm, line_quality, queries, toxicity, url_filter
 from ordermill.llm import text as X
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -244,6 +245,50 @@ def test_bad_lines_are_learnt(spark, docs):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
+def test_marginals_equal_those_of_all_labellings():
+    r = np.random.default_rng(9)
+    counts = np.array([6, 4, 4, 1])
+    chains = line_quality.Chains(counts)
+    unary, pairs = r.normal(size=counts.sum()), r.normal(size=(2, 2))
+    p, both = chains.marginals(unary, pairs)
+    want, want_both = np.zeros(counts.sum()), np.zeros(4)
+    for a, z in zip(chains.first[:-1], chains.first[1:], strict=True):
+        weights = []
+        for labels in itertools.product((0, 1), repeat=z - a):
+            score = sum(u for u, y in zip(unary[a:z], labels, strict=True) if y)
+            weights.append((labels, math.exp(score + sum(pairs[x, y] for x, y in itertools.pairwise(labels)))))
+        total = sum(w for _, w in weights)
+        for labels, w in weights:
+            want[a:z] += np.array(labels) * w / total
+            for x, y in itertools.pairwise(labels):
+                want_both[2 * x + y] += w / total
+    assert np.allclose(p, want) and np.allclose(both, want_both)
+
+
+def test_every_line_of_a_document_may_be_learnt_from_up_to_a_bound():
+    assert line_quality.stretches(0) == [] and line_quality.stretches(3) == [(0, 3)]
+    whole = line_quality.stretches(250)
+    assert whole[0] == (0, 64) and whole[-1][1] == 250 and len(whole) == 4
+    spread = line_quality.stretches(100_000)
+    assert len(spread) == 4 and spread[0][0] == 0 and spread[-1] == (99_936, 100_000)
+
+
+def test_lines_of_given_documents_get_both_labels_and_held_out_documents_their_verdict(spark):
+    """Labels are given for documents; inside bad ones some lines are found to be content."""
+    folder = "/root/testdata/sf0.1"
+    documents, labels = queries.read(spark, folder, "documents"), queries.read(spark, folder, "labels")
+    crf = line_quality.fit(documents, labels.where("crc32(cast(doc_id AS string)) % 5 <> 0"))
+    held = labels.where("crc32(cast(doc_id AS string)) % 5 = 0").select("doc_id", "quality")
+    rows = line_quality.judge(documents.join(held.select("doc_id"), "doc_id"), crf).join(held, "doc_id").collect()
+    good, bad = [r for r in rows if r["quality"]], [r for r in rows if not r["quality"]]
+    assert len(good) > 500 and len(bad) > 90
+    assert np.mean([r["content_share"] >= 0.5 for r in good]) > 0.99
+    assert np.mean([r["kept"] for r in bad]) < 0.05
+    several = [r for r in bad if len(r["labels"]) > 1]
+    assert np.mean([len(set(r["labels"])) == 2 for r in several]) > 0.2
+    assert any(0.05 < r["content_share"] < 0.95 for r in rows)
+
+
 # URLs
 
 
