@@ -2,25 +2,29 @@
 
 The filter holds, for an n-gram that occurs c times in the training texts, the pairs (n-gram, 1) to
 (n-gram, q) with q = 1 + floor(log2 c). A count is read back by probing level after level until one
-is missing; level q stands for the middle of its range. Counts never come back too low, and too
-high with the filter's error rate for each further level.
+is missing; level q says that the count is from 2**(q-1) to 2**q - 1. Counts never come back too low, and
+too high with the filter's error rate for each further level.
 
-    P(w | h) = (min(c(hw), c(h)) + mass * P(w | shorter h)) / (c(h) + mass)
-    P(w)     = (c(w) + 0.5) / (N + 0.5 * (V + 1))
+    P(w | h) = (least(hw) + mass * P(w | shorter h)) / (most(h) + mass)
+    P(w)     = (least(w) + 0.5) / (N + 0.5 * (V + 1))
 
-Steps: texts become blocks of word hashes, stored once; the distinct n-gram keys of each block move to
-the segment of their hash, where the training counts add up, the segment's part of the filter is made
-and probed for the keys of each block; the levels found go back to their blocks. The filter gets
-``bits_an_entry`` bits per entry whatever the size of the corpus. Only one segment of it is in a task at
-a time, and segments are of about ``tokens_a_segment`` n-grams, so its error rate and the memory of a
-task stay the same at any size.
+``least`` and ``most`` are the ends of the range a level stands for (of a single word as context, the exact
+count, which ``base_score`` needs anyway), so the probabilities of all words after a context never add up
+to more than 1; what is missing to 1 is the price of quantised counts.
+
+Fitting: texts become blocks of word hashes, stored once; the distinct n-grams of the training texts of each
+block move to the segment of their hash, where counts add up and the segment's part of the filter is filled
+and stored (:class:`Model`). Scoring: the distinct n-grams of each block to be scored move to the stored
+segments, are probed there and the levels found go back to their blocks. Nothing else than probes says what
+a count is. A filter grows with the corpus, so it isn't held whole anywhere: a task has one segment of it, of
+about ``tokens_a_segment`` n-grams and ``bits_an_entry`` bits per entry, at any size.
 
 The exact word counts behind ``base_score`` move in the same way: a block asks the segments of its
 distinct words and gets their counts back.
 
 Words are told apart by a 64-bit hash, n-grams by 32 bits within their segment. Null and empty
 texts consist of the end token; repeated rows count each; with no training text N = V = 0. A null
-``doc_id`` is never held out.
+``doc_id`` is never held out. Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -44,42 +48,33 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Model:
-    """Segments of the filter and the training totals. Scoring holds one segment at a time."""
+    """The stored filter (segment, size, probes, bits) and the training totals."""
 
+    segments: DataFrame
+    count: int
     order: int
-    mass: float
-    segments: int
-    offsets: np.ndarray
-    sizes: np.ndarray
-    probes: np.ndarray
-    bits: np.ndarray
     tokens: int
     words: int
 
-    @property
-    def max_level(self) -> int:
-        return max(1, int(self.tokens).bit_length() + 1)
-
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        return middle(self.level(keys))
-
-    def level(self, keys: np.ndarray) -> np.ndarray:
-        """Levels of n-grams by probing level after level; 0 if missing."""
-        segment = segment_of(keys, self.segments)
-        level = np.zeros(len(keys), np.int64)
-        at = np.flatnonzero(self.sizes[segment] > 0)
-        for j in range(1, self.max_level + 1):
-            if not len(at):
-                break
-            seg = segment[at]
-            ok = np.ones(len(at), bool)
-            for i in range(int(self.probes.max(initial=1))):
-                live = np.flatnonzero(ok & (i < self.probes[seg]))
-                place = self.offsets[seg[live]] * 8 + probe(short_key(keys[at[live]]), j, i, self.sizes[seg[live]])
-                ok[live] = (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            at = at[ok]
-            level[at] = j
-        return level
+
+def found_levels(keys: np.ndarray, size: int, probes: int, bits: np.ndarray) -> np.ndarray:
+    """Levels of n-grams by probing a segment level after level; 0 if missing."""
+    level = np.zeros(len(keys), np.int64)
+    at = np.arange(len(keys) if size else 0)
+    j = 1
+    while len(at):
+        ok = np.ones(len(at), bool)
+        for i in range(probes):
+            live = np.flatnonzero(ok)
+            place = probe(keys[at[live]], j, i, np.full(len(live), size))
+            ok[live] = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        at = at[ok]
+        level[at] = j
+        # No count has so many bits; a crowded filter could go on.
+        if j == 63:
+            break
+        j += 1
+    return level
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -90,10 +85,14 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             X.release()
 
 
-def middle(level: np.ndarray) -> np.ndarray:
-    """The count a level stands for: the middle of 2**(q-1) .. 2**q - 1."""
-    low = 2.0 ** (level - 1)
-    return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
+def least(level: np.ndarray) -> np.ndarray:
+    """The least count a level stands for: 2**(q-1)."""
+    return np.where(level > 0, 2.0 ** (level - 1), 0.0)
+
+
+def most(level: np.ndarray) -> np.ndarray:
+    """The largest count a level stands for: 2**q - 1."""
+    return 2.0**level - 1
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -206,7 +205,8 @@ class Block:
 
 def word_totals(blocks: DataFrame, segments: int) -> DataFrame:
     """Stored answers: for each block and segment the training counts of the block's words there,
-    in the order they have in the block. The row with block -1 has the segment's V and N."""
+    in the order they have in the block. The row with block -1 has how many words and tokens of the
+    training texts fall to the segment."""
 
     def ask(batches):
         for row in _rows(batches):
@@ -235,53 +235,61 @@ def word_totals(blocks: DataFrame, segments: int) -> DataFrame:
         return pa.table({
             "block": pa.array(table["block"].to_pylist() + [-1], pa.int64()),
             "segment": pa.array([segment] * (len(each) + 1), pa.int64()),
-            "totals": pa.array(each + [np.array([(total > 0).sum(), total.sum()], "<i8").tobytes()], pa.binary()),
+            "totals": pa.array([*each, None], pa.binary()),
+            "n_words": pa.array([None] * len(each) + [int((total > 0).sum())], pa.int64()),
+            "n_tokens": pa.array([None] * len(each) + [int(total.sum())], pa.int64()),
         })
 
     asked = blocks.mapInArrow(ask, "segment long, block long, words binary, counts binary")
-    answers = asked.groupBy("segment").applyInArrow(answer, "block long, segment long, totals binary")
+    answers = asked.groupBy("segment").applyInArrow(
+        answer, "block long, segment long, totals binary, n_words long, n_tokens long"
+    )
     return held(answers, "lm-words")
 
 
-def _gathered(blocks: DataFrame, segments: int, order: int) -> DataFrame:
-    """For each block and segment the block's distinct n-grams there, with their training counts (0
-    if only held-out texts have them)."""
+def _training(blocks: DataFrame, segments: int, order: int) -> DataFrame:
+    """For each block and segment the block's distinct training n-grams there, with their counts."""
 
-    def ask(batches):
+    def send(batches):
         for row in _rows(batches):
             distinct, code, weight, _ = Block(row).asked(order, segments)
             count = np.bincount(code, weights=weight, minlength=len(distinct)).astype(np.int64)
-            cuts = np.searchsorted(distinct, np.arange(segments + 1).astype(_U) << _U(32))
-            some = np.flatnonzero(np.diff(cuts))
-            blobs = []
-            for a, z in zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True):
-                gaps = np.diff(short_key(distinct[a:z]), prepend=_U(0))
-                blobs.append((planes(gaps, 4), planes(count[a:z], 4)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array([row["block"]] * len(some)), pa.array([k for k, _ in blobs], pa.binary()),
-                 pa.array([c for _, c in blobs], pa.binary())],
-                names=["segment", "block", "keys", "counts"],
-            )
+            some = count > 0
+            yield from _messages(row["block"], distinct[some], segments, count[some])
+
+    return blocks.mapInArrow(send, "segment long, block long, keys binary, counts binary")
+
+
+def _asked(blocks: DataFrame, segments: int, order: int) -> DataFrame:
+    """For each block and segment the block's distinct n-grams there."""
+
+    def send(batches):
+        for row in _rows(batches):
+            yield from _messages(row["block"], Block(row).asked(order, segments)[0], segments)
+
+    return blocks.mapInArrow(send, "segment long, block long, keys binary")
 
-    return blocks.mapInArrow(ask, "segment long, block long, keys binary, counts binary")
 
+def _messages(block: int, keys: np.ndarray, segments: int, counts: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    cuts = np.searchsorted(keys, np.arange(segments + 1).astype(_U) << _U(32))
+    some = np.flatnonzero(np.diff(cuts))
+    parts = list(zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True))
+    columns = [pa.array(some), pa.array([block] * len(some), pa.int64()),
+               pa.array([planes(np.diff(short_key(keys[a:z]), prepend=_U(0)), 4) for a, z in parts], pa.binary())]
+    if counts is not None:
+        columns.append(pa.array([planes(counts[a:z], 4) for a, z in parts], pa.binary()))
+    yield pa.RecordBatch.from_arrays(columns, names=["segment", "block", "keys", "counts"][: len(columns)])
 
-def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A segment's distinct keys, their training counts, the place among them of each key of each
-    block, and where each block's keys begin."""
-    each = [np.cumsum(from_planes(k, 4).astype(_U)) for k in table["keys"].to_pylist()]
-    counts = np.concatenate([from_planes(c, 4) for c in table["counts"].to_pylist()])
-    distinct, code = np.unique(np.concatenate(each), return_inverse=True)
-    total = np.bincount(code, weights=counts, minlength=len(distinct)).astype(np.int64)
-    return distinct, total, code, np.cumsum([0] + [len(k) for k in each])
 
+def _keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(packed, 4).astype(_U))
 
-def _filled(keys: np.ndarray, counts: np.ndarray, bits_an_entry: float, most: int | None = None) -> tuple[int, int, np.ndarray]:
-    """Size in bits, number of probes and bytes of a segment with these n-grams; ``most`` bounds its bits."""
+
+def _filled(keys: np.ndarray, counts: np.ndarray, bits_an_entry: float) -> tuple[int, int, np.ndarray]:
+    """Size in bits, number of probes and bytes of a segment with these n-grams."""
     level = levels(counts)
     entries = int(level.sum())
-    size = int(max(64, bits_an_entry * entries))
-    size = (size if most is None else min(size, most)) // 64 * 64
+    size = int(max(64, bits_an_entry * entries)) // 64 * 64
     probes = max(1, min(16, round(size / max(entries, 1) * 0.69)))
     bits = np.zeros(size, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
@@ -291,65 +299,67 @@ def _filled(keys: np.ndarray, counts: np.ndarray, bits_an_entry: float, most: in
     return size, probes, np.packbits(bits, bitorder="little")
 
 
-def ngram_levels(
-    blocks: DataFrame, segments: int, tokens: int, words: int, order: int, mass: float, bits_an_entry: float = 10.0
-) -> DataFrame:
-    """Stored answers: for each block and segment the levels of the block's distinct n-grams there, in
-    the order of their keys. A segment's part of the filter lives in the task that answers for it."""
+def filter_segments(blocks: DataFrame, segments: int, order: int, bits_an_entry: float = 10.0) -> DataFrame:
+    """The stored filter of the training texts: a row per segment that has an n-gram."""
 
-    def answer(table: pa.Table) -> pa.Table:
-        distinct, total, code, at = _added(table)
+    def fill(table: pa.Table) -> pa.Table:
+        flat = np.concatenate([_keys(k) for k in table["keys"].to_pylist()])
+        counts = np.concatenate([from_planes(c, 4) for c in table["counts"].to_pylist()])
+        distinct, code = np.unique(flat, return_inverse=True)
+        total = np.bincount(code, weights=counts, minlength=len(distinct)).astype(np.int64)
         size, probes, bits = _filled(distinct, total, bits_an_entry)
-        part = Model(order, mass, 1, np.array([0]), np.array([size]), np.array([probes]), bits, tokens, words)
-        level = part.level(distinct).astype(np.uint8)[code]
+        X.release()
         return pa.table({
-            "block": table["block"], "segment": table["segment"],
-            "levels": pa.array([zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+            "segment": table["segment"][:1], "size": pa.array([size], pa.int64()),
+            "probes": pa.array([probes], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary()),
         })
 
-    answers = _gathered(blocks, segments, order).groupBy("segment").applyInArrow(answer, "block long, segment long, levels binary")
-    return held(answers, "lm-levels")
-
+    sent = _training(blocks, segments, order).groupBy("segment")
+    return held(sent.applyInArrow(fill, "segment long, size long, probes long, bits binary"), "lm-filter")
 
-def build(
-    blocks: DataFrame, segments: int, tokens: int, words: int, order: int, mass: float,
-    bits_an_entry: float = 10.0, max_bits: int | None = None,
-) -> Model:
-    """The whole filter in the driver, to look into that of a small corpus; scoring does not use it."""
 
-    def fill(table: pa.Table) -> pa.Table:
-        distinct, total, _, _ = _added(table)
-        size, probes, bits = _filled(distinct, total, bits_an_entry, None if max_bits is None else max_bits // segments)
+def probed(blocks: DataFrame, model: Model) -> DataFrame:
+    """Stored answers: for each block and segment the levels of the block's distinct n-grams there, in
+    the order of their keys, read from the stored filter."""
+
+    def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
+        keys = [_keys(k) for k in asked["keys"].to_pylist()]
+        at = np.cumsum([0] + [len(k) for k in keys])
+        level = np.zeros(at[-1], np.uint8)
+        if len(part) and len(keys):
+            row = part.to_pylist()[0]
+            distinct, code = np.unique(np.concatenate(keys), return_inverse=True)
+            level = found_levels(distinct, row["size"], row["probes"], np.frombuffer(row["bits"], np.uint8)).astype(np.uint8)[code]
+        X.release()
         return pa.table({
-            "segment": pa.array([table["segment"][0].as_py()], pa.int64()), "size": pa.array([size], pa.int64()),
-            "probes": pa.array([probes], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary()),
+            "block": asked["block"], "segment": asked["segment"],
+            "levels": pa.array([zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
         })
 
-    parts = _gathered(blocks, segments, order).groupBy("segment").applyInArrow(fill, "segment long, size long, probes long, bits binary")
-    made = {r["segment"]: r for r in parts.toLocalIterator()}
-    of = lambda name: np.array([made[k][name] if k in made else 0 for k in range(segments)], np.int64)
-    sizes = of("size")
-    bits = np.frombuffer(b"".join(made[k]["bits"] for k in sorted(made)), np.uint8)
-    return Model(order, mass, segments, np.cumsum(sizes // 8) - sizes // 8, sizes, of("probes"), bits, tokens, words)
+    asked = _asked(blocks, model.count, model.order).groupBy("segment")
+    answers = asked.cogroup(model.segments.withColumnRenamed("segment", "part").groupBy("part")).applyInArrow(
+        answer, "block long, segment long, levels binary"
+    )
+    return held(answers, "lm-levels")
 
 
 def log_probabilities(
-    block: Block, level: np.ndarray, code: np.ndarray, lasts: list[np.ndarray], mass: float, tokens: int, words: int
+    block: Block, level: np.ndarray, code: np.ndarray, lasts: list[np.ndarray], exact: np.ndarray,
+    mass: float, tokens: int, words: int,
 ) -> np.ndarray:
     """log10 of the smoothed probability of each token of a block, from the levels of its distinct
-    n-grams; ``code`` and ``lasts`` are those of ``Block.asked``."""
-    found, at = middle(level)[code], len(block.words)
-    count = {1: found[:at][block.codes]}
+    n-grams and the exact counts of its words; ``code`` and ``lasts`` are those of ``Block.asked``."""
+    found, at = level[code], len(block.words)
+    p = (least(found[:at][block.codes]) + 0.5) / (tokens + 0.5 * (words + 1))
+    context = exact[block.codes].astype(float)
     for k, last in enumerate(lasts, 2):
-        count[k] = np.zeros(len(block.codes))
-        count[k][last] = found[at : at + len(last)]
+        mine = np.zeros(len(block.codes), np.int64)
+        mine[last] = found[at : at + len(last)]
         at += len(last)
-    p = (count[1] + 0.5) / (tokens + 0.5 * (words + 1))
-    for k in range(2, len(lasts) + 2):
-        context = np.concatenate([[0.0], count[k - 1][:-1]])
+        before = np.concatenate([[0.0], context[:-1]])
         has = block.place >= k - 1
-        mixed = (np.minimum(count[k], context) + mass * p) / (context + mass)
-        p = np.where(has, mixed, p)
+        p = np.where(has, (np.minimum(least(mine), before) + mass * p) / (before + mass), p)
+        context = most(mine)
     return np.log10(p)
 
 
@@ -363,11 +373,9 @@ def score(
     # Segments follow the data, so that what meets in one task stays the same at any size.
     segments = max(8, int(size * order // tokens_a_segment))
     answers = word_totals(blocks, segments)
-    seen, total = 0, 0
-    for r in answers.where("block = -1").select("totals").toLocalIterator():
-        v, n = np.frombuffer(r[0], "<i8")
-        seen, total = seen + int(v), total + int(n)
-    found = ngram_levels(blocks, segments, total, seen, order, mass, bits_an_entry)
+    seen, total = (n or 0 for n in answers.where("block = -1").agg(F.sum("n_words"), F.sum("n_tokens")).first())
+    model = Model(filter_segments(blocks, segments, order, bits_an_entry), segments, order, total, seen)
+    found = probed(blocks, model)
 
     def run(batches):
         for row in _rows(batches):
@@ -381,7 +389,7 @@ def score(
             got = sorted((a for a in row["answers"] if a["levels"] is not None), key=lambda a: a["segment"])
             level = np.frombuffer(b"".join(zstandard.decompress(a["levels"]) for a in got), np.uint8).astype(np.int64)
             _, code, _, lasts = b.asked(order, segments)
-            log_p = log_probabilities(b, level, code, lasts, mass, total, seen)
+            log_p = log_probabilities(b, level, code, lasts, c, mass, total, seen)
             n = np.diff(b.first)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b.doc_ids, pa.int64()), pa.array(b.held), pa.array(n),
@@ -391,7 +399,7 @@ def score(
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    both = answers.where("block >= 0").unionByName(found, allowMissingColumns=True)
+    both = answers.where("block >= 0").select("block", "segment", "totals").unionByName(found, allowMissingColumns=True)
     got = both.groupBy("block").agg(F.collect_list(F.struct("segment", "totals", "levels")).alias("answers"))
     return blocks.join(got, "block").mapInArrow(
         run,

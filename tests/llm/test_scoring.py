@@ -1,4 +1,3 @@
-import inspect
 import itertools
 import math
 import random
@@ -37,11 +36,11 @@ def lm_brute(rows, order, mass):
     n = sum(c for g, c in grams.items() if len(g) == 1)
     v = sum(len(g) == 1 for g in grams)
 
-    def count(g):
-        if not grams[g]:
-            return 0.0
-        low = 2 ** (grams[g].bit_length() - 1)
-        return (low + 2 * low - 1) / 2
+    def least(g):
+        return 2 ** (grams[g].bit_length() - 1) if grams[g] else 0
+
+    def most(g):
+        return grams[g] if len(g) == 1 else 2 ** grams[g].bit_length() - 1
 
     out = {}
     for i, t in rows:
@@ -49,10 +48,10 @@ def lm_brute(rows, order, mass):
         base = sum(math.log10((grams[(x,)] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
         score = 0.0
         for j in range(len(w)):
-            p = (count((w[j],)) + 0.5) / (n + 0.5 * (v + 1))
+            p = (least((w[j],)) + 0.5) / (n + 0.5 * (v + 1))
             for k in range(2, min(order, j + 1) + 1):
-                h = count(tuple(w[j - k + 1 : j]))
-                p = (min(count(tuple(w[j - k + 1 : j + 1])), h) + mass * p) / (h + mass)
+                h = most(tuple(w[j - k + 1 : j]))
+                p = (min(least(tuple(w[j - k + 1 : j + 1])), h) + mass * p) / (h + mass)
             score += math.log10(p)
         out[i] = (held(i), len(w), sum(grams[(x,)] > 0 for x in w), n, base, score)
     return out
@@ -79,18 +78,80 @@ def test_lm_scores_equal_exact_dictionaries(docs, order, monkeypatch):
         assert a == pytest.approx(want[r["doc_id"]], rel=1e-9), r["doc_id"]
 
 
+def levels_in(model, keys):
+    """Levels of n-grams as the stored segments give them."""
+    parts = {r["segment"]: r for r in model.segments.collect()}
+    out = np.zeros(len(keys), np.int64)
+    segment = bloom_lm.segment_of(keys, model.count)
+    for k, r in parts.items():
+        mine = segment == k
+        out[mine] = bloom_lm.found_levels(bloom_lm.short_key(keys[mine]), r["size"], r["probes"], np.frombuffer(r["bits"], np.uint8))
+    return out
+
+
 def test_a_smaller_filter_errs_upwards_only(spark, docs):
-    rows = lm_rows()
-    blocks = bloom_lm.blocks_of(docs(rows), F.lit(False))
-    tight = bloom_lm.build(blocks, 8, 1000, 60, 2, 4.0, bits_an_entry=2)
-    loose = bloom_lm.build(blocks, 8, 1000, 60, 2, 4.0, bits_an_entry=64)
-    bounded = bloom_lm.build(blocks, 8, 1000, 60, 2, 4.0, max_bits=8 * 128)
+    blocks = bloom_lm.blocks_of(docs(lm_rows()), F.lit(False))
+    tight, loose = (
+        bloom_lm.Model(bloom_lm.filter_segments(blocks, 8, 2, bits), 8, 2, 1000, 60) for bits in (2, 64)
+    )
     keys = X.mix(np.arange(20_000, dtype=np.uint64))
-    assert (loose.counts(keys) > 0).mean() < 0.001 < (tight.counts(keys) > 0).mean()
-    assert len(bounded.bits) * 8 <= 8 * 128
+    assert (levels_in(loose, keys) > 0).mean() < 0.001 < (levels_in(tight, keys) > 0).mean()
     b = bloom_lm.Block(blocks.limit(1).toArrow().to_pylist()[0])
     _, inside = b.ngrams(2)
-    assert (tight.counts(inside) >= loose.counts(inside)).all() and (loose.counts(inside) > 0).all()
+    assert (levels_in(tight, inside) >= levels_in(loose, inside)).all() and (levels_in(loose, inside) > 0).all()
+
+
+def test_the_stored_filter_has_training_texts_only_and_all_counts_come_from_it(spark, docs, monkeypatch):
+    """An emptied filter leaves words alone to go by: scores come from the stored segments."""
+    rows = [(1, "red fox runs"), (2, "blue owl flies"), (3, "red fox runs")]
+    held_out = F.col("doc_id") == 2
+    blocks = bloom_lm.blocks_of(docs(rows), held_out)
+    model = bloom_lm.Model(bloom_lm.filter_segments(blocks, 8, 3, 64), 8, 3, 8, 4)
+    for row in blocks.toArrow().to_pylist():
+        b = bloom_lm.Block(row)
+        for k in (1, 2, 3):
+            last, keys = b.ngrams(k)
+            is_held = b.held[b.owner[last]]
+            found = levels_in(model, keys)
+            assert (found[~is_held] > 0).all()
+            # The end token is in training texts too.
+            assert (found[is_held] == 0).sum() >= is_held.sum() - 1
+    whole = {r["doc_id"]: r["score"] for r in bloom_lm.score(docs(rows), held_out).collect()}
+    real = bloom_lm.filter_segments
+    monkeypatch.setattr(bloom_lm, "filter_segments", lambda *a: real(*a).where("false"))
+    bare = {r["doc_id"]: r["score"] for r in bloom_lm.score(docs(rows), held_out).collect()}
+    assert bare[1] < whole[1] - 1 and bare[2] <= whole[2]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_probabilities_of_all_words_after_a_context_add_up_to_at_most_one(order):
+    """For every context of a small corpus, by the scoring code itself."""
+    r = random.Random(4)
+    words = [np.uint64(k) for k in range(1, 13)]
+    texts = [[r.choice(words) for _ in range(r.randint(1, 40))] for _ in range(80)]
+    grams = Counter()
+    for t in texts:
+        t = [*t, bloom_lm.END]
+        for k in range(1, order + 1):
+            grams.update(tuple(t[j : j + k]) for j in range(len(t) - k + 1))
+    n, v = sum(c for g, c in grams.items() if len(g) == 1), 13
+
+    def level(g):
+        return grams[g].bit_length()
+
+    sums = []
+    for context in {g for g in grams if len(g) == order - 1 and bloom_lm.END not in g} if order > 1 else {()}:
+        total = 0.0
+        for w in [*words, bloom_lm.END]:
+            text = [*context, w]
+            p = (bloom_lm.least(np.array(level((w,)))) + 0.5) / (n + 0.5 * (v + 1))
+            for k in range(2, order + 1):
+                h = tuple(text[-k:-1])
+                before = grams[h] if k == 2 else float(bloom_lm.most(np.array(level(h))))
+                p = (min(float(bloom_lm.least(np.array(level(tuple(text[-k:]))))), before) + 4.0 * p) / (before + 4.0)
+            total += p
+        sums.append(total)
+    assert max(sums) <= 1 + 1e-9 and np.mean(sums) > 0.6
 
 
 def test_scoring_neither_caps_nor_broadcasts_the_filter(spark, docs, monkeypatch):
@@ -98,7 +159,6 @@ def test_scoring_neither_caps_nor_broadcasts_the_filter(spark, docs, monkeypatch
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value))
     assert bloom_lm.score(docs(lm_rows()), F.lit(False), tokens_a_segment=100).count() == len(lm_rows())
     assert not sent
-    assert inspect.signature(bloom_lm.build).parameters["max_bits"].default is None
     for n in (10, 5_000):
         size, probes, _ = bloom_lm._filled(np.arange(n, dtype=np.uint64), np.full(n, 2), 10.0)
         assert size > 20 * n - 64 and probes in (6, 7)
