@@ -9,17 +9,22 @@ takes part once.
 2. Chosen paths: in every run a sketch picks each of its tokens with probability 1 / (split * 128), by
    a hash of run and token, and goes to the bucket of each token it picked. Similar sketches pick
    the same tokens. A bucket of at most ``small`` sketches is compared pair by pair. In a larger one
-   all are compared with a few leaders; what is close to a leader is joined to it and leaves the
-   bucket, since by the triangle inequality whatever is similar to it is found near the leader too.
-   The rest is split again by newly picked tokens, until no large bucket is left. Nothing is cut
-   off. The number of runs follows from the target recall: a pair at the threshold survives
-   arbitrarily many splits with probability q, q = 1 - exp(-q * threshold / split).
-3. Pairs found form groups. Within each group all sets are compared exactly, in blocks of bounded
+   all are compared with a few leaders. A set that agrees with a leader is linked to it and leaves the
+   bucket. By the triangle inequality whatever is similar to such a set is at least within a wider
+   distance of its leader: sets at that distance that do not agree with the leader themselves are compared
+   with all the leader has taken, in blocks. The rest is split again by newly picked tokens, until no
+   large bucket is left. Nothing is cut off. The number of runs follows from the target recall: a pair at
+   the threshold survives arbitrarily many splits with probability q, q = 1 - exp(-q * threshold / split).
+3. Pairs found, all of them of sketches that agree enough, form groups. Within each group all sets are compared exactly, in blocks of bounded
    size, and only each text's number of links and one link to its component leave a task. So a
    group of thousands of near copies is never written out as pairs.
 
+Rows of a bucket are dealt over ``SALTS`` tasks wherever they are taken one by one, so that a frequent
+bucket does not land in one task.
+
 Null and empty texts, and those of white space alone, have no set: each is its own class with no
-link. Repeated rows are copies of each other. Sets are told apart by a 64-bit hash.
+link. Repeated rows are copies of each other. Sets are told apart by a 64-bit hash. Other columns, whatever
+their names, are not looked at (``keep_one`` keeps them).
 """
 
 from __future__ import annotations
@@ -29,19 +34,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import text as X
 from ordermill.llm.components import components
-from ordermill.llm.store import held
+from ordermill.llm.store import fresh, held
 
 TOKENS = 128
 THRESHOLD = 0.8
 SPLIT = 0.64
 SMALL = 512
-CLOSE = 0.6
 LEADERS = 16
+SALTS = 16
+TAKEN_BLOCK = 2_048
 RECALL = 0.999
 BLOCK_SETS = 1_000
 BLOCK_SHINGLES = 1_000_000
@@ -212,19 +218,26 @@ def lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-LEVEL = "u long, v long, nodes array<long>"
+LEVEL = "node long, id long, sketch binary, leader long, near array<long>, nodes array<long>"
+
+
+def _salt(column: str = "id") -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS))
+
 
+def _salted(keys: DataFrame) -> DataFrame:
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
-def compare_leaders(entries: DataFrame, agree: int, close: int, split: float) -> DataFrame:
-    """For large buckets: edges (u, v) to leaders, and for the rows that no leader is close to the
-    buckets of the next level (u, nodes). Written to the shared folder."""
+
+def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) -> DataFrame:
+    """For the rows of large buckets: the leader that has taken the row, if it agrees with one; else the
+    buckets of the next level; and the leaders it is near without agreeing. Written to the shared folder."""
     w = Window.partitionBy("node").orderBy(F.xxhash64("id"), "id")
     leaders = (
         entries.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= LEADERS)
         # The same order in every bucket, so that a text hangs on the same leader wherever both meet.
         .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "sketch"))).alias("leaders"))
     )
-    wide = max(0, agree - (TOKENS - close))
 
     def run(batches):
         for batch in batches:
@@ -232,65 +245,102 @@ def compare_leaders(entries: DataFrame, agree: int, close: int, split: float) ->
                 continue
             node, ids = np.asarray(batch.column("node")), np.asarray(batch.column("id"))
             sketch = _sketch_matrix(batch.column("sketch"))
+            n = len(ids)
+            taken, leader = np.zeros(n, bool), np.zeros(n, np.int64)
+            near_row, near_leader = [], []
             nodes, one, code = np.unique(node, return_index=True, return_inverse=True)
-            stays = np.ones(len(ids), bool)
-            us, vs = [], []
             for k, at in enumerate(one.tolist()):
                 mine = np.flatnonzero(code == k)
                 heads = batch.column("leaders")[at].as_py()
                 head_ids = np.array([h["id"] for h in heads])
                 table = _sketch_matrix(pa.array([h["sketch"] for h in heads]))
                 same = np.stack([(sketch[mine] == t).sum(axis=1) for t in table], axis=1)
-                stays[mine] = (same.max(axis=1) < close) & ~np.isin(ids[mine], head_ids)
-                near = same >= wide
-                some = np.flatnonzero(near.any(axis=1))
-                to = near[some].argmax(axis=1)
-                us.append(ids[mine[some]])
-                vs.append(head_ids[to])
-                row, other = np.nonzero(near[some])
-                links = np.unique(np.stack([to[row], other], axis=1), axis=0)
-                us.append(head_ids[links[:, 0]])
-                vs.append(head_ids[links[:, 1]])
-            u, v = np.concatenate(us), np.concatenate(vs)
-            edge = np.unique(np.stack([u, v])[:, u != v], axis=1)
-            left = np.flatnonzero(stays)
-            row, child = picks(X.mix(node[left].view(_U)), sketch[left].astype(_U), split)
-            edges, stay = edge.shape[1], len(left)
-            picked = np.cumsum(np.bincount(row, minlength=stay))
-            # The edges first, without buckets; then the rows that stay, without a partner.
-            blank = np.repeat([False, True], [edges, stay])
-            offsets = np.concatenate([np.zeros(edges + 1, np.int64), picked]).astype(np.int32)
+                # The first leader that agrees, so that similar rows hang on the same one.
+                agrees = same >= agree
+                taken[mine] = agrees.any(axis=1)
+                leader[mine] = head_ids[agrees.argmax(axis=1)]
+                row, other = np.nonzero((same >= wide) & ~agrees)
+                near_row.append(mine[row])
+                near_leader.append(head_ids[other])
+            row, head = np.concatenate(near_row), np.concatenate(near_leader)
+            order = np.argsort(row, kind="stable")
+            near_first = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
+            left = np.flatnonzero(~taken)
+            stays, child = picks(X.mix(node[left].view(_U)), sketch[left].astype(_U), split)
+            counts = np.zeros(n, np.int64)
+            counts[left] = np.bincount(stays, minlength=len(left))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([edge[0], ids[left]])),
-                 pa.array(np.concatenate([edge[1], ids[left]]), mask=blank),
+                [batch.column("node"), batch.column("id"), batch.column("sketch"), pa.array(leader, mask=~taken),
+                 pa.ListArray.from_arrays(pa.array(near_first), pa.array(head[order])),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(X.signed(child)))],
-                names=["u", "v", "nodes"],
+                names=["node", "id", "sketch", "leader", "near", "nodes"],
             )
 
-    joined = entries.join(leaders, "node").select("node", "id", "sketch", "leaders")
-    return held(joined.mapInArrow(run, LEVEL), "level")
+    joined = entries.withColumn("salt", _salt()).join(_salted(leaders), ["node", "salt"])
+    return held(joined.select("node", "id", "sketch", "leaders").mapInArrow(run, LEVEL), "level")
+
+
+def compare_taken(parted: DataFrame, agree: int) -> DataFrame:
+    """Edges between rows near a leader and those it has taken, one a row and block."""
+    taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id", "sketch")
+    sizes = taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks"))
+    near = parted.select("node", "id", "sketch", F.explode("near").alias("leader"))
+    sizes = held(sizes, "taken")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    homes = taken.withColumn("salt", _salt()).join(_salted(sizes), ["node", "leader", "salt"])
+    probes = near.withColumn("salt", _salt()).join(_salted(sizes), ["node", "leader", "salt"])
+    rows = homes.select("node", "leader", own, "id", "sketch", F.lit(False).alias("probe")).unionByName(
+        probes.select("node", "leader", every, "id", "sketch", F.lit(True).alias("probe"))
+    )
+
+    def run(batches):
+        for table in _table(batches, "node", "leader", "block"):
+            keys = np.stack([np.asarray(table[c]) for c in ("node", "leader", "block")])
+            cuts = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
+            ids, probe, sketch = np.asarray(table["id"]), np.asarray(table["probe"]), _sketch_matrix(table["sketch"])
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                home = a + np.flatnonzero(~probe[a:z])
+                if not len(home):
+                    continue
+                for k in a + np.flatnonzero(probe[a:z]):
+                    hit = np.flatnonzero((sketch[home] == sketch[k]).sum(axis=1) >= agree)
+                    if len(hit):
+                        # All that a leader has taken are one group already.
+                        us.append(ids[k : k + 1])
+                        vs.append(ids[home[hit[:1]]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+
+    dealt = rows.repartition("node", "leader", "block").sortWithinPartitions("node", "leader", "block")
+    return held(dealt.mapInArrow(run, "u long, v long"), "near")
 
 
 def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPLIT, small: int = SMALL) -> DataFrame:
     """Edges (u, v) that put similar sets into one group. ``sets``: id, sketch, nodes."""
     spread = math.sqrt(TOKENS * threshold * (1 - threshold))
     agree = math.floor(TOKENS * threshold - 4.5 * spread)
-    close = round(TOKENS * CLOSE)
+    # How far from a leader a set can be that is similar to one that agrees with it.
+    least = max(0.0, agree / TOKENS + threshold - 1)
+    wide = max(0, math.floor(TOKENS * least - 4.5 * math.sqrt(TOKENS * least * (1 - least))))
     sketch_of = sets.select("id", "sketch")
     level = sets.select("id", F.explode("nodes").alias("node"))
     edges = None
     while True:
         counts = level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        shared = held(level.join(counts, "node").join(sketch_of, "id").select("node", "n", "id", "sketch"), "buckets")
+        met = level.withColumn("salt", _salt()).join(_salted(counts), ["node", "salt"])
+        shared = held(met.select("node", "n", "id").join(sketch_of, "id").select("node", "n", "id", "sketch"), "buckets")
         few = shared.where(F.col("n") <= small).repartition("node").sortWithinPartitions("node", F.xxhash64("id"))
         found = compare_small(few.select("node", "id", "sketch"), agree)
         edges = found if edges is None else edges.unionByName(found)
         many = shared.where(F.col("n") > small).select("node", "id", "sketch")
         if many.isEmpty():
             return edges.distinct()
-        parted = compare_leaders(many, agree, close, split)
-        edges = edges.unionByName(parted.where("v IS NOT NULL").select("u", "v"))
-        level = parted.where("v IS NULL").select(F.col("u").alias("id"), F.explode("nodes").alias("node"))
+        parted = compare_leaders(many, agree, wide, split)
+        taken = parted.where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
+        edges = edges.unionByName(taken.distinct()).unionByName(compare_taken(parted, agree))
+        level = parted.where("leader IS NULL").select("id", F.explode("nodes").alias("node"))
 
 
 CHECKED = "comp long, one_block boolean, id long, root long, links long"
@@ -428,8 +478,17 @@ def _marked(documents: DataFrame, members: DataFrame) -> DataFrame:
     return found.where(F.call_function("shiftright", byte, F.pmod(at, F.lit(8))).bitwiseAND(1) == 1).select(*documents.columns)
 
 
+#: Ids of documents to remove, up to which they are broadcast (8 bytes each).
+BROADCAST_IDS = 2_000_000
+
+
 def keep_one(documents: DataFrame, **options) -> DataFrame:
     """The documents with one of each class, the one with the smallest id. Rows that repeat an id are
     the same document and stay or go together."""
-    kept = join(documents, **options).where("doc_id <=> class_id").select("doc_id").distinct()
-    return documents.join(kept, documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    name = fresh("gone", documents)
+    stays = F.max(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("stays")
+    found = join(documents, **options).groupBy("doc_id").agg(stays).where("NOT stays")
+    gone = held(found.select(F.col("doc_id").alias(name)), "gone")
+    # Few ids are broadcast, so that the texts stay where they are.
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

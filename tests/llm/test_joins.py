@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ordermill.llm import components, decontaminate, jaccard_join, site_lines
+from ordermill.llm import components, decontaminate, jaccard_join, queries, site_lines
 from ordermill.llm import text as X
 
 
@@ -73,6 +73,85 @@ def found(df):
     return {r["doc_id"]: (r["class_id"], r["n_copies"], r["n_links"]) for r in df.collect()}
 
 
+def templates(seed, n, shared=100, own=100):
+    r = random.Random(seed)
+    template = [word(r) for _ in range(shared)]
+    return [" ".join(template + [word(r) for _ in range(own)]) for _ in range(n)]
+
+
+def test_templates_make_no_group(docs):
+    """Texts that share half their words are far from the threshold: nothing is grouped or compared exactly."""
+    df = docs(list(enumerate(templates(11, 900))))
+    prints = jaccard_join.fingerprints(df)
+    edges = jaccard_join.candidates(prints.where("id IS NOT NULL").select("id", "sketch", "nodes"))
+    assert edges.count() == 0
+
+
+def test_copies_inside_templates_are_found(docs):
+    """Near copies that share their buckets with many texts of one template, and chains that leave a leader."""
+    r = random.Random(12)
+    texts = templates(12, 700, shared=120, own=60)
+    near = [" ".join(changed(r, t.split(), r.choice([1, 2]))) for t in texts[:60] for _ in range(2)]
+    base = [word(r) for _ in range(150)]
+    chain = [" ".join(changed(r, base, r.choice([1, 2, 3]))) for _ in range(700)]
+    texts += near + chain
+    r.shuffle(texts)
+    rows = list(enumerate(texts))
+    sets = [shingle_set(t) for t in texts]
+    at = {}
+    for k, s in enumerate(sets):
+        for x in s:
+            at.setdefault(x, []).append(k)
+    parent = list(range(len(sets)))
+
+    def root(k):
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    links = Counter()
+    for k, s in enumerate(sets):
+        shared = Counter(j for x in s for j in at[x] if j < k)
+        for j, n in shared.items():
+            if n >= 0.8 * (len(s) + len(sets[j]) - n):
+                links[k] += 1
+                links[j] += 1
+                a, b = sorted((root(k), root(j)))
+                parent[b] = a
+    low = {}
+    for k in range(len(sets)):
+        low.setdefault(root(k), k)
+    got = found(jaccard_join.join(docs(rows).repartition(4)))
+    assert {i: g[0] for i, g in got.items()} == {k: low[root(k)] for k in range(len(sets))}
+    assert all(got[k][2] == links[k] for k in range(len(sets)) if texts.count(texts[k]) == 1 and k in got)
+
+
+def test_all_links_of_the_given_tables_are_found(spark):
+    """Recall 1 against all pairs that share an n-gram."""
+    df = queries.read(spark, "/root/testdata/sf0.01", "documents")
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    sets, at, links = [shingle_set(t) or frozenset() for _, t in rows], {}, Counter()
+    for k, s in enumerate(sets):
+        shared = Counter(j for x in s for j in at.get(x, ()))
+        for j, n in shared.items():
+            if n >= 0.8 * (len(s) + len(sets[j]) - n):
+                links[rows[k][0]] += 1
+                links[rows[j][0]] += 1
+        for x in s:
+            at.setdefault(x, []).append(k)
+    got = found(jaccard_join.join(df))
+    assert {i: g[2] for i, g in got.items()} == {i: links[i] for i, _ in rows} and sum(links.values()) > 100
+
+
+def test_rows_of_one_id_stay_or_go_together(docs):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, long, "g"), (5, "another text of its own that is kept", "g"), (5, long, "g"), (None, long, "g"), (None, None, "g")]
+    got = jaccard_join.keep_one(docs(rows, "doc_id long, text string, _gone string"))
+    assert got.columns == ["doc_id", "text", "_gone"]
+    assert sorted((r["doc_id"] or 0 for r in got.collect())) == [0, 0, 3, 5, 5]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_links_equal_those_of_all_pairs(docs, seed):
     rows = corpus(seed)
