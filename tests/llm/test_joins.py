@@ -265,7 +265,7 @@ def test_passages_are_found_whole_reordered_and_in_other_case(docs, spark):
         3: " ".join(w[:6]) + " something else", 4: None, 5: "", 6: "nothing in common at all here", 7: ITEM, 8: ITEM,
     }
     bench = spark.createDataFrame([(1, ITEM, 0), (2, ITEM, 0), (3, None, 0), (4, "", 0), (5, "Owls Fly", 0)], "item_id long, text string, doc_id int")
-    got = decontaminate.matches(docs(list(texts.items())), bench, words_a_block=25).collect()
+    got = decontaminate.matches(docs(list(texts.items())), bench).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(d, i) for d in (1, 2, 7, 8) for i in (1, 2)]
     for r in got:
         words = texts[r["doc_id"]].lower().split()
@@ -292,6 +292,43 @@ def test_short_items_are_reported_but_remove_only_their_equals(docs, spark):
     assert sorted(r["doc_id"] for r in decontaminate.clean(df, bench).collect()) == [1, 4, 6, 7]
 
 
+def test_runs_of_one_word_are_cut_without_a_change():
+    r = random.Random(8)
+    for _ in range(300):
+        item = [r.choice("abw") for _ in range(r.randint(5, 14))]
+        doc = []
+        while len(doc) < 60:
+            doc += ["w"] * r.randint(0, 50) + [r.choice("abxw") for _ in range(r.randint(1, 8))]
+        numbers = {"a": 1, "b": 2, "w": 3, "x": 4}
+        a, b = [numbers[c] for c in item], [numbers[c] for c in doc]
+        short, where = decontaminate.shortened(b, list(range(len(b))), Counter(a))
+        assert len(short) <= len(b) and [b[k] for k in where] == short
+        covered = sum(n for _, _, n in decontaminate.greedy_tiles(a, b, 5))
+        tiles = decontaminate.greedy_tiles(a, short, 5)
+        assert sum(n for _, _, n in tiles) == covered
+        for i, j, n in tiles:
+            assert a[i : i + n] == b[where[j] : where[j] + n]
+
+
+def test_a_page_of_one_word_ends_soon(docs, spark):
+    bench = spark.createDataFrame([(1, "la " * 400), (2, "la la la la la la la land")], "item_id long, text string")
+    df = docs([(1, "la " * 100_000), (2, "oh la la")])
+    got = {(r["doc_id"], r["item_id"]): r["covered"] for r in decontaminate.matches(df, bench).collect()}
+    assert got == {(1, 1): 400, (1, 2): 7}
+
+
+def test_seeds_that_many_items_share(docs, spark):
+    """Every item has the same beginning; documents hold one whole item each."""
+    items = [(k, f"question number of the common test set {' '.join(f'q{k}w{j}' for j in range(12))}") for k in range(120)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(k, f"before {items[k][1]} after", "t", 0) for k in range(0, 120, 3)]
+    df = docs(texts, "doc_id long, text string, seed string, _covered int").repartition(3)
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.matches(df, bench).collect())
+    assert got == [(k, k) for k in range(0, 120, 3)]
+    left = decontaminate.clean(df.unionByName(docs([(999, "clean", "t", 1)], df.schema)), bench)
+    assert left.columns == df.columns and [tuple(r) for r in left.collect()] == [(999, "clean", "t", 1)]
+
+
 def test_no_benchmark_and_no_documents(docs, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.matches(docs([(1, "a")]), none).count() == 0
