@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,7 +70,10 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
     - a piece of exactly r exists: {w, r};
     - no two pieces fit together beside it: {w, the longest that fits};
     - at most two fit, and the longest that fits alone is at least as long as any fitting pair:
-      {w, that one}.
+      {w, that one};
+    - at most two fit, a is the longest that fits and b the longest that fits beside it, and no two pieces
+      longer than b fit together: {w, a, b}, as of any pair that fits one piece is at most as long as a and
+      the other as b.
     In each case any packing can be changed to contain the set without using more sequences. A
     piece for which none holds is put aside; after each pass that fixed something the pieces put
     aside are tried again, since what could stand in the way has gone.
@@ -90,17 +94,15 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
                     not _fits(fit, left, w, 3, room) and fit[-1] >= _best_pair(fit, left, w, room)
                 ):
                     chosen = [w, fit[-1]]
+                elif not _fits(fit, left, w, 3, room) and (pair := _dominant_pair(fit, left, w, room)):
+                    chosen = [w, *pair]
                 else:
                     break
-                # Fewer pieces only make the conditions easier: the choice holds while both last.
-                if len(chosen) == 1:
-                    times = left[w]
-                elif chosen[1] == w:
-                    times = left[w] // 2
-                else:
-                    times = min(left[w], left[chosen[1]])
-                for s in chosen:
-                    left[s] -= times
+                # Fewer pieces only make the conditions easier: the choice holds while all of it last.
+                need = Counter(chosen)
+                times = min(left[s] // n for s, n in need.items())
+                for s, n in need.items():
+                    left[s] -= n * times
                     if not left[s]:
                         del left[s]
                 fixed.append((chosen, times))
@@ -120,6 +122,17 @@ def _fits(fit: list[int], left: dict[int, int], w: int, number: int, room: int)
     return False
 
 
+def _dominant_pair(fit: list[int], left: dict[int, int], w: int, room: int) -> tuple[int, int] | None:
+    """The longest piece that fits and the longest beside it, if no two pieces longer than the second fit."""
+    a = fit[-1]
+    for k in range(bisect_left(fit, room - a + 1) - 1, -1, -1):
+        b = fit[k]
+        if left[b] - (b == w) - (b == a) > 0:
+            # Without the pieces up to b: do the two shortest left fit together?
+            return None if _fits(fit[k + 1 :], left, w, 2, room) else (a, b)
+    return None
+
+
 def _best_pair(fit: list[int], left: dict[int, int], w: int, room: int) -> int:
     best, low, high = 0, 0, len(fit) - 1
     while low <= high:

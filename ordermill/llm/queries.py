@@ -49,7 +49,7 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     model = toxicity.fit(documents, labels.where(_remainder() != 0))
     scored = toxicity.score(documents, model)
-    return scored.select("doc_id", (_remainder() == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(_remainder() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -59,6 +59,22 @@ def test_plans_hold_all_pieces_and_come_close_to_the_bound(seed):
     assert plan.sequences <= packing.lower_bound(counted(sizes), capacity) * 11 / 9 + 1
 
 
+def test_three_pieces_are_fixed_where_they_dominate():
+    """{w, a, b}: as of any pair beside w one piece is at most as long as a and the other as b."""
+    assert packing.reduce_dominated({10: 3, 6: 2, 4: 4}, 20)[0][0] == ([10, 10], 1)
+    assert packing.reduce_dominated({11: 2, 6: 2, 3: 2}, 20)[0] == [([11, 6, 3], 2)]
+    r, threes = random.Random(5), 0
+    for _ in range(600):
+        capacity = r.choice([12, 20, 31])
+        sizes = sorted((r.randint(2, capacity) for _ in range(r.randint(3, 8))), reverse=True)
+        fixed, left = packing.reduce_dominated(counted(sizes), capacity)
+        rest = sorted((s for s, n in left.items() for _ in range(n)), reverse=True)
+        bins = sum(n for _, n in fixed)
+        assert bins + (fewest(rest, capacity) if rest else 0) == fewest(sizes, capacity), sizes
+        threes += sum(len(g) == 3 for g, _ in fixed)
+    assert threes > 20
+
+
 def test_best_fit_takes_the_least_room():
     groups = packing.best_fit({6: 1, 5: 1, 4: 1}, 10)
     assert sorted(tuple(sorted(g)) for g, n in groups) == [(4, 6), (5,)]

@@ -228,6 +228,13 @@ def test_labels_of_one_class(spark, docs, labels, high):
     assert s == 0.5 if high is None else (s > 0.5) == high
 
 
+def test_held_out_is_never_null(spark, tmp_path):
+    spark.createDataFrame([(None, "x"), (1, None), (2, "a b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op3_toxicity(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["held_out"] for r in got} == {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0 for i in (None, 1, 2)}
+
+
 def test_the_fit_is_bounded(spark, docs):
     rows, labels = toxic_rows(100)
     frame = spark.createDataFrame(labels, "doc_id long, toxic int")
