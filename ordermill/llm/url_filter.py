@@ -11,10 +11,12 @@ to give both kinds of error the same weight.
 Counts are exact: a context and the byte after it are one number of 51 bits. URLs become blocks, stored
 once; the distinct numbers of each block move to the segment of their context, where the counts add
 up, and the counts go back to the blocks that asked. Nothing of the model is broadcast, and segments
-follow the data, so that a task holds as much at any size.
+follow the data. A block sends each segment one message, so their number is that of blocks times that of
+segments, and a context that all blocks have (the empty one) is in a message of each.
 
 A null URL, or one without ``://``, has empty host and path, fits no rule and is scored as it is (null
-as empty text). Repeated URLs count each. Without ruled URLs of both kinds the verdict is allow.
+as empty text). Repeated URLs count each. Without ruled URLs of both kinds the verdict is allow. Other
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -33,8 +35,7 @@ from ordermill.llm.store import held
 ORDER = 5
 BLOCK_BYTES = 1 << 18
 KEYS_A_SEGMENT = 1 << 21
-BINS = 4001
-WIDTH = 8.0
+BINS = 4_000
 _U = np.uint64
 
 
@@ -288,33 +289,23 @@ def scored(blocks: DataFrame, segments: int, learnt: bool) -> DataFrame:
 
 
 def calibrated(rows: DataFrame) -> float:
-    """The threshold that gives both kinds of error the same weight."""
-    place = F.rint((F.col("ratio") / WIDTH + 0.5) * (BINS - 1)).cast("int")
-    bin_ = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place))
+    """The threshold that gives both kinds of error the same weight, to the width of one of ``BINS`` equal
+    bins between the least and the greatest ratio of the URLs it is calibrated on."""
+    known = rows.where("calibrates")
+    low, high = known.agg(F.min("ratio"), F.max("ratio")).first()
+    if low is None or low == high:
+        return low or 0.0
+    width = (high - low) / BINS
+    bin_ = F.least(F.lit(BINS - 1), F.floor((F.col("ratio") - low) / width)).cast("int")
     found = np.zeros((2, BINS))
-    for r in rows.where("calibrates").groupBy("allow", bin_.alias("bin")).agg(F.count("*").alias("n")).collect():
+    for r in known.groupBy("allow", bin_.alias("bin")).agg(F.count("*").alias("n")).collect():
         found[int(r["allow"]), r["bin"]] = r["n"]
     share = np.cumsum(found, axis=1) / np.maximum(found.sum(axis=1, keepdims=True), 1)
-    # Below bin b: accepted URLs lost, and rejected ones caught.
+    # Below the start of bin b: accepted URLs lost, and rejected ones caught.
     below = np.concatenate([[[0.0], [0.0]], share], axis=1)
     errors = below[1] + 1 - below[0]
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
-    middle = best[len(best) // 2]
-    return float(((middle - 0.5) / (BINS - 1) - 0.5) * WIDTH)
-
-
-def fit(ruled: DataFrame) -> Model | None:
-    """Learns from (url, allow). None without URLs of both kinds. Puts the whole model together in the
-    driver, to look into that of a small table; ``judge`` does not."""
-    rows = ruled.select(F.lit(None).cast("long").alias("page_id"), "url", F.lit(None).cast("string").alias("rule"), "allow")
-    blocks = blocks_of(rows)
-    segments, learnt = _size(blocks)
-    if not learnt:
-        return None
-    parts = [_part(r.asDict(True), segments)[1:] for r in _with_answers(blocks, segments).toLocalIterator()]
-    keys, first = np.unique(np.concatenate([k for k, _ in parts]), return_index=True)
-    counts = np.concatenate([c for _, c in parts], axis=1)[:, first]
-    return Model.of(keys, counts, calibrated(scored(blocks, segments, True)))
+    return float(low + best[len(best) // 2] * width)
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

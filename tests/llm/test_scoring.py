@@ -228,6 +228,21 @@ def test_labels_of_one_class(spark, docs, labels, high):
     assert s == 0.5 if high is None else (s > 0.5) == high
 
 
+def test_the_url_threshold_has_the_least_error_of_all(spark):
+    """Against every threshold, with ratios far from zero."""
+    r = random.Random(2)
+    rows = [(r.gauss(40, 3), True, True) for _ in range(300)] + [(r.gauss(33, 3), False, True) for _ in range(100)]
+    df = spark.createDataFrame([*rows, (1e6, True, False)], "ratio double, allow boolean, calibrates boolean")
+
+    def error(threshold):
+        lost = sum(x < threshold for x, allow, _ in rows if allow) / 300
+        return lost + sum(x >= threshold for x, allow, _ in rows if not allow) / 100
+
+    best = min(error(x) for x, _, _ in rows)
+    assert error(url_filter.calibrated(df)) <= best + 0.011
+    assert url_filter.calibrated(df.where("false")) == 0.0
+
+
 def test_held_out_is_never_null(spark, tmp_path):
     spark.createDataFrame([(None, "x"), (1, None), (2, "a b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
@@ -359,6 +374,19 @@ def test_lines_of_given_documents_get_both_labels_and_held_out_documents_their_v
 # URLs
 
 
+def url_model(ruled):
+    """The whole model of a small table of (url, allow), put together here; None without both kinds."""
+    rows = ruled.select(F.lit(None).cast("long").alias("page_id"), "url", F.lit(None).cast("string").alias("rule"), "allow")
+    blocks = url_filter.blocks_of(rows)
+    segments, learnt = url_filter._size(blocks)
+    if not learnt:
+        return None
+    parts = [url_filter._part(r.asDict(True), segments)[1:] for r in url_filter._with_answers(blocks, segments).collect()]
+    keys, first = np.unique(np.concatenate([k for k, _ in parts]), return_index=True)
+    counts = np.concatenate([c for _, c in parts], axis=1)[:, first]
+    return url_filter.Model.of(keys, counts, url_filter.calibrated(url_filter.scored(blocks, segments, True)))
+
+
 def parts(url):
     if url is None or "://" not in url:
         return "", ""
@@ -395,13 +423,13 @@ def test_the_model_is_a_smoothed_distribution_and_tells_kinds_apart(spark):
     r = random.Random(1)
     rows = [("http://good.com/story-%d" % r.randint(0, 999), True) for _ in range(300)]
     rows += [("http://casino.net/es/win-%d" % r.randint(0, 999), False) for _ in range(300)] + [("", True), (None, False)]
-    model = url_filter.fit(spark.createDataFrame(rows, "url string, allow boolean"))
+    model = url_model(spark.createDataFrame(rows, "url string, allow boolean"))
     seen = model.ratio(X.texts_of(pa.array(["http://good.com/story-77777", "http://casino.org/es/win-55555", ""])))
     assert seen[0] > model.threshold > seen[1]
     for before in ("", "http://g", "zzz"):
-        alike = [before + chr(c) for c in range(1, 128)]
-        p = sum(math.exp(x) for x in _next(model, before, alike))
-        assert 0.3 < p < 1.01  # two contexts may share a slot
+        # Every byte after it, and the end of the text.
+        alike = [before.encode() + bytes([c]) for c in range(1, 256)] + [before.encode()]
+        assert sum(math.exp(x) for x in _next(model, before, alike)) == pytest.approx(1, abs=1e-9)
 
 
 def test_url_counts_are_exact(spark, monkeypatch):
@@ -414,7 +442,7 @@ def test_url_counts_are_exact(spark, monkeypatch):
         if zlib.crc32(url.encode()) % 5:
             text = b"\0" * url_filter.ORDER + url.encode() + b"\0"
             want.update((allow, text[j - 5 : j], text[j]) for j in range(5, len(text)))
-    model = url_filter.fit(spark.createDataFrame(rows, "url string, allow boolean").repartition(3))
+    model = url_model(spark.createDataFrame(rows, "url string, allow boolean").repartition(3))
     sums, kinds = Counter(), Counter()
     for (allow, context, _), n in want.items():
         sums[allow, context] += n
@@ -436,7 +464,7 @@ def _next(model, before, texts):
     """Log-probability of the byte after ``before``, for each text."""
     out = []
     for t in texts:
-        at = url_filter.trace(X.texts_of(pa.array([t])))
+        at = url_filter.trace(X.Texts(np.frombuffer(t, np.uint8), np.array([0, len(t)])))
         p = np.full(len(at.owner), 1 / 256)
         for k in range(url_filter.ORDER + 1):
             slot, pair = at.slots(k)
