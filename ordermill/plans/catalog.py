@@ -228,11 +228,12 @@ def synth_segments(i: Inputs) -> DataFrame:
 
 @query
 def file_inventory(i: Inputs) -> DataFrame:
+    """Landed files of each source, day and format, and how many of them are empty."""
     files = landing.with_day(landing.with_source(listing.list_files(i.spark, i.landing_path())))
     kind = F.regexp_extract("file_name", r"\.([a-z]+)$", 1)
-    return files.select(
-        "source", "dt", kind.alias("format"), (F.col("length") > 0).alias("has_bytes")
-    ).distinct()
+    return files.groupBy("source", "dt", kind.alias("format")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") == 0).alias("empty_files")
+    )
 
 
 @query

@@ -251,8 +251,8 @@ class Inputs:
         by_day(events.withColumnRenamed("timestamp", "ts")).option("header", True).csv(
             f"{root}/source=events"
         )
-        self.segments().write.mode("append").parquet(f"{root}/source=user_segments/latest")
-        self.given("nation").write.mode("append").parquet(f"{root}/source=nations/latest")
+        self.segments().hint("rebalance").write.mode("append").parquet(f"{root}/source=user_segments/latest")
+        self.given("nation").hint("rebalance").write.mode("append").parquet(f"{root}/source=nations/latest")
         lacking = events.where("dt = DATE '2024-01-01'").drop("timestamp", "dt").hint("rebalance")
         lacking.write.mode("append").parquet(
             f"{root}/source=events/dt={LACKING_DAY}"

@@ -343,11 +343,13 @@ _SQL = {
                                                t FROM (SELECT count(*) AS t FROM customer) p) q
                     WHERE gcd(s, t) = 1) + 42) % size < size // 10""",
     # Landing
-    "file_inventory": """
-        SELECT DISTINCT source, dt, format, true AS has_bytes FROM landed_days
-        UNION ALL VALUES ('events', DATE '2025-01-01', 'parquet', true),
-                         ('events', DATE '2025-01-02', 'parquet', true),
-                         ('events', DATE '2025-01-02', 'parquet', false)""",
+    "file_inventory": """  -- small tables land as one file for each source, day and format
+        SELECT source, dt, format, count(*) AS files, CAST(sum(bytes = 0) AS BIGINT) AS empty_files
+        FROM (SELECT source, dt, format, 1 AS bytes FROM landed_days
+              UNION ALL VALUES ('events', DATE '2025-01-01', 'parquet', 1),
+                               ('events', DATE '2025-01-02', 'parquet', 1),
+                               ('events', DATE '2025-01-02', 'parquet', 0)) f
+        GROUP BY source, dt, format""",
     "pending_transfer": """
         SELECT file_name, length FROM files
         WHERE file_name NOT IN (SELECT file_name FROM ledger)""",
