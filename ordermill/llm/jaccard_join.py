@@ -153,11 +153,12 @@ def fingerprints(documents: DataFrame, size: int = 5, recall: float = RECALL, th
 
 
 def _table(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
-    """Parts of rows sorted by ``keys`` that end where a key ends."""
+    """Parts of rows sorted by ``keys`` that end where a key ends. Freed memory goes back in between."""
     rest: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
+        X.release()
         last = np.ones(batch.num_rows, bool)
         for k in keys:
             v = np.asarray(batch.column(k))
@@ -173,6 +174,7 @@ def _table(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
             rest.append(batch)
     if rest:
         yield pa.Table.from_batches(rest)
+    X.release()
 
 
 def _sketch_matrix(column) -> np.ndarray:
@@ -241,6 +243,7 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
 
     def run(batches):
         for batch in batches:
+            X.release()
             if not batch.num_rows:
                 continue
             node, ids = np.asarray(batch.column("node")), np.asarray(batch.column("id"))
@@ -285,12 +288,13 @@ def compare_taken(parted: DataFrame, agree: int) -> DataFrame:
     """Edges between rows near a leader and those it has taken, one a row and block."""
     taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id", "sketch")
     sizes = taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks"))
-    near = parted.select("node", "id", "sketch", F.explode("near").alias("leader"))
     sizes = held(sizes, "taken")
+    near = parted.select("node", "id", F.explode("near").alias("leader"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     homes = taken.withColumn("salt", _salt()).join(_salted(sizes), ["node", "leader", "salt"])
     probes = near.withColumn("salt", _salt()).join(_salted(sizes), ["node", "leader", "salt"])
+    probes = probes.join(parted.select("node", "id", "sketch"), ["node", "id"])
     rows = homes.select("node", "leader", own, "id", "sketch", F.lit(False).alias("probe")).unionByName(
         probes.select("node", "leader", every, "id", "sketch", F.lit(True).alias("probe"))
     )

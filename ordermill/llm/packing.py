@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import tokens
 from ordermill.llm.store import held
 
+SLICE_BYTES = 2 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
 
@@ -208,7 +209,7 @@ def cut(
 
         part = pyspark.TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for ids_of, ids, first in tokens.encoded_slices(batches, path, end_id):
+        for ids_of, ids, first in tokens.encoded_slices(batches, path, end_id, SLICE_BYTES):
             lengths = np.diff(first)
             n = -(-lengths // capacity)
             owner = np.repeat(np.arange(len(n)), n)

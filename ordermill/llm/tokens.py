@@ -180,10 +180,10 @@ def with_end(ids: np.ndarray, first: np.ndarray, end_id: int) -> tuple[np.ndarra
 
 
 def encoded_slices(
-    batches: Iterator[pa.RecordBatch], path: str, end_id: int
+    batches: Iterator[pa.RecordBatch], path: str, end_id: int, limit: int = 4 << 20
 ) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """For slices of (doc_id, text): the document ids, all token ids, and where each one's begin."""
     coder = encoder(path)
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text", limit):
         ids, first = coder.encode(batch.column("text"))
         yield batch.column("doc_id"), *with_end(ids, first, end_id)
