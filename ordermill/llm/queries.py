@@ -82,7 +82,7 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark, "token-files")
     token_files.write(read(spark, folder, "documents"), path)
-    return token_files.read(spark, path).drop("ids")
+    return token_files.read(spark, path, with_ids=False)
 
 
 def with_planted_runs(documents: DataFrame) -> DataFrame:

@@ -139,8 +139,9 @@ def frequencies(spark: SparkSession, path: str) -> np.ndarray:
     return out
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and ids of every document, from the files alone."""
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and (``with_ids``) ids of every document, from the files alone.
+    The ids are decoded and checked either way."""
     stored = spark.read.parquet(f"{path}/blocks")
     shared = spark.sparkContext.broadcast(frequencies(spark, path))
     # Tokens before a block: running sums within shards, and of shards; one row per block here.
@@ -154,6 +155,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         "shard", "block", (F.col("above") + F.sum("tokens").over(inside) - F.col("tokens")).alias("start")
     )
 
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 5 if with_ids else 4]
+
     def decode(batches):
         coder = rans.Coder(shared.value)
         for batch in batches:
@@ -162,17 +165,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 lengths = np.asarray(batch.column("lengths")[k].values, np.int64)
                 first = np.concatenate([[0], np.cumsum(lengths)])
                 raw = ids.astype("<u4").tobytes()
+                raw = memoryview(raw) if not with_ids else raw
                 blobs = [raw[4 * a : 4 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_ids")[k].values, pa.array(first[:-1] + batch.column("start")[k].as_py()),
-                     pa.array(lengths), pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
-                     pa.array(blobs, pa.binary())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                )
+                columns = [
+                    batch.column("doc_ids")[k].values, pa.array(first[:-1] + batch.column("start")[k].as_py()),
+                    pa.array(lengths), pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
+                ]
+                columns += [pa.array(blobs, pa.binary())] if with_ids else []
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     # One row of four numbers per block: sent to every task while it is small, else joined.
     if heads.count() <= BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
     return stored.join(starts, ["shard", "block"]).select("doc_ids", "lengths", "data", "start").mapInArrow(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+        decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
     )

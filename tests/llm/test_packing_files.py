@@ -165,6 +165,9 @@ def test_files_round_trip(spark, docs):
     path = work_folder(spark, "files")
     token_files.write(df, path, tokens_a_block=3000, docs_a_shard=40)
     got = {r["doc_id"]: r for r in token_files.read(spark, path).collect()}
+    bare = token_files.read(spark, path, with_ids=False)
+    assert bare.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert {r["doc_id"]: tuple(r) for r in bare.collect()} == {i: tuple(r)[:4] for i, r in got.items()}
     start = 0
     for doc_id, ids in sorted(zip([1000 - 3 * i for i in range(len(TEXTS))], whole(TEXTS, 1))):
         r = got[doc_id]
