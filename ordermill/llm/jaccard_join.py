@@ -220,7 +220,10 @@ def lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-LEVEL = "node long, id long, sketch binary, leader long, near array<long>, nodes array<long>"
+LEVEL = (
+    "node long, id long, sketch binary, leader long, near array<long>, nodes array<long>, "
+    "links array<struct<u: long, v: long>>"
+)
 
 
 def _salt(column: str = "id") -> Column:
@@ -233,7 +236,8 @@ def _salted(keys: DataFrame) -> DataFrame:
 
 def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) -> DataFrame:
     """For the rows of large buckets: the leader that has taken the row, if it agrees with one; else the
-    buckets of the next level; and the leaders it is near without agreeing. Written to the shared folder."""
+    buckets of the next level; the leaders it is near without agreeing; and, on one row of many, the leaders
+    that rows agree with besides their own. Written to the shared folder."""
     w = Window.partitionBy("node").orderBy(F.xxhash64("id"), "id")
     leaders = (
         entries.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= LEADERS)
@@ -250,7 +254,7 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
             sketch = _sketch_matrix(batch.column("sketch"))
             n = len(ids)
             taken, leader = np.zeros(n, bool), np.zeros(n, np.int64)
-            near_row, near_leader = [], []
+            near_row, near_leader, links = [], [], [np.zeros((0, 2), np.int64)]
             nodes, one, code = np.unique(node, return_index=True, return_inverse=True)
             for k, at in enumerate(one.tolist()):
                 mine = np.flatnonzero(code == k)
@@ -261,7 +265,10 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
                 # The first leader that agrees, so that similar rows hang on the same one.
                 agrees = same >= agree
                 taken[mine] = agrees.any(axis=1)
-                leader[mine] = head_ids[agrees.argmax(axis=1)]
+                first = agrees.argmax(axis=1)
+                leader[mine] = head_ids[first]
+                row, other = np.nonzero(agrees)
+                links.append(np.unique(np.stack([head_ids[first[row]], head_ids[other]], axis=1)[first[row] != other], axis=0))
                 row, other = np.nonzero((same >= wide) & ~agrees)
                 near_row.append(mine[row])
                 near_leader.append(head_ids[other])
@@ -273,28 +280,43 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
             counts = np.zeros(n, np.int64)
             counts[left] = np.bincount(stays, minlength=len(left))
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            pairs = np.unique(np.concatenate(links), axis=0)
+            one_row = np.full(n + 1, len(pairs), np.int32)
+            one_row[0] = 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("id"), batch.column("sketch"), pa.array(leader, mask=~taken),
                  pa.ListArray.from_arrays(pa.array(near_first), pa.array(head[order])),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(X.signed(child)))],
-                names=["node", "id", "sketch", "leader", "near", "nodes"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(X.signed(child))),
+                 pa.ListArray.from_arrays(pa.array(one_row), pa.StructArray.from_arrays(
+                     [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"]))],
+                names=["node", "id", "sketch", "leader", "near", "nodes", "links"],
             )
 
     joined = entries.withColumn("salt", _salt()).join(_salted(leaders), ["node", "salt"])
     return held(joined.select("node", "id", "sketch", "leaders").mapInArrow(run, LEVEL), "level")
 
 
-def compare_taken(parted: DataFrame, agree: int) -> DataFrame:
-    """Edges between rows near a leader and those it has taken, one a row and block."""
-    taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id", "sketch")
+def compare_taken(parted: DataFrame, edges: DataFrame, agree: int) -> DataFrame:
+    """Edges between rows near a leader and those it has taken, one a row and block. Only rows that
+    ``edges`` does not connect with that leader already are compared."""
+    groups = components(edges)
+    taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id")
     sizes = taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks"))
-    sizes = held(sizes, "taken")
-    near = parted.select("node", "id", F.explode("near").alias("leader"))
+    roots = groups.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
+    sizes = held(sizes.join(roots, "leader"), "taken")
+    # The leaders of a bucket that have taken a row: 16 at most.
+    of_node = sizes.groupBy("node").agg(F.collect_list(F.struct("leader", "leader_root", "blocks")).alias("active"))
+    near = parted.where(F.size("near") > 0).select("node", "id", "near").withColumn("salt", _salt())
+    near = near.join(_salted(of_node), ["node", "salt"]).join(groups, "id", "left")
+    other = F.filter("active", lambda x: F.array_contains("near", x["leader"]) & ~x["leader_root"].eqNullSafe(F.col("root")))
+    near = near.withColumn("open", other).where(F.size("open") > 0)
+    near = held(near.select("node", "id", F.inline("open")).drop("leader_root"), "near-leaders")
+    sketch_of = parted.select("node", "id", "sketch")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-    homes = taken.withColumn("salt", _salt()).join(_salted(sizes), ["node", "leader", "salt"])
-    probes = near.withColumn("salt", _salt()).join(_salted(sizes), ["node", "leader", "salt"])
-    probes = probes.join(parted.select("node", "id", "sketch"), ["node", "id"])
+    asked = _salted(near.select("node", "leader", "blocks").distinct())
+    homes = taken.withColumn("salt", _salt()).join(asked, ["node", "leader", "salt"]).join(sketch_of, ["node", "id"])
+    probes = near.join(sketch_of, ["node", "id"])
     rows = homes.select("node", "leader", own, "id", "sketch", F.lit(False).alias("probe")).unionByName(
         probes.select("node", "leader", every, "id", "sketch", F.lit(True).alias("probe"))
     )
@@ -343,7 +365,8 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPL
             return edges.distinct()
         parted = compare_leaders(many, agree, wide, split)
         taken = parted.where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
-        edges = edges.unionByName(taken.distinct()).unionByName(compare_taken(parted, agree))
+        stars = held(taken.unionByName(parted.where(F.size("links") > 0).select(F.inline("links"))).distinct(), "stars")
+        edges = edges.unionByName(stars).unionByName(compare_taken(parted, stars, agree))
         level = parted.where("leader IS NULL").select("id", F.explode("nodes").alias("node"))
 
 
