@@ -43,6 +43,7 @@ from ordermill.llm.store import held
 
 END = np.uint64(0x1F83D9ABFB41BD6B)
 BLOCK_BYTES = 4 << 20
+FAN = 8_192
 _U = np.uint64
 
 
@@ -247,42 +248,87 @@ def word_totals(blocks: DataFrame, segments: int) -> DataFrame:
     return held(answers, "lm-words")
 
 
+def _width(segments: int) -> int:
+    """Segments in one range that blocks send to."""
+    return -(-segments // FAN)
+
+
 def _training(blocks: DataFrame, segments: int, order: int) -> DataFrame:
-    """For each block and segment the block's distinct training n-grams there, with their counts."""
+    """For each block and range the block's distinct training n-grams there, with their counts."""
+    width = _width(segments)
 
     def send(batches):
         for row in _rows(batches):
             distinct, code, weight, _ = Block(row).asked(order, segments)
             count = np.bincount(code, weights=weight, minlength=len(distinct)).astype(np.int64)
             some = count > 0
-            yield from _messages(row["block"], distinct[some], segments, count[some])
+            yield from _messages(row["block"], distinct[some], 0, segments, width, count[some])
 
     return blocks.mapInArrow(send, "segment long, block long, keys binary, counts binary")
 
 
 def _asked(blocks: DataFrame, segments: int, order: int) -> DataFrame:
-    """For each block and segment the block's distinct n-grams there."""
+    """For each block and range the block's distinct n-grams there."""
+    width = _width(segments)
 
     def send(batches):
         for row in _rows(batches):
-            yield from _messages(row["block"], Block(row).asked(order, segments)[0], segments)
+            yield from _messages(row["block"], Block(row).asked(order, segments)[0], 0, segments, width)
 
     return blocks.mapInArrow(send, "segment long, block long, keys binary")
 
 
-def _messages(block: int, keys: np.ndarray, segments: int, counts: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    cuts = np.searchsorted(keys, np.arange(segments + 1).astype(_U) << _U(32))
+def _messages(
+    block: int, keys: np.ndarray, first: int, last: int, width: int, counts: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Keys (segment and short key in one number, in order) to the ranges of ``width`` segments from ``first``
+    to ``last``: range, block, and the keys there, counted from the start of the range."""
+    bounds = np.arange(first, last + width, width).astype(_U) << _U(32)
+    cuts = np.searchsorted(keys, bounds)
     some = np.flatnonzero(np.diff(cuts))
-    parts = list(zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True))
-    columns = [pa.array(some), pa.array([block] * len(some), pa.int64()),
-               pa.array([planes(np.diff(short_key(keys[a:z]), prepend=_U(0)), 4) for a, z in parts], pa.binary())]
+    parts = list(zip(bounds[some], cuts[some].tolist(), cuts[some + 1].tolist(), strict=True))
+    columns = [pa.array((bounds[some] >> _U(32)).astype(np.int64) // width), pa.array([block] * len(some), pa.int64()),
+               pa.array([planes(np.diff(keys[a:z], prepend=low), 8 if width > 1 else 4) for low, a, z in parts], pa.binary())]
     if counts is not None:
-        columns.append(pa.array([planes(counts[a:z], 4) for a, z in parts], pa.binary()))
+        columns.append(pa.array([planes(counts[a:z], 4) for _, a, z in parts], pa.binary()))
     yield pa.RecordBatch.from_arrays(columns, names=["segment", "block", "keys", "counts"][: len(columns)])
 
 
-def _keys(packed: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(packed, 4).astype(_U))
+def _keys(packed: bytes, width: int = 1) -> np.ndarray:
+    return np.cumsum(from_planes(packed, 8 if width > 1 else 4).astype(_U))
+
+
+def _grouped(sent: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The messages with the asker their block belongs to."""
+    askers = max(1, -(-blocks.count() // FAN))
+    return sent.withColumn("asker", F.pmod(F.xxhash64("block"), F.lit(askers)))
+
+
+def _merged(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The distinct keys of an asker's blocks in a range, the place among them of each key of each block, and
+    how many keys each block has."""
+    each = [_keys(k, width) for k in table["keys"].to_pylist()]
+    distinct, code = np.unique(np.concatenate(each), return_inverse=True)
+    return distinct, code, [len(k) for k in each]
+
+
+def _to_segments(sent: DataFrame, width: int, segments: int) -> DataFrame:
+    """The messages of each asker to a range, merged and sent on to its segments (with ``block`` the asker)."""
+    counted = "counts" in sent.columns
+
+    def split(table: pa.Table) -> pa.Table:
+        distinct, code, _ = _merged(table, width)
+        total = None
+        if counted:
+            flat = np.concatenate([from_planes(c, 4) for c in table["counts"].to_pylist()])
+            total = np.bincount(code, weights=flat, minlength=len(distinct)).astype(np.int64)
+        first = table["segment"][0].as_py() * width
+        out = _messages(table["asker"][0].as_py(), distinct + (_U(first) << _U(32)), first, min(first + width, segments), 1, total)
+        X.release()
+        return pa.Table.from_batches(list(out))
+
+    schema = "segment long, block long, keys binary" + (", counts binary" if counted else "")
+    return sent.groupBy("segment", "asker").applyInArrow(split, schema)
 
 
 def _filled(keys: np.ndarray, counts: np.ndarray, bits_an_entry: float) -> tuple[int, int, np.ndarray]:
@@ -314,8 +360,10 @@ def filter_segments(blocks: DataFrame, segments: int, order: int, bits_an_entry:
             "probes": pa.array([probes], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary()),
         })
 
-    sent = _training(blocks, segments, order).groupBy("segment")
-    return held(sent.applyInArrow(fill, "segment long, size long, probes long, bits binary"), "lm-filter")
+    sent, width = _training(blocks, segments, order), _width(segments)
+    if width > 1:
+        sent = _to_segments(_grouped(sent, blocks), width, segments)
+    return held(sent.groupBy("segment").applyInArrow(fill, "segment long, size long, probes long, bits binary"), "lm-filter")
 
 
 def probed(blocks: DataFrame, model: Model) -> DataFrame:
@@ -336,11 +384,27 @@ def probed(blocks: DataFrame, model: Model) -> DataFrame:
             "levels": pa.array([zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
         })
 
-    asked = _asked(blocks, model.count, model.order).groupBy("segment")
-    answers = asked.cogroup(model.segments.withColumnRenamed("segment", "part").groupBy("part")).applyInArrow(
-        answer, "block long, segment long, levels binary"
-    )
-    return held(answers, "lm-levels")
+    def dealt(sent: pa.Table, answers: pa.Table) -> pa.Table:
+        distinct, code, sizes = _merged(sent, width)
+        parts = sorted(zip(answers["segment"].to_pylist(), answers["levels"].to_pylist(), strict=True))
+        level = np.frombuffer(b"".join(zstandard.decompress(p) for _, p in parts), np.uint8)[code]
+        at = np.cumsum([0, *sizes])
+        X.release()
+        return pa.table({
+            "block": sent["block"], "segment": sent["segment"],
+            "levels": pa.array([zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+        })
+
+    kept = model.segments.withColumnRenamed("segment", "part").groupBy("part")
+    schema = "block long, segment long, levels binary"
+    sent, width = _asked(blocks, model.count, model.order), _width(model.count)
+    if width == 1:
+        return held(sent.groupBy("segment").cogroup(kept).applyInArrow(answer, schema), "lm-levels")
+    sent = held(_grouped(sent, blocks), "lm-asked")
+    asked = _to_segments(sent, width, model.count).groupBy("segment").cogroup(kept).applyInArrow(answer, schema)
+    back = asked.select(F.col("block").alias("to"), F.floor(F.col("segment") / width).alias("range"), "segment", "levels")
+    both = sent.groupBy("segment", "asker").cogroup(back.groupBy("range", "to"))
+    return held(both.applyInArrow(dealt, schema), "lm-levels")
 
 
 def log_probabilities(

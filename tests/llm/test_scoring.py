@@ -78,6 +78,40 @@ def test_lm_scores_equal_exact_dictionaries(docs, order, monkeypatch):
         assert a == pytest.approx(want[r["doc_id"]], rel=1e-9), r["doc_id"]
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_ranges_of_segments_give_the_same_scores(docs, order, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 1500)
+    rows = lm_rows()
+    df = docs(rows).repartition(4)
+    mine = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    run = lambda: sorted(map(tuple, bloom_lm.score(df, mine, order=order, tokens_a_segment=700).collect()))
+    direct = run()
+    monkeypatch.setattr(bloom_lm, "FAN", 5)
+    assert run() == direct
+
+
+def test_messages_grow_with_the_corpus(docs, monkeypatch):
+    """Rows sent at three sizes, with as many segments as each size asks for."""
+    monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(bloom_lm, "FAN", 6)
+    sent = []
+    for n in (80, 160, 320):
+        r = random.Random(n)
+        rows = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(60))) for i in range(n)]
+        blocks = bloom_lm.blocks_of(docs(rows).coalesce(1), F.lit(False))
+        segments = n // 10
+        width = bloom_lm._width(segments)
+        assert segments <= 36 and width > 1
+        first = bloom_lm._grouped(bloom_lm._training(blocks, segments, 2), blocks)
+        second = bloom_lm._to_segments(first, width, segments)
+        count = blocks.count()
+        assert first.count() <= 6 * count
+        assert first.groupBy("segment", "asker").count().agg(F.max("count")).first()[0] <= 3 * 6
+        sent.append((first.count() + second.count()) / count)
+    # At most FAN a block to ranges and as many from there on, however many segments there are.
+    assert max(sent) <= 12 and sent[2] < 2.2 * sent[0]
+
+
 def levels_in(model, keys):
     """Levels of n-grams as the stored segments give them."""
     parts = {r["segment"]: r for r in model.segments.collect()}
