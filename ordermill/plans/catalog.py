@@ -25,7 +25,7 @@ from ordermill.plans import inputs as I
 from ordermill.plans.inputs import Inputs, as_of, run_ts
 from ordermill.settings import Thresholds
 from ordermill.sources import listing, synthetic, tables
-from ordermill.streaming import new_files
+from ordermill.streaming import intake, new_files
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -378,6 +378,17 @@ def stream_new_files(i: Inputs) -> DataFrame:
     return i.spark.read.schema(schemas.ORDERS).parquet(target).drop("dt")
 
 
+@query
+def stream_validated(i: Inputs) -> DataFrame:
+    """Two runs of the judged intake over landed events: files that lack a column or are damaged stay out,
+    and the second run finds nothing new."""
+    target, state, path = i.fresh("intake"), i.fresh("intake-state"), i.fresh("intake-ledger")
+    for _ in range(2):
+        intake.take_in(i.spark, i.landing_path(), "events", target, state, path)
+    like = i.spark.createDataFrame([], schemas.EVENTS)
+    return intake.taken(i.spark, target, state, like).drop("page_url", "session_id")
+
+
 # Filters and projections
 
 

@@ -451,6 +451,10 @@ _SQL = {
         FROM contract c FULL OUTER JOIN landed l
           ON c.source = l.source AND c.column_name = l.column_name
         WHERE l.source IS NULL OR c.source IS NULL OR c.data_type <> l.data_type""",
+    "stream_validated": """
+        SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp,
+               CAST(CAST(ts AS DATE) AS VARCHAR) AS process_date
+        FROM src_events""",
     "stream_new_files": """
         SELECT order_id, user_id, amount, currency, status,
                strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at,

@@ -81,7 +81,7 @@ def read_latest(spark: SparkSession, root: str, source: str = "user_segments") -
     if not parquet and not csv:
         folder = f"{root.rstrip('/')}/source={source}/latest"
         return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(folder)
-    return _both_formats(spark, parquet, csv, schema)
+    return read_both(spark, parquet, csv, schema)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -155,7 +155,8 @@ def _total(parts: Iterable[tuple]) -> tuple:
     return sum(p[0] for p in parts), sum(p[1] for p in parts)
 
 
-def _both_formats(spark: SparkSession, parquet: list[str], csv: list[str], schema: T.StructType) -> DataFrame:
+def read_both(spark: SparkSession, parquet: list[str], csv: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of the given files, without those of CSV files that have a Parquet twin."""
     rows = spark.read.schema(schema).parquet(*parquet) if parquet else None
     for header, paths in sorted(csv_without_twin(spark, parquet, csv, schema).items()) if csv else ():
         part = _csv_rows(spark, header, paths, schema)
@@ -173,7 +174,7 @@ def read_day(spark: SparkSession, root: str, source: str, day: str | dt.date) ->
         return read_landed(spark, root, source, day)
     files = list_files(spark, folder).where("length > 0 AND file_name LIKE '%.parquet'").select("file_name")
     parquet = [f"{folder}/{r['file_name']}" for r in files.collect()]
-    return _both_formats(spark, parquet, csv, schemas.LANDED[source])
+    return read_both(spark, parquet, csv, schemas.LANDED[source])
 
 
 def read_inputs(
