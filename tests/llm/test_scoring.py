@@ -254,6 +254,45 @@ def test_toxic_words_are_learnt_and_found_in_unseen_texts(spark, docs):
     assert got[9003]["predicted"] == 1 and got[9004]["predicted"] == 0
 
 
+def test_the_fit_equals_a_plain_version(spark, docs):
+    """Ratios from sets of n-grams of every text, and the steps of the regression text by text."""
+    rows, labels = toxic_rows(150)
+    model = toxicity.fit(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    sets = [{int(p) for _, place in toxicity.features([t]) for p in place} for _, t in rows]
+    y = [label for _, label in labels]
+    toxic, clean = Counter(), Counter()
+    for s, label in zip(sets, y, strict=True):
+        (toxic if label else clean).update(s)
+    P, N, r = sum(y), len(y) - sum(y), {}
+    for f in toxic.keys() | clean.keys():
+        p, n = toxic[f], clean[f]
+        ratio = math.log((p + 1) / (P + 1)) - math.log((n + 1) / (N + 1))
+        if p + n >= 5 and abs(ratio) / math.sqrt(1 / (p + 1) + 1 / (n + 1)) >= 4:
+            r[f] = ratio
+    assert len(r) < 20_000 and set(np.flatnonzero(model.weights).tolist()) == set(r)
+    w, b = dict.fromkeys(r, 0.0), math.log((P + 1) / (N + 1))
+    m, v, mb, vb = dict.fromkeys(r, 0.0), dict.fromkeys(r, 0.0), 0.0, 0.0
+    for k in range(1, 151):
+        gw, gb = {f: 1e-3 * w[f] for f in r}, 0.0
+        for s, label in zip(sets, y, strict=True):
+            mine = s & r.keys()
+            g = (1 / (1 + math.exp(-(b + sum(r[f] * w[f] for f in mine)))) - label) / len(y)
+            gb += g
+            for f in mine:
+                gw[f] += r[f] * g
+        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
+        for f in r:
+            m[f], v[f] = 0.9 * m[f] + 0.1 * gw[f], 0.99 * v[f] + 0.01 * gw[f] ** 2
+            w[f] -= 0.02 * (m[f] / (1 - 0.9**k)) / (math.sqrt(v[f] / (1 - 0.99**k)) + 1e-10)
+        b -= 0.05 * (mb / (1 - 0.9**k)) / (math.sqrt(vb / (1 - 0.99**k)) + 1e-10)
+    assert model.intercept == pytest.approx(b, abs=1e-3)
+    for f in r:
+        assert model.weights[f] == pytest.approx(w[f] * r[f], abs=1e-3)
+    got = {x["doc_id"]: x["score"] for x in toxicity.score(docs(rows), model).collect()}
+    for (i, _), s in zip(rows, sets, strict=True):
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(b + sum(w[f] * r[f] for f in s & r.keys())))), abs=1e-3)
+
+
 @pytest.mark.parametrize("labels, high", [([], None), ([(1, 0), (2, 0)], False), ([(1, 1), (2, 1), (3, None)], True)])
 def test_labels_of_one_class(spark, docs, labels, high):
     frame = spark.createDataFrame(labels, "doc_id long, toxic int")
