@@ -11,8 +11,9 @@ to give both kinds of error the same weight.
 Counts are exact: a context and the byte after it are one number of 51 bits. URLs become blocks, stored
 once; the distinct numbers of each block move to the segment of their context, where the counts add
 up, and the counts go back to the blocks that asked. Nothing of the model is broadcast, and segments
-follow the data. A block sends each segment one message, so their number is that of blocks times that of
-segments, and a context that all blocks have (the empty one) is in a message of each.
+follow the data. A block sends at most ``FAN`` messages; if there are more segments, they go to ranges of
+segments, where those of up to ``FAN`` blocks are added up first, so that messages grow with the input and a
+context that all blocks have arrives from each ``FAN`` of them once.
 
 A null URL, or one without ``://``, has empty host and path, fits no rule and is scored as it is (null
 as empty text). Repeated URLs count each. Without ruled URLs of both kinds the verdict is allow. Other
@@ -35,6 +36,7 @@ from ordermill.llm.store import held
 ORDER = 5
 BLOCK_BYTES = 1 << 18
 KEYS_A_SEGMENT = 1 << 21
+FAN = 8_192
 BINS = 4_000
 _U = np.uint64
 
@@ -191,23 +193,57 @@ def blocks_of(rows: DataFrame) -> DataFrame:
     return held(rows.select("page_id", "url", "rule", "allow", "learns", "calibrates").mapInArrow(run, BLOCKS), "url-blocks")
 
 
-def _asked(at: Trace, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pairs of all orders in order, their order by segment, and where segments begin there."""
+def _width(segments: int) -> int:
+    """Segments in one range that blocks send to."""
+    return -(-segments // FAN)
+
+
+def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
+    """The segment of a pair, by its context."""
+    return (X.mix(keys >> _U(8)) % _U(segments)).astype(np.int64)
+
+
+def _asked(at: Trace, segments: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of all orders in order, their order by range, and where ranges begin there."""
     keys = np.concatenate([X.distinct(at.slots(k)[1]) for k in range(ORDER + 1)])
-    segment = (X.mix(keys >> _U(8)) % _U(segments)).astype(np.int64)
-    order = np.argsort(segment, kind="stable")
-    return keys, order, np.searchsorted(segment[order], np.arange(segments + 1))
+    range_ = _segment(keys, segments) // width
+    order = np.argsort(range_, kind="stable")
+    return keys, order, np.searchsorted(range_[order], np.arange(-(-segments // width) + 1))
+
+
+def _messages(sender: int, keys: np.ndarray, counts: np.ndarray, order: np.ndarray, cuts: np.ndarray, first: int = 0):
+    """Range or segment, sender, keys there and their counts in either class."""
+    some = np.flatnonzero(np.diff(cuts))
+    parts = [order[cuts[s] : cuts[s + 1]] for s in some]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some + first), pa.array([sender] * len(some), pa.int64()),
+         pa.array([planes(np.diff(keys[p], prepend=_U(0)), 8) for p in parts], pa.binary()),
+         pa.array([planes(counts[:, p].ravel(), 4) for p in parts], pa.binary())],
+        names=["segment", "block", "keys", "counts"],
+    )
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of several messages, their counts, the place among them of each pair of each message,
+    and where those of each message begin."""
+    each = [np.cumsum(from_planes(k, 8)) for k in table["keys"].to_pylist()]
+    sums = np.concatenate([from_planes(c, 4).reshape(2, -1) for c in table["counts"].to_pylist()], axis=1)
+    keys, code = np.unique(np.concatenate(each), return_inverse=True)
+    pairs = np.stack([np.bincount(code, weights=x, minlength=len(keys)) for x in sums]).astype(np.int64)
+    return keys, pairs, code, np.cumsum([0] + [len(k) for k in each])
 
 
 def counted(blocks: DataFrame, segments: int) -> DataFrame:
-    """Stored answers: for each block and segment the six counts (see ``Model.of``) of the block's
+    """Stored answers: for each block and range the six counts (see ``Model.of``) of the block's
     distinct pairs there, in their order."""
+    width = _width(segments)
+    sent_schema, schema = "segment long, block long, keys binary, counts binary", "block long, segment long, counts binary"
 
     def ask(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 at = trace(X.texts_of(pa.array(row["urls"], pa.string())))
-                keys, order, cuts = _asked(at, segments)
+                keys, order, cuts = _asked(at, segments, width)
                 kind = np.array([2 if not learns else int(a) for a, learns in zip(row["allow"], row["learns"], strict=True)])[at.owner]
                 counts = np.zeros((2, len(keys)), np.int64)
                 for k in range(ORDER + 1):
@@ -215,33 +251,51 @@ def counted(blocks: DataFrame, segments: int) -> DataFrame:
                     for c in (0, 1):
                         seen, n = np.unique(pair[kind == c], return_counts=True)
                         counts[c, np.searchsorted(keys, seen)] += n
-                some = np.flatnonzero(np.diff(cuts))
-                parts = [order[cuts[s] : cuts[s + 1]] for s in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array([row["block"]] * len(some)),
-                     pa.array([planes(np.diff(keys[p], prepend=_U(0)), 8) for p in parts], pa.binary()),
-                     pa.array([planes(counts[:, p].ravel(), 4) for p in parts], pa.binary())],
-                    names=["segment", "block", "keys", "counts"],
-                )
+                yield _messages(row["block"], keys, counts, order, cuts)
+
+    def split(table: pa.Table) -> pa.Table:
+        keys, pairs, _, _ = _added(table)
+        first = table["segment"][0].as_py() * width
+        segment = _segment(keys, segments) - first
+        order = np.argsort(segment, kind="stable")
+        cuts = np.searchsorted(segment[order], np.arange(width + 1))
+        return pa.Table.from_batches([_messages(table["asker"][0].as_py(), keys, pairs, order, cuts, first)])
 
     def answer(table: pa.Table) -> pa.Table:
-        each = [np.cumsum(from_planes(k, 8)) for k in table["keys"].to_pylist()]
-        sums = np.concatenate([from_planes(c, 4).reshape(2, -1) for c in table["counts"].to_pylist()], axis=1)
-        keys, code = np.unique(np.concatenate(each), return_inverse=True)
-        pairs = np.stack([np.bincount(code, weights=x, minlength=len(keys)) for x in sums]).astype(np.int64)
+        keys, pairs, code, at = _added(table)
         first = np.flatnonzero(np.diff(keys >> _U(8), prepend=_U(0xFFFFFFFFFFFFFFFF)))
         size = np.diff(np.append(first, len(keys)))
         contexts = [np.repeat(np.add.reduceat(x, first, axis=1), size, axis=1) for x in (pairs, (pairs > 0).astype(np.int64))]
         full = np.concatenate([pairs, *contexts])[:, code]
-        at = np.cumsum([0] + [len(k) for k in each])
         return pa.table({
             "block": table["block"], "segment": table["segment"],
             "counts": pa.array([planes(full[:, a:z].ravel(), 8) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
         })
 
-    asked = blocks.mapInArrow(ask, "segment long, block long, keys binary, counts binary")
-    answers = asked.groupBy("segment").applyInArrow(answer, "block long, segment long, counts binary")
-    return held(answers, "url-counts")
+    def dealt(table: pa.Table, answers: pa.Table) -> pa.Table:
+        keys, _, code, at = _added(table)
+        order = np.argsort(_segment(keys, segments), kind="stable")
+        parts = sorted(zip(answers["part"].to_pylist(), answers["counts"].to_pylist(), strict=True))
+        full = np.empty((6, len(keys)), np.uint64)
+        full[:, order] = np.concatenate([from_planes(c, 8).reshape(6, -1) for _, c in parts], axis=1)
+        full = full[:, code]
+        return pa.table({
+            "block": table["block"], "segment": table["segment"],
+            "counts": pa.array([planes(full[:, a:z].ravel(), 8) for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+        })
+
+    asked = blocks.mapInArrow(ask, sent_schema)
+    if width == 1:
+        return held(asked.groupBy("segment").applyInArrow(answer, schema), "url-counts")
+    askers = max(1, -(-blocks.count() // FAN))
+    asked = held(asked.withColumn("asker", F.pmod(F.xxhash64("block"), F.lit(askers))), "url-asked")
+    merged = asked.groupBy("segment", "asker").applyInArrow(split, sent_schema)
+    answers = merged.groupBy("segment").applyInArrow(answer, schema).select(
+        F.col("block").alias("to"), F.floor(F.col("segment") / width).alias("range"), F.col("segment").alias("part"), "counts"
+    )
+    return held(
+        asked.groupBy("segment", "asker").cogroup(answers.groupBy("range", "to")).applyInArrow(dealt, schema), "url-counts"
+    )
 
 
 def _with_answers(blocks: DataFrame, segments: int) -> DataFrame:
@@ -249,10 +303,10 @@ def _with_answers(blocks: DataFrame, segments: int) -> DataFrame:
     return blocks.join(got, "block")
 
 
-def _part(row: dict, segments: int) -> tuple[X.Texts, np.ndarray, np.ndarray]:
+def _part(row: dict, segments: int, width: int) -> tuple[X.Texts, np.ndarray, np.ndarray]:
     """The URLs of a block with its answers, their distinct pairs and the counts of these."""
     texts = X.texts_of(pa.array(row["urls"], pa.string()))
-    keys, order, _ = _asked(trace(texts), segments)
+    keys, order, _ = _asked(trace(texts), segments, width)
     counts = np.empty((6, len(keys)), np.int64)
     got = sorted(row["answers"], key=lambda a: a["segment"])
     counts[:, order] = np.concatenate([from_planes(a["counts"], 8).reshape(6, -1) for a in got], axis=1)
@@ -270,12 +324,13 @@ SCORED = "page_id long, url string, rule string, allow boolean, calibrates boole
 
 def scored(blocks: DataFrame, segments: int, learnt: bool) -> DataFrame:
     """The rows of the blocks with their ratio, stored."""
+    width = _width(segments)
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 if learnt:
-                    texts, keys, counts = _part(row, segments)
+                    texts, keys, counts = _part(row, segments, width)
                     ratio = Model.of(keys, counts).ratio(texts)
                 else:
                     ratio = np.zeros(len(row["urls"]))

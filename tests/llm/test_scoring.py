@@ -301,6 +301,23 @@ def test_labels_of_one_class(spark, docs, labels, high):
     assert s == 0.5 if high is None else (s > 0.5) == high
 
 
+def test_ranges_of_url_segments_give_the_same_verdicts(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BLOCK_BYTES", 2_000)
+    monkeypatch.setattr(url_filter, "KEYS_A_SEGMENT", 4_000)
+    r = random.Random(8)
+    urls = ["http://%s/%s/%d" % (r.choice(["a.com", "b.net", "c.org"]), r.choice(["es", "fr", "news"]), r.randrange(10**6)) for _ in range(800)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    run = lambda: {x["page_id"]: (x["verdict"], x["ratio"]) for x in url_filter.judge(pages).collect()}
+    direct = run()
+    monkeypatch.setattr(url_filter, "FAN", 6)
+    blocks = url_filter.blocks_of(pages.selectExpr("page_id", "url", "'r' AS rule", "page_id % 2 = 0 AS allow"))
+    segments, _ = url_filter._size(blocks)
+    assert segments > 12 and url_filter._width(segments) > 1
+    ranged = run()
+    assert {k: v[0] for k, v in ranged.items()} == {k: v[0] for k, v in direct.items()}
+    assert all(ranged[k][1] == pytest.approx(direct[k][1], rel=1e-12) for k in direct)
+
+
 def test_the_url_threshold_has_the_least_error_of_all(spark):
     """Against every threshold, with ratios far from zero."""
     r = random.Random(2)
@@ -454,7 +471,7 @@ def url_model(ruled):
     segments, learnt = url_filter._size(blocks)
     if not learnt:
         return None
-    parts = [url_filter._part(r.asDict(True), segments)[1:] for r in url_filter._with_answers(blocks, segments).collect()]
+    parts = [url_filter._part(r.asDict(True), segments, url_filter._width(segments))[1:] for r in url_filter._with_answers(blocks, segments).collect()]
     keys, first = np.unique(np.concatenate([k for k, _ in parts]), return_index=True)
     counts = np.concatenate([c for _, c in parts], axis=1)[:, first]
     return url_filter.Model.of(keys, counts, url_filter.calibrated(url_filter.scored(blocks, segments, True)))
