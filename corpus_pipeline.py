@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import decontaminate, jaccard_join, line_quality, packing, site_lines
 from ordermill.llm.queries import read
 from ordermill.llm.store import held
+from ordermill.session import size_shuffles
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +54,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
+    # Shuffles of texts in partitions of 128 MB; AQE merges small ones and cannot split large ones.
+    size_shuffles(spark, docs.agg(F.sum("n_chars")).first()[0] or 0, growth=1.0)
     for name, stage in STAGES:
         docs = held(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
