@@ -201,13 +201,21 @@ def not_moved(target: DataFrame, moves: DataFrame, key: str) -> DataFrame:
     return moves.join(there, ["moved_key", "went_to", "stamp"], "left_anti").select("left_date").distinct()
 
 
-def finish_drops(spark: SparkSession, target_path: str, key: str = "order_id") -> None:
-    """Ends an upsert over all dates that failed between its write and its drops.
+def finish_drops(
+    spark: SparkSession, target_path: str, key: str = "order_id", moved: Sequence[dt.date] | None = None
+) -> None:
+    """Ends an upsert over all dates, here or for a run that failed between its write and its drops.
 
     The dates it meant to drop are on record, and for each of their rows the date it goes to and its
     stamp. If all rows of such a date are found where they went, the write has happened and the date
-    goes; otherwise, or without that record, the date stays. Only dates on record are read.
+    goes; otherwise, or without that record, the date stays. Only dates on record are read. ``moved`` names
+    dates whose rows are known to have moved, as the write has just ended.
     """
+    if moved is not None:
+        writing.drop_partitions(spark, target_path, "process_date", moved)
+        writing.remove_table(_pending_path(target_path))
+        writing.remove_table(_moves_path(target_path))
+        return
     pending = read_table(spark, _pending_path(target_path), PENDING)
     days = [] if pending is None else [r[0] for r in pending.distinct().collect()]
     if days:
@@ -265,4 +273,4 @@ def publish_across_days(
     affected = target.where(F.col("process_date").isin([*replaced.keys() | arriving]))
     writing.write_enriched(replace_rows(affected, source, [key], now), target_path)
     if left_empty:
-        finish_drops(spark, target_path, key)
+        finish_drops(spark, target_path, key, left_empty)

@@ -270,8 +270,8 @@ def inspect_files(
     """Column names and types, row count and read error of each Parquet or CSV file.
 
     Files are read whole: all Parquet pages are decoded and the line ends of CSV files counted
-    (the header's included). Footers and headers come first; they cut each file into parts of about
-    ``part_bytes`` bytes (row groups, byte ranges of a CSV file), which are dealt over the tasks and
+    (the header's included). Footers and headers come first; they cut files of more than ``part_bytes`` bytes
+    into parts of about so many (row groups, byte ranges of a CSV file), which are dealt over the tasks and
     joined per file: the first error of a file, the sum of its line ends. So a large file is not one
     task's work. Without ``read_pages`` only Parquet footers, without ``count_csv_rows`` only the first CSV
     line is read. CSV columns have no types. Files of other formats, empty files and files with a true
@@ -287,12 +287,20 @@ def inspect_files(
             """Columns, rows, error, types and the parts left to read."""
             if known or not length:
                 return None, None, None, None, []
+            path = f"{base}/{name}"
             if name.endswith(".parquet"):
-                names, rows, error, types, sizes = _parquet_head(filesystem, f"{base}/{name}")
-                return names, rows, error, types, _shares(sizes, part_bytes) if read_pages else []
+                names, rows, error, types, sizes = _parquet_head(filesystem, path)
+                shares = _shares(sizes, part_bytes) if read_pages else []
+                if len(shares) == 1:  # a small file, read here and now
+                    return names, rows, _decode(filesystem, path, range(*shares[0])), types, []
+                return names, rows, error, types, shares
             if name.endswith(".csv"):
-                cuts = range(0, length, part_bytes) if count_csv_rows else []
-                return _csv_head(filesystem, f"{base}/{name}"), None, None, None, [(a, min(a + part_bytes, length)) for a in cuts]
+                names = _csv_head(filesystem, path)
+                if not count_csv_rows:
+                    return names, None, None, None, []
+                if length <= part_bytes:
+                    return names, _line_ends(filesystem, path, 0, length), None, None, []
+                return names, None, None, None, [(a, min(a + part_bytes, length)) for a in range(0, length, part_bytes)]
             return None, None, None, None, []
 
         with ThreadPoolExecutor(_THREADS) as pool:
