@@ -222,7 +222,7 @@ def lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 LEVEL = (
     "node long, id long, sketch binary, leader long, near array<long>, nodes array<long>, "
-    "links array<struct<u: long, v: long>>"
+    "links array<struct<node: long, u: long, v: long>>"
 )
 
 
@@ -254,7 +254,7 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
             sketch = _sketch_matrix(batch.column("sketch"))
             n = len(ids)
             taken, leader = np.zeros(n, bool), np.zeros(n, np.int64)
-            near_row, near_leader, links = [], [], [np.zeros((0, 2), np.int64)]
+            near_row, near_leader, links = [], [], [np.zeros((0, 3), np.int64)]
             nodes, one, code = np.unique(node, return_index=True, return_inverse=True)
             for k, at in enumerate(one.tolist()):
                 mine = np.flatnonzero(code == k)
@@ -268,7 +268,9 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
                 first = agrees.argmax(axis=1)
                 leader[mine] = head_ids[first]
                 row, other = np.nonzero(agrees)
-                links.append(np.unique(np.stack([head_ids[first[row]], head_ids[other]], axis=1)[first[row] != other], axis=0))
+                pair = np.stack([head_ids[first[row]], head_ids[other]], axis=1)[first[row] != other]
+                pair = np.unique(pair, axis=0)
+                links.append(np.concatenate([np.full((len(pair), 1), nodes[k]), pair], axis=1))
                 row, other = np.nonzero((same >= wide) & ~agrees)
                 near_row.append(mine[row])
                 near_leader.append(head_ids[other])
@@ -288,7 +290,7 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
                  pa.ListArray.from_arrays(pa.array(near_first), pa.array(head[order])),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(X.signed(child))),
                  pa.ListArray.from_arrays(pa.array(one_row), pa.StructArray.from_arrays(
-                     [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"]))],
+                     [pa.array(pairs[:, c]) for c in range(3)], names=["node", "u", "v"]))],
                 names=["node", "id", "sketch", "leader", "near", "nodes", "links"],
             )
 
@@ -296,21 +298,43 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
     return held(joined.select("node", "id", "sketch", "leaders").mapInArrow(run, LEVEL), "level")
 
 
-def compare_taken(parted: DataFrame, edges: DataFrame, agree: int) -> DataFrame:
-    """Edges between rows near a leader and those it has taken, one a row and block. Only rows that
-    ``edges`` does not connect with that leader already are compared."""
-    groups = components(edges)
+def _leader_roots(links: DataFrame) -> DataFrame:
+    """(node, leader, leader_root) of the leaders of a bucket that rows of it link with each other."""
+
+    def run(batches):
+        for batch in batches:
+            rows = [np.zeros((3, 0), np.int64)]
+            for r in batch.to_pylist():
+                pairs = np.array([(x["u"], x["v"]) for x in r["pairs"]], np.int64)
+                leaders, code = np.unique(pairs, return_inverse=True)
+                code = code.reshape(-1, 2)
+                label = lowest(len(leaders), code[:, 0], code[:, 1])
+                rows.append(np.stack([np.full(len(leaders), r["node"]), leaders, leaders[label]]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(rows, axis=1)], names=["node", "leader", "leader_root"])
+
+    # Of 16 leaders a bucket: at most 240 pairs.
+    pairs = links.groupBy("node").agg(F.collect_set(F.struct("u", "v")).alias("pairs"))
+    return pairs.mapInArrow(run, "node long, leader long, leader_root long")
+
+
+def compare_taken(parted: DataFrame, agree: int) -> DataFrame | None:
+    """Edges between rows near a leader and those it has taken, one a row and block; None without such rows.
+    A row is not compared if its own leader is linked with that leader in the same bucket."""
     taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id")
     sizes = taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks"))
-    roots = groups.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
-    sizes = held(sizes.join(roots, "leader"), "taken")
+    roots = _leader_roots(parted.where(F.size("links") > 0).select(F.inline("links")))
+    sizes = sizes.join(roots, ["node", "leader"], "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
     # The leaders of a bucket that have taken a row: 16 at most.
     of_node = sizes.groupBy("node").agg(F.collect_list(F.struct("leader", "leader_root", "blocks")).alias("active"))
-    near = parted.where(F.size("near") > 0).select("node", "id", "near").withColumn("salt", _salt())
-    near = near.join(_salted(of_node), ["node", "salt"]).join(groups, "id", "left")
+    near = parted.where(F.size("near") > 0).select("node", "id", "near", F.col("leader").alias("own"))
+    near = near.withColumn("salt", _salt()).join(_salted(of_node), ["node", "salt"])
+    root = F.filter("active", lambda x: x["leader"].eqNullSafe(F.col("own")))["leader_root"]
+    near = near.withColumn("root", F.try_element_at(root, F.lit(1)))
     other = F.filter("active", lambda x: F.array_contains("near", x["leader"]) & ~x["leader_root"].eqNullSafe(F.col("root")))
     near = near.withColumn("open", other).where(F.size("open") > 0)
     near = held(near.select("node", "id", F.inline("open")).drop("leader_root"), "near-leaders")
+    if near.isEmpty():
+        return None
     sketch_of = parted.select("node", "id", "sketch")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
@@ -365,8 +389,10 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPL
             return edges.distinct()
         parted = compare_leaders(many, agree, wide, split)
         taken = parted.where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
-        stars = held(taken.unionByName(parted.where(F.size("links") > 0).select(F.inline("links"))).distinct(), "stars")
-        edges = edges.unionByName(stars).unionByName(compare_taken(parted, stars, agree))
+        links = parted.where(F.size("links") > 0).select(F.inline("links")).select("u", "v")
+        edges = edges.unionByName(taken).unionByName(links)
+        near = compare_taken(parted, agree)
+        edges = edges if near is None else edges.unionByName(near)
         level = parted.where("leader IS NULL").select("id", F.explode("nodes").alias("node"))
 
 
