@@ -309,8 +309,9 @@ def keep(documents: DataFrame, crf: Crf | None, share: float = 0.5) -> DataFrame
     """The rows whose text is kept, with all their columns. Rows are filtered where they are read."""
 
     def run(batches):
-        for batch in X.slices(batches, "text"):
+        for batch in X.slices(batches, "text", 1 << 20):
             _, _, part, failed = _verdicts(batch, crf)
+            X.release()
             yield batch.filter(pa.array(~failed & (part >= share)))
 
     return documents.mapInArrow(run, documents.schema)
