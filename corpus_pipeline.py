@@ -6,6 +6,8 @@ works on all that the one before has kept, stored as Parquet in between.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +42,25 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
+#: Documents in a batch between the JVM and Python: both hold one or two, of a task each.
+BATCH_ROWS = 2_000
+
+
+def _bounded(stage):
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality),
-    ("line dedup", lines),
-    ("n-gram Jaccard join", near_duplicates),
-    ("benchmark decontamination", decontaminated),
-    ("best-fit packing", packed),
+    ("quality rules", _bounded(quality)),
+    ("line dedup", _bounded(lines)),
+    ("n-gram Jaccard join", _bounded(near_duplicates)),
+    ("benchmark decontamination", _bounded(decontaminated)),
+    ("best-fit packing", _bounded(packed)),
 ]
 
 #: The quality stage decodes a trained model, which SQL does not express.
