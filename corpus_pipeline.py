@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their site's boilerplate lines; ``n_chars`` follows the text."""
-    return site_lines.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return site_lines.drop_boilerplate(docs, least_pages=1).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

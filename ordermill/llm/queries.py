@@ -62,7 +62,7 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = site_lines.drop_boilerplate(read(spark, folder, "documents"), dropped="n_dropped")
+    cleaned = site_lines.drop_boilerplate(read(spark, folder, "documents"), least_pages=1, dropped="n_dropped")
     return cleaned.select("doc_id", "source", "text", "n_dropped")
 
 
@@ -152,7 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP6 = r"""
 WITH pages AS (SELECT row_number() OVER () AS page, doc_id, source, text FROM documents),
-totals AS (SELECT source, count(*) AS total FROM pages WHERE text IS NOT NULL GROUP BY source HAVING count(*) >= 20),
+totals AS (SELECT source, count(*) AS total FROM pages WHERE text IS NOT NULL GROUP BY source),
 numbered AS (
     SELECT page, source, unnest(string_split(text, chr(10))) AS line,
            unnest(range(len(string_split(text, chr(10))))) AS nth
@@ -164,7 +164,7 @@ trimmed AS (
 boilerplate AS (
     SELECT l.source, l.bare FROM trimmed l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
     WHERE l.bare <> '' GROUP BY l.source, l.bare, t.total
-    HAVING count(DISTINCT l.page)::DOUBLE / t.total > 0.1
+    HAVING count(DISTINCT l.page) >= 5 AND count(DISTINCT l.page)::DOUBLE / t.total > 0.01
 ),
 judged AS (
     SELECT n.page, count(*) FILTER (WHERE b.bare IS NOT NULL) AS n,

@@ -174,3 +174,22 @@ def test_line_dedup_equals_its_sql(spark):
     want = {r[0]: r[1:] for r in con.execute(queries.OP6).fetchall()}
     got = {r["doc_id"]: (r["source"], r["text"], r["n_dropped"]) for r in queries.op6_line_dedup(spark, folder).collect()}
     assert got == want and sum(r[2] for r in want.values()) > 0
+
+
+def test_line_dedup_judges_small_hosts_and_rare_lines(spark, tmp_path):
+    """A line on 7 of 300 pages goes, one on 4 stays; on a host of 12 pages one on 5 goes."""
+    rows = [(i, f"own {i}" + "\nshared by seven" * (i < 7) + "\nshared by four" * (i < 4), "large") for i in range(300)]
+    rows += [(1000 + i, f"own {i}" + "\nmenu" * (i < 5) + "\nshared by four" * (i < 4), "small") for i in range(12)]
+    rows += [(2000 + i, "tiny\nmenu", "tiny") for i in range(4)]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(queries.OP6).fetchall()}
+    found = {r["doc_id"]: (r["source"], r["text"], r["n_dropped"]) for r in queries.op6_line_dedup(spark, folder).collect()}
+    assert found == want
+    assert found[2][1:] == ("own 2\nshared by four", 1) and found[6][1:] == ("own 6", 1) and found[7][2] == 0
+    assert found[1001][1:] == ("own 1\nshared by four", 1) and found[2000] == ("tiny", "tiny\nmenu", 0)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    staged = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, folder).collect()}
+    assert staged == {doc_id: r[1] for doc_id, r in found.items()}
