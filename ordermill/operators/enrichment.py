@@ -119,10 +119,18 @@ def enrich(
     audit columns and defaults to the time of the query. The event types travel through the
     join as counts and become text in the final projection.
     """
+    rows = join_profiles(orders, events, segments, run_date)
+    return finish(rows, run_ts, event_types, exact_amount)
+
+
+def join_profiles(
+    orders: DataFrame, events: DataFrame, segments: DataFrame, run_date: str | dt.date | Column | None = None
+) -> DataFrame:
+    """The rows of :func:`enrich` before the columns that follow from others: the event types as counts
+    by type, no hash and no stamps. What still has to be moved or sorted is short so."""
     profile = user_profile(segments, event_type_counts(deduped_events(events)))
     joined = dedup_orders(orders).join(profile, "user_id", "left")
     process_date = F.col("process_date") if run_date is None else _as_date(run_date)
-    stamp = F.current_timestamp() if run_ts is None else run_ts
     return joined.select(
         "order_id",
         "user_id",
@@ -130,11 +138,22 @@ def enrich(
         "currency",
         "status",
         "event_count",
-        event_types_text(event_types).alias("event_types"),
+        "type_counts",
         F.col("segment").alias("user_segment"),
         "lifetime_value",
         "country",
         process_date.cast("date").alias("process_date"),
+    )
+
+
+def finish(
+    rows: DataFrame, run_ts: Column | None = None, event_types: str = "list", exact_amount: bool = False
+) -> DataFrame:
+    """All 14 columns from rows of :func:`join_profiles`."""
+    stamp = F.current_timestamp() if run_ts is None else run_ts
+    return rows.select(
+        "*",
+        event_types_text(event_types).alias("event_types"),
         row_hash(exact_amount).alias("row_hash"),
         stamp.alias("created_at"),
         stamp.alias("updated_at"),

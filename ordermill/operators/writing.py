@@ -16,6 +16,9 @@ from ordermill.sources import partition_index
 from ordermill.sources.listing import open_filesystem
 
 CLUSTER_COLUMNS = ("user_id", "user_segment")
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+#: A task reads 128 MB in files that count as 4 MB at least.
+_OPEN_FILES = 40
 
 
 def enforce_not_null(df: DataFrame, schema: T.StructType = schemas.ENRICHED) -> DataFrame:
@@ -95,10 +98,28 @@ def overwrite_partitions(
     partition_index.commit(spark, path, partition, before, values)
 
 
-def write_enriched(df: DataFrame, path: str, clustered: bool = False) -> None:
-    """Checked, laid out by date and cluster columns, replacing the dates in ``df`` only."""
+def write_enriched(
+    df: DataFrame, path: str, clustered: bool = False, finish: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Checked, laid out by date and cluster columns, replacing the dates in ``df`` only. ``finish`` adds
+    columns that follow from others row by row, after the rows have been moved and sorted."""
     layout = cluster_by_range if clustered else spread_by_partition
-    overwrite_partitions(enforce_not_null(df), path, layout=layout)
+    overwrite_partitions(
+        enforce_not_null(df), path, layout=(lambda rows: finish(layout(rows))) if finish else layout
+    )
+
+
+def write_in_place(df: DataFrame, path: str) -> None:
+    """As :func:`write_enriched`, for rows read from a table that is laid out already and changed one by
+    one: they stay in their tasks and in their order, neither shuffled nor sorted. A task keeps a file
+    open for each date it meets, up to ``_OPEN_FILES``; rows of further dates are sorted."""
+    conf = df.sparkSession.conf
+    before = conf.get(_WRITERS, "0")
+    conf.set(_WRITERS, str(_OPEN_FILES))
+    try:
+        overwrite_partitions(enforce_not_null(df), path)
+    finally:
+        conf.set(_WRITERS, before)
 
 
 def replace_table(df: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ordermill import schemas
 from ordermill.functions.columns import row_hash
 from ordermill.operators import writing
-from ordermill.operators.enrichment import enrich
+from ordermill.operators.enrichment import enrich, finish, join_profiles
 from ordermill.session import work_folder
 from ordermill.sources.listing import open_filesystem
 from ordermill.sources.tables import read_files
@@ -139,13 +139,17 @@ class Inputs:
     # Stored tables
 
     def staging_path(self) -> str:
-        return self.stored("staging", lambda p: writing.write_enriched(self.enriched(), p))
+        def write(path: str) -> None:
+            rows = join_profiles(self.orders(), self.events(), self.segments())
+            writing.write_enriched(rows, path, finish=lambda laid_out: finish(laid_out, run_ts()))
+
+        return self.stored("staging", write)
 
     def staging(self) -> DataFrame:
         return self.opened("staging", self.staging_path())
 
     def production_path(self) -> str:
-        return self.stored("production", lambda p: writing.write_enriched(self._production(), p))
+        return self.stored("production", lambda p: writing.write_in_place(self._production(), p))
 
     def _production(self) -> DataFrame:
         """Staging with one month lost, one without its pending orders and one doubled."""

@@ -128,10 +128,12 @@ def enrich(
     """
     landed = [tables.landed_folder(at.validated, source, day) for source in ("orders", "events")]
     size_shuffles(spark, sum(folder_bytes(spark, folder) for folder in landed))
-    rows = enrichment.enrich(*tables.read_inputs(spark, at.validated, day), day, event_types=event_types)
+    rows = enrichment.join_profiles(*tables.read_inputs(spark, at.validated, day), day)
     stored = _held(rows, "enriched")
     quality.require(quality.output_gates(quality.key_audit(stored), settings.thresholds))
-    writing.write_enriched(stored, at.processed, clustered)
+    writing.write_enriched(
+        stored, at.processed, clustered, lambda laid_out: enrichment.finish(laid_out, event_types=event_types)
+    )
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ordermill import schemas
 from ordermill.operators import writing
+from ordermill.plans.inputs import Inputs
 from ordermill.sources import tables
 from ordermill.sources.listing import partition_dates
 from test_merging import D1, D2, D3, rows
@@ -119,3 +120,53 @@ def test_views_for_sql(spark, tmp_path):
     names = tables.register_views(spark, staging, production, F.lit("2026-03-19").cast("date"))
     counts = [spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names]
     assert counts == [1, 2, 1]
+
+
+def test_stored_tables_are_moved_once_and_without_text(spark, tmp_path, monkeypatch):
+    """Rows are laid out before the event types become text; production keeps the layout of staging."""
+    moved = []
+
+    def spread(df, *args, lay_out=writing.spread_by_partition):
+        moved.append(df.columns)
+        return lay_out(df, *args)
+
+    monkeypatch.setattr(writing, "spread_by_partition", spread)
+    day = "timestamp_ntz'1995-01-05 10:00:00' + make_interval(0, id % 4)"
+    tables_of = {
+        "orders": ["id o_orderkey", "id % 7 o_custkey", "elt(id % 3 + 1, 'F', 'O', 'P') o_orderstatus",
+                   "id * 1.5D o_totalprice", f"{day} o_orderdate", "'1-URGENT' o_orderpriority"],
+        "events": ["id event_id", f"{day} ts", "id % 5 user_id", "elt(id % 3 + 1, 'view', 'click', NULL) event_type",
+                   "1D value", "'' props"],
+        "customer": ["id c_custkey", "'' c_name", "cast(id % 2 AS int) c_nationkey", "id * 100D c_acctbal", "'s' c_mktsegment"],
+        "nation": ["cast(id AS int) n_nationkey", "concat('n', id) n_name", "0 n_regionkey"],
+    }
+    for name, columns in tables_of.items():
+        spark.range(1, 300).selectExpr(*columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    i = Inputs(spark, str(tmp_path))
+    rows = sorted(map(str, i.production().collect()))
+    assert len(moved) == 1 and not {"event_types", "row_hash"} & set(moved[0])
+    assert rows == sorted(map(str, i._production().collect())) and len(rows) > 200
+    staged = i.staging().select(*schemas.ENRICHED_COLUMNS)
+    assert sorted(map(str, staged.collect())) == sorted(map(str, i.enriched().collect()))
+    assert any("click,click" in r for r in rows)
+
+
+@pytest.mark.parametrize("open_files", [1, 40])
+def test_rows_written_in_place_stay_in_their_order(spark, tmp_path, monkeypatch, open_files):
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    three = one_day(spark, 900).withColumn(
+        "process_date", F.expr("date_add(process_date, cast(crc32(order_id) % 3 AS int))")
+    )
+    writing.write_enriched(three, first)
+    table = tables.read_files(spark, [first], schemas.ENRICHED)
+    monkeypatch.setattr(writing, "_OPEN_FILES", open_files)
+    writing.write_in_place(table.coalesce(1), second)
+    assert spark.conf.get(writing._WRITERS) == "0"
+    assert len(glob.glob(f"{second}/process_date=*/*.parquet")) == 3
+    back = tables.read_files(spark, [second], schemas.ENRICHED)
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+    for file in glob.glob(f"{second}/process_date=*/*.parquet"):
+        users = pq.read_table(file, columns=["user_id"], partitioning=None).column(0).to_pylist()
+        assert users == sorted(users)
+    with pytest.raises(PySparkException, match="NOT NULL violated"):
+        writing.write_in_place(rows(spark, (None, 1.0, D1)), second)
