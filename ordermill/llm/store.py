@@ -6,11 +6,20 @@ from pyspark.sql import DataFrame
 
 from ordermill.session import work_folder
 
+#: Whether Spark deletes a query's shuffle files at its end, not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def held(df: DataFrame, label: str) -> DataFrame:
-    """The rows as written files: lineage ends there, and later steps do not run the plan again."""
-    path = work_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    """The rows as written files: lineage ends there, and later steps do not run the plan again. Nothing
+    reads the shuffle files of the step from then on; they go at once, so that steps do not add up on disk."""
+    path, conf = work_folder(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,13 @@
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from ordermill.llm import components, decontaminate, jaccard_join, queries, site_lines
+from ordermill.llm import components, decontaminate, jaccard_join, queries, site_lines, store
 from ordermill.llm import text as X
 
 
@@ -393,3 +395,16 @@ def test_columns_of_any_name(docs):
 
 def test_site_lines_of_nothing(docs):
     assert site_lines.drop_boilerplate(docs([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    """What one step has shuffled does not lie on disk during the next."""
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+    files = lambda: {p for d in folders for p in Path(str(d)).rglob("shuffle_*.data")}
+    before, setting = files(), spark.conf.get(store.CLEANUP)
+    got = store.held(spark.range(1000).selectExpr("id % 10 AS k").repartition(4, "k").groupBy("k").count(), "shuffled")
+    end = time.monotonic() + 10
+    while files() - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(store.CLEANUP) == setting
+    assert {tuple(r) for r in got.collect()} == {(k, 100) for k in range(10)}
