@@ -16,15 +16,20 @@ def components(edges: DataFrame) -> DataFrame:
     longest path. Rounds are written to the shared folder.
     """
     now = held(_ordered(edges), "edges")
-    before = None
-    while True:
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
-                now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
-            )
-        before = state
+    while not _done(now):
         now = held(_small_star(_large_star(now)), "edges")
+    return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
+        now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
+    )
+
+
+def _done(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no smaller end of another: all hang on their roots."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    found = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return found.where("up + down > 1 AND up > 0").isEmpty()
 
 
 def _ordered(edges: DataFrame) -> DataFrame:

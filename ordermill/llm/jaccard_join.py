@@ -29,6 +29,7 @@ their names, are not looked at (``keep_one`` keeps them).
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -319,30 +320,29 @@ def _leader_roots(links: DataFrame) -> DataFrame:
 
 def compare_taken(parted: DataFrame, agree: int) -> DataFrame | None:
     """Edges between rows near a leader and those it has taken, one a row and block; None without such rows.
-    A row is not compared if its own leader is linked with that leader in the same bucket."""
-    taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id")
+    A row is not compared if its own leader is linked with that leader in the same bucket. ``parted`` may have
+    the buckets of many levels: what is compared stays within a bucket."""
+    taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id", "sketch")
     sizes = taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks"))
     roots = _leader_roots(parted.where(F.size("links") > 0).select(F.inline("links")))
     sizes = sizes.join(roots, ["node", "leader"], "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
     # The leaders of a bucket that have taken a row: 16 at most.
     of_node = sizes.groupBy("node").agg(F.collect_list(F.struct("leader", "leader_root", "blocks")).alias("active"))
-    near = parted.where(F.size("near") > 0).select("node", "id", "near", F.col("leader").alias("own"))
+    near = parted.where(F.size("near") > 0).select("node", "id", "sketch", "near", F.col("leader").alias("own"))
     near = near.withColumn("salt", _salt()).join(_salted(of_node), ["node", "salt"])
     root = F.filter("active", lambda x: x["leader"].eqNullSafe(F.col("own")))["leader_root"]
     near = near.withColumn("root", F.try_element_at(root, F.lit(1)))
     other = F.filter("active", lambda x: F.array_contains("near", x["leader"]) & ~x["leader_root"].eqNullSafe(F.col("root")))
     near = near.withColumn("open", other).where(F.size("open") > 0)
-    near = held(near.select("node", "id", F.inline("open")).drop("leader_root"), "near-leaders")
+    near = held(near.select("node", "id", "sketch", F.inline("open")).drop("leader_root"), "near-leaders")
     if near.isEmpty():
         return None
-    sketch_of = parted.select("node", "id", "sketch")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     asked = _salted(near.select("node", "leader", "blocks").distinct())
-    homes = taken.withColumn("salt", _salt()).join(asked, ["node", "leader", "salt"]).join(sketch_of, ["node", "id"])
-    probes = near.join(sketch_of, ["node", "id"])
+    homes = taken.withColumn("salt", _salt()).join(asked, ["node", "leader", "salt"])
     rows = homes.select("node", "leader", own, "id", "sketch", F.lit(False).alias("probe")).unionByName(
-        probes.select("node", "leader", every, "id", "sketch", F.lit(True).alias("probe"))
+        near.select("node", "leader", every, "id", "sketch", F.lit(True).alias("probe"))
     )
 
     def run(batches):
@@ -374,26 +374,31 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPL
     # How far from a leader a set can be that is similar to one that agrees with it.
     least = max(0.0, agree / TOKENS + threshold - 1)
     wide = max(0, math.floor(TOKENS * least - 4.5 * math.sqrt(TOKENS * least * (1 - least))))
-    sketch_of = sets.select("id", "sketch")
-    level = sets.select("id", F.explode("nodes").alias("node"))
-    edges = None
+    level, sketch_of = sets.select("id", F.explode("nodes").alias("node")), sets.select("id", "sketch")
+    few = parted = None
+    # Only the splits go level by level. No level waits for the pairs of another, so those of all are compared at once.
     while True:
         counts = level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         met = level.withColumn("salt", _salt()).join(_salted(counts), ["node", "salt"])
-        shared = held(met.select("node", "n", "id").join(sketch_of, "id").select("node", "n", "id", "sketch"), "buckets")
-        few = shared.where(F.col("n") <= small).repartition("node").sortWithinPartitions("node", F.xxhash64("id"))
-        found = compare_small(few.select("node", "id", "sketch"), agree)
-        edges = found if edges is None else edges.unionByName(found)
+        # Most sets are alone in their first buckets and leave their sketches where they are.
+        met = met if "sketch" in met.columns else met.select("node", "n", "id").join(sketch_of, "id")
+        shared = held(met.select("node", "n", "id", "sketch"), "buckets")
+        here = shared.where(F.col("n") <= small).select("node", "id", "sketch")
+        few = here if few is None else few.unionByName(here)
         many = shared.where(F.col("n") > small).select("node", "id", "sketch")
         if many.isEmpty():
-            return edges.distinct()
-        parted = compare_leaders(many, agree, wide, split)
-        taken = parted.where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
-        links = parted.where(F.size("links") > 0).select(F.inline("links")).select("u", "v")
-        edges = edges.unionByName(taken).unionByName(links)
-        near = compare_taken(parted, agree)
-        edges = edges if near is None else edges.unionByName(near)
-        level = parted.where("leader IS NULL").select("id", F.explode("nodes").alias("node"))
+            break
+        split_up = compare_leaders(many, agree, wide, split)
+        parted = split_up if parted is None else parted.unionByName(split_up)
+        level = split_up.where("leader IS NULL").select("id", "sketch", F.explode("nodes").alias("node"))
+    edges = compare_small(few.repartition("node").sortWithinPartitions("node", F.xxhash64("id")), agree)
+    if parted is None:
+        return edges
+    taken = parted.where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
+    links = parted.where(F.size("links") > 0).select(F.inline("links")).select("u", "v")
+    near = compare_taken(parted, agree)
+    found = [edges, taken, links] if near is None else [edges, taken, links, near]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 CHECKED = "comp long, one_block boolean, id long, root long, links long"

@@ -397,6 +397,16 @@ def test_site_lines_of_nothing(docs):
     assert site_lines.drop_boilerplate(docs([], "doc_id long, text string, source string")).count() == 0
 
 
+def test_pairs_of_all_levels_are_compared_at_once(docs, monkeypatch):
+    """However many levels the splits go through, each comparison is one step, with the links of all pairs."""
+    rows, real, small, steps = corpus(21, groups=15), jaccard_join.held, jaccard_join.compare_small, []
+    monkeypatch.setattr(jaccard_join, "held", lambda df, label: steps.append(label) or real(df, label))
+    monkeypatch.setattr(jaccard_join, "compare_small", lambda *a: steps.append("small") or small(*a))
+    assert found(jaccard_join.join(docs(rows), small=8)) == brute(rows)
+    assert steps.count("level") > 1
+    assert steps.count("near-leaders") == steps.count("small") == 1 and steps.count("near") <= 1
+
+
 def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
     """What one step has shuffled does not lie on disk during the next."""
     folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
@@ -408,3 +418,15 @@ def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
         time.sleep(0.1)
     assert not files() - before and spark.conf.get(store.CLEANUP) == setting
     assert {tuple(r) for r in got.collect()} == {(k, 100) for k in range(10)}
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    """Where every node hangs on its root already, nothing is run but the look at the edges."""
+    real, steps = components.held, []
+    monkeypatch.setattr(components, "held", lambda df, label: steps.append(label) or real(df, label))
+    stars = spark.createDataFrame([(5, 1), (1, 7), (9, 2), (9, 2), (3, 3)], "u long, v long")
+    roots = lambda df: {tuple(r) for r in df.collect()}
+    assert roots(components.components(stars)) == {(1, 1), (5, 1), (7, 1), (2, 2), (9, 2)} and len(steps) == 1
+    path = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(30, 31), (30, 32)], "u long, v long")
+    assert roots(components.components(path)) == {(k, 0) for k in range(21)} | {(k, 30) for k in (30, 31, 32)}
+    assert components.components(stars.where("false")).count() == 0
