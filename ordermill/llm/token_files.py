@@ -16,6 +16,7 @@ in the order of their lengths; a null id comes first. An empty table gives files
 from __future__ import annotations
 
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ from ordermill.llm.store import held
 
 TOKENS_A_BLOCK = 1 << 19
 DOCS_A_SHARD = 20_000
+IDS_A_COUNT = 1 << 18
+#: Most documents that go between the JVM and Python at once; both sides hold a batch several times over.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_BLOCKS = 500_000
 
 
@@ -55,15 +60,37 @@ def _kind(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
+@contextmanager
+def _batches(spark: SparkSession):
+    """Batches of ``BATCH_ROWS`` rows at most in what runs meanwhile."""
+    before = int(spark.conf.get(_BATCH))
+    spark.conf.set(_BATCH, str(BATCH_ROWS if before <= 0 else min(before, BATCH_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, str(before))
+
+
+def counted(batches, size: int) -> np.ndarray:
+    """How often each id occurs in the batches."""
+    kind, total = _kind(size), np.zeros(size, np.int64)
+    for batch in batches:
+        column = batch.column("ids").cast(pa.large_binary())
+        _, at, data = column.buffers()
+        if not len(column) or data is None:
+            continue
+        at = np.frombuffer(at, np.int64)[column.offset : column.offset + len(column) + 1]
+        ids = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind)
+        for k in range(0, len(ids), IDS_A_COUNT):
+            total += np.bincount(ids[k : k + IDS_A_COUNT], minlength=size)
+    return total
+
+
 def token_counts(tokenized: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs. Only ``size`` numbers, the vocabulary, leave the tasks."""
-    kind = _kind(size)
 
     def count(batches):
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for blob in batch.column("ids"):
-                total += np.bincount(np.frombuffer(blob.as_buffer(), kind), minlength=size)
+        total = counted(batches, size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
@@ -83,8 +110,9 @@ def write(
     spark = documents.sparkSession
     file = tokenizer or tokens.default_file()
     size = max(tokens.Encoder(file).size, end_id + 1)
-    stored = held(tokenize(documents, end_id, file), "tokens")
-    freq = rans.table(token_counts(stored, size))
+    with _batches(spark):
+        stored = held(tokenize(documents, end_id, file), "tokens")
+        freq = rans.table(token_counts(stored, size))
     spark.createDataFrame(
         pa.table({"id": np.arange(size), "freq": freq.astype(np.int64)})
     ).coalesce(1).write.parquet(f"{path}/table")
@@ -96,6 +124,7 @@ def write(
     def encode(batches):
         import pyspark
 
+        tokens.forget()
         shard = pyspark.TaskContext.get().partitionId()
         coder = rans.Coder(shared.value)
         block, ids, blobs, total = 0, [], [], 0
@@ -122,13 +151,14 @@ def write(
         if blobs:
             yield flush()
 
-    (
+    blocks = (
         stored.repartitionByRange(shards, "doc_id")
         .sortWithinPartitions("doc_id", "n_tokens", "ids")
         .select("doc_id", "ids")
         .mapInArrow(encode, "shard int, block int, tokens long, doc_ids array<long>, lengths array<long>, data binary")
-        .write.parquet(f"{path}/blocks")
     )
+    with _batches(spark):
+        blocks.write.parquet(f"{path}/blocks")
 
 
 def frequencies(spark: SparkSession, path: str) -> np.ndarray:

@@ -3,6 +3,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ordermill.llm import packing, rans, token_files, tokens
@@ -186,6 +187,20 @@ def test_files_with_repeated_and_null_ids(spark, docs):
     ]
 
 
+def test_ids_are_counted_by_the_batch(monkeypatch):
+    """Many texts at once: a count over the whole vocabulary for each took longer than their ids."""
+    calls, counted = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: calls.append(1) or counted(*a, **b))
+    monkeypatch.setattr(token_files, "IDS_A_COUNT", 500)
+    r = np.random.default_rng(4)
+    for kind, size in (("<u2", 700), ("<u4", 70_000)):
+        each = [r.integers(0, size, n).astype(kind) for n in r.integers(0, 9, 1000)]
+        batch = pa.RecordBatch.from_pydict({"ids": pa.array([e.tobytes() for e in each], pa.binary())})
+        calls.clear()
+        got = token_files.counted([batch.slice(0, 300), batch.slice(300, 0), batch.slice(300)], size)
+        assert len(calls) < 20 and (got == counted(np.concatenate(each), minlength=size)).all()
+
+
 def test_files_of_nothing(spark, docs):
     path = work_folder(spark, "files")
     token_files.write(docs([]), path)

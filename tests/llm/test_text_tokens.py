@@ -68,6 +68,45 @@ def test_a_full_cache_starts_afresh(monkeypatch):
     assert (a == b).all()
 
 
+def test_words_that_recur_stay_known(monkeypatch):
+    """A full cache drops what was not asked for again; the rest does not go to the tokenizer once more."""
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 20)
+    coder = tokens.Encoder(tokens.default_file())
+    learnt, learn = [], coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda h, *rest: (learnt.append(len(h)), learn(h, *rest)))
+    for k in range(10):
+        text = "The cat, sat " + " ".join(chr(97 + k) * n for n in range(3, 11))
+        ids, _ = coder.encode(pa.array([text]))
+        assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert learnt == [11] + [8] * 9
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_latin_words_of_all_letters_and_marks(plain):
+    coder = tokens.Encoder(tokens.default_file())
+    assert coder.plain
+    coder.plain = plain
+    r = random.Random(2)
+    letters = [chr(c) for c in range(0x41, 0x100) if chr(c).isalpha()]
+    marks = [chr(c) for c in range(0x21, 0xC0) if not chr(c).isspace()]
+    pick = lambda of, n: "".join(r.choice(of) for _ in range(r.randint(0, n)))
+    texts = letters + marks + [pick(letters, 9) + pick(marks, 3) + " " * r.randint(0, 1) + pick(letters, 3) for _ in range(4000)]
+    ids, first = coder.encode(pa.array(texts))
+    want = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [e.ids for e in want]
+
+
+def test_places_take_hashes_that_share_a_slot():
+    places = tokens.Places(4)
+    h = np.concatenate([np.arange(1, 60) << 32, np.arange(1, 60)]).astype(np.uint64)  # one slot for half of them
+    for part in np.array_split(h, 7):
+        places.add(part, part.astype(np.int64), np.full(len(part), 3))
+        assert 2 * places.size <= len(places.keys)
+    at, found = places.find(np.append(h, np.uint64(999)))
+    assert found.tolist() == [True] * len(h) + [False]
+    assert (places.begin[at[:-1]] == h.astype(np.int64)).all() and places.size == len(h)
+
+
 def test_a_file_of_another_kind_is_encoded_text_by_text():
     import public_tokenizers
 
