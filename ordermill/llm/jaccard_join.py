@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import text as X
 from ordermill.llm.components import components
-from ordermill.llm.store import fresh, held
+from ordermill.llm.store import fewer, fresh, held
 
 TOKENS = 128
 THRESHOLD = 0.8
@@ -235,7 +235,7 @@ def _salted(keys: DataFrame) -> DataFrame:
     return keys.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
 
-def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) -> DataFrame:
+def compare_leaders(entries: DataFrame, n_entries: int, agree: int, wide: int, split: float) -> DataFrame:
     """For the rows of large buckets: the leader that has taken the row, if it agrees with one; else the
     buckets of the next level; the leaders it is near without agreeing; and, on one row of many, the leaders
     that rows agree with besides their own. Written to the shared folder."""
@@ -246,6 +246,8 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
         .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "sketch"))).alias("leaders"))
     )
 
+    leaders = fewer(leaders, n_entries)
+
     def run(batches):
         for batch in batches:
             X.release()
@@ -296,10 +298,10 @@ def compare_leaders(entries: DataFrame, agree: int, wide: int, split: float) ->
             )
 
     joined = entries.withColumn("salt", _salt()).join(_salted(leaders), ["node", "salt"])
-    return held(joined.select("node", "id", "sketch", "leaders").mapInArrow(run, LEVEL), "level")
+    return held(fewer(joined.select("node", "id", "sketch", "leaders"), n_entries).mapInArrow(run, LEVEL), "level")
 
 
-def _leader_roots(links: DataFrame) -> DataFrame:
+def _leader_roots(links: DataFrame, n_entries: int) -> DataFrame:
     """(node, leader, leader_root) of the leaders of a bucket that rows of it link with each other."""
 
     def run(batches):
@@ -315,19 +317,19 @@ def _leader_roots(links: DataFrame) -> DataFrame:
 
     # Of 16 leaders a bucket: at most 240 pairs.
     pairs = links.groupBy("node").agg(F.collect_set(F.struct("u", "v")).alias("pairs"))
-    return pairs.mapInArrow(run, "node long, leader long, leader_root long")
+    return fewer(pairs, n_entries).mapInArrow(run, "node long, leader long, leader_root long")
 
 
-def compare_taken(parted: DataFrame, agree: int) -> DataFrame | None:
-    """Edges between rows near a leader and those it has taken, one a row and block; None without such rows.
+def compare_taken(parted: DataFrame, n_parted: int, agree: int) -> tuple[DataFrame | None, int]:
+    """Edges between rows near a leader and those it has taken, one a row and block, and how many at most; None without such rows.
     A row is not compared if its own leader is linked with that leader in the same bucket. ``parted`` may have
     the buckets of many levels: what is compared stays within a bucket."""
     taken = parted.where("leader IS NOT NULL AND leader <> id").select("node", "leader", "id", "sketch")
-    sizes = taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks"))
-    roots = _leader_roots(parted.where(F.size("links") > 0).select(F.inline("links")))
+    sizes = fewer(taken.groupBy("node", "leader").agg(F.ceil(F.count("*") / TAKEN_BLOCK).alias("blocks")), n_parted)
+    roots = _leader_roots(parted.where(F.size("links") > 0).select(F.inline("links")), n_parted)
     sizes = sizes.join(roots, ["node", "leader"], "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
     # The leaders of a bucket that have taken a row: 16 at most.
-    of_node = sizes.groupBy("node").agg(F.collect_list(F.struct("leader", "leader_root", "blocks")).alias("active"))
+    of_node = fewer(sizes.groupBy("node").agg(F.collect_list(F.struct("leader", "leader_root", "blocks")).alias("active")), n_parted)
     near = parted.where(F.size("near") > 0).select("node", "id", "sketch", "near", F.col("leader").alias("own"))
     near = near.withColumn("salt", _salt()).join(_salted(of_node), ["node", "salt"])
     root = F.filter("active", lambda x: x["leader"].eqNullSafe(F.col("own")))["leader_root"]
@@ -335,8 +337,9 @@ def compare_taken(parted: DataFrame, agree: int) -> DataFrame | None:
     other = F.filter("active", lambda x: F.array_contains("near", x["leader"]) & ~x["leader_root"].eqNullSafe(F.col("root")))
     near = near.withColumn("open", other).where(F.size("open") > 0)
     near = held(near.select("node", "id", "sketch", F.inline("open")).drop("leader_root"), "near-leaders")
-    if near.isEmpty():
-        return None
+    probes = near.agg(F.sum("blocks")).first()[0]
+    if not probes:
+        return None, 0
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     asked = _salted(near.select("node", "leader", "blocks").distinct())
@@ -363,12 +366,19 @@ def compare_taken(parted: DataFrame, agree: int) -> DataFrame | None:
                         vs.append(ids[home[hit[:1]]])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 
-    dealt = rows.repartition("node", "leader", "block").sortWithinPartitions("node", "leader", "block")
-    return held(dealt.mapInArrow(run, "u long, v long"), "near")
+    dealt = fewer(rows.repartition("node", "leader", "block"), n_parted + probes).sortWithinPartitions("node", "leader", "block")
+    return held(dealt.mapInArrow(run, "u long, v long"), "near"), probes
 
 
 def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPLIT, small: int = SMALL) -> DataFrame:
     """Edges (u, v) that put similar sets into one group. ``sets``: id, sketch, nodes."""
+    return _candidates(sets, threshold, split, small)[0]
+
+
+def _candidates(
+    sets: DataFrame, threshold: float = THRESHOLD, split: float = SPLIT, small: int = SMALL
+) -> tuple[DataFrame, int]:
+    """The candidates, and how many edges there are at most."""
     spread = math.sqrt(TOKENS * threshold * (1 - threshold))
     agree = math.floor(TOKENS * threshold - 4.5 * spread)
     # How far from a leader a set can be that is similar to one that agrees with it.
@@ -376,29 +386,36 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, split: float = SPL
     wide = max(0, math.floor(TOKENS * least - 4.5 * math.sqrt(TOKENS * least * (1 - least))))
     level, sketch_of = sets.select("id", F.explode("nodes").alias("node")), sets.select("id", "sketch")
     few = parted = None
+    n_level, n_few, n_parted = sets.agg(F.sum(F.size("nodes"))).first()[0] or 0, 0, 0
     # Only the splits go level by level. No level waits for the pairs of another, so those of all are compared at once.
     while True:
-        counts = level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        counts = fewer(level.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), n_level)
         met = level.withColumn("salt", _salt()).join(_salted(counts), ["node", "salt"])
         # Most sets are alone in their first buckets and leave their sketches where they are.
         met = met if "sketch" in met.columns else met.select("node", "n", "id").join(sketch_of, "id")
-        shared = held(met.select("node", "n", "id", "sketch"), "buckets")
+        shared = held(fewer(met.select("node", "n", "id", "sketch"), n_level), "buckets")
+        n_shared, n_many = shared.agg(F.count("*"), F.count_if(F.col("n") > small)).first()
+        n_few += n_shared - n_many
         here = shared.where(F.col("n") <= small).select("node", "id", "sketch")
         few = here if few is None else few.unionByName(here)
         many = shared.where(F.col("n") > small).select("node", "id", "sketch")
-        if many.isEmpty():
+        if not n_many:
             break
-        split_up = compare_leaders(many, agree, wide, split)
+        split_up = compare_leaders(many, n_many, agree, wide, split)
+        n_parted += n_many
+        # A row goes to 1 / split buckets on average.
+        n_level = math.ceil(n_many / split)
         parted = split_up if parted is None else parted.unionByName(split_up)
         level = split_up.where("leader IS NULL").select("id", "sketch", F.explode("nodes").alias("node"))
-    edges = compare_small(few.repartition("node").sortWithinPartitions("node", F.xxhash64("id")), agree)
+    edges = compare_small(fewer(few.repartition("node"), n_few).sortWithinPartitions("node", F.xxhash64("id")), agree)
     if parted is None:
-        return edges
+        return edges, n_few
     taken = parted.where("leader IS NOT NULL AND leader <> id").select(F.col("id").alias("u"), F.col("leader").alias("v"))
     links = parted.where(F.size("links") > 0).select(F.inline("links")).select("u", "v")
-    near = compare_taken(parted, agree)
+    near, n_near = compare_taken(parted, n_parted, agree)
     found = [edges, taken, links] if near is None else [edges, taken, links, near]
-    return functools.reduce(DataFrame.unionByName, found)
+    # Links of leaders are at most 240 a bucket of over 512 rows, beside those of the rows.
+    return functools.reduce(DataFrame.unionByName, found), n_few + 2 * n_parted + n_near
 
 
 CHECKED = "comp long, one_block boolean, id long, root long, links long"
@@ -472,14 +489,13 @@ def join(
     with the same set, itself included) and n_links (other documents it is linked to, copies
     included) of every document."""
     prints = fingerprints(documents, size, recall, threshold)
-    sets = held(
-        prints.where("id IS NOT NULL").groupBy("id").agg(
-            F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"),
-            F.min("doc_id").alias("low"), F.count("*").alias("copies"),
-        ),
-        "sets",
+    n_prints = prints.count()
+    sets = prints.where("id IS NOT NULL").groupBy("id").agg(
+        F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"),
+        F.min("doc_id").alias("low"), F.count("*").alias("copies"),
     )
-    groups = components(candidates(sets, threshold, small=small)).withColumnRenamed("root", "comp")
+    sets = held(fewer(sets, n_prints), "sets")
+    groups = components(*_candidates(sets, threshold, small=small)).withColumnRenamed("root", "comp")
     members = groups.join(sets.select("id", "size", "low", "copies"), "id")
     blocks = members.groupBy("comp").agg(
         F.greatest(
@@ -487,7 +503,8 @@ def join(
         ).cast("int").alias("blocks")
     )
     placed = members.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = held(placed, "members")
+    dealt = held(fewer(placed, n_prints), "members")
+    n_compared, n_shingles = dealt.agg(F.sum("blocks"), F.sum(F.col("blocks") * F.col("size"))).first()
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
     texts = _marked(documents.select("doc_id", "text"), dealt)
@@ -495,16 +512,14 @@ def join(
     spread = texts.select("comp", "blocks", "block", "id", "copies", "text", pair.alias("pair")).select(
         "comp", "blocks", "block", "id", "copies", "text", "pair.i", "pair.j"
     )
-    checked = held(
-        exact_links(spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j"), size, threshold),
-        "links",
-    )
+    spread = fewer(spread.repartition("comp", "i", "j"), n_shingles or 0, block_shingles).sortWithinPartitions("comp", "i", "j")
+    checked = held(exact_links(spread, size, threshold), "links")
     links = checked.groupBy("id").agg(
         F.sum("links").alias("links"), F.min(F.when(F.col("one_block"), F.col("root"))).alias("root")
     )
     parts = checked.where(~F.col("one_block")).select(F.col("id").alias("u"), F.col("root").alias("v"))
     if not parts.isEmpty():
-        wide = components(parts).withColumnRenamed("root", "wide")
+        wide = components(parts, n_compared).withColumnRenamed("root", "wide")
         links = links.join(wide, "id", "left").withColumn("root", F.coalesce("root", "wide", "id"))
     known = sets.select("id", "low", "copies").join(links.select("id", "links", "root"), "id", "left").withColumn(
         "root", F.coalesce("root", "id")
@@ -514,7 +529,7 @@ def join(
         "id", "class_id", F.col("copies").alias("n_copies"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    return prints.select("doc_id", "id").join(classes, "id", "left").select(
+    return fewer(prints.select("doc_id", "id").join(classes, "id", "left"), n_prints).select(
         "doc_id",
         F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"),

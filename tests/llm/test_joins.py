@@ -430,3 +430,25 @@ def test_stars_need_no_round(spark, monkeypatch):
     path = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(30, 31), (30, 32)], "u long, v long")
     assert roots(components.components(path)) == {(k, 0) for k in range(21)} | {(k, 30) for k in (30, 31, 32)}
     assert components.components(stars.where("false")).count() == 0
+
+
+def test_small_steps_run_in_few_tasks(docs, conf, monkeypatch):
+    """A step of few rows starts no task and writes no file for each of many shuffle partitions."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "101")
+    rows, files = corpus(22, groups=15), []
+
+    def counted(df, label):
+        out = store.held(df, label)
+        files.append((label, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "held", counted)
+    monkeypatch.setattr(components, "held", counted)
+    got = docs(rows)
+    most = 3 * got.sparkSession.sparkContext.defaultParallelism
+    assert most < 101
+    assert found(jaccard_join.join(got, small=8)) == brute(rows)
+    assert {x for x, _ in files} >= {"sets", "buckets", "level", "near-leaders", "edges", "members", "links"}
+    # Joined levels read one table each, in a union; that step alone has more.
+    assert not [x for x in files if x[0] != "near-leaders" and x[1] > most]
